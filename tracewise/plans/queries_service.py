@@ -297,12 +297,12 @@ def top2_worst_services(spark, sf_dir):
 
 
 @register("fn5_round_abs_max", sql=f"""WITH {PHASES_CTE}
-SELECT {K}, ts, CAST(round(CAST(abs(response_time - qps) AS DECIMAL(38,10)), 2) AS DOUBLE) AS gap, greatest(response_time, qps, eps) AS top,
+SELECT {K}, ts, CAST(round(CAST(round(abs(response_time - qps), 8) AS DECIMAL(38,8)), 2) AS DOUBLE) AS gap, greatest(response_time, qps, eps) AS top,
        CAST(eps > 0 AS INTEGER) AS has_errors FROM prob""")
 def fn5_round_abs_max(spark, sf_dir):
     """FN5: abs, max across columns, bool to int, round(2)."""
     _, prob = phases(metric_points(spark, sf_dir))
-    return prob.select(*KEYS, "ts", F.round(F.abs(F.col("response_time") - F.col("qps")), 2).alias("gap"),
+    return prob.select(*KEYS, "ts", F.round(F.round(F.abs(F.col("response_time") - F.col("qps")), 8), 2).alias("gap"),
                        F.greatest("response_time", "qps", "eps").alias("top"),
                        (F.col("eps") > 0).cast("int").alias("has_errors"))
 
