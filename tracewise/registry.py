@@ -26,7 +26,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # importing the modules fills QUERIES
     from tracewise.plans import queries_service  # noqa: F401
-    for mod in ("queries_mesh", "queries_graph", "queries_models", "queries_io"):
+    for mod in ("queries_mesh", "queries_graph", "queries_edge", "queries_models", "queries_io"):
         try:
             __import__(f"tracewise.plans.{mod}")
         except ModuleNotFoundError as e:
