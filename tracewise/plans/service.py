@@ -61,3 +61,59 @@ def scored_features(points: DataFrame, metric: str = "connection_count"):
     zb = zscore(fb, stats, KEYS, feats)
     zp = zscore(fp, stats, KEYS, feats)
     return zb, zp, feats
+
+
+def densify(series: DataFrame, id_col: str, step: str, value: str) -> DataFrame:
+    """Zero-fill every id onto the full step grid (first to last step of the
+    frame), as the reference's pivot + ``fillna(0)`` does; the grid is
+    generated per id with ``sequence``."""
+    lo = series.select(F.min(step)).scalar()
+    hi = series.select(F.max(step)).scalar()
+    grid = series.select(id_col).distinct().select(id_col, F.explode(F.sequence(lo, hi)).alias(step))
+    return (grid.join(series.select(id_col, step, value), [id_col, step], "left")
+            .fillna(0.0, subset=[value]))
+
+
+def causal_chains(rates: DataFrame, causal: DataFrame, k: int = 5, max_rounds: int = 10000) -> DataFrame:
+    """RCA1: from the k services with the highest anomaly rate, repeatedly step
+    to the causal neighbour with the highest rate (ties by name); stop at a
+    dead end or at the first revisit (the repeated node is kept).
+
+    ``rates(service_id, anomaly_rate)``, ``causal(a, b)``: b causes a.
+    The next hop is a function of the node, so each round is one small join.
+    """
+    from tracewise.operators.detect import top_k
+    from tracewise.session import cut_lineage
+    nr = rates.select(F.col("service_id").alias("b"), F.col("anomaly_rate").alias("rb"))
+    nh = causal.select("a", "b").distinct().join(nr, "b", "inner")
+    w = Window.partitionBy("a").orderBy(F.col("rb").desc(), F.col("b"))
+    nh = cut_lineage(nh.withColumn("_k", F.row_number().over(w)).filter("_k = 1")
+                     .select(F.col("a").alias("cur"), F.col("b").alias("next")))
+    starts = top_k(rates, "anomaly_rate", k, "service_id")
+    state = cut_lineage(starts.select(F.col("service_id").alias("start"), F.array("service_id").alias("chain"),
+                                      F.col("service_id").alias("cur"), F.lit(True).alias("active")))
+    for _ in range(max_rounds):
+        act = state.filter("active")
+        if act.isEmpty():
+            break
+        j = act.join(nh, "cur", "left")
+        step_ = j.select("start",
+                         F.when(F.col("next").isNull(), F.col("chain"))
+                         .otherwise(F.concat("chain", F.array("next"))).alias("chain"),
+                         F.coalesce("next", "cur").alias("cur"),
+                         (F.col("next").isNotNull() & ~F.array_contains("chain", F.col("next"))).alias("active"))
+        state = cut_lineage(state.filter(~F.col("active")).unionByName(step_))
+    return state.select(F.col("start").alias("service_id"), "chain")
+
+
+def worst_services(rates: DataFrame, chains: DataFrame, corr_total: DataFrame) -> DataFrame:
+    """RCA2 + RCA3: ``rank_score = |corr(service, total)| * (chain length or 1)``
+    for services present at every timestamp, joined (full) with the rates;
+    best first."""
+    ranks = (corr_total.join(chains, corr_total.id == chains.service_id, "left")
+             .select(F.col("id").alias("service_id"),
+                     (F.abs("corr_total") * F.coalesce(F.size("chain"), F.lit(1))).alias("rank_score")))
+    return (rates.join(ranks, "service_id", "full").join(chains, "service_id", "left")
+            .select("service_id", *[c for c in rates.columns if c != "service_id"], "rank_score",
+                    F.array_join("chain", " -> ").alias("chain"))
+            .orderBy(F.col("rank_score").desc_nulls_last(), "service_id"))
