@@ -148,3 +148,26 @@ def rca3_worst_services(spark, sf_dir):
     s = with_service_id(prob).select(F.col("service_id").alias("id"), "ts", F.col("connection_count").alias("x"))
     ct = series_vs_total(s, "id", "ts", "x")
     return service.worst_services(rates.join(srates, "service_id", "full"), chains, ct)
+
+
+# ---------------------------------------------------------------- sequences
+
+def _sequence_scores(spark, sf_dir):
+    from tracewise.operators.sequence import sequence_anomalies
+    from tracewise.sources.bindings import server_points
+    srv = server_points(spark, sf_dir)
+    return sequence_anomalies(srv, "type", "server_id", ["cpu_us", "cpu_sy", "mem_free", "io_bi"])
+
+
+@register("det9_sequence_anomalies")
+def det9_sequence_anomalies(spark, sf_dir):
+    """DET9 (+WIN11, WIN12, AGG11, SET2): 10-step windows per server,
+    reconstruction error against a per-type threshold."""
+    return _sequence_scores(spark, sf_dir)
+
+
+@register("det10_group_summary")
+def det10_group_summary(spark, sf_dir):
+    """DET10: threshold and anomaly count per server type."""
+    from tracewise.operators.sequence import group_summary
+    return group_summary(_sequence_scores(spark, sf_dir), "type")
