@@ -18,6 +18,16 @@ from tracewise.registry import register
 from tracewise.session import ensure_checkpoint_dir
 from tracewise.sources.bindings import KEYS, edge_points, metric_points, phases, with_service_id
 from tracewise.streaming import jobs
+from tracewise.functions.columns import MIN_STD
+from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE
+
+
+def _iqr_sql():
+    from tracewise.plans.queries_graph import _LONG_SQL
+    return f"WITH {_LONG_SQL} SELECT *, anomaly_type IS NOT NULL AS is_anomalous FROM iqr"
+
+
+_IQR_SQL = _iqr_sql()
 
 
 def _path(spark, name):
@@ -26,7 +36,8 @@ def _path(spark, name):
 
 # ---------------------------------------------------------------- streaming
 
-@register("str1_stream_bucket_mean")
+@register("str1_stream_bucket_mean", sql=f"""WITH {METRICS_CTE}
+SELECT ip_port, server_name, ts, connection_count, response_time, eps FROM metrics""")
 def str1_stream_bucket_mean(spark, sf_dir):
     """STR1 (+STR5): streaming bucket aggregate; equals the batch AGG1."""
     ev = jobs.read_events(spark, sf_dir)
@@ -54,7 +65,10 @@ def str3_stateful_features(spark, sf_dir):
     return jobs.trailing_features(pts, KEYS, "response_time", "str3")
 
 
-@register("str4_sliding_windows")
+@register("str4_sliding_windows", sql="""
+SELECT time_bucket(INTERVAL '3 hours', ts) + to_hours(CAST(3 * (k + 1) AS BIGINT)) AS ts, event_type,
+       count(*) AS n
+FROM events, range(0, 2) AS r(k) GROUP BY 1, 2""")
 def str4_sliding_windows(spark, sf_dir):
     """STR4: 6 h windows sliding by 3 h over the event stream."""
     ev = jobs.read_events(spark, sf_dir)
@@ -64,7 +78,7 @@ def str4_sliding_windows(spark, sf_dir):
 
 # ---------------------------------------------------------------- sinks
 
-@register("snk1_csv_roundtrip")
+@register("snk1_csv_roundtrip", sql=_IQR_SQL)
 def snk1_csv_roundtrip(spark, sf_dir):
     """SNK1/SNK3 + SRC6: ranked table to CSV with header, read back."""
     from tracewise.plans.queries_graph import iqr_table
@@ -74,7 +88,10 @@ def snk1_csv_roundtrip(spark, sf_dir):
     return spark.read.schema(t.schema).option("header", True).csv(path)
 
 
-@register("snk4_stats_json")
+@register("snk4_stats_json", sql=f"""WITH {PHASES_CTE}
+SELECT ip_port, server_name, {", ".join(
+    f"avg({c}) AS {c}_mean, CASE WHEN stddev_samp({c}) IS NOT NULL THEN greatest(stddev_samp({c}), {MIN_STD}) END AS {c}_std"
+    for c in ["connection_count", "response_time", "eps"])} FROM base GROUP BY ip_port, server_name""")
 def snk4_stats_json(spark, sf_dir):
     """SNK4 + SRC7: baseline statistics to JSON lines and back."""
     base, _ = phases(metric_points(spark, sf_dir))
@@ -132,7 +149,14 @@ def snk7_cytoscape_json(spark, sf_dir):
         .select("data.*")
 
 
-@register("job3_results_readback")
+@register("job3_results_readback", sql=f"""WITH {PHASES_CTE},
+st AS (SELECT ip_port, server_name, {", ".join(f"avg({m}) AS m_{m}, stddev_samp({m}) AS s_{m}" for m in ["response_time", "qps", "eps"])}
+       FROM base GROUP BY ip_port, server_name),
+pd AS (SELECT *, {", ".join(f"coalesce({m} - lag({m}) OVER (PARTITION BY ip_port, server_name ORDER BY ts), 0) AS d_{m}" for m in ["response_time", "qps", "eps"])} FROM prob),
+fl AS (SELECT server_name || '_' || ip_port AS service_id, p.ts,
+         greatest({", ".join(f"CAST(coalesce(abs(p.{m} - st.m_{m}) > 3 * st.s_{m}, false) OR coalesce(abs(p.d_{m}) > 3 * st.s_{m}, false) AS INTEGER)" for m in ["response_time", "qps", "eps"])}) AS sigma3
+       FROM pd p LEFT JOIN st USING (ip_port, server_name))
+SELECT * FROM fl ORDER BY ts DESC, service_id LIMIT 100""")
 def job3_results_readback(spark, sf_dir):
     """JOB3 / TOP8: append scored rows per cycle, read back the newest 100."""
     from tracewise.plans import service
