@@ -153,7 +153,7 @@ def select_entry(anomalies: DataFrame, w: DataFrame) -> DataFrame:
     end = w.select(F.max("ts")).scalar()
     busy = (w.filter(F.col("ts") == end).groupBy(F.col("dst").alias("entry"))
             .agg(F.sum("qps").alias("score")).select("entry", "score", F.lit(0).alias("_p")))
-    return (by_node.unionByName(busy).orderBy(F.col("_p").desc(), F.col("score").desc(), F.col("entry"))
+    return (by_node.unionByName(busy).orderBy(F.col("_p").desc(), F.round("score", 12).desc(), F.col("entry"))
             .limit(1).select("entry"))
 
 

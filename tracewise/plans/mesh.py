@@ -86,9 +86,10 @@ def latency_report(edges: DataFrame, p: MeshParams = P) -> DataFrame:
 
 def busiest_destination(edges: DataFrame, p: MeshParams = P) -> DataFrame:
     """TOP5: ``topk(1, sum(rate(requests_total[R])) by (dst))`` per
-    evaluation time; ties by name."""
+    evaluation time; ties (equal up to float summation noise, compared at
+    12 decimals) by name."""
     by_dst = promql.sum_by(request_rates(edges, p), ["dst"], "rate", "rps")
-    w = Window.partitionBy("ts").orderBy(F.col("rps").desc(), F.col("dst"))
+    w = Window.partitionBy("ts").orderBy(F.round("rps", 12).desc(), F.col("dst"))
     return by_dst.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 

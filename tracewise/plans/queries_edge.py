@@ -76,7 +76,7 @@ def det15_edge_anomalies(spark, sf_dir):
 @register("rca4_entry_selection", sql=f"""WITH {TRAF},
 by_node AS (SELECT dst AS entry, CAST(count(*) AS DOUBLE) AS score, 1 AS p FROM anoms GROUP BY dst),
 busy AS (SELECT dst AS entry, sum(qps) AS score, 0 AS p FROM w WHERE ts = (SELECT max(ts) FROM w) GROUP BY dst)
-SELECT entry FROM (SELECT * FROM by_node UNION ALL SELECT * FROM busy) ORDER BY p DESC, score DESC, entry LIMIT 1""")
+SELECT entry FROM (SELECT * FROM by_node UNION ALL SELECT * FROM busy) ORDER BY p DESC, round(score, 12) DESC, entry LIMIT 1""")
 def rca4_entry_selection(spark, sf_dir):
     """RCA4 (+AGG9, TOP6, TOP5): the entry service of the edge RCA."""
     w = _w(spark, sf_dir)

@@ -169,7 +169,7 @@ def flt4_ratio_flag(spark, sf_dir):
 
 @register("top5_busiest_destination", sql=f"""WITH {REQ_RATES},
 d AS (SELECT ts, dst, sum(rate) AS rps FROM req_rate GROUP BY ts, dst)
-SELECT ts, dst, rps FROM d QUALIFY row_number() OVER (PARTITION BY ts ORDER BY rps DESC, dst) = 1""")
+SELECT ts, dst, rps FROM d QUALIFY row_number() OVER (PARTITION BY ts ORDER BY round(rps, 12) DESC, dst) = 1""")
 def top5_busiest_destination(spark, sf_dir):
     """TOP5: ``topk(1, sum(rate) by (destination))`` at each step."""
     return mesh.busiest_destination(edge_points(spark, sf_dir))
