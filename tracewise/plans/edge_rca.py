@@ -41,16 +41,24 @@ class EdgeRcaParams:
 P = EdgeRcaParams()
 
 
-def edge_series(edges: DataFrame) -> DataFrame:
-    """(ts, src, dst, rt, error, qps) on the evaluation grid."""
-    rt = mesh.latency_quantile(edges, q=0.9, out="rt")
-    qps = mesh.rps(edges).withColumnRenamed("rps", "qps")
-    err = mesh.error_rate(edges)
+def edge_series(hourly: DataFrame) -> DataFrame:
+    """(ts, src, dst, rt, error, qps) on the evaluation grid, from the hourly
+    edge stats (``mesh.mesh_counters``)."""
+    rt = mesh.latency_quantile(hourly, q=0.9, out="rt")
+    qps = mesh.rps(hourly).withColumnRenamed("rps", "qps")
+    err = mesh.error_rate(hourly)
     return (qps.join(rt, on=["ts", *EDGE], how="inner")
             .join(err, on=["ts", *EDGE], how="left")
             .select("ts", *EDGE, "rt", F.coalesce("error_rate", F.lit(0.0)).alias("error"), "qps"))
 
 
+def prepared_windows(hourly: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
+    """Edge series with window tags, materialised (reliable checkpoint): the
+    series is small (edges x steps) and every feature, scalar bound and
+    chain round reads it several times."""
+    return cut_lineage(windows(cut_lineage(edge_series(hourly)), p))
+
+
 def windows(series: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
     """Tag rows with ``in_base`` / ``in_cur`` relative to the newest step."""
     end = series.select(F.max("ts")).scalar()
@@ -213,9 +221,9 @@ def root_cause_chains(anomalies: DataFrame, w: DataFrame, entry: DataFrame,
                           F.array_join("path", " -> ").alias("chain"), F.size("path").alias("length")))
 
 
-def edge_rca(edges: DataFrame, p: EdgeRcaParams = P, entry: str | None = None) -> DataFrame:
+def edge_rca(hourly: DataFrame, p: EdgeRcaParams = P, entry: str | None = None) -> DataFrame:
     """JOB4: whole edge RCA; ``entry`` optional (auto-selected when None)."""
-    w = cut_lineage(windows(edge_series(edges), p))
+    w = prepared_windows(hourly, p)
     anomalies = cut_lineage(edge_anomalies(w, p))
     ent = (select_entry(anomalies, w) if entry is None
            else w.sparkSession.createDataFrame([(entry,)], "entry string"))

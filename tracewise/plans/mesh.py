@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewise.operators import promql
-from tracewise.sources.bindings import duration_bucket, duration_sum, requests_total
+from tracewise.session import cut_lineage
+from tracewise.sources.bindings import (duration_bucket, duration_sum, hourly_edge_stats,
+                                        requests_total)
 
 EDGE = ["src", "dst"]
 
@@ -32,69 +34,81 @@ class MeshParams:
 P = MeshParams()
 
 
-def request_rates(edges: DataFrame, p: MeshParams = P) -> DataFrame:
-    return promql.increase_and_rate(requests_total(edges), [*EDGE, "response_code"], p.range_, p.step)
+def counters_for(spark, sf_dir: str) -> DataFrame:
+    """Hourly edge stats of the driver tables (call edges -> one aggregate)."""
+    from tracewise.sources.bindings import edge_points
+    return mesh_counters(edge_points(spark, sf_dir))
 
 
-def rps(edges: DataFrame, p: MeshParams = P) -> DataFrame:
+def mesh_counters(edges: DataFrame) -> DataFrame:
+    """The hourly per-edge stats behind every counter, materialised once
+    (reliable checkpoint) so the raw edges are scanned a single time."""
+    return cut_lineage(hourly_edge_stats(edges))
+
+
+def request_rates(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
+    return promql.increase_and_rate(requests_total(hourly), [*EDGE, "response_code"], p.range_, p.step)
+
+
+def rps(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """``sum(rate(requests_total[R])) by (src, dst)``."""
-    return promql.sum_by(request_rates(edges, p), EDGE, "rate", "rps")
+    return promql.sum_by(request_rates(hourly, p), EDGE, "rate", "rps")
 
 
-def error_rate(edges: DataFrame, p: MeshParams = P) -> DataFrame:
+def error_rate(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """5xx share of the request rate per edge (PQL4)."""
-    return promql.vector_ratio(request_rates(edges, p), EDGE,
+    return promql.vector_ratio(request_rates(hourly, p), EDGE,
                                F.col("response_code").rlike("^5..$"), "rate", "error_rate")
 
 
-def latency_quantile(edges: DataFrame, p: MeshParams = P, q: float | None = None,
+def latency_quantile(hourly: DataFrame, p: MeshParams = P, q: float | None = None,
                      out: str = "latency_ms") -> DataFrame:
     """``histogram_quantile(q, sum(rate(bucket[R])) by (le, src, dst))``."""
-    br = promql.increase_and_rate(duration_bucket(edges), [*EDGE, "le"], p.range_, p.step)
+    br = promql.increase_and_rate(duration_bucket(hourly), [*EDGE, "le"], p.range_, p.step)
     br = promql.sum_by(br, [*EDGE, "le"], "rate")
     return promql.histogram_quantile(br, q if q is not None else p.quantile, EDGE, out=out)
 
 
-def mean_latency(edges: DataFrame, p: MeshParams = P) -> DataFrame:
+def mean_latency(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """``sum(rate(duration_sum[R])) / sum(rate(requests_total[R]))`` by edge."""
-    s = promql.sum_by(promql.increase_and_rate(duration_sum(edges), EDGE, p.range_, p.step),
+    s = promql.sum_by(promql.increase_and_rate(duration_sum(hourly), EDGE, p.range_, p.step),
                       EDGE, "rate", "sum_rate")
-    c = rps(edges, p)
+    c = rps(hourly, p)
     return (s.join(c, on=["ts", *EDGE], how="inner")
             .select("ts", *EDGE, F.try_divide("sum_rate", "rps").alias("mean_latency"))
             .filter(F.col("mean_latency").isNotNull()))
 
 
-def service_health(edges: DataFrame, p: MeshParams = P) -> DataFrame:
+def service_health(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """PQL9: rps, error rate (missing -> 0, left join) and P95 latency per
     edge and evaluation time; latency inner-joined with health."""
-    health = (rps(edges, p).join(error_rate(edges, p), on=["ts", *EDGE], how="left")
+    health = (rps(hourly, p).join(error_rate(hourly, p), on=["ts", *EDGE], how="left")
               .fillna(0.0, subset=["error_rate"]))
-    lat = latency_quantile(edges, p)
+    lat = latency_quantile(hourly, p)
     return lat.join(health, on=["ts", *EDGE], how="inner").select(
         "ts", *EDGE, "latency_ms", "rps", "error_rate")
 
 
-def latency_report(edges: DataFrame, p: MeshParams = P) -> DataFrame:
+def latency_report(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """RCA9: P95 now against the 1-day mean of the mean latency; 2x flag."""
-    now = latency_quantile(edges, p, out="latency_now")
-    base = promql.avg_over_time(mean_latency(edges, p), EDGE, "mean_latency",
+    now = latency_quantile(hourly, p, out="latency_now")
+    base = promql.avg_over_time(mean_latency(hourly, p), EDGE, "mean_latency",
                                 p.baseline_seconds, p.step_seconds, out="latency_avg")
     j = now.join(base, on=["ts", *EDGE], how="inner")
     return j.withColumn("is_anomaly", F.col("latency_now") > F.lit(p.ratio_factor) * F.col("latency_avg"))
 
 
-def busiest_destination(edges: DataFrame, p: MeshParams = P) -> DataFrame:
+def busiest_destination(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """TOP5: ``topk(1, sum(rate(requests_total[R])) by (dst))`` per
     evaluation time; ties (equal up to float summation noise, compared at
     12 decimals) by name."""
-    by_dst = promql.sum_by(request_rates(edges, p), ["dst"], "rate", "rps")
+    by_dst = promql.sum_by(request_rates(hourly, p), ["dst"], "rate", "rps")
     w = Window.partitionBy("ts").orderBy(F.round("rps", 12).desc(), F.col("dst"))
     return by_dst.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 
-def discover_edges(edges: DataFrame) -> DataFrame:
+def discover_edges(hourly: DataFrame) -> DataFrame:
     """AGG12 / PQL6: edges whose request counter increased over the scanned
     range (one aggregation instead of N^2 existence queries)."""
-    inc = promql.total_increase(requests_total(edges), [*EDGE, "response_code"], EDGE)
+    inc = promql.total_increase(requests_total(hourly), [*EDGE, "response_code"], EDGE)
     return inc.filter(F.col("increase") > 0)

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from tracewise.plans import edge_rca
+from tracewise.plans import edge_rca, mesh
 from tracewise.plans.queries_mesh import ERR, _quantile_cte
 from tracewise.registry import register
-from tracewise.sources.bindings import edge_points
 
 E = "src, dst"
 
@@ -43,7 +42,7 @@ anoms AS (SELECT {E}, 'performance' AS kind FROM perf
 
 
 def _w(spark, sf_dir):
-    return edge_rca.windows(edge_rca.edge_series(edge_points(spark, sf_dir)))
+    return edge_rca.prepared_windows(mesh.counters_for(spark, sf_dir))
 
 
 @register("det11_performance_features", sql=f"WITH {PERF} SELECT * FROM perf")
@@ -87,4 +86,4 @@ def rca4_entry_selection(spark, sf_dir):
 def rca6_edge_candidates(spark, sf_dir):
     """RCA5 + RCA6 (JOB4, +COR6, JN9, GRA5, TOP7): typed correlated chains
     from the entry and their root candidates."""
-    return edge_rca.edge_rca(edge_points(spark, sf_dir))
+    return edge_rca.edge_rca(mesh.counters_for(spark, sf_dir))

@@ -104,7 +104,7 @@ FROM rps e1 JOIN rps e2 ON e1.ts = e2.ts AND e1.dst = e2.src AND e1.src <> e2.ds
 GROUP BY 1, 2, 3""")
 def cor6_edge_pair_corr(spark, sf_dir):
     """COR6: qps correlation of consecutive call edges a->b, b->c."""
-    return correlate.edge_pair_corr(mesh.rps(edge_points(spark, sf_dir)), "rps")
+    return correlate.edge_pair_corr(mesh.rps(mesh.counters_for(spark, sf_dir)), "rps")
 
 
 @register("agg7_corr_with_total", sql=f"""WITH {PHASES_CTE},

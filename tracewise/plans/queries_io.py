@@ -112,7 +112,7 @@ def snk5_model_state(spark, sf_dir):
 
 
 def _graph(spark, sf_dir):
-    r = mesh.latency_report(edge_points(spark, sf_dir))
+    r = mesh.latency_report(mesh.counters_for(spark, sf_dir))
     end = r.select(F.max("ts")).scalar()
     return r.filter(F.col("ts") == end).select("src", "dst", F.col("latency_now").alias("latency"),
                                                 F.col("is_anomaly").alias("anomaly"))

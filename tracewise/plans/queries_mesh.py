@@ -67,32 +67,32 @@ def src5_edge_points(spark, sf_dir):
 @register("pql1_rate", sql=f"WITH {REQ_RATES} SELECT * FROM req_rate")
 def pql1_rate(spark, sf_dir):
     """PQL1: reset-aware increase and rate of the request counter."""
-    return mesh.request_rates(edge_points(spark, sf_dir))
+    return mesh.request_rates(mesh.counters_for(spark, sf_dir))
 
 
 @register("pql2_sum_by", sql=f"WITH {RPS} SELECT * FROM rps")
 def pql2_sum_by(spark, sf_dir):
     """PQL2: ``sum(rate(...)) by (src, dst)``."""
-    return mesh.rps(edge_points(spark, sf_dir))
+    return mesh.rps(mesh.counters_for(spark, sf_dir))
 
 
 @register("pql3_histogram_quantile", sql=f"WITH {COUNTERS_CTE}, {_quantile_cte(0.95, 'latency_ms')} "
                                          f"SELECT * FROM lat_latency_ms")
 def pql3_histogram_quantile(spark, sf_dir):
     """PQL3: P95 latency per edge from cumulative bucket counters."""
-    return mesh.latency_quantile(edge_points(spark, sf_dir))
+    return mesh.latency_quantile(mesh.counters_for(spark, sf_dir))
 
 
 @register("pql3_histogram_p90", sql=f"WITH {COUNTERS_CTE}, {_quantile_cte(0.9, 'rt')} SELECT * FROM lat_rt")
 def pql3_histogram_p90(spark, sf_dir):
     """PQL3 at q = 0.9 (the edge RCA's response-time query)."""
-    return mesh.latency_quantile(edge_points(spark, sf_dir), q=0.9, out="rt")
+    return mesh.latency_quantile(mesh.counters_for(spark, sf_dir), q=0.9, out="rt")
 
 
 @register("pql4_error_ratio", sql=f"WITH {ERR} SELECT * FROM err")
 def pql4_error_ratio(spark, sf_dir):
     """PQL4: 5xx rate / all rate, matched on (src, dst)."""
-    return mesh.error_rate(edge_points(spark, sf_dir))
+    return mesh.error_rate(mesh.counters_for(spark, sf_dir))
 
 
 MEAN_LAT = (COUNTERS_CTE + ",\n" + _rate_cte("req_rate", "requests_total", "src, dst, response_code")
@@ -109,7 +109,7 @@ lavg AS (SELECT ts, {E}, avg(mean_latency) OVER (PARTITION BY {E} ORDER BY ts
 def pql5_avg_over_time(spark, sf_dir):
     """PQL5: ``avg_over_time((sum rate / count rate)[1d:3h])``."""
     from tracewise.operators import promql
-    e = edge_points(spark, sf_dir)
+    e = mesh.counters_for(spark, sf_dir)
     return promql.avg_over_time(mesh.mean_latency(e), mesh.EDGE, "mean_latency",
                                 mesh.P.baseline_seconds, mesh.P.step_seconds, out="latency_avg")
 
@@ -120,13 +120,13 @@ d AS (SELECT {E}, CASE WHEN value < lag(value) OVER w THEN value ELSE value - la
 SELECT {E}, sum(d) AS increase FROM d WHERE d IS NOT NULL GROUP BY {E} HAVING sum(d) > 0""")
 def pql6_discover_edges(spark, sf_dir):
     """PQL6 / AGG12: edges with traffic over the scanned range."""
-    return mesh.discover_edges(edge_points(spark, sf_dir))
+    return mesh.discover_edges(mesh.counters_for(spark, sf_dir))
 
 
 @register("pql7_cluster_rate", sql=f"WITH {REQ_RATES} SELECT ts, sum(rate) AS cluster_rps FROM req_rate GROUP BY ts")
 def pql7_cluster_rate(spark, sf_dir):
     """PQL7: ``sum(rate(requests_total[R]))`` over the whole mesh, computed once."""
-    return mesh.request_rates(edge_points(spark, sf_dir)).groupBy("ts").agg(F.sum("rate").alias("cluster_rps"))
+    return mesh.request_rates(mesh.counters_for(spark, sf_dir)).groupBy("ts").agg(F.sum("rate").alias("cluster_rps"))
 
 
 @register("pql8_label_values", sql=f"WITH {EDGES_CTE} SELECT src AS workload FROM edges UNION SELECT dst FROM edges")
@@ -147,7 +147,7 @@ SELECT l.ts, l.src, l.dst, l.latency_ms, h.rps, h.error_rate
 FROM lat_latency_ms l JOIN health h USING (ts, {E})""")
 def pql9_mesh_health(spark, sf_dir):
     """PQL9 (+JN1, JN2): rps, error rate (left join, 0 when none), P95."""
-    return mesh.service_health(edge_points(spark, sf_dir))
+    return mesh.service_health(mesh.counters_for(spark, sf_dir))
 
 
 @register("rca9_latency_report", sql=f"""WITH {MEAN_LAT}, {_quantile_cte(0.95, 'latency_now')}
@@ -155,7 +155,7 @@ SELECT n.ts, n.src, n.dst, n.latency_now, a.latency_avg, n.latency_now > 2 * a.l
 FROM lat_latency_now n JOIN lavg a USING (ts, {E})""")
 def rca9_latency_report(spark, sf_dir):
     """RCA9 (+FLT4, JN1): P95 now vs 1-day mean latency, 2x flag."""
-    return mesh.latency_report(edge_points(spark, sf_dir))
+    return mesh.latency_report(mesh.counters_for(spark, sf_dir))
 
 
 @register("flt4_ratio_flag", sql=f"""WITH {MEAN_LAT}, {_quantile_cte(0.95, 'latency_now')}
@@ -163,7 +163,7 @@ SELECT n.ts, n.src, n.dst, n.latency_now FROM lat_latency_now n JOIN lavg a USIN
 WHERE n.latency_now > 2 * a.latency_avg""")
 def flt4_ratio_flag(spark, sf_dir):
     """FLT4 + FLT1: keep the edges whose P95 exceeds twice the baseline mean."""
-    r = mesh.latency_report(edge_points(spark, sf_dir))
+    r = mesh.latency_report(mesh.counters_for(spark, sf_dir))
     return r.filter(F.col("is_anomaly")).select("ts", "src", "dst", "latency_now")
 
 
@@ -172,14 +172,14 @@ d AS (SELECT ts, dst, sum(rate) AS rps FROM req_rate GROUP BY ts, dst)
 SELECT ts, dst, rps FROM d QUALIFY row_number() OVER (PARTITION BY ts ORDER BY round(rps, 12) DESC, dst) = 1""")
 def top5_busiest_destination(spark, sf_dir):
     """TOP5: ``topk(1, sum(rate) by (destination))`` at each step."""
-    return mesh.busiest_destination(edge_points(spark, sf_dir))
+    return mesh.busiest_destination(mesh.counters_for(spark, sf_dir))
 
 
 @register("flt3_label_regex", sql=f"""WITH {COUNTERS_CTE}
 SELECT * FROM requests_total WHERE regexp_full_match(response_code, '5..')""")
 def flt3_label_regex(spark, sf_dir):
     """FLT3: fully anchored label matcher ``response_code=~"5.."``."""
-    return requests_total(edge_points(spark, sf_dir)).filter(F.col("response_code").rlike("^5..$"))
+    return requests_total(mesh.counters_for(spark, sf_dir)).filter(F.col("response_code").rlike("^5..$"))
 
 
 @register("src5_range_vectors", sql=f"""WITH {RPS}
@@ -187,7 +187,7 @@ SELECT {E}, list(CAST(round(CAST(round(rps, 8) AS DECIMAL(38,8)), 4) AS DOUBLE)
        count(*) AS n FROM rps GROUP BY {E}""")
 def src5_range_vectors(spark, sf_dir):
     """SRC5: per-edge value vector on the step grid (ordered by time)."""
-    r = mesh.rps(edge_points(spark, sf_dir))
+    r = mesh.rps(mesh.counters_for(spark, sf_dir))
     g = r.groupBy(*mesh.EDGE).agg(F.array_sort(F.collect_list(F.struct("ts", "rps"))).alias("v"),
                                   F.count(F.lit(1)).alias("n"))
     return g.select(*mesh.EDGE, F.transform("v", lambda x: F.round(F.round(x["rps"], 8), 4)).alias("qps"), "n")
@@ -232,7 +232,7 @@ SELECT {E}, ts, rps FROM rps""")
 def src3_instant_vector_flatten(spark, sf_dir):
     """SRC3: encode the rps vector as the store's JSON result rows, then
     flatten them back (labels to columns, string value to double)."""
-    r = mesh.rps(edge_points(spark, sf_dir))
+    r = mesh.rps(mesh.counters_for(spark, sf_dir))
     js = r.select(F.to_json(F.struct(_metric_map().alias("metric"),
                                      F.array(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
                                              F.col("rps").cast("string")).alias("value"))).alias("json"))
@@ -244,7 +244,7 @@ SELECT {E}, ts, rps FROM rps""")
 def src4_range_vector_flatten(spark, sf_dir):
     """SRC4: per-edge range-vector JSON (one document per edge) exploded to
     one row per point."""
-    r = mesh.rps(edge_points(spark, sf_dir))
+    r = mesh.rps(mesh.counters_for(spark, sf_dir))
     pts = F.array(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"), F.col("rps").cast("string"))
     docs = (r.groupBy("src", "dst").agg(F.collect_list(pts).alias("values"))
             .select(F.to_json(F.struct(_metric_map().alias("metric"), "values")).alias("json")))

@@ -58,7 +58,7 @@ def agg5_anomaly_rates(spark, sf_dir):
 
 def _health_frame(spark, sf_dir):
     """(ts, src, dst, latency_ms, error_rate) with errors left-joined (JN3)."""
-    e = edge_points(spark, sf_dir)
+    e = mesh.counters_for(spark, sf_dir)
     lat = mesh.latency_quantile(e)
     err = mesh.error_rate(e)
     return (lat.join(err, on=["ts", "src", "dst"], how="left").fillna(0.0, subset=["error_rate"])

@@ -40,9 +40,17 @@ def phase_split_ts():
     return F.lit(PHASE_SPLIT).cast("timestamp_ntz")
 
 
-def metric_points(spark: SparkSession, sf_dir: str, bucket: str = METRIC_BUCKET) -> DataFrame:
-    """B1: service metrics per bucket (the 30 s MEAN of the reference, scaled)."""
+def metric_points(spark: SparkSession, sf_dir: str, bucket: str = METRIC_BUCKET,
+                  start=None, end=None) -> DataFrame:
+    """B1: service metrics per bucket (the 30 s MEAN of the reference, scaled).
+
+    ``start``/``end`` ([start, end), bucket-aligned) bound the raw ``ts``
+    before aggregating, so the bound is pushed into the parquet scan."""
     ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
+    if start is not None:
+        ev = ev.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        ev = ev.filter(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
     return (ev
             .groupBy(
                 F.concat(F.lit("10.0.0."), (F.col("user_id") % N_IP_PORTS).cast("string"),
@@ -132,21 +140,32 @@ def _cumulative(df: DataFrame, series: list[str], value: str) -> DataFrame:
     return df.withColumn("value", F.sum(value).over(w)).drop(value)
 
 
-def requests_total(edges: DataFrame) -> DataFrame:
-    """Counter ``requests_total{src,dst,response_code}`` sampled hourly."""
-    hourly = (edges.groupBy("src", "dst",
-                            F.when(F.col("error") > 0, F.lit("500")).otherwise(F.lit("200")).alias("response_code"),
-                            _hour_end().alias("ts"))
-              .agg(F.count(F.lit(1)).cast("double").alias("n")))
-    return _cumulative(hourly, ["src", "dst", "response_code"], "n")
+def hourly_edge_stats(edges: DataFrame) -> DataFrame:
+    """One pass over the call edges: per (src, dst, scrape hour) the request
+    counts by status class, the count per latency bucket and the latency sum.
+    Every counter below is derived from this small table (edges x hours), so
+    the raw edges are scanned and shuffled once."""
+    per_le = [F.count_if(F.col("rt") <= F.lit(le)).cast("double").alias(f"c{i}")
+              for i, le in enumerate(LE_BOUNDS)]
+    return (edges.groupBy("src", "dst", _hour_end().alias("ts"))
+            .agg(F.count_if(F.col("error") <= 0).cast("double").alias("n200"),
+                 F.count_if(F.col("error") > 0).cast("double").alias("n500"),
+                 *per_le, F.sum("rt").alias("rt_sum")))
+
 
+def requests_total(hourly: DataFrame) -> DataFrame:
+    """Counter ``requests_total{src,dst,response_code}`` sampled hourly
+    (a series has a sample in the hours it received requests)."""
+    stacked = hourly.select("src", "dst", "ts", F.explode(F.array(
+        F.struct(F.lit("200").alias("response_code"), F.col("n200").alias("n")),
+        F.struct(F.lit("500").alias("response_code"), F.col("n500").alias("n")))).alias("r"))
+    stacked = stacked.select("src", "dst", "r.response_code", "ts", "r.n").filter(F.col("n") > 0)
+    return _cumulative(stacked, ["src", "dst", "response_code"], "n")
 
-def duration_bucket(edges: DataFrame) -> DataFrame:
+
+def duration_bucket(hourly: DataFrame) -> DataFrame:
     """Cumulative histogram counter ``duration_bucket{src,dst,le}`` sampled
     hourly; every bucket is present at every sample of an edge."""
-    per_le = [F.count_if(F.col("rt") <= F.lit(le)).cast("double").alias(f"c{i}")
-              for i, le in enumerate(LE_BOUNDS)]
-    hourly = edges.groupBy("src", "dst", _hour_end().alias("ts")).agg(*per_le)
     stacked = hourly.select(
         "src", "dst", "ts",
         F.explode(F.array(*[F.struct(F.lit(le).alias("le"), F.col(f"c{i}").alias("n"))
@@ -155,7 +174,6 @@ def duration_bucket(edges: DataFrame) -> DataFrame:
     return _cumulative(stacked, ["src", "dst", "le"], "n")
 
 
-def duration_sum(edges: DataFrame) -> DataFrame:
+def duration_sum(hourly: DataFrame) -> DataFrame:
     """Counter ``duration_sum{src,dst}`` (total latency) sampled hourly."""
-    hourly = edges.groupBy("src", "dst", _hour_end().alias("ts")).agg(F.sum("rt").alias("n"))
-    return _cumulative(hourly, ["src", "dst"], "n")
+    return _cumulative(hourly.select("src", "dst", "ts", F.col("rt_sum").alias("n")), ["src", "dst"], "n")
