@@ -41,6 +41,19 @@ anoms AS (SELECT {E}, 'performance' AS kind FROM perf
           WHERE (outlier_count > 0 AND corr_cluster > 0.9) OR (outlier_count > 0 AND strict_n > 0))"""
 
 
+REL = SERIES + f""",
+rc AS (SELECT {E}, CAST(avg(rt) > 50 AS DOUBLE) AS rt_over_thresh, max(error) AS max_error, count(*) AS n,
+         covar_pop(error, rt) / nullif(stddev_pop(error) * stddev_pop(rt), 0) AS r FROM w WHERE in_cur GROUP BY {E}),
+d_baseline_outlier AS (SELECT {E}, error - lag(error) OVER (PARTITION BY src, dst ORDER BY ts) AS d FROM w WHERE in_base),
+s_baseline_outlier AS (SELECT {E}, avg(d) AS m, stddev_pop(d) AS s FROM d_baseline_outlier WHERE d IS NOT NULL GROUP BY {E}),
+o_baseline_outlier AS (SELECT x.src, x.dst, avg(x.d) AS baseline_outlier FROM d_baseline_outlier x JOIN s_baseline_outlier USING ({E})
+             WHERE x.d IS NOT NULL AND abs(x.d - m) > 3 * s GROUP BY 1, 2),
+d_current_outlier AS (SELECT {E}, error - lag(error) OVER (PARTITION BY src, dst ORDER BY ts) AS d FROM w WHERE in_cur),
+s_current_outlier AS (SELECT {E}, avg(d) AS m, stddev_pop(d) AS s FROM d_current_outlier WHERE d IS NOT NULL GROUP BY {E}),
+o_current_outlier AS (SELECT x.src, x.dst, avg(x.d) AS current_outlier FROM d_current_outlier x JOIN s_current_outlier USING ({E})
+             WHERE x.d IS NOT NULL AND abs(x.d - m) > 3 * s GROUP BY 1, 2)"""
+
+
 def _w(spark, sf_dir):
     return edge_rca.prepared_windows(mesh.counters_for(spark, sf_dir))
 
@@ -51,7 +64,12 @@ def det11_performance_features(spark, sf_dir):
     return edge_rca.performance_features(_w(spark, sf_dir))
 
 
-@register("det12_reliability_features")
+@register("det12_reliability_features", sql=f"""WITH {REL}
+SELECT c.src, c.dst, coalesce(ob.baseline_outlier, 0) AS baseline_outlier,
+       coalesce(oc.current_outlier, 0) AS current_outlier, c.rt_over_thresh, c.max_error,
+       CASE WHEN c.n > 1 THEN coalesce(c.r, 0) ELSE 0 END AS corr_rt_error
+FROM rc c LEFT JOIN o_baseline_outlier ob USING ({E}) LEFT JOIN o_current_outlier oc USING ({E})
+WHERE EXISTS (SELECT 1 FROM w WHERE w.in_base AND w.src = c.src AND w.dst = c.dst)""")
 def det12_reliability_features(spark, sf_dir):
     """DET12: outlier deltas of the error share, rt threshold, max error,
     corr(error, rt)."""
