@@ -171,3 +171,50 @@ def det10_group_summary(spark, sf_dir):
     """DET10: threshold and anomaly count per server type."""
     from tracewise.operators.sequence import group_summary
     return group_summary(_sequence_scores(spark, sf_dir), "type")
+
+
+# ---------------------------------------------------------- multi-metric flow
+
+def _multi(spark, sf_dir):
+    from tracewise.session import cut_lineage
+    zb, zp, zf = service.multi_metric_features(metric_points(spark, sf_dir))
+    return cut_lineage(_key(zb)), cut_lineage(_key(zp)), zf
+
+
+@register("det8_oneclass_boundary")
+def det8_oneclass_boundary(spark, sf_dir):
+    """DET8 (+FN6): one-class boundary (nu = 0.01, RBF gamma = 1/27 via
+    random Fourier features) on the 27 z-features; decision and label."""
+    from tracewise.operators import oneclass
+    zb, zp, zf = _multi(spark, sf_dir)
+    model = oneclass.fit(zb, zf, nu=0.01)
+    return oneclass.score(zp, model, zf).select(*KEYS, "ts", "score_multi", "anomaly_multi")
+
+
+@register("rca3_worst_services_multi")
+def rca3_worst_services_multi(spark, sf_dir):
+    """Multi-metric ranking: forest on the 27 z-features (anomaly rate), 3-sigma
+    rate over three metrics, qps correlation graph + Granger chains, rank by
+    |corr(eps, total eps)| x chain length."""
+    from tracewise.operators import granger
+    from tracewise.operators.correlate import corr_graph, corr_matrix, series_vs_total, with_step_index
+    from tracewise.functions.columns import CORR_THRESHOLD
+    from tracewise.sources.bindings import phases
+    zb, zp, zf = _multi(spark, sf_dir)
+    nodes = forest.fit(zb, ["_key"], zf, seed=42)
+    train = forest.score(zb, nodes, zf)
+    lab = forest.label(forest.score(zp, nodes, zf), forest.offset(train, 0.01))
+    rates = (with_service_id(lab).groupBy("service_id")
+             .agg(F.avg(F.col("is_outlier").cast("double")).alias("anomaly_rate")))
+    pts = metric_points(spark, sf_dir)
+    sig = with_service_id(service.sigma_flags_multi(pts))
+    srates = sig.groupBy("service_id").agg(F.avg(F.col("sigma3").cast("double")).alias("sigma_rate"))
+    base, prob = phases(pts)
+    qb = with_service_id(base).select(F.col("service_id").alias("id"), "ts", F.col("qps").alias("x"))
+    pairs = corr_graph(corr_matrix(qb, "id", "ts", "x", 6 * 3600), CORR_THRESHOLD)
+    dense = service.densify(with_step_index(qb, "ts", 6 * 3600), "id", "step", "x")
+    causal = granger.granger(dense, pairs).filter("causes")
+    chains = service.causal_chains(rates, causal)
+    ep = with_service_id(prob).select(F.col("service_id").alias("id"), "ts", F.col("eps").alias("x"))
+    ct = series_vs_total(ep, "id", "ts", "x")
+    return service.worst_services(rates.join(srates, "service_id", "full"), chains, ct)

@@ -117,3 +117,22 @@ def worst_services(rates: DataFrame, chains: DataFrame, corr_total: DataFrame) -
             .select("service_id", *[c for c in rates.columns if c != "service_id"], "rank_score",
                     F.array_join("chain", " -> ").alias("chain"))
             .orderBy(F.col("rank_score").desc_nulls_last(), "service_id"))
+
+
+def multi_metric_features(points: DataFrame):
+    """Multi-metric flow (V2): z of each metric with baseline stats, the
+    engineered features of every metric, and all 27 features z-normalised
+    again with baseline stats (``z_<metric>_<feature>``, ``z_z_<metric>``).
+    Returns (baseline rows, problem rows, z feature names)."""
+    from tracewise.operators.features import FEATURES
+    base, prob = phases(points)
+    st = baseline_stats(base, KEYS, METRICS, floor=None)
+    zb = zscore(base, st, KEYS, METRICS, prefix="z_").drop("is_new_key")
+    zp = zscore(prob, st, KEYS, METRICS, prefix="z_").drop("is_new_key")
+    fb = add_features(zb, KEYS, METRICS, calendar=False)
+    fp = add_features(zp, KEYS, METRICS, calendar=False)
+    feats = [f"{m}_{f}" for m in METRICS for f in FEATURES] + [f"z_{m}" for m in METRICS]
+    st2 = baseline_stats(fb, KEYS, feats, floor=None)
+    zzb = zscore(fb, st2, KEYS, feats, prefix="z_")
+    zzp = zscore(fp, st2, KEYS, feats, prefix="z_")
+    return zzb, zzp, [f"z_{f}" for f in feats]
