@@ -74,10 +74,32 @@ def pearson_from_sums(n, sx, sy, sxx, syy, sxy) -> Column:
     return F.when((vx > 0) & (vy > 0), (n * sxy - sx * sy) / F.sqrt(vx * vy))
 
 
+def _session_tz() -> str:
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    return s.conf.get("spark.sql.session.timeZone") if s is not None else "UTC"
+
+
+def as_utc_instant(c) -> Column:
+    """``timestamp_ntz`` wall-clock -> the instant with that UTC wall-clock,
+    whatever the session time zone (watermarks and epoch arithmetic need an
+    instant; the data's timestamps are naive UTC)."""
+    return F.from_utc_timestamp(col(c).cast("timestamp"), _session_tz())
+
+
+def to_naive(c) -> Column:
+    """Inverse of ``as_utc_instant``: instant -> UTC wall-clock ``timestamp_ntz``."""
+    return F.to_utc_timestamp(col(c), _session_tz()).cast("timestamp_ntz")
+
+
+def epoch_seconds(c) -> Column:
+    """Epoch seconds of a naive UTC timestamp (session-zone independent)."""
+    return F.unix_seconds(as_utc_instant(c))
+
+
 def seconds_between(later, earlier) -> Column:
-    """Exact seconds between two timestamps (either flavour) as double."""
-    return (F.unix_micros(col(later).cast("timestamp"))
-            - F.unix_micros(col(earlier).cast("timestamp"))) / F.lit(1e6)
+    """Exact seconds between two naive timestamps as double."""
+    return (F.unix_micros(as_utc_instant(later)) - F.unix_micros(as_utc_instant(earlier))) / F.lit(1e6)
 
 
 def round_doubles(df, places: int = 4):

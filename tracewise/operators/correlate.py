@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewise.functions.columns import pearson_from_sums
+from tracewise.functions.columns import epoch_seconds, pearson_from_sums
 
 _MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 _SCHEMA = "a string, b string, lag int, " + ", ".join(f"{c} double" for c in _MOMENTS)
@@ -85,8 +85,7 @@ def with_step_index(df: DataFrame, ts: str, step_seconds: int, out: str = "step"
     """Integer time index ``(ts - first ts) / step`` (the first ts is a
     one-row scalar subquery; no global window)."""
     t0 = df.select(F.min(ts)).scalar()
-    return df.withColumn(out, ((F.unix_seconds(F.col(ts).cast("timestamp"))
-                                - F.unix_seconds(t0.cast("timestamp"))) / F.lit(step_seconds)).cast("long"))
+    return df.withColumn(out, ((epoch_seconds(ts) - epoch_seconds(t0)) / F.lit(step_seconds)).cast("long"))
 
 
 def corr_matrix(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: int) -> DataFrame:

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewise.functions.columns import safe_div, seconds_between
+from tracewise.functions.columns import epoch_seconds, safe_div, seconds_between
 
 
 def _shifted(ts: str) -> Column:
@@ -103,7 +103,7 @@ def avg_over_time(df: DataFrame, by: Sequence[str], value: str, range_seconds: i
                   step_seconds: int, out: str | None = None) -> DataFrame:
     """PQL5: ``avg_over_time(expr[range:step])`` for an ``expr`` already
     evaluated on the ``step`` grid: mean of the points in ``(T - range, T]``."""
-    w = (Window.partitionBy(*by).orderBy(F.unix_seconds(F.col("ts").cast("timestamp")))
+    w = (Window.partitionBy(*by).orderBy(epoch_seconds("ts"))
          .rangeBetween(-(range_seconds - step_seconds), 0))
     return df.select("ts", *by, F.avg(value).over(w).alias(out or value))
 

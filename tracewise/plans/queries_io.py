@@ -18,7 +18,7 @@ from tracewise.registry import register
 from tracewise.session import ensure_checkpoint_dir
 from tracewise.sources.bindings import KEYS, edge_points, metric_points, phases, with_service_id
 from tracewise.streaming import jobs
-from tracewise.functions.columns import MIN_STD
+from tracewise.functions.columns import MIN_STD, to_naive
 from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE
 
 
@@ -42,7 +42,7 @@ def str1_stream_bucket_mean(spark, sf_dir):
     """STR1 (+STR5): streaming bucket aggregate; equals the batch AGG1."""
     ev = jobs.read_events(spark, sf_dir)
     out = jobs.run_upsert_log(jobs.bucket_means(ev), ["ip_port", "server_name", "w"], "str1")
-    return out.select("ip_port", "server_name", F.col("w.start").cast("timestamp_ntz").alias("ts"),
+    return out.select("ip_port", "server_name", to_naive("w.start").alias("ts"),
                       "connection_count", "response_time", "eps")
 
 
@@ -73,7 +73,7 @@ def str4_sliding_windows(spark, sf_dir):
     """STR4: 6 h windows sliding by 3 h over the event stream."""
     ev = jobs.read_events(spark, sf_dir)
     out = jobs.run_upsert_log(jobs.sliding_counts(ev), ["w", "event_type"], "str4")
-    return out.select(F.col("w.end").cast("timestamp_ntz").alias("ts"), "event_type", "n")
+    return out.select(to_naive("w.end").alias("ts"), "event_type", "n")
 
 
 # ---------------------------------------------------------------- sinks

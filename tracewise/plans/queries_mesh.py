@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracewise.functions.columns import epoch_seconds, to_naive
 from tracewise.plans import mesh
 from tracewise.plans.sqlbits import COUNTERS_CTE, EDGES_CTE
 from tracewise.registry import register
@@ -208,7 +209,7 @@ def flatten_instant(js):
     p = js.select(F.from_json("json", _INSTANT_SCHEMA).alias("r"))
     return p.select(F.col("r.metric").getItem("source_workload").alias("src"),
                     F.col("r.metric").getItem("destination_workload").alias("dst"),
-                    F.timestamp_seconds(F.element_at("r.value", 1).cast("double")).cast("timestamp_ntz").alias("ts"),
+                    to_naive(F.timestamp_seconds(F.element_at("r.value", 1).cast("double"))).alias("ts"),
                     F.element_at("r.value", 2).cast("double").alias("rps"))
 
 
@@ -218,7 +219,7 @@ def flatten_range(js):
     x = p.select("r.metric", F.explode("r.values").alias("pt"))
     return x.select(F.col("metric").getItem("source_workload").alias("src"),
                     F.col("metric").getItem("destination_workload").alias("dst"),
-                    F.timestamp_seconds(F.element_at("pt", 1).cast("double")).cast("timestamp_ntz").alias("ts"),
+                    to_naive(F.timestamp_seconds(F.element_at("pt", 1).cast("double"))).alias("ts"),
                     F.element_at("pt", 2).cast("double").alias("rps"))
 
 
@@ -234,7 +235,7 @@ def src3_instant_vector_flatten(spark, sf_dir):
     flatten them back (labels to columns, string value to double)."""
     r = mesh.rps(mesh.counters_for(spark, sf_dir))
     js = r.select(F.to_json(F.struct(_metric_map().alias("metric"),
-                                     F.array(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
+                                     F.array(epoch_seconds("ts").cast("string"),
                                              F.col("rps").cast("string")).alias("value"))).alias("json"))
     return flatten_instant(js)
 
@@ -245,7 +246,7 @@ def src4_range_vector_flatten(spark, sf_dir):
     """SRC4: per-edge range-vector JSON (one document per edge) exploded to
     one row per point."""
     r = mesh.rps(mesh.counters_for(spark, sf_dir))
-    pts = F.array(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"), F.col("rps").cast("string"))
+    pts = F.array(epoch_seconds("ts").cast("string"), F.col("rps").cast("string"))
     docs = (r.groupBy("src", "dst").agg(F.collect_list(pts).alias("values"))
             .select(F.to_json(F.struct(_metric_map().alias("metric"), "values")).alias("json")))
     return flatten_range(docs)

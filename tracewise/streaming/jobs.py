@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tracewise.functions.columns import SIGMA_K
+from tracewise.functions.columns import SIGMA_K, as_utc_instant, to_naive
 from tracewise.session import ensure_checkpoint_dir
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -44,7 +44,7 @@ def read_events(spark: SparkSession, source_dir: str, pattern: str = "events*.pa
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     s = r.parquet(source_dir)
-    return (s.withColumn("ts", F.col("ts").cast("timestamp"))
+    return (s.withColumn("ts", as_utc_instant("ts"))
             .withWatermark("ts", watermark)
             .dropDuplicatesWithinWatermark(["event_id"]))
 
@@ -91,7 +91,7 @@ def score_stream(events: DataFrame, stats: DataFrame, name: str, bucket: str = "
         j = batch.join(stats, ["ip_port", "server_name"], "left")
         flag = (F.abs(F.col("connection_count") - F.col("connection_count_mean"))
                 > F.lit(SIGMA_K) * F.col("connection_count_std"))
-        (j.select("ip_port", "server_name", F.col("w.start").alias("ts"), "connection_count",
+        (j.select("ip_port", "server_name", to_naive("w.start").alias("ts"), "connection_count",
                   F.coalesce(flag, F.lit(False)).alias("is_anomaly"), F.lit(batch_id).alias("batch"))
          .write.mode("append").parquet(out))
 
