@@ -46,21 +46,25 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
     n = deg.count()
     if n == 0:
         return deg.select("id", F.lit(0.0).alias("pagerank"))
-    ranks = deg.select("id", "out_degree", F.lit(1.0 / n).alias("pr"))
+    ranks = cut_lineage(deg.select("id", "out_degree", F.lit(1.0 / n).alias("pr")))
+    dangling = ranks.filter(F.col("out_degree") == 0).select(F.coalesce(F.sum("pr"), F.lit(0.0))).first()[0]
     for i in range(max_iter):
         contrib = (e.join(ranks.select(F.col("id").alias("src"), "pr", "out_degree"), "src")
                    .groupBy(F.col("dst").alias("id"))
                    .agg(F.sum(F.col("pr") / F.col("out_degree")).alias("c")))
-        dangling = ranks.filter(F.col("out_degree") == 0).select(F.coalesce(F.sum("pr"), F.lit(0.0))).first()[0]
         base = (alpha * dangling + (1.0 - alpha)) / n
         new = (ranks.join(contrib, "id", "left")
                .select("id", "out_degree", F.col("pr").alias("old"),
                        (F.lit(alpha) * F.coalesce("c", F.lit(0.0)) + F.lit(base)).alias("pr")))
         if (i + 1) % CHECKPOINT_EVERY == 0:
             new = cut_lineage(new)
-        err = new.select(F.sum(F.abs(F.col("pr") - F.col("old")))).first()[0]
+        # one job per round: the change and the next round's dangling mass
+        stats = new.select(F.sum(F.abs(F.col("pr") - F.col("old"))).alias("err"),
+                           F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("pr"))), F.lit(0.0))
+                           .alias("dangling")).first()
         ranks = new.drop("old")
-        if err < n * tol:
+        dangling = stats["dangling"]
+        if stats["err"] < n * tol:
             break
     return ranks.select("id", F.col("pr").alias("pagerank"))
 

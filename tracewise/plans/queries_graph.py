@@ -256,7 +256,18 @@ def gra3_cycle_detected(spark, sf_dir):
     return spark.range(1).select(F.lit(graph.is_acyclic(e)).alias("is_acyclic"))
 
 
-@register("gra4_longest_path")
+@register("gra4_longest_path", sql=f"""WITH RECURSIVE {DAG_CTE},
+v AS (SELECT src AS id FROM dag UNION SELECT dst FROM dag),
+srcs AS (SELECT id FROM v WHERE id NOT IN (SELECT dst FROM dag)),
+paths(path) AS (SELECT [id] FROM srcs
+                UNION ALL
+                SELECT list_append(p.path, d.dst) FROM paths p JOIN dag d ON d.src = p.path[-1]),
+lay AS (SELECT path[-1] AS id, max(len(path)) - 1 AS layer FROM paths GROUP BY 1),
+endv AS (SELECT id, layer FROM lay ORDER BY layer DESC, id LIMIT 1),
+best AS (SELECT path FROM paths
+         WHERE path[-1] = (SELECT id FROM endv) AND len(path) - 1 = (SELECT layer FROM endv)
+         ORDER BY list_reverse(path) DESC LIMIT 1)
+SELECT CAST(i - 1 AS INTEGER) AS pos, path[i] AS id FROM best, range(1, len(path) + 1) AS r(i)""")
 def gra4_longest_path(spark, sf_dir):
     """GRA4: a longest path of the DAG, one row per position."""
     return graph.longest_path(dag_edges(spark, sf_dir))

@@ -23,9 +23,12 @@ def _key(df):
 def scored_services(spark, sf_dir, contamination=0.01):
     """Single-metric flow: features -> z -> forest fit on baseline -> score
     the problem window (s, decision, is_outlier, is_anomaly)."""
+    from tracewise.session import cut_lineage
     zb, zp, _ = service.scored_features(metric_points(spark, sf_dir))
-    zb, zp = _key(zb), _key(zp)
-    nodes = forest.fit(zb, ["_key"], Z_FEATS, seed=42)
+    # fit, offset and scoring all read these: materialise once (small: one row
+    # per service and bucket)
+    zb, zp = cut_lineage(_key(zb)), cut_lineage(_key(zp))
+    nodes = cut_lineage(forest.fit(zb, ["_key"], Z_FEATS, seed=42))
     train = forest.score(zb, nodes, Z_FEATS)
     q = forest.offset(train, contamination)
     return forest.label(forest.score(zp, nodes, Z_FEATS), q)
