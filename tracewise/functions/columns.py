@@ -109,8 +109,9 @@ def round_doubles(df, places: int = 4):
     between engines (31.868749999 vs 31.86875) round the same way."""
     out = []
     for f in df.schema.fields:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
         if f.dataType.typeName() in ("double", "float"):
-            out.append(F.round(F.round(F.col(f.name), 8), places).alias(f.name))
+            out.append(F.round(F.round(c, 8), places).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(c)
     return df.select(*out)
