@@ -16,7 +16,7 @@ from tracewise.operators import normalize
 from tracewise.plans import mesh
 from tracewise.registry import register
 from tracewise.session import ensure_checkpoint_dir
-from tracewise.sources.bindings import KEYS, edge_points, metric_points, phases, with_service_id
+from tracewise.sources.bindings import KEYS, metric_points, phases, with_service_id
 from tracewise.streaming import jobs
 from tracewise.functions.columns import MIN_STD, to_naive
 from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tracewise.operators import forest
 from tracewise.plans import mesh, service
 from tracewise.registry import register
-from tracewise.sources.bindings import KEYS, edge_points, metric_points, with_service_id
+from tracewise.sources.bindings import KEYS, metric_points, with_service_id
 
 Z_FEATS = [f"z_{f}" for f in ["connection_count", "rolling_mean", "diff", "rate_change", "over_max_count",
                               "over_avg_count", "delta_max", "delta_avg", "ratio_avg", "conn_log"]] + [

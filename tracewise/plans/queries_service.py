@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tracewise.functions.columns import MIN_STD
 from tracewise.operators import detect, features, normalize
 from tracewise.plans import service
-from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE, SPLIT, features_sql
+from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE, features_sql
 from tracewise.registry import register
 from tracewise.sources.bindings import (KEYS, METRICS, metric_points, phases, table,
                                         with_service_id)

@@ -3,14 +3,13 @@ tables (FN7, AGG8, AGG11, AGG13, AGG15, WIN11, WIN12, SET3, VIZ1-3, JOB1)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tracewise.operators import correlate, features, normalize
 from tracewise.plans import edge_rca, mesh
 from tracewise.plans.queries_graph import _LONG_SQL, _corr_sql, corr_normal, iqr_table, _series, STEP
 from tracewise.plans.queries_mesh import MEAN_LAT, _quantile_cte
-from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE, SERVERS_CTE
+from tracewise.plans.sqlbits import PHASES_CTE, SERVERS_CTE
 from tracewise.registry import register
 from tracewise.sources.bindings import (KEYS, N_IP_PORTS, N_SERVER_NAMES, metric_points, phases,
                                         server_points, with_service_id)

@@ -27,6 +27,7 @@ SERVER_TYPES = ["DB", "Web", "App"]  # type = SERVER_TYPES[server_id % 3]
 ERROR_K = 90                         # props.k >= 90 marks a 5xx call
 LE_BOUNDS = [10.0, 25.0, 50.0, 100.0, 250.0, float("inf")]  # latency buckets
 SCRAPE_STEP = "1 hour"               # counter sample grid
+ORDER_SPLIT = "hour"                 # per-user ordering runs per (user, hour)
 
 KEYS = ["ip_port", "server_name"]
 METRICS = ["response_time", "qps", "eps"]
@@ -78,14 +79,16 @@ def edge_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Call edges.  Per user ordered by (ts, event_id) the previous event
     type calls the current one; self-transitions are not calls.
 
-    The per-user ordering is split by day so that a user holding a large
-    share of all events does not become a single task.
+    The per-user ordering is split by hour (``ORDER_SPLIT``) so that a user
+    holding a large share of all events is spread over many tasks; the
+    first call of each hour takes its caller from the user's previous
+    non-empty hour (see ``operators.series.previous_row``).
     """
     ev = (table(spark, sf_dir, "events")
           .select("event_id", "ts", "user_id", "event_type", "value",
                   F.get_json_object("props", "$.k").cast("int").alias("k")))
     with_prev = previous_row(ev, keys=["user_id"], order=["ts", "event_id"],
-                             bucket=F.date_trunc("day", "ts"), cols=["event_type"])
+                             bucket=F.date_trunc(ORDER_SPLIT, "ts"), cols=["event_type"])
     return (with_prev
             .filter(F.col("prev_event_type").isNotNull()
                     & (F.col("prev_event_type") != F.col("event_type")))
