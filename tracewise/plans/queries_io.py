@@ -46,7 +46,12 @@ def str1_stream_bucket_mean(spark, sf_dir):
                       "connection_count", "response_time", "eps")
 
 
-@register("str2_stream_scoring")
+@register("str2_stream_scoring", sql=f"""WITH {PHASES_CTE},
+st AS (SELECT ip_port, server_name, avg(connection_count) AS m,
+         CASE WHEN stddev_samp(connection_count) IS NOT NULL THEN greatest(stddev_samp(connection_count), {MIN_STD}) END AS s
+       FROM base GROUP BY ip_port, server_name)
+SELECT ip_port, server_name, ts, connection_count, coalesce(abs(connection_count - m) > 3 * s, false) AS is_anomaly
+FROM metrics LEFT JOIN st USING (ip_port, server_name)""")
 def str2_stream_scoring(spark, sf_dir):
     """STR2 + STR6 + SNK2: micro-batch 3-sigma scoring against static stats."""
     base, _ = phases(metric_points(spark, sf_dir))
@@ -55,14 +60,23 @@ def str2_stream_scoring(spark, sf_dir):
     return jobs.score_stream(ev, stats, "str2").drop("batch")
 
 
-@register("str3_stateful_features")
+@register("str3_stateful_features", sql="""WITH p AS (
+  SELECT '10.0.0.' || CAST(user_id % 2 AS VARCHAR) || ':8080' AS ip_port,
+         'svc_' || CAST(user_id % 5 AS VARCHAR) AS server_name, ts, value AS response_time FROM events)
+SELECT ip_port, server_name, ts, response_time,
+  CASE WHEN count(*) OVER (PARTITION BY ip_port, server_name ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) = 5
+       THEN avg(response_time) OVER (PARTITION BY ip_port, server_name ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) END
+    AS rolling_mean,
+  response_time - lag(response_time) OVER (PARTITION BY ip_port, server_name ORDER BY ts) AS diff
+FROM p""")
 def str3_stateful_features(spark, sf_dir):
     """STR3: rolling mean and diff per service carried across micro-batches."""
     ev = jobs.read_events(spark, sf_dir)
     pts = ev.select(F.concat(F.lit("10.0.0."), (F.col("user_id") % 2).cast("string"), F.lit(":8080")).alias("ip_port"),
                     F.concat(F.lit("svc_"), (F.col("user_id") % 5).cast("string")).alias("server_name"),
                     "ts", F.col("value").alias("response_time"))
-    return jobs.trailing_features(pts, KEYS, "response_time", "str3")
+    out = jobs.trailing_features(pts, KEYS, "response_time", "str3")
+    return out.withColumn("ts", to_naive("ts"))
 
 
 @register("str4_sliding_windows", sql="""
@@ -111,6 +125,14 @@ def snk5_model_state(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _graph_sql():
+    from tracewise.plans.queries_mesh import MEAN_LAT, _quantile_cte
+    return f"""WITH {MEAN_LAT}, {_quantile_cte(0.95, 'latency_now')},
+rep AS (SELECT n.ts, n.src, n.dst, n.latency_now AS latency, n.latency_now > 2 * a.latency_avg AS anomaly
+        FROM lat_latency_now n JOIN lavg a USING (ts, src, dst)),
+g AS (SELECT src, dst, latency, anomaly FROM rep WHERE ts = (SELECT max(ts) FROM rep))"""
+
+
 def _graph(spark, sf_dir):
     r = mesh.latency_report(mesh.counters_for(spark, sf_dir))
     end = r.select(F.max("ts")).scalar()
@@ -118,7 +140,8 @@ def _graph(spark, sf_dir):
                                                 F.col("is_anomaly").alias("anomaly"))
 
 
-@register("snk6_node_link_json")
+@register("snk6_node_link_json", sql=_graph_sql() + """
+SELECT src AS source, dst AS target, latency, anomaly FROM g""")
 def snk6_node_link_json(spark, sf_dir):
     """SNK6: node-link graph export as two JSON-lines tables (nodes, links);
     returns the links as read back."""
@@ -131,7 +154,11 @@ def snk6_node_link_json(spark, sf_dir):
     return spark.read.schema("source string, target string, latency double, anomaly boolean").json(base + "/links")
 
 
-@register("snk7_cytoscape_json")
+@register("snk7_cytoscape_json", sql=_graph_sql() + """
+SELECT id, NULL::VARCHAR AS source, NULL::VARCHAR AS target, NULL::DOUBLE AS latency, NULL::BOOLEAN AS anomaly
+FROM (SELECT src AS id FROM g UNION SELECT dst FROM g)
+UNION ALL
+SELECT src || '->' || dst, src, dst, latency, anomaly FROM g""")
 def snk7_cytoscape_json(spark, sf_dir):
     """SNK7: Cytoscape elements (``{"data": {...}}``) as JSON lines."""
     g = _graph(spark, sf_dir)
