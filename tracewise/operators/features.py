@@ -31,9 +31,15 @@ def _guarded(agg, c, w, n):
 def add_features(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], ts: str = "ts",
                  window: int = LONG_WINDOW, short: int = SHORT_WINDOW,
                  naming: str = "suffix", fill: float | None = 0.0,
-                 calendar: bool = True, log1p: bool = False) -> DataFrame:
+                 calendar: bool = True, log1p: bool = False, block_scope: str = "key") -> DataFrame:
     """DET2: engineered features for each metric.
 
+    ``block_scope="key"`` counts rows above the previous rolling max / mean
+    per key and block of ``window`` rows; ``"all"`` sums each block number
+    over all keys (the reference groups by block number only), computed as
+    a ``groupBy(block)`` aggregate joined back, never a single-partition
+    window.
+
     ``naming="suffix"`` gives ``<metric>_<feature>`` (multi-metric form);
     ``naming="plain"`` gives ``<feature>`` (single metric form, one metric).
     """
@@ -73,11 +79,21 @@ def add_features(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], ts:
     block = F.floor(F.col("_ord") / window)
     y = y.withColumn("_block", block)
     wb = Window.partitionBy(*keys, "_block")
+    if block_scope == "all":
+        totals = y.groupBy("_block").agg(*[F.sum(f"_{m}_g{k}").alias(f"_{m}_t{k}")
+                                           for m in metrics for k in ("max", "avg")])
+        y = y.join(totals, "_block", "left")
+
+    def block_count(m, k):
+        if block_scope == "all":
+            return F.col(f"_{m}_t{k}").cast("double")
+        return F.sum(f"_{m}_g{k}").over(wb).cast("double")
+
     s3 = [F.col(c) for c in df.columns]
     feats = []
     for m in metrics:
-        s3 += [F.sum(f"_{m}_gmax").over(wb).cast("double").alias(name(m, "over_max_count")),
-               F.sum(f"_{m}_gavg").over(wb).cast("double").alias(name(m, "over_avg_count"))]
+        s3 += [block_count(m, "max").alias(name(m, "over_max_count")),
+               block_count(m, "avg").alias(name(m, "over_avg_count"))]
         s3 += [F.col(name(m, f)) for f in FEATURES if f not in ("over_max_count", "over_avg_count")]
         feats += [name(m, f) for f in FEATURES]
         if log1p:

@@ -335,3 +335,16 @@ def fn4_median_impute(spark, sf_dir):
     dense = grid.join(pts.select(*KEYS, "ts", "connection_count"), on=[*KEYS, "ts"], how="left")
     med = pts.select(F.percentile("connection_count", 0.5)).scalar()
     return dense.select(*KEYS, "ts", F.coalesce("connection_count", med).alias("connection_count"))
+
+
+@register("win5_over_counts_all_scope", sql=f"""WITH {METRICS_CTE}, {features_sql('metrics', 'connection_count')},
+blk AS (SELECT floor(_ord / 10) AS b, sum(_gmax) AS tmax, sum(_gavg) AS tavg FROM f2_metrics GROUP BY 1)
+SELECT f.ip_port, f.server_name, f.ts, CAST(coalesce(blk.tmax, 0) AS DOUBLE) AS over_max_count,
+       CAST(coalesce(blk.tavg, 0) AS DOUBLE) AS over_avg_count
+FROM f2_metrics f JOIN blk ON blk.b = floor(f._ord / 10)""")
+def win5_over_counts_all_scope(spark, sf_dir):
+    """WIN5/WIN6 with the reference's block scope: each block number summed
+    over all services (``block_scope="all"``)."""
+    f = features.add_features(metric_points(spark, sf_dir), KEYS, ["connection_count"],
+                              naming="plain", block_scope="all")
+    return f.select(*KEYS, "ts", "over_max_count", "over_avg_count")
