@@ -102,12 +102,15 @@ def fit(df: DataFrame, features: Sequence[str], nu: float = 0.01, D: int = 256,
 
 def score(df: DataFrame, model: OneClassModel, features: Sequence[str], out: str = "score_multi") -> DataFrame:
     """DET8 scoring: decision value and ``anomaly_multi`` (1 = outlier)."""
-    bc = df.sparkSession.sparkContext.broadcast(model)
+    # plain arrays only: the broadcast needs no project class on the workers
+    bc = df.sparkSession.sparkContext.broadcast((model.W, model.b, model.w, model.rho))
 
     @F.pandas_udf("double")
     def decision(*cols: pd.Series) -> pd.Series:
+        W, b, w, rho = bc.value
         X = np.column_stack([c.to_numpy(dtype=float) for c in cols])
-        return pd.Series(bc.value.decision(X))
+        P = np.sqrt(2.0 / W.shape[1]) * np.cos(X @ W + b)
+        return pd.Series(P @ w - rho)
 
     s = df.withColumn(out, decision(*[F.col(f).cast("double") for f in features]))
     return s.withColumn("anomaly_multi", (F.col(out) < 0).cast("int"))

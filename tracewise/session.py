@@ -37,10 +37,42 @@ def get_session(master: str | None = None, app: str = "tracewise",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    prepare(spark)
+    return spark
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make a session ready for tracewise jobs: checkpoint folder known and
+    the package importable by the Python workers."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Ship this package to the executors' Python workers (``addPyFile``)
+    once per SparkContext, so grouped-map / pandas UDF code and broadcast
+    helpers import on any cluster, whatever the driver's working folder."""
+    import zipfile
+
+    import tracewise
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tracewise_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(tracewise.__file__))
+    out_dir = tempfile.mkdtemp(prefix="tracewise-pyfiles-")
+    zpath = os.path.join(out_dir, "tracewise.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    sc._tracewise_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -132,9 +132,10 @@ def trailing_features(points: DataFrame, keys: list[str], metric: str, name: str
         res = allp[~allp["_old"].astype(bool)].copy()
         tail = allp.tail(TRAIL)
         state.update((list(tail["ts"]), [float(x) for x in tail[metric]]))
-        for i, k in enumerate(keys):
-            res[k] = key[i]
-        yield res[[*keys, "ts", metric, "rolling_mean", "diff"]]
+        if len(res):
+            for i, k in enumerate(keys):
+                res[k] = key[i]
+            yield res[[*keys, "ts", metric, "rolling_mean", "diff"]]
 
     feats = points.groupBy(*keys).applyInPandasWithState(
         fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
