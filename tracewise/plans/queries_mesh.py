@@ -184,14 +184,17 @@ def flt3_label_regex(spark, sf_dir):
 
 
 @register("src5_range_vectors", sql=f"""WITH {RPS}
-SELECT {E}, list(CAST(round(CAST(round(rps, 8) AS DECIMAL(38,8)), 4) AS DOUBLE) ORDER BY ts) AS qps,
-       count(*) AS n FROM rps GROUP BY {E}""")
+SELECT {E}, date_trunc('day', ts) AS day,
+       list(CAST(round(CAST(round(rps, 8) AS DECIMAL(38,8)), 4) AS DOUBLE) ORDER BY ts) AS qps,
+       count(*) AS n FROM rps GROUP BY {E}, date_trunc('day', ts)""")
 def src5_range_vectors(spark, sf_dir):
-    """SRC5: per-edge value vector on the step grid (ordered by time)."""
+    """SRC5: per-edge value vectors on the step grid, ordered by time, one
+    vector per edge and day (a range query over a bounded window, so no
+    vector grows with the length of the history)."""
     r = mesh.rps(mesh.counters_for(spark, sf_dir))
-    g = r.groupBy(*mesh.EDGE).agg(F.array_sort(F.collect_list(F.struct("ts", "rps"))).alias("v"),
-                                  F.count(F.lit(1)).alias("n"))
-    return g.select(*mesh.EDGE, F.transform("v", lambda x: F.round(F.round(x["rps"], 8), 4)).alias("qps"), "n")
+    g = (r.groupBy(*mesh.EDGE, F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"))
+         .agg(F.array_sort(F.collect_list(F.struct("ts", "rps"))).alias("v"), F.count(F.lit(1)).alias("n")))
+    return g.select(*mesh.EDGE, "day", F.transform("v", lambda x: F.round(F.round(x["rps"], 8), 4)).alias("qps"), "n")
 
 
 _INSTANT_SCHEMA = T.StructType([
@@ -243,10 +246,10 @@ def src3_instant_vector_flatten(spark, sf_dir):
 @register("src4_range_vector_flatten", sql=f"""WITH {RPS}
 SELECT {E}, ts, rps FROM rps""")
 def src4_range_vector_flatten(spark, sf_dir):
-    """SRC4: per-edge range-vector JSON (one document per edge) exploded to
-    one row per point."""
+    """SRC4: range-vector JSON documents (one per edge and day, the answer
+    of a bounded range query) exploded to one row per point."""
     r = mesh.rps(mesh.counters_for(spark, sf_dir))
     pts = F.array(epoch_seconds("ts").cast("string"), F.col("rps").cast("string"))
-    docs = (r.groupBy("src", "dst").agg(F.collect_list(pts).alias("values"))
+    docs = (r.groupBy("src", "dst", F.date_trunc("day", "ts")).agg(F.collect_list(pts).alias("values"))
             .select(F.to_json(F.struct(_metric_map().alias("metric"), "values")).alias("json")))
     return flatten_range(docs)
