@@ -33,7 +33,7 @@ EDGES_CTE = """ev AS (
   FROM events),
 edges AS (
   SELECT event_id, ts, user_id, prev_type AS src, event_type AS dst, value AS rt,
-         CASE WHEN k >= 90 THEN 1.0 ELSE 0.0 END AS error, k
+         CAST(CASE WHEN k >= 90 THEN 1 ELSE 0 END AS DOUBLE) AS error, k
   FROM ev WHERE prev_type IS NOT NULL AND prev_type <> event_type)"""
 
 # Server rows.
