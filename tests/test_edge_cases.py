@@ -60,3 +60,29 @@ def test_degenerate_inputs(spark):
     rc = [row["rate_change"] for row in f.collect()]
     assert rc[1] == 0.0        # previous value 0 -> undefined -> 0
     assert rc[2] == -1.0
+
+
+def test_unseen_key_scores_zero_and_is_marked(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    base = spark.createDataFrame([("a", t0, 1.0), ("a", t0 + dt.timedelta(hours=1), 3.0)],
+                                 "k string, ts timestamp_ntz, x double")
+    scored = spark.createDataFrame([("a", t0, 2.0), ("new", t0, 7.0)], "k string, ts timestamp_ntz, x double")
+    st = baseline_stats(base, ["k"], ["x"])
+    got = {r["k"]: (r["z_x"], r["is_new_key"]) for r in zscore(scored, st, ["k"], ["x"]).collect()}
+    assert got["new"] == (0.0, True)
+    assert got["a"] == (0.0, False)       # (2 - 2) / std
+
+
+def test_stream_drops_duplicates_within_watermark(spark, tmp_path):
+    import pandas as pd
+    from tracewise.streaming import jobs
+    t0 = dt.datetime(2024, 1, 1)
+    pdf = pd.DataFrame({"event_id": [1, 2, 2, 3], "ts": [t0, t0 + dt.timedelta(minutes=1),
+                                                         t0 + dt.timedelta(minutes=1), t0 + dt.timedelta(minutes=2)],
+                        "user_id": [0, 0, 0, 0], "event_type": ["view"] * 4, "value": [1.0, 2.0, 2.0, 3.0],
+                        "props": ['{"k": 1}'] * 4})
+    pdf["ts"] = pdf["ts"].astype("datetime64[us]")
+    spark.createDataFrame(pdf, jobs.EVENTS_SCHEMA).coalesce(1).write.parquet(str(tmp_path / "events_a.parquet"))
+    ev = jobs.read_events(spark, str(tmp_path / "events_a.parquet"), pattern="*.parquet")
+    out = jobs.run_upsert_log(jobs.bucket_means(ev), ["ip_port", "server_name", "w"], "dedup").collect()
+    assert len(out) == 1 and out[0]["connection_count"] == 3.0
