@@ -45,23 +45,25 @@ def edge_series(hourly: DataFrame) -> DataFrame:
     """(ts, src, dst, rt, error, qps) on the evaluation grid, from the hourly
     edge stats (``mesh.mesh_counters``)."""
     rt = mesh.latency_quantile(hourly, q=0.9, out="rt")
-    qps = mesh.rps(hourly).withColumnRenamed("rps", "qps")
-    err = mesh.error_rate(hourly)
-    return (qps.join(rt, on=["ts", *EDGE], how="inner")
-            .join(err, on=["ts", *EDGE], how="left")
-            .select("ts", *EDGE, "rt", F.coalesce("error_rate", F.lit(0.0)).alias("error"), "qps"))
+    req = mesh.request_summary(hourly)
+    return (req.join(rt, on=["ts", *EDGE], how="inner")
+            .select("ts", *EDGE, "rt", F.coalesce("error_rate", F.lit(0.0)).alias("error"),
+                    F.col("rps").alias("qps")))
 
 
 def prepared_windows(hourly: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
     """Edge series with window tags, materialised (reliable checkpoint): the
     series is small (edges x steps) and every feature, scalar bound and
     chain round reads it several times."""
-    return cut_lineage(windows(cut_lineage(edge_series(hourly)), p))
+    series = cut_lineage(edge_series(hourly))
+    end = series.select(F.max("ts")).first()[0]     # one value: the newest step
+    return windows(series, p, end)
 
 
-def windows(series: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
-    """Tag rows with ``in_base`` / ``in_cur`` relative to the newest step."""
-    end = series.select(F.max("ts")).scalar()
+def windows(series: DataFrame, p: EdgeRcaParams = P, end=None) -> DataFrame:
+    """Tag rows with ``in_base`` / ``in_cur`` relative to the newest step
+    (``end``; a scalar subquery when not given)."""
+    end = series.select(F.max("ts")).scalar() if end is None else F.lit(end).cast("timestamp_ntz")
     return series.select("*",
                          (F.col("ts") > end - F.expr(f"INTERVAL {p.baseline_days} DAYS")).alias("in_base"),
                          (F.col("ts") > end - F.expr(f"INTERVAL {p.current_days} DAYS")).alias("in_cur"))

@@ -55,6 +55,17 @@ def rps(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     return promql.sum_by(request_rates(hourly, p), EDGE, "rate", "rps")
 
 
+def request_summary(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
+    """rps and 5xx share per edge and step from one aggregation over the
+    request rates (``error_rate`` is NULL where no 5xx series exists, as in
+    the PromQL vector ratio)."""
+    r = request_rates(hourly, p)
+    is5xx = F.col("response_code").rlike("^5..$")
+    return (r.groupBy("ts", *EDGE)
+            .agg(F.sum("rate").alias("rps"), F.sum(F.when(is5xx, F.col("rate"))).alias("_num"))
+            .select("ts", *EDGE, "rps", F.try_divide("_num", "rps").alias("error_rate")))
+
+
 def error_rate(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """5xx share of the request rate per edge (PQL4)."""
     return promql.vector_ratio(request_rates(hourly, p), EDGE,
@@ -82,8 +93,7 @@ def mean_latency(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
 def service_health(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """PQL9: rps, error rate (missing -> 0, left join) and P95 latency per
     edge and evaluation time; latency inner-joined with health."""
-    health = (rps(hourly, p).join(error_rate(hourly, p), on=["ts", *EDGE], how="left")
-              .fillna(0.0, subset=["error_rate"]))
+    health = request_summary(hourly, p).fillna(0.0, subset=["error_rate"])
     lat = latency_quantile(hourly, p)
     return lat.join(health, on=["ts", *EDGE], how="inner").select(
         "ts", *EDGE, "latency_ms", "rps", "error_rate")
