@@ -189,5 +189,8 @@ def job3_results_readback(spark, sf_dir):
     from tracewise.plans import service
     path = _path(spark, "results")
     f = with_service_id(service.sigma_flags_multi(metric_points(spark, sf_dir)))
-    f.select("service_id", "ts", "sigma3").write.mode("append").parquet(path)
-    return spark.read.parquet(path).orderBy(F.col("ts").desc(), "service_id").limit(100)
+    # appended per scoring cycle, partitioned by day so time-bounded reads prune files
+    (f.select("service_id", "ts", "sigma3", F.to_date("ts").alias("day"))
+     .write.mode("append").partitionBy("day").parquet(path))
+    return (spark.read.parquet(path).select("service_id", "ts", "sigma3")
+            .orderBy(F.col("ts").desc(), "service_id").limit(100))
