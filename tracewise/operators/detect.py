@@ -87,3 +87,13 @@ def iqr_anomalies(df: DataFrame, keys: Sequence[str], value: str = "value", phas
     return agg.select(*keys, q1.alias("q1"), q3.alias("q3"), ub.alias("ub"), lb.alias("lb"),
                       "current_value", typ.alias("anomaly_type"),
                       typ.isNotNull().alias("is_anomalous"))
+
+
+def min_rows(df: DataFrame, keys: Sequence[str], k: int, count_col: str | None = None) -> DataFrame:
+    """FLT6: keep the rows of keys that have at least ``k`` rows (the
+    reference skips detection below that).  Counted with a grouped
+    aggregate and a semi join, so a large key is never gathered."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
+    if count_col:
+        return df.join(counts.withColumnRenamed("_n", count_col), list(keys), "inner")
+    return df.join(counts.select(*keys), list(keys), "left_semi")

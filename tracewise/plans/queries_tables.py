@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tracewise.operators import correlate, features, normalize
 from tracewise.plans import edge_rca, mesh
 from tracewise.plans.queries_graph import _LONG_SQL, _corr_sql, corr_normal, iqr_table, _series, STEP
-from tracewise.plans.queries_mesh import MEAN_LAT, _quantile_cte
-from tracewise.plans.sqlbits import PHASES_CTE, SERVERS_CTE
+from tracewise.plans.queries_mesh import MEAN_LAT, REQ_RATES, _quantile_cte
+from tracewise.plans.sqlbits import DAG_CTE, PHASES_CTE, SERVERS_CTE
 from tracewise.registry import register
 from tracewise.sources.bindings import (KEYS, N_IP_PORTS, N_SERVER_NAMES, metric_points, phases,
                                         server_points, with_service_id)
@@ -176,3 +176,64 @@ def job1_train(spark, sf_dir):
                                                            F.count(F.lit(1)).alias("rows"))
         out = back if out is None else out.unionByName(back)
     return out
+
+
+# ------------------------------------------------------- explicit small ops
+
+@register("flt1_flag_filter", sql=f"""WITH {PHASES_CTE},
+st AS (SELECT ip_port, server_name, {", ".join(f"avg({m}) AS m_{m}, stddev_samp({m}) AS s_{m}" for m in ["response_time", "qps", "eps"])}
+       FROM base GROUP BY ip_port, server_name),
+pd AS (SELECT *, {", ".join(f"coalesce({m} - lag({m}) OVER (PARTITION BY ip_port, server_name ORDER BY ts), 0) AS d_{m}" for m in ["response_time", "qps", "eps"])} FROM prob)
+SELECT p.ip_port, p.server_name, p.ts FROM pd p LEFT JOIN st USING (ip_port, server_name)
+WHERE {" OR ".join(f"coalesce(abs(p.{m} - st.m_{m}) > 3 * st.s_{m}, false) OR coalesce(abs(p.d_{m}) > 3 * st.s_{m}, false)" for m in ["response_time", "qps", "eps"])}""")
+def flt1_flag_filter(spark, sf_dir):
+    """FLT1: keep the rows whose flag is set (3-sigma == 1)."""
+    from tracewise.plans import service
+    f = service.sigma_flags_multi(metric_points(spark, sf_dir))
+    return f.filter(F.col("sigma3") == 1).select(*KEYS, "ts")
+
+
+@register("flt6_min_rows_guard", sql=f"""WITH {PHASES_CTE}
+SELECT ip_port, server_name, ts, connection_count FROM prob
+WHERE (ip_port, server_name) IN (SELECT ip_port, server_name FROM prob WHERE connection_count >= 10
+                                 GROUP BY 1, 2 HAVING count(*) >= 5)
+  AND connection_count >= 10""")
+def flt6_min_rows_guard(spark, sf_dir):
+    """FLT6: busy buckets (>= 10 connections) of the problem window, kept
+    only for services that have at least 5 of them."""
+    from tracewise.operators.detect import min_rows
+    _, prob = phases(metric_points(spark, sf_dir))
+    busy = prob.filter(F.col("connection_count") >= 10).select(*KEYS, "ts", "connection_count")
+    return min_rows(busy, KEYS, 5)
+
+
+@register("set4_distinct_services", sql=f"""WITH {PHASES_CTE}
+SELECT DISTINCT server_name || '_' || ip_port AS service_id FROM prob""")
+def set4_distinct_services(spark, sf_dir):
+    """SET4: distinct services seen in the problem window."""
+    _, prob = phases(metric_points(spark, sf_dir))
+    return with_service_id(prob).select("service_id").distinct()
+
+
+@register("jn3_latency_error_join", sql=f"""WITH {REQ_RATES}, {_quantile_cte(0.95, 'latency_ms')},
+err AS (SELECT ts, src, dst,
+          sum(rate) FILTER (WHERE regexp_full_match(response_code, '5..')) / nullif(sum(rate), 0) AS error_rate
+        FROM req_rate GROUP BY ts, src, dst
+        HAVING count(*) FILTER (WHERE regexp_full_match(response_code, '5..')) > 0)
+SELECT l.ts, l.src, l.dst, l.latency_ms, coalesce(e.error_rate, 0) AS error_rate
+FROM lat_latency_ms l LEFT JOIN err e USING (ts, src, dst)""")
+def jn3_latency_error_join(spark, sf_dir):
+    """JN3: P95 latency left-joined with the error share on (ts, src, dst),
+    missing errors -> 0 (the input of the historical forest report)."""
+    from tracewise.plans.queries_models import _health_frame
+    return _health_frame(spark, sf_dir).drop("_key")
+
+
+@register("top6_highest_in_degree", sql=f"""WITH {DAG_CTE}
+SELECT dst AS id, count(*) AS in_degree FROM dag GROUP BY dst ORDER BY in_degree DESC, id LIMIT 1""")
+def top6_highest_in_degree(spark, sf_dir):
+    """TOP6: the vertex with the most callers (ties by name)."""
+    from tracewise.plans import graph
+    from tracewise.sources.bindings import dag_edges
+    d = graph.degrees(dag_edges(spark, sf_dir))
+    return d.orderBy(F.col("in_degree").desc(), F.col("id")).limit(1).select("id", "in_degree")
