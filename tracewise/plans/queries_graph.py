@@ -237,7 +237,35 @@ def gra5_successors(spark, sf_dir):
     return graph.neighbours(edge_points(spark, sf_dir).select("src", "dst"), "view", "out")
 
 
-@register("gra2_pagerank")
+def _pagerank_sql(max_iter: int = 100, alpha: float = 0.85, tol: float = 1e-6) -> str:
+    """Unrolled power iteration with the same start, dangling rule and
+    stopping test as ``graph.pagerank`` (first round whose L1 change is
+    below N * tol)."""
+    parts = [DAG_CTE,
+             "e AS (SELECT DISTINCT src, dst FROM dag)",
+             "v AS (SELECT src AS id FROM e UNION SELECT dst FROM e)",
+             "od AS (SELECT v.id, coalesce(c.c, 0) AS od FROM v LEFT JOIN "
+             "(SELECT src AS id, count(*) AS c FROM e GROUP BY src) c USING (id))",
+             "nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM v)",
+             "p0 AS (SELECT id, 1.0 / (SELECT n FROM nn) AS pr FROM v)"]
+    for i in range(1, max_iter + 1):
+        prev = f"p{i - 1}"
+        parts.append(
+            f"p{i} AS (SELECT o.id, {alpha} * coalesce(c.c, 0) + ({alpha} * "
+            f"(SELECT coalesce(sum(q.pr), 0) FROM {prev} q JOIN od d USING (id) WHERE d.od = 0) "
+            f"+ {1 - alpha}) / (SELECT n FROM nn) AS pr FROM od o LEFT JOIN "
+            f"(SELECT e.dst AS id, sum(q.pr / d.od) AS c FROM e JOIN {prev} q ON q.id = e.src "
+            f"JOIN od d ON d.id = e.src GROUP BY e.dst) c USING (id))")
+        parts.append(f"r{i} AS (SELECT {i} AS k, sum(abs(a.pr - b.pr)) AS err FROM p{i} a JOIN {prev} b USING (id))")
+    errs = " UNION ALL ".join(f"SELECT * FROM r{i}" for i in range(1, max_iter + 1))
+    ranks = " UNION ALL ".join(f"SELECT {i} AS k, id, pr FROM p{i}" for i in range(1, max_iter + 1))
+    parts.append(f"errs AS ({errs})")
+    parts.append(f"stop AS (SELECT coalesce(min(k) FILTER (WHERE err < (SELECT n FROM nn) * {tol}), {max_iter}) AS k FROM errs)")
+    parts.append(f"allr AS ({ranks})")
+    return "WITH " + ",\n".join(parts) + "\nSELECT id, pr AS pagerank FROM allr WHERE k = (SELECT k FROM stop)"
+
+
+@register("gra2_pagerank", sql=_pagerank_sql())
 def gra2_pagerank(spark, sf_dir):
     """GRA2: PageRank of the region-nation-supplier graph (iterative joins)."""
     return graph.pagerank(dag_edges(spark, sf_dir))
