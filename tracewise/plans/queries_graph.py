@@ -10,8 +10,7 @@ from tracewise.plans import graph, mesh
 from tracewise.plans.queries_mesh import RPS
 from tracewise.plans.sqlbits import DAG_CTE, EDGES_CTE, METRICS_CTE, PHASES_CTE
 from tracewise.registry import register
-from tracewise.sources.bindings import (dag_edges, edge_points, metric_points, phases,
-                                        with_service_id)
+from tracewise.sources.bindings import (dag_edges, edge_points, metric_phases, metric_points, with_service_id)
 
 STEP = 6 * 3600
 V5_THRESHOLD = 0.5          # threshold the lagged-correlation inference is called with
@@ -35,7 +34,7 @@ cor_{src} AS (SELECT pr.a, pr.b,
 
 
 def corr_normal(spark, sf_dir):
-    base, _ = phases(metric_points(spark, sf_dir))
+    base, _ = metric_phases(spark, sf_dir)
     return correlate.corr_matrix(_series(base, "connection_count"), "id", "ts", "x", STEP)
 
 
@@ -58,7 +57,7 @@ SELECT coalesce(p.a, n.a) AS a, coalesce(p.b, n.b) AS b, p.r AS r_problem, n.r A
 FROM cor_prob p FULL OUTER JOIN cor_base n ON p.a = n.a AND p.b = n.b""")
 def cor4_corr_diff(spark, sf_dir):
     """COR4 (+JN6, VIZ3): correlation change between problem and normal."""
-    _, prob = phases(metric_points(spark, sf_dir))
+    _, prob = metric_phases(spark, sf_dir)
     cp = correlate.corr_matrix(_series(prob, "connection_count"), "id", "ts", "x", STEP)
     return correlate.corr_diff(cp, corr_normal(spark, sf_dir))
 
@@ -114,7 +113,7 @@ SELECT id, covar_pop(x, t) / nullif(stddev_pop(x) * stddev_pop(t), 0) AS corr_to
 FROM s JOIN tot USING (ts) GROUP BY id HAVING count(*) = (SELECT count(*) FROM tot)""")
 def agg7_corr_with_total(spark, sf_dir):
     """AGG7 (+AGG6, JN8): each service vs the system total, full series only."""
-    _, prob = phases(metric_points(spark, sf_dir))
+    _, prob = metric_phases(spark, sf_dir)
     return correlate.series_vs_total(_series(prob, "connection_count"), "id", "ts", "x")
 
 

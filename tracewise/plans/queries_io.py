@@ -16,7 +16,7 @@ from tracewise.operators import normalize
 from tracewise.plans import mesh
 from tracewise.registry import register
 from tracewise.session import ensure_checkpoint_dir
-from tracewise.sources.bindings import KEYS, metric_points, phases, with_service_id
+from tracewise.sources.bindings import KEYS, metric_phases, with_service_id
 from tracewise.streaming import jobs
 from tracewise.functions.columns import MIN_STD, to_naive
 from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE
@@ -54,7 +54,7 @@ SELECT ip_port, server_name, ts, connection_count, coalesce(abs(connection_count
 FROM metrics LEFT JOIN st USING (ip_port, server_name)""")
 def str2_stream_scoring(spark, sf_dir):
     """STR2 + STR6 + SNK2: micro-batch 3-sigma scoring against static stats."""
-    base, _ = phases(metric_points(spark, sf_dir))
+    base, _ = metric_phases(spark, sf_dir)
     stats = normalize.baseline_stats(base, KEYS, ["connection_count"])
     ev = jobs.read_events(spark, sf_dir)
     return jobs.score_stream(ev, stats, "str2").drop("batch")
@@ -108,7 +108,7 @@ SELECT ip_port, server_name, {", ".join(
     for c in ["connection_count", "response_time", "eps"])} FROM base GROUP BY ip_port, server_name""")
 def snk4_stats_json(spark, sf_dir):
     """SNK4 + SRC7: baseline statistics to JSON lines and back."""
-    base, _ = phases(metric_points(spark, sf_dir))
+    base, _ = metric_phases(spark, sf_dir)
     stats = normalize.baseline_stats(base, KEYS, ["connection_count", "response_time", "eps"])
     path = _path(spark, "stats-json")
     stats.write.mode("overwrite").json(path)
@@ -188,7 +188,7 @@ def job3_results_readback(spark, sf_dir):
     """JOB3 / TOP8: append scored rows per cycle, read back the newest 100."""
     from tracewise.plans import service
     path = _path(spark, "results")
-    f = with_service_id(service.sigma_flags_multi(metric_points(spark, sf_dir)))
+    f = with_service_id(service.sigma_flags_multi(metric_phases(spark, sf_dir)))
     # appended per scoring cycle, partitioned by day so time-bounded reads prune files
     (f.select("service_id", "ts", "sigma3", F.to_date("ts").alias("day"))
      .write.mode("append").partitionBy("day").parquet(path))

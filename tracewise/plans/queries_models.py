@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tracewise.operators import forest
 from tracewise.plans import mesh, service
 from tracewise.registry import register
-from tracewise.sources.bindings import KEYS, metric_points, with_service_id
+from tracewise.sources.bindings import KEYS, metric_phases, with_service_id
 
 Z_FEATS = [f"z_{f}" for f in ["connection_count", "rolling_mean", "diff", "rate_change", "over_max_count",
                               "over_avg_count", "delta_max", "delta_avg", "ratio_avg", "conn_log"]] + [
@@ -24,7 +24,7 @@ def scored_services(spark, sf_dir, contamination=0.01):
     """Single-metric flow: features -> z -> forest fit on baseline -> score
     the problem window (s, decision, is_outlier, is_anomaly)."""
     from tracewise.session import cut_lineage
-    zb, zp, _ = service.scored_features(metric_points(spark, sf_dir))
+    zb, zp, _ = service.scored_features(metric_phases(spark, sf_dir))
     # fit, offset and scoring all read these: materialise once (small: one row
     # per service and bucket)
     zb, zp = cut_lineage(_key(zb)), cut_lineage(_key(zp))
@@ -37,7 +37,7 @@ def scored_services(spark, sf_dir, contamination=0.01):
 @register("det6_forest_fit")
 def det6_forest_fit(spark, sf_dir):
     """DET6: isolation forest nodes (100 trees, <= 256 rows each, seed 42)."""
-    zb, _, _ = service.scored_features(metric_points(spark, sf_dir))
+    zb, _, _ = service.scored_features(metric_phases(spark, sf_dir))
     return forest.fit(_key(zb), ["_key"], Z_FEATS, seed=42)
 
 
@@ -53,7 +53,7 @@ def det7_forest_score(spark, sf_dir):
 def agg5_anomaly_rates(spark, sf_dir):
     """AGG5: anomaly rate (forest) and sigma rate per service."""
     s = with_service_id(scored_services(spark, sf_dir))
-    sig = with_service_id(service.sigma_flags_single(metric_points(spark, sf_dir)))
+    sig = with_service_id(service.sigma_flags_single(metric_phases(spark, sf_dir)))
     rates = s.groupBy("service_id").agg(F.avg(F.col("is_outlier").cast("double")).alias("anomaly_rate"))
     srates = sig.groupBy("service_id").agg(F.avg(F.col("sigma3").cast("double")).alias("sigma_rate"))
     return rates.join(srates, "service_id", "full")
@@ -105,7 +105,7 @@ def det16_guarded_outliers(spark, sf_dir):
 def _baseline_series(spark, sf_dir):
     from tracewise.operators.correlate import with_step_index
     from tracewise.sources.bindings import phases
-    base, _ = phases(metric_points(spark, sf_dir))
+    base, _ = metric_phases(spark, sf_dir)
     s = with_service_id(base).select(F.col("service_id").alias("id"), "ts", F.col("connection_count").alias("x"))
     return service.densify(with_step_index(s, "ts", 6 * 3600), "id", "step", "x")
 
@@ -145,8 +145,8 @@ def rca3_worst_services(spark, sf_dir):
     from tracewise.operators.correlate import series_vs_total
     from tracewise.sources.bindings import phases
     rates, chains = _chains(spark, sf_dir)
-    _, prob = phases(metric_points(spark, sf_dir))
-    sig = with_service_id(service.sigma_flags_single(metric_points(spark, sf_dir)))
+    _, prob = metric_phases(spark, sf_dir)
+    sig = with_service_id(service.sigma_flags_single(metric_phases(spark, sf_dir)))
     srates = sig.groupBy("service_id").agg(F.avg(F.col("sigma3").cast("double")).alias("sigma_rate"))
     s = with_service_id(prob).select(F.col("service_id").alias("id"), "ts", F.col("connection_count").alias("x"))
     ct = series_vs_total(s, "id", "ts", "x")
@@ -180,7 +180,7 @@ def det10_group_summary(spark, sf_dir):
 
 def _multi(spark, sf_dir):
     from tracewise.session import cut_lineage
-    zb, zp, zf = service.multi_metric_features(metric_points(spark, sf_dir))
+    zb, zp, zf = service.multi_metric_features(metric_phases(spark, sf_dir))
     return cut_lineage(_key(zb)), cut_lineage(_key(zp)), zf
 
 
@@ -209,10 +209,10 @@ def rca3_worst_services_multi(spark, sf_dir):
     lab = forest.label(forest.score(zp, nodes, zf), forest.offset(train, 0.01))
     rates = (with_service_id(lab).groupBy("service_id")
              .agg(F.avg(F.col("is_outlier").cast("double")).alias("anomaly_rate")))
-    pts = metric_points(spark, sf_dir)
+    pts = metric_phases(spark, sf_dir)
     sig = with_service_id(service.sigma_flags_multi(pts))
     srates = sig.groupBy("service_id").agg(F.avg(F.col("sigma3").cast("double")).alias("sigma_rate"))
-    base, prob = phases(pts)
+    base, prob = pts
     qb = with_service_id(base).select(F.col("service_id").alias("id"), "ts", F.col("qps").alias("x"))
     pairs = corr_graph(corr_matrix(qb, "id", "ts", "x", 6 * 3600), CORR_THRESHOLD)
     dense = service.densify(with_step_index(qb, "ts", 6 * 3600), "id", "step", "x")

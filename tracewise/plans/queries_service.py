@@ -9,8 +9,7 @@ from tracewise.operators import detect, features, normalize
 from tracewise.plans import service
 from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE, features_sql
 from tracewise.registry import register
-from tracewise.sources.bindings import (KEYS, METRICS, metric_points, phases, table,
-                                        with_service_id)
+from tracewise.sources.bindings import (KEYS, METRICS, metric_phases, metric_points, table, with_service_id)
 
 K = "ip_port, server_name"
 
@@ -70,7 +69,7 @@ SELECT {K}, avg(connection_count) AS connection_count_mean,
             THEN greatest(stddev_samp(connection_count), {MIN_STD}) END AS connection_count_std
 FROM base GROUP BY {K}""")
 def agg2_baseline_stats(spark, sf_dir):
-    base, _ = phases(metric_points(spark, sf_dir))
+    base, _ = metric_phases(spark, sf_dir)
     return normalize.baseline_stats(base, KEYS, ["connection_count"])
 
 
@@ -83,7 +82,7 @@ SELECT {K}, {", ".join(f"avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_std" for
 FROM base GROUP BY {K}""")
 def agg3_multi_stats(spark, sf_dir):
     """AGG3: many features in one pass (unfloored, multi-metric form)."""
-    base, _ = phases(metric_points(spark, sf_dir))
+    base, _ = metric_phases(spark, sf_dir)
     return normalize.baseline_stats(base, KEYS, _AGG3_COLS, floor=None)
 
 
@@ -100,7 +99,7 @@ WITH {PHASES_CTE}
 SELECT {K}, {", ".join(_moment_sql(c) for c in METRICS)} FROM prob GROUP BY {K}""")
 def agg4_moments(spark, sf_dir):
     """AGG4 / JOB3 stats: mean, std, skew, kurtosis per service (problem window)."""
-    _, prob = phases(metric_points(spark, sf_dir))
+    _, prob = metric_phases(spark, sf_dir)
     return normalize.moments(prob, KEYS, METRICS)
 
 
@@ -108,7 +107,7 @@ def agg4_moments(spark, sf_dir):
 WITH {PHASES_CTE} SELECT ts, sum(connection_count) AS total FROM prob GROUP BY ts""")
 def agg6_system_total(spark, sf_dir):
     """AGG6: system total per timestamp."""
-    _, prob = phases(metric_points(spark, sf_dir))
+    _, prob = metric_phases(spark, sf_dir)
     return prob.groupBy("ts").agg(F.sum("connection_count").alias("total"))
 
 
@@ -135,7 +134,7 @@ SELECT p.ip_port, p.server_name, p.ts, p.connection_count,
 FROM prob p LEFT JOIN st USING ({K})""")
 def det1_zscore(spark, sf_dir):
     """DET1: predict-mode z-score with baseline stats; null -> 0; log1p."""
-    base, prob = phases(metric_points(spark, sf_dir))
+    base, prob = metric_phases(spark, sf_dir)
     stats = normalize.baseline_stats(base, KEYS, ["connection_count"])
     z = normalize.zscore(prob.select(*KEYS, "ts", "connection_count"), stats, KEYS,
                          ["connection_count"], prefix="z_")
@@ -163,7 +162,7 @@ FROM feat_prob p LEFT JOIN st USING ({K})"""
 @register("det3_feature_zscores", sql=_zfeat_sql())
 def det3_feature_zscores(spark, sf_dir):
     """DET3: every engineered feature z-normalised with baseline stats."""
-    _, zp, feats = service.scored_features(metric_points(spark, sf_dir))
+    _, zp, feats = service.scored_features(metric_phases(spark, sf_dir))
     return zp.select(*KEYS, "ts", *[f"z_{f}" for f in feats], "hour", "day_of_week")
 
 
@@ -249,7 +248,7 @@ fl AS (SELECT p.ip_port, p.server_name, p.ts, {flags} FROM pd p LEFT JOIN st USI
 SELECT *, greatest(sigma3_response_time, sigma3_qps, sigma3_eps) AS sigma3 FROM fl""")
 def det4_sigma3_multi(spark, sf_dir):
     """DET4 multi-metric: level or jump beyond 3 baseline std; row flag = max."""
-    f = service.sigma_flags_multi(metric_points(spark, sf_dir))
+    f = service.sigma_flags_multi(metric_phases(spark, sf_dir))
     return f.select(*KEYS, "ts", *[f"sigma3_{m}" for m in METRICS], "sigma3")
 
 
@@ -265,7 +264,7 @@ FROM pd p LEFT JOIN st USING ({K}) LEFT JOIN ds USING ({K})""")
 def det4_sigma3_diff(spark, sf_dir):
     """DET4 single-metric: jump measured against the scored window's own std of
     differences."""
-    f = service.sigma_flags_single(metric_points(spark, sf_dir))
+    f = service.sigma_flags_single(metric_phases(spark, sf_dir))
     return f.select(*KEYS, "ts", "sigma3")
 
 
@@ -275,7 +274,7 @@ SELECT server_name || '_' || ip_port AS service_id, avg(CAST(sigma3_response_tim
 FROM fl GROUP BY 1""")
 def agg5_flag_rates(spark, sf_dir):
     """AGG5: mean of flags per service."""
-    f = with_service_id(service.sigma_flags_multi(metric_points(spark, sf_dir)))
+    f = with_service_id(service.sigma_flags_multi(metric_phases(spark, sf_dir)))
     return detect.flag_rates(f, "service_id", {"sigma3_response_time": "rt_sigma_rate", "sigma3": "sigma_rate"})
 
 
@@ -289,7 +288,7 @@ SELECT * FROM rates ORDER BY sigma_rate DESC NULLS LAST, service_id LIMIT 5"""
 @register("top2_worst_services", sql=TOP2_SQL)
 def top2_worst_services(spark, sf_dir):
     """Minimum slice: metrics -> baseline stats -> z/3-sigma -> rates -> top 5."""
-    return service.worst_services_by_sigma(metric_points(spark, sf_dir), k=5)
+    return service.worst_services_by_sigma(metric_phases(spark, sf_dir), k=5)
 
 
 @register("fn5_round_abs_max", sql=f"""WITH {PHASES_CTE}
@@ -297,7 +296,7 @@ SELECT {K}, ts, CAST(round(CAST(round(abs(response_time - qps), 8) AS DECIMAL(38
        CAST(eps > 0 AS INTEGER) AS has_errors FROM prob""")
 def fn5_round_abs_max(spark, sf_dir):
     """FN5: abs, max across columns, bool to int, round(2)."""
-    _, prob = phases(metric_points(spark, sf_dir))
+    _, prob = metric_phases(spark, sf_dir)
     return prob.select(*KEYS, "ts", F.round(F.round(F.abs(F.col("response_time") - F.col("qps")), 8), 2).alias("gap"),
                        F.greatest("response_time", "qps", "eps").alias("top"),
                        (F.col("eps") > 0).cast("int").alias("has_errors"))
@@ -309,7 +308,7 @@ SELECT DISTINCT server_name || '_' || ip_port AS service_id
 FROM prob LEFT JOIN st USING ({K}) WHERE st.s IS NULL OR st.s = 0""")
 def flt5_nan_zscore_services(spark, sf_dir):
     """FLT5: services whose z-score is undefined (missing or zero baseline std)."""
-    base, prob = phases(metric_points(spark, sf_dir))
+    base, prob = metric_phases(spark, sf_dir)
     stats = normalize.baseline_stats(base, KEYS, ["eps"], floor=None)
     z = normalize.zscore(prob, stats, KEYS, ["eps"], fill=None)
     return with_service_id(z.filter(F.col("z_eps").isNull())).select("service_id").distinct()

@@ -11,8 +11,7 @@ from tracewise.plans.queries_graph import _LONG_SQL, _corr_sql, corr_normal, iqr
 from tracewise.plans.queries_mesh import MEAN_LAT, REQ_RATES, _quantile_cte
 from tracewise.plans.sqlbits import DAG_CTE, PHASES_CTE, SERVERS_CTE
 from tracewise.registry import register
-from tracewise.sources.bindings import (KEYS, N_IP_PORTS, N_SERVER_NAMES, metric_points, phases,
-                                        server_points, with_service_id)
+from tracewise.sources.bindings import (KEYS, N_IP_PORTS, N_SERVER_NAMES, metric_phases, server_points, with_service_id)
 
 SRV_METRICS = ["cpu_us", "cpu_sy", "mem_free", "io_bi"]
 
@@ -89,7 +88,7 @@ def agg15_pivot_zero_fill(spark, sf_dir):
     """AGG15: time x service pivot of the baseline with 0 for missing cells.
     The pivot column list is the (small) set of services; the pivot-free
     correlation path (COR1) does not need it."""
-    base, _ = phases(metric_points(spark, sf_dir))
+    base, _ = metric_phases(spark, sf_dir)
     b = with_service_id(base)
     vals = _pivot_values(base)
     return b.groupBy("ts").pivot("service_id", vals).agg(F.first("connection_count")).fillna(0.0)
@@ -115,7 +114,7 @@ SELECT coalesce(p.a, n.a) AS a, coalesce(p.b, n.b) AS b, p.r - n.r AS diff
 FROM cor_prob p FULL OUTER JOIN cor_base n ON p.a = n.a AND p.b = n.b""")
 def viz3_corr_heatmap(spark, sf_dir):
     """VIZ3: long-form heat map of the correlation change."""
-    _, prob = phases(metric_points(spark, sf_dir))
+    _, prob = metric_phases(spark, sf_dir)
     cp = correlate.corr_matrix(_series(prob, "connection_count"), "id", "ts", "x", STEP)
     return correlate.corr_diff(cp, corr_normal(spark, sf_dir)).select("a", "b", "diff")
 
@@ -159,8 +158,8 @@ def job1_train(spark, sf_dir):
     from tracewise.plans.queries_models import Z_FEATS, _key
     from tracewise.session import ensure_checkpoint_dir
     root = os.path.join(ensure_checkpoint_dir(spark), f"train-{uuid.uuid4().hex[:8]}")
-    pts = metric_points(spark, sf_dir)
-    base, _ = phases(pts)
+    pts = metric_phases(spark, sf_dir)
+    base, _ = pts
     zb, _, feats = service.scored_features(pts)
     tables = {
         "baseline_stats": normalize.baseline_stats(base, KEYS, ["connection_count"]),
@@ -189,7 +188,7 @@ WHERE {" OR ".join(f"coalesce(abs(p.{m} - st.m_{m}) > 3 * st.s_{m}, false) OR co
 def flt1_flag_filter(spark, sf_dir):
     """FLT1: keep the rows whose flag is set (3-sigma == 1)."""
     from tracewise.plans import service
-    f = service.sigma_flags_multi(metric_points(spark, sf_dir))
+    f = service.sigma_flags_multi(metric_phases(spark, sf_dir))
     return f.filter(F.col("sigma3") == 1).select(*KEYS, "ts")
 
 
@@ -202,7 +201,7 @@ def flt6_min_rows_guard(spark, sf_dir):
     """FLT6: busy buckets (>= 10 connections) of the problem window, kept
     only for services that have at least 5 of them."""
     from tracewise.operators.detect import min_rows
-    _, prob = phases(metric_points(spark, sf_dir))
+    _, prob = metric_phases(spark, sf_dir)
     busy = prob.filter(F.col("connection_count") >= 10).select(*KEYS, "ts", "connection_count")
     return min_rows(busy, KEYS, 5)
 
@@ -211,7 +210,7 @@ def flt6_min_rows_guard(spark, sf_dir):
 SELECT DISTINCT server_name || '_' || ip_port AS service_id FROM prob""")
 def set4_distinct_services(spark, sf_dir):
     """SET4: distinct services seen in the problem window."""
-    _, prob = phases(metric_points(spark, sf_dir))
+    _, prob = metric_phases(spark, sf_dir)
     return with_service_id(prob).select("service_id").distinct()
 
 

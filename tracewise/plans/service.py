@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tracewise.operators.detect import flag_3sigma, flag_rates, top_k
 from tracewise.operators.features import add_features
 from tracewise.operators.normalize import baseline_stats, zscore
-from tracewise.sources.bindings import KEYS, METRICS, phases, with_service_id
+from tracewise.sources.bindings import KEYS, METRICS, as_phases, with_service_id
 
 
 def with_diffs(df: DataFrame, keys, metrics, ts: str = "ts") -> DataFrame:
@@ -26,7 +26,7 @@ def with_diffs(df: DataFrame, keys, metrics, ts: str = "ts") -> DataFrame:
 def sigma_flags_multi(points: DataFrame) -> DataFrame:
     """DET4 multi-metric: baseline stats from the baseline phase, flags on
     the problem phase."""
-    base, prob = phases(points)
+    base, prob = as_phases(points)
     stats = baseline_stats(base, KEYS, METRICS, floor=None)
     return flag_3sigma(with_diffs(prob, KEYS, METRICS), stats, KEYS, METRICS, delta_basis="level")
 
@@ -34,7 +34,7 @@ def sigma_flags_multi(points: DataFrame) -> DataFrame:
 def sigma_flags_single(points: DataFrame, metric: str = "connection_count") -> DataFrame:
     """DET4 single-metric: level vs floored baseline std, jump vs the std of
     the key's differences in the scored window."""
-    base, prob = phases(points)
+    base, prob = as_phases(points)
     stats = baseline_stats(base, KEYS, [metric])
     return flag_3sigma(with_diffs(prob, KEYS, [metric]), stats, KEYS, [metric], delta_basis="diff")
 
@@ -54,7 +54,7 @@ def scored_features(points: DataFrame, metric: str = "connection_count"):
     """
     feats = ["connection_count", "rolling_mean", "diff", "rate_change", "over_max_count",
              "over_avg_count", "delta_max", "delta_avg", "ratio_avg", "conn_log"]
-    base, prob = phases(points)
+    base, prob = as_phases(points)
     fb = add_features(base, KEYS, [metric], naming="plain", log1p=True)
     fp = add_features(prob, KEYS, [metric], naming="plain", log1p=True)
     stats = baseline_stats(fb, KEYS, feats)
@@ -125,7 +125,7 @@ def multi_metric_features(points: DataFrame):
     again with baseline stats (``z_<metric>_<feature>``, ``z_z_<metric>``).
     Returns (baseline rows, problem rows, z feature names)."""
     from tracewise.operators.features import FEATURES
-    base, prob = phases(points)
+    base, prob = as_phases(points)
     st = baseline_stats(base, KEYS, METRICS, floor=None)
     zb = zscore(base, st, KEYS, METRICS, prefix="z_").drop("is_new_key")
     zp = zscore(prob, st, KEYS, METRICS, prefix="z_").drop("is_new_key")

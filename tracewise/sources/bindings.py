@@ -70,11 +70,25 @@ def with_service_id(df: DataFrame) -> DataFrame:
 
 
 def phases(points: DataFrame):
-    """B2: (baseline, problem) split by time."""
+    """B2: (baseline, problem) split by time of already aggregated points."""
     split = phase_split_ts()
     return points.filter(F.col("ts") < split), points.filter(F.col("ts") >= split)
 
 
+def metric_phases(spark: SparkSession, sf_dir: str, bucket: str = METRIC_BUCKET):
+    """B2 with the split applied to the raw timestamps: the split is
+    bucket-aligned, so the buckets are identical to ``phases(metric_points)``,
+    and each phase reads only its own part of the table (the bound is pushed
+    into the parquet scan)."""
+    return (metric_points(spark, sf_dir, bucket, end=PHASE_SPLIT),
+            metric_points(spark, sf_dir, bucket, start=PHASE_SPLIT))
+
+
+def as_phases(points):
+    """Accept aggregated points or a ready (baseline, problem) pair."""
+    return points if isinstance(points, tuple) else phases(points)
+
+
 def edge_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Call edges.  Per user ordered by (ts, event_id) the previous event
     type calls the current one; self-transitions are not calls.
