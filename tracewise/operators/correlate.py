@@ -163,6 +163,10 @@ def edge_pair_corr(series: DataFrame, value: str, pairs: DataFrame | None = None
     s = series.select("ts", "src", "dst", F.col(value).alias("v"))
     e1 = s.select("ts", F.col("src").alias("e1_src"), F.col("dst").alias("mid"), F.col("v").alias("x"))
     e2 = s.select("ts", F.col("src").alias("mid"), F.col("dst").alias("e2_dst"), F.col("v").alias("y"))
+    if pairs is not None:
+        # prune both sides to the wanted edges before the (ts, node) join
+        e1 = e1.join(pairs.select("e1_src", F.col("e1_dst").alias("mid")).distinct(), ["e1_src", "mid"], "left_semi")
+        e2 = e2.join(pairs.select(F.col("e1_dst").alias("mid"), "e2_dst").distinct(), ["mid", "e2_dst"], "left_semi")
     j = e1.join(e2, on=["ts", "mid"], how="inner").filter(F.col("e1_src") != F.col("e2_dst"))
     if pairs is not None:
         j = j.join(pairs.select("e1_src", F.col("e1_dst").alias("mid"), "e2_dst"),
