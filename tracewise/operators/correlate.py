@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewise.functions.columns import epoch_seconds, pearson_from_sums
+from tracewise.session import cut_lineage
 
 _MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 _SCHEMA = "a string, b string, lag int, " + ", ".join(f"{c} double" for c in _MOMENTS)
@@ -97,7 +98,10 @@ def corr_matrix(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: i
     Zero cells add nothing to the cross sum, so ``sxy`` comes from the
     co-present steps; each series' sums and the number of timestamps N come
     from plain aggregates."""
-    x = with_step_index(df, ts, step_seconds)
+    # the series feeds three branches (pair sums, per-series sums, N) and a
+    # scalar bound: read it once (it is an aggregate, far smaller than the
+    # raw scan behind it)
+    x = with_step_index(cut_lineage(df.select(id_col, ts, value)), ts, step_seconds)
     m = comoments(x, id_col, "step", value, [0]).filter(F.col("a") < F.col("b"))
     one = x.groupBy(id_col).agg(F.sum(value).alias("s"), F.sum(F.col(value) * F.col(value)).alias("ss"))
     n = x.select(F.count_distinct("step")).scalar()
@@ -128,7 +132,8 @@ def lagged_corr_edges(df: DataFrame, id_col: str, ts: str, value: str, step_seco
     """COR5: for every ordered pair, corr(caller(t), callee(t - lag)) for lag
     1..lag_max; keep the best lag (highest r, smallest lag on ties) when
     r >= threshold.  Edge (caller -> callee, r, lag)."""
-    m = comoments(with_step_index(df, ts, step_seconds), id_col, "step", value, range(1, lag_max + 1))
+    x = with_step_index(cut_lineage(df.select(id_col, ts, value)), ts, step_seconds)
+    m = comoments(x, id_col, "step", value, range(1, lag_max + 1))
     r = (m.filter(F.col("a") != F.col("b"))
          .select(F.col("a").alias("caller"), F.col("b").alias("callee"), "lag",
                  pearson_from_sums("n", "sx", "sy", "sxx", "syy", "sxy").alias("r"))
