@@ -104,11 +104,12 @@ def corr_matrix(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: i
     x = with_step_index(cut_lineage(df.select(id_col, ts, value)), ts, step_seconds)
     m = comoments(x, id_col, "step", value, [0]).filter(F.col("a") < F.col("b"))
     one = x.groupBy(id_col).agg(F.sum(value).alias("s"), F.sum(F.col(value) * F.col(value)).alias("ss"))
-    n = x.select(F.count_distinct("step")).scalar()
+    # one number, used five times in the formula: fetch it once
+    n = F.lit(float(x.select(F.count_distinct("step")).first()[0] or 0))
     ja = one.select(F.col(id_col).alias("a"), F.col("s").alias("sx"), F.col("ss").alias("sxx"))
     jb = one.select(F.col(id_col).alias("b"), F.col("s").alias("sy"), F.col("ss").alias("syy"))
     j = m.select("a", "b", "sxy").join(ja, "a").join(jb, "b")
-    return j.select("a", "b", pearson_from_sums(n.cast("double"), "sx", "sy", "sxx", "syy", "sxy").alias("r"))
+    return j.select("a", "b", pearson_from_sums(n, "sx", "sy", "sxx", "syy", "sxy").alias("r"))
 
 
 def corr_graph(corr: DataFrame, threshold: float) -> DataFrame:
