@@ -86,3 +86,12 @@ def test_stream_drops_duplicates_within_watermark(spark, tmp_path):
     ev = jobs.read_events(spark, str(tmp_path / "events_a.parquet"), pattern="*.parquet")
     out = jobs.run_upsert_log(jobs.bucket_means(ev), ["ip_port", "server_name", "w"], "dedup").collect()
     assert len(out) == 1 and out[0]["connection_count"] == 3.0
+
+
+def test_min_rows_guard(spark):
+    from tracewise.operators.detect import min_rows
+    rows = [("a", i) for i in range(5)] + [("b", i) for i in range(4)]
+    df = spark.createDataFrame(rows, "k string, i int")
+    assert sorted({r["k"] for r in min_rows(df, ["k"], 5).collect()}) == ["a"]
+    counted = min_rows(df, ["k"], 4, count_col="n").collect()
+    assert {(r["k"], r["n"]) for r in counted} == {("a", 5), ("b", 4)}
