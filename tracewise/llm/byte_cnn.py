@@ -15,8 +15,8 @@ memory does not grow with their length.
 
 Fitting uses a bounded sample of labelled rows (``max_rows`` rows of at most
 ``max_bytes`` bytes each, by hash order, so it does not depend on
-partitioning), Adam and class weights, on the driver.  Scoring covers every
-document.  Only text bytes enter a score.
+partitioning), Adam and class weights, on the driver; a sixth of it is kept
+back to centre the output.  Scoring covers every document.  Only text bytes enter a score.
 
 Defined results: null and empty texts are scored as zero bytes; without
 labelled rows, or with labels of one class only, every score is that class's
@@ -25,6 +25,8 @@ empty table."""
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,9 +36,9 @@ from tracewise.llm.bpe import small_batches, with_columns
 
 FILTERS = 16
 WIDTH = 8
-SEGMENT = 256
+SEGMENT = 128
 HIDDEN = 16
-MAX_ROWS = 4000
+MAX_ROWS = 8000
 MAX_BYTES = 32768
 EPOCHS = 14
 _BLOCK_SEGMENTS = 64
@@ -139,8 +141,12 @@ class ByteCnn:
             self.constant = float(y.mean()) if len(y) else 0.5
             return self
         data = [t.encode() for t in texts]
+        rest, data = data[:len(data) // 6], data[len(data) // 6:]
+        y_rest, y = y[:len(rest)], y[len(rest):]
+        if y.min() == y.max():
+            rest, data, y = [], rest + data, np.concatenate([y_rest, y])
         share = y.mean()
-        weight = np.sqrt(np.where(y > 0, 0.5 / share, 0.5 / (1 - share)))
+        weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share))
         rng = np.random.Generator(np.random.PCG64(seed))
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
@@ -160,8 +166,24 @@ class ByteCnn:
                     v[k] = 0.98 * v[k] + 0.02 * g * g
                     up = (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.98 ** step)) + 1e-6)
                     self.p[k] -= (lr * up).astype(np.float32)
+        if len(rest):
+            self._centre(np.array([self.logit(d) for d in rest]), y_rest)
         return self
 
+    def _centre(self, logits: np.ndarray, y: np.ndarray) -> None:
+        """Shift the output so that 0.5 is the best balanced cut of the rows
+        kept back from training (the middle of the range of best cuts)."""
+        if y.min() == y.max():
+            return
+        order = np.argsort(logits, kind="stable")
+        s, t = logits[order], y[order]
+        low = np.cumsum(t == 0) / (t == 0).sum()
+        high = np.cumsum((t > 0)[::-1])[::-1] / (t > 0).sum()
+        gain = low[:-1] + high[1:]
+        gain[s[1:] == s[:-1]] = -1
+        best = np.flatnonzero(gain >= gain.max() - 1e-12)
+        self.p["b2"] -= np.float32((s[best[0]] + s[best[-1] + 1]) / 2)
+
 
 def held_out(doc_id: Column) -> Column:
     """Rows never used for fitting: crc32 of the id's text, modulo 3, is 1."""
@@ -185,7 +207,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> ByteCnn:
     rows = labelled_sample(docs, labels, max_rows, max_bytes).collect()
-    rows = sorted({(r["doc_id"], r["text"], r["quality"]) for r in rows})[:max_rows]
+    rows = sorted({(r["doc_id"], r["text"], r["quality"]) for r in rows},
+                  key=lambda r: (zlib.crc32(b"%d" % r[0]), r))[:max_rows]
     return ByteCnn().fit([r[1] for r in rows], [r[2] for r in rows])
 
 
