@@ -63,8 +63,9 @@ def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
 
 def _coefficients(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.Generator(np.random.PCG64(seed))
-    return (rng.integers(1, 1 << 32, n, dtype=np.uint64) | np.uint64(1),
-            rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    # full 64-bit odd multipliers: smaller ones would keep the order of the values
+    return (rng.integers(0, (1 << 64) - 1, n, dtype=np.uint64, endpoint=True) | np.uint64(1),
+            rng.integers(0, (1 << 64) - 1, n, dtype=np.uint64, endpoint=True))
 
 
 def signature(values: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:

@@ -127,7 +127,7 @@ def with_base(df: DataFrame, text: str) -> DataFrame:
     for kind in KINDS:
         out = f"__tw_base_{kind}"
         df = find_all(df, text, BASE[kind], _NEEDS[kind], out)
-        df = df.withColumn(out, F.filter(out, lambda x, k=kind: _valid_of(k)(x)))
+        df = df.withColumn(out, F.filter(out, _valid_of(kind)))
     return df
 
 
