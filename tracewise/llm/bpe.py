@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.common import text_chunks
+from tracewise.llm.common import appended, small_batches, text_chunks, with_columns
 
 # fixed value: the word pattern of byte-level BPE vocabularies
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -225,23 +225,6 @@ def decode_ids(vocab: Vocabulary, packed: bytes) -> str:
                     for i in range(0, len(ids), 1_000_000)).decode("utf-8", "replace")
 
 
-def _append(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()],
-                                      names=[*batch.schema.names, *columns])
-
-
-def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(0, batch.num_rows, rows):
-            yield batch.slice(i, rows)
-
-
-def with_columns(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` that appends the columns of ``schema``."""
-    base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(fn, f"{base}, {schema}" if base else schema)
-
-
 def encode(df: DataFrame, vocab: Vocabulary, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Append ``ids_col``: the ids of the whole text as little-endian unsigned
     32-bit integers (binary)."""
@@ -251,7 +234,7 @@ def encode(df: DataFrame, vocab: Vocabulary, text_col: str = "text", ids_col: st
         enc = shared.value.encoder()
         for batch in small_batches(batches):
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            yield _append(batch, **{ids_col: pa.array(list(enc.encode(texts)), pa.binary())})
+            yield appended(batch, {ids_col: pa.array(list(enc.encode(texts)), pa.binary())})
 
     return with_columns(df, run, f"`{ids_col}` binary")
 
@@ -263,7 +246,7 @@ def decode(df: DataFrame, vocab: Vocabulary, ids_col: str = "ids", text_col: str
     def run(batches):
         for batch in small_batches(batches):
             texts = [decode_ids(shared.value, p or b"") for p in batch.column(ids_col).to_pylist()]
-            yield _append(batch, **{text_col: pa.array(texts, pa.string())})
+            yield appended(batch, {text_col: pa.array(texts, pa.string())})
 
     return with_columns(df, run, f"`{text_col}` string")
 

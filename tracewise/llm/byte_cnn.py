@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.bpe import small_batches, with_columns
+from tracewise.llm.common import appended, small_batches, with_columns
 
 FILTERS = 16
 WIDTH = 8
@@ -219,7 +219,6 @@ def with_score(docs: DataFrame, model: ByteCnn, text_col: str = "text", score_co
     def run(batches):
         for part in small_batches(batches):
             scores = [round(float(shared.value.score(t or "")), 4) for t in part.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())],
-                                             names=[*part.schema.names, score_col])
+            yield appended(part, {score_col: pa.array(scores, pa.float64())})
 
     return with_columns(docs, run, f"`{score_col}` double")

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.bpe import Vocabulary, small_batches
+from tracewise.llm.bpe import Vocabulary
+from tracewise.llm.common import small_batches
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 MARKS = (TURN, TEXT, END)

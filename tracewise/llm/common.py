@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tracewise.session import cut_lineage
 
@@ -40,3 +42,21 @@ def text_chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[in
         size += len(t) + 1
     if i < len(texts):
         yield i, len(texts)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+def appended(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], names=[*batch.schema.names, *columns])
+
+
+def with_columns(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` that appends the columns of ``schema``; input columns of
+    the same names are replaced."""
+    new = StructType.fromDDL(schema)
+    df = df.drop(*new.names)
+    return df.mapInArrow(fn, StructType([*df.schema.fields, *new.fields]))

@@ -16,8 +16,9 @@ end each sequence shrinks to the smallest permitted length that holds its
 contents.
 
 Defined results: null or empty documents have no pieces and do not appear;
-repeated rows are packed as often as they occur (told apart by ``copy``); ties
-are broken by (doc_id, copy, piece); an empty table gives an empty table."""
+rows with equal (doc_id, length) are packed as often as they occur, told apart
+by ``copy``; ties are broken by (doc_id, length, copy, piece); an empty table
+gives an empty table."""
 
 from __future__ import annotations
 
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 CAPACITIES = (1024, 2048, 4096, 8192, 16384)
 OVERHEAD = 16
 GROUP_PIECES = 10_000
+KEY = ("doc_id", "length", "copy", "piece", "start", "size")
 
 
 def best_fit(sizes: np.ndarray, capacities: tuple[int, ...], overhead: int) -> tuple[np.ndarray, list[int], int]:
@@ -68,31 +70,31 @@ def pack_group(sizes: np.ndarray, capacities: tuple[int, ...], overhead: int) ->
 
 
 def pieces(docs: DataFrame, largest: int, id_col: str = "doc_id", length=None) -> DataFrame:
-    """(doc_id, copy, piece, start, size) of every document."""
+    """(doc_id, length, copy, piece, start, size) of every document."""
     size = F.coalesce(length if length is not None else F.char_length("text"), F.lit(0)).cast("long")
     # repeated rows come as a count, so that a row repeated without end is spread, too
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), size.alias("n")).where("n > 0") \
-        .groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("times"))
-    rows = rows.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)).alias("copy"))
-    last = F.floor((F.col("n") - 1) / largest).cast("long")
-    rows = rows.select("doc_id", "n", "copy", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), size.alias("length")).where("length > 0") \
+        .groupBy("doc_id", "length").agg(F.count(F.lit(1)).alias("times"))
+    rows = rows.select("doc_id", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)).alias("copy"))
+    last = F.floor((F.col("length") - 1) / largest).cast("long")
+    rows = rows.select("doc_id", "length", "copy", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
     start = F.col("piece") * largest
-    return rows.select("doc_id", "copy", "piece", start.alias("start"),
-                       F.least(F.lit(largest), F.col("n") - start).cast("long").alias("size"), "n")
+    return rows.select("doc_id", "length", "copy", "piece", start.alias("start"),
+                       F.least(F.lit(largest), F.col("length") - start).cast("long").alias("size"))
 
 
 def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD,
          group_pieces: int = GROUP_PIECES, id_col: str = "doc_id", length=None) -> DataFrame:
-    """(sequence, capacity, offset, doc_id, copy, piece, start, size): where
+    """(sequence, capacity, offset, doc_id, length, copy, piece, start, size): where
     each piece lies.  ``sequence`` is unique over all groups."""
     capacities = tuple(sorted(set(capacities)))
     cut = pieces(docs, capacities[-1], id_col, length)
     groups = max(1, -(-cut.count() // group_pieces))
-    cut = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "n", "copy", "piece"), F.lit(groups))).drop("n")
+    cut = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "length", "copy", "piece"), F.lit(groups)))
 
     def run(key, rows):
-        rows = rows.sort_by([("size", "descending"), ("doc_id", "ascending"), ("copy", "ascending"),
-                             ("piece", "ascending"), ("start", "ascending")])
+        rows = rows.sort_by([("size", "descending"), ("doc_id", "ascending"), ("length", "ascending"),
+                             ("copy", "ascending"), ("piece", "ascending")])
         sizes = rows.column("size").to_numpy()
         bins, final = pack_group(sizes, capacities, overhead)
         order = np.argsort(bins, kind="stable")
@@ -104,7 +106,7 @@ def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, overhead: in
         sequence = key[0].as_py() * (1 << 32) + bins
         cols = {"sequence": sequence, "capacity": np.asarray(final, np.int64)[bins], "offset": offset}
         return pa.table({k: pa.array(v, pa.int64()) for k, v in cols.items()} | {
-            c: rows.column(c) for c in ("doc_id", "copy", "piece", "start", "size")})
+            c: rows.column(c) for c in KEY})
 
     return cut.groupBy("grp").applyInArrow(
-        run, "sequence long, capacity long, offset long, doc_id long, copy long, piece long, start long, size long")
+        run, "sequence long, capacity long, offset long, " + ", ".join(f"{c} long" for c in KEY))

@@ -36,7 +36,7 @@ from tracewise.llm.boosting import Boosted
 KINDS = ("email", "ip", "card", "phone")
 MAX_DOCS = 3000
 MAX_CANDIDATES = 20_000
-PRECISION = 0.98
+PRECISION = 0.95
 TREES = 20
 
 BASE = {
@@ -156,6 +156,8 @@ def features(kind: str, c: Column) -> list[Column]:
         s = F.regexp_replace(s, r"\x20?[\[({]dot[\])}]\x20?|\x20dot\x20", ".")
         groups = F.split(s, r"[@.]")
     else:
+        if kind == "phone":  # the international prefix is what defines a base phone number
+            s = F.regexp_replace(s, r"^\(?\+[0-9]{1,3}[\x20.-]?", "")
         s = F.regexp_replace(s, r"^[+(]+", "")
         groups = F.filter(F.split(s, r"[^0-9A-Za-z]+"), lambda g: g != "")
     digits = _digits(s)

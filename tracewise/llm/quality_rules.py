@@ -17,9 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tracewise.llm.boosting import Boosted
-from tracewise.llm.bpe import with_columns
 from tracewise.llm.byte_cnn import labelled_sample
-from tracewise.llm.common import text_chunks
+from tracewise.llm.common import appended, small_batches, text_chunks, with_columns
 from tracewise.llm.wordhash import joined, run_hashes, span_hashes, word_hashes, word_spans
 
 MAX_ROWS = 20_000
@@ -86,7 +85,7 @@ def _repeated_lines(buf, line_at, line_end, words, first, last) -> int:
     key = span_hashes(words, first, last, 3)
     if len(np.unique(key)) == len(key):
         return 0
-    data = buf.tobytes() if len(buf) < 1 << 16 else memoryview(buf)
+    data = memoryview(buf)
     seen, dup = {}, 0
     for h, a, b in zip(key.tolist(), line_at.tolist(), line_end.tolist(), strict=True):
         line = bytes(data[a:b])
@@ -122,19 +121,13 @@ def base_failed(base: np.ndarray) -> np.ndarray:
     return (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
 
 
-def _slices(batches, rows=2048):
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
-def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed_share: float = 0.5) -> Boosted:
+def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Boosted:
     """Fit on the statistics (never the texts) of at most ``max_rows``
     labelled rows that pass the base rules."""
     sample = labelled_sample(docs, labels, max_rows)
 
     def run(batches):
-        for part in _slices(batches):
+        for part in small_batches(batches, 2048):
             base, feats = statistics(part.column("text").to_pylist())
             ok = ~base_failed(base)
             yield pa.RecordBatch.from_arrays(
@@ -156,14 +149,13 @@ def with_verdict(docs: DataFrame, model: Boosted, text_col: str = "text", thresh
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part in _slices(batches):
+        for part in small_batches(batches, 2048):
             base, feats = statistics([t or "" for t in part.column(text_col).to_pylist()])
             failed = base_failed(base)
             score = shared.value.probability(feats)
             extra = [*(pa.array(base[:, k]) for k in range(len(BASE))), pa.array(failed), pa.array(score),
                      pa.array(~failed & (score >= threshold))]
-            yield pa.RecordBatch.from_arrays([*part.columns, *extra], names=[
-                *part.schema.names, *BASE, "base_failed", "rule_score", "kept"])
+            yield appended(part, dict(zip([*BASE, "base_failed", "rule_score", "kept"], extra, strict=True)))
 
     schema = ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean, rule_score double, kept boolean"
     return with_columns(docs, run, schema)

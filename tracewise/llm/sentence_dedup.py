@@ -3,19 +3,21 @@
 A sentence ends with a word that ends in a terminator, or at a line break.
 Every run of consecutive sentences is hashed: the run that begins at a
 sentence takes at least MIN_SENTENCES sentences and goes on until it holds
-MIN_WORDS words; a sentence of LONG_SENTENCE words or more is a run by itself.
+MIN_WORDS words; a sentence of LONG_SENTENCE words or more is a run by itself,
+and the shortest run that ends with the text is taken as well.
 Whether a run repeats thus depends on its own words only (case and white space
 do not count).  Runs are joined globally by a 128-bit hash.  The first
 occurrence (smallest doc_id, then position) stays; the sentences that any
 other occurrence covers are removed.
 
-The global step moves 36 bytes a run, never text: a map-side combined minimum
-per hash, and a join back to the hashes found twice or more.  Neither collects
-a group, so a passage in a third of all documents is spread by the skew join.
+The global step moves some 36 bytes a run, never text: a map-side combined
+minimum per hash, and a join back to the hashes found twice or more, which are
+materialised first, so that a hash of a third of all runs is split by the skew
+join.  Neither collects a group.
 
 Defined results: a null text is empty, texts without a whole run are
-untouched, equal texts keep one whole copy (the smallest id's; the others
-become empty).  Rows with a null id keep their text and count as no
+untouched, of equal texts the smallest id's stays whole and the others lose
+every sentence of a run.  Rows with a null id keep their text and count as no
 occurrence.  Rows that repeat an id are one document: occurrences are told
 apart by (id, text digest).  An empty table gives an empty table."""
 
@@ -26,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.bpe import with_columns
-from tracewise.llm.common import text_chunks, text_rows
+from tracewise.llm.common import appended, materialise, small_batches, text_chunks, text_rows, with_columns
 from tracewise.llm.wordhash import joined, span_hashes, word_hashes, word_spans
 
 MIN_SENTENCES = 2
@@ -59,7 +60,9 @@ def sentence_runs(cuts: np.ndarray, min_sentences: int, min_words: int,
     j = np.maximum(i + min_sentences, np.searchsorted(cuts, cuts[:-1] + min_words))
     whole = j <= m
     long = np.flatnonzero(np.diff(cuts) >= long_sentence)
-    return np.concatenate([i[whole], long]), np.concatenate([j[whole], long + 1])
+    tail = min(m - min_sentences, int(np.searchsorted(cuts, cuts[-1] - min_words, "right")) - 1)
+    tail = np.full(int(tail >= 0), tail)
+    return np.concatenate([i[whole], long, tail]), np.concatenate([j[whole], long + 1, tail * 0 + m])
 
 
 def runs(rows: DataFrame, min_sentences: int, min_words: int, long_sentence: int) -> DataFrame:
@@ -106,7 +109,7 @@ def repeated_runs(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("d0"),
         F.min(F.struct("doc_id", "digest", "i")).alias("f")).where("n > 1") \
         .select("ha", "hb", F.col("f.doc_id").alias("fd"), F.col("f.digest").alias("fg"), F.col("f.i").alias("fi"))
-    return found.join(first, ["ha", "hb"]).where("NOT (doc_id = fd AND digest = fg AND i = fi)") \
+    return found.join(materialise(first), ["ha", "hb"]).where("NOT (doc_id = fd AND digest = fg AND i = fi)") \
         .select("doc_id", "digest", "i", "j")
 
 
@@ -149,21 +152,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined_rows = docs.join(lists, F.col(id_col).cast("long") == F.col("__tw_id"), "left").drop("__tw_id")
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = part.column(text_col).to_pylist()
-                covered = part.column("__tw_runs").to_pylist()
-                removed = [0] * len(texts)
-                for k, (t, c) in enumerate(zip(texts, covered, strict=True)):
-                    if not c or not t:
-                        continue
-                    kinds = {x["digest"] for x in c}
-                    own = _digests([t])[0] if len(kinds) > 1 else next(iter(kinds))
-                    texts[k], removed[k] = _cut(t, [(x["i"], x["j"]) for x in c if x["digest"] == own])
-                k = part.schema.get_field_index(text_col)
-                part = part.set_column(k, part.schema.field(k), pa.array(texts, pa.string()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(removed, pa.int64())],
-                                                 names=[*part.schema.names, removed_col])
+        for part in small_batches(batches):
+            texts = part.column(text_col).to_pylist()
+            covered = part.column("__tw_runs").to_pylist()
+            removed = [0] * len(texts)
+            for k, (t, c) in enumerate(zip(texts, covered, strict=True)):
+                if not c or not t:
+                    continue
+                kinds = {x["digest"] for x in c}
+                own = _digests([t])[0] if len(kinds) > 1 else next(iter(kinds))
+                texts[k], removed[k] = _cut(t, [(x["i"], x["j"]) for x in c if x["digest"] == own])
+            k = part.schema.get_field_index(text_col)
+            part = part.set_column(k, part.schema.field(k), pa.array(texts, pa.string()))
+            yield appended(part, {removed_col: pa.array(removed, pa.int64())})
 
     return with_columns(joined_rows, run, f"`{removed_col}` long").drop("__tw_runs")
