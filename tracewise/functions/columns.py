@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 MIN_STD = 1e-6          # std floor used by the baseline z-score
 SIGMA_K = 3.0           # three-sigma rule
 IQR_K = 3.0             # IQR fence multiplier
-ANOMALY_THRESHOLD = 0.7  # isolation score threshold
 CORR_THRESHOLD = 0.7    # correlation graph / chain pruning threshold
 
 
@@ -27,11 +26,6 @@ def safe_div(num, den) -> Column:
     return F.try_divide(col(num), col(den))
 
 
-def ratio_or_zero(num, den) -> Column:
-    """``num / den if den != 0 else 0`` (the reference's guarded ratio)."""
-    return F.coalesce(safe_div(num, den), F.lit(0.0))
-
-
 def floor_std(s, floor: float = MIN_STD) -> Column:
     """``clip(lower=floor)`` that keeps an undefined (NULL) std undefined.
 
@@ -52,10 +46,6 @@ def weekday_mon0(ts) -> Column:
     return F.weekday(col(ts))
 
 
-def bool_to_double(c) -> Column:
-    return col(c).cast("double")
-
-
 def pearson(x, y) -> Column:
     """Population Pearson correlation as an aggregate; NULL for a constant side.
 
@@ -66,12 +56,15 @@ def pearson(x, y) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def pearson_from_sums(n, sx, sy, sxx, syy, sxy) -> Column:
-    """Pearson r from power sums; NULL when either side has no variance."""
+def pearson_from_sums(n, sx, sy, sxx, syy, sxy, tolerance: float = 1e-12) -> Column:
+    """Pearson r from the power sums of standardised series, within [-1, 1];
+    NULL when either side has no variance beyond rounding."""
     n, sx, sy, sxx, syy, sxy = map(col, (n, sx, sy, sxx, syy, sxy))
     vx = n * sxx - sx * sx
     vy = n * syy - sy * sy
-    return F.when((vx > 0) & (vy > 0), (n * sxy - sx * sy) / F.sqrt(vx * vy))
+    least = F.lit(tolerance) * n * n
+    r = (n * sxy - sx * sy) / F.sqrt(vx * vy)
+    return F.when((vx > least) & (vy > least), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def _session_tz() -> str:

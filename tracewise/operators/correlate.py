@@ -1,12 +1,12 @@
 """Pairwise and lagged correlation without a pivot (COR1, COR2, COR4-6, AGG7).
 
 Correlation between every pair of series is a Gram product
-``sum_t x_a(t) * x_b(t - L)``.  Instead of joining rows pairwise (which
-would emit every pair of series once per timestamp), rows are grouped per
-timestamp into short lists, each Arrow batch of timestamps computes its
-partial co-moments with numpy matrix products, and Spark sums the partials
-per (a, b, lag).  Work per batch is O(rows * k^2) flops with k series in the
-batch, and what crosses the shuffle is k^2 partial sums per batch.
+``sum_t z_a(t) * z_b(t - L)`` of standardised series: centring first keeps
+the result exact for series far from zero, and a series without variance is
+known before any product is formed.  Series are dealt to blocks of about
+``BLOCK`` ids and time to chunks of ``CHUNK`` steps.  One task multiplies two
+blocks over one chunk, so its memory does not depend on the number of series,
+and without a lag only the pairs a < b are formed and shuffled.
 """
 
 from __future__ import annotations
@@ -21,67 +21,87 @@ from pyspark.sql import functions as F
 from tracewise.functions.columns import epoch_seconds, pearson_from_sums
 from tracewise.session import cut_lineage
 
+BLOCK = 512
+CHUNK = 1024
+# relative size below which a spread is rounding, not variance
+MIN_SPREAD = 1e-12
+
 _MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 _SCHEMA = "a string, b string, lag int, " + ", ".join(f"{c} double" for c in _MOMENTS)
 
 
-def _batch_moments():
-    def fn(batches):
-        for pdf in batches:
-            parts = []
-            for lag, g in pdf.groupby("lag"):
-                ids = sorted(set(np.concatenate([*g["cur_ids"].to_list(), *g["prev_ids"].to_list()]).tolist()))
-                if not ids:
-                    continue
-                pos = {s: i for i, s in enumerate(ids)}
-                n, k = len(g), len(ids)
-                C = np.full((n, k), np.nan)
-                P = np.full((n, k), np.nan)
-                for r, (ci, cx, pi, px) in enumerate(zip(g["cur_ids"], g["cur_x"], g["prev_ids"], g["prev_x"])):
-                    if len(ci):
-                        C[r, [pos[s] for s in ci]] = cx
-                    if len(pi):
-                        P[r, [pos[s] for s in pi]] = px
-                # a pair counts at t only when both sides are present
-                Mc = (~np.isnan(C)).astype(float)
-                Mp = (~np.isnan(P)).astype(float)
-                C0, P0 = np.nan_to_num(C), np.nan_to_num(P)
-                N = Mc.T @ Mp
-                SX = C0.T @ Mp
-                SY = Mc.T @ P0
-                SXX = (C0 * C0).T @ Mp
-                SYY = Mc.T @ (P0 * P0)
-                SXY = C0.T @ P0
-                ia, ib = np.nonzero(N > 0)
-                names = np.array(ids, dtype=object)
-                parts.append(pd.DataFrame({
-                    "a": names[ia], "b": names[ib], "lag": np.full(len(ia), int(lag), dtype=np.int32),
-                    "n": N[ia, ib], "sx": SX[ia, ib], "sy": SY[ia, ib], "sxx": SXX[ia, ib],
-                    "syy": SYY[ia, ib], "sxy": SXY[ia, ib]}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-    return fn
-
-
-def comoments(df: DataFrame, id_col: str, step_col: str, value: str,
-              lags: Sequence[int]) -> DataFrame:
-    """Co-moments of ``x_a(t)`` with ``x_b(t - L)`` for every pair of ids and
-    every lag L (in units of ``step_col``, an integer time index), summed
-    over the steps where both values exist."""
-    per_step = (df.groupBy(step_col)
-                .agg(F.collect_list(F.col(id_col)).alias("ids"),
-                     F.collect_list(F.col(value).cast("double")).alias("xs")))
-    cur = per_step.select(F.col(step_col).alias("_t"), F.col("ids").alias("cur_ids"), F.col("xs").alias("cur_x"))
-    shifted = (per_step.select(F.explode(F.array(*[F.lit(int(L)) for L in lags])).alias("lag"),
-                               step_col, "ids", "xs")
-               .select((F.col(step_col) + F.col("lag")).alias("_t"), "lag",
-                       F.col("ids").alias("prev_ids"), F.col("xs").alias("prev_x")))
-    frames = cur.join(shifted, on="_t", how="inner")
-    parts = frames.select("lag", "cur_ids", "cur_x", "prev_ids", "prev_x").mapInPandas(
-        _batch_moments(), _SCHEMA)
+def _grid(ids: pd.Series, values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted names, and the rows x names matrix with NaN for absent cells."""
+    names, pos = np.unique(np.concatenate(ids.to_list()).astype(object), return_inverse=True)
+    out = np.full((len(ids), len(names)), np.nan)
+    rows = np.repeat(np.arange(len(ids)), ids.map(len).to_numpy())
+    out[rows, pos] = np.concatenate(values.to_list())
+    return names, out
+
+
+def _block_moments(g: pd.DataFrame) -> pd.DataFrame:
+    """Co-moments of the pairs of two blocks over one chunk of steps, over the
+    steps where both values are present."""
+    lag = int(g["lag"].iloc[0])
+    an, A = _grid(g["cur_ids"], g["cur_x"])
+    bn, B = _grid(g["prev_ids"], g["prev_x"])
+    ma, mb = (~np.isnan(A)).astype(float), (~np.isnan(B)).astype(float)
+    A, B = np.nan_to_num(A), np.nan_to_num(B)
+    n = ma.T @ mb
+    # without a lag the pair is unordered: each is wanted once, and within a
+    # pair of different blocks either name may come first
+    want = (n > 0) & (an[:, None] != bn[None, :])
+    if lag == 0 and g["ba"].iloc[0] == g["bb"].iloc[0]:
+        want &= an[:, None] < bn[None, :]
+    i, j = np.nonzero(want)
+    found = {"n": n, "sx": A.T @ mb, "sy": ma.T @ B, "sxx": (A * A).T @ mb, "syy": ma.T @ (B * B), "sxy": A.T @ B}
+    out = pd.DataFrame({"a": an[i], "b": bn[j], "lag": np.full(len(i), lag, np.int32)}
+                       | {c: v[i, j] for c, v in found.items()})
+    if lag == 0:
+        turn = (out["a"] > out["b"]).to_numpy()
+        for x, y in (("a", "b"), ("sx", "sy"), ("sxx", "syy")):
+            out.loc[turn, [x, y]] = out.loc[turn, [y, x]].to_numpy()
+    return out
+
+
+def comoments(df: DataFrame, id_col: str, step_col: str, value: str, lags: Sequence[int]) -> DataFrame:
+    """Co-moments of ``x_a(t)`` with ``x_b(t - L)`` for pairs of different
+    ids, summed over the steps where both values exist.  For lag 0 only the
+    pairs a < b, for other lags (in units of ``step_col``, an integer time
+    index) every ordered pair."""
+    blocks = max(1, -(-df.select(id_col).distinct().count() // BLOCK))
+    per_step = (df.groupBy(step_col, F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("block"))
+                .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(value).cast("double").alias("x")))
+                     .alias("s"))
+                .select(step_col, "block", F.col("s.id").alias("ids"), F.col("s.x").alias("xs")))
+    cur = per_step.select(F.col(step_col).alias("_t"), F.col("block").alias("ba"), F.col("ids").alias("cur_ids"),
+                          F.col("xs").alias("cur_x"))
+    prev = (per_step.select(F.explode(F.array(*[F.lit(int(L)) for L in lags])).alias("lag"), step_col, "block",
+                            "ids", "xs")
+            .select((F.col(step_col) + F.col("lag")).alias("_t"), "lag", F.col("block").alias("bb"),
+                    F.col("ids").alias("prev_ids"), F.col("xs").alias("prev_x")))
+    frames = (cur.join(prev, on="_t", how="inner").filter((F.col("lag") != 0) | (F.col("ba") <= F.col("bb")))
+              .withColumn("chunk", F.floor(F.col("_t") / CHUNK)))
+    parts = frames.groupBy("ba", "bb", "lag", "chunk").applyInPandas(_block_moments, _SCHEMA)
     return parts.groupBy("a", "b", "lag").agg(*[F.sum(c).alias(c) for c in _MOMENTS])
 
 
+def standardised(df: DataFrame, id_col: str, value: str, n_steps=None) -> DataFrame:
+    """Per id: mean, std (NULL if the series has no variance) and the
+    largest absolute value.  With ``n_steps`` absent steps count as zeros."""
+    x = F.col(value).cast("double")
+    s = df.groupBy(id_col).agg(F.count(x).alias("_n"), F.avg(x).alias("_m"), F.var_pop(x).alias("_v"),
+                               F.max(F.abs(x)).alias("_top"))
+    if n_steps is not None:
+        share = F.col("_n") / F.lit(float(n_steps))
+        # variance of the zero-filled series from that of the present part
+        s = s.withColumn("_v", share * F.col("_v") + share * (1 - share) * F.col("_m") * F.col("_m")) \
+            .withColumn("_m", share * F.col("_m"))
+    std = F.sqrt("_v")
+    return s.select(id_col, F.col("_m").alias("mean"),
+                    F.when(std > F.lit(MIN_SPREAD) * F.col("_top"), std).alias("std"), F.col("_n").alias("present"))
+
+
 def with_step_index(df: DataFrame, ts: str, step_seconds: int, out: str = "step") -> DataFrame:
     """Integer time index ``(ts - first ts) / step`` (the first ts is a
     one-row scalar subquery; no global window)."""
@@ -95,21 +115,27 @@ def corr_matrix(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: i
     reference), one row per unordered pair ``a < b`` that shares at least one
     timestamp; NULL for a constant series.
 
-    Zero cells add nothing to the cross sum, so ``sxy`` comes from the
-    co-present steps; each series' sums and the number of timestamps N come
-    from plain aggregates."""
-    # the series feeds three branches (pair sums, per-series sums, N) and a
-    # scalar bound: read it once (it is an aggregate, far smaller than the
-    # raw scan behind it)
+    Present cells are standardised by the zero-filled mean and std; an absent
+    cell is then the constant ``-mean / std`` of its series, so the cells
+    where one or both are absent follow from counts and sums."""
+    # the series feeds several branches and a scalar bound: read it once (it
+    # is an aggregate, far smaller than the raw scan behind it)
     x = with_step_index(cut_lineage(df.select(id_col, ts, value)), ts, step_seconds)
-    m = comoments(x, id_col, "step", value, [0]).filter(F.col("a") < F.col("b"))
-    one = x.groupBy(id_col).agg(F.sum(value).alias("s"), F.sum(F.col(value) * F.col(value)).alias("ss"))
-    # one number, used five times in the formula: fetch it once
-    n = F.lit(float(x.select(F.count_distinct("step")).first()[0] or 0))
-    ja = one.select(F.col(id_col).alias("a"), F.col("s").alias("sx"), F.col("ss").alias("sxx"))
-    jb = one.select(F.col(id_col).alias("b"), F.col("s").alias("sy"), F.col("ss").alias("syy"))
-    j = m.select("a", "b", "sxy").join(ja, "a").join(jb, "b")
-    return j.select("a", "b", pearson_from_sums(n, "sx", "sy", "sxx", "syy", "sxy").alias("r"))
+    n = float(x.select(F.count_distinct("step")).first()[0] or 0)
+    st = cut_lineage(standardised(x, id_col, value, n))
+    z = x.join(st, id_col).select(id_col, "step", F.coalesce(
+        (F.col(value) - F.col("mean")) / F.col("std"), F.lit(0.0)).alias("z"))
+    m = comoments(z, id_col, "step", "z", [0])
+    per = (z.groupBy(id_col).agg(F.sum("z").alias("sum")).join(st, id_col)
+           .select(id_col, "sum", "present", (-F.col("mean") / F.col("std")).alias("gap"), "std"))
+    ja = per.select(F.col(id_col).alias("a"), *[F.col(c).alias(f"{c}_a") for c in per.columns[1:]])
+    jb = per.select(F.col(id_col).alias("b"), *[F.col(c).alias(f"{c}_b") for c in per.columns[1:]])
+    j = m.join(ja, "a").join(jb, "b")
+    total = (F.col("sxy") + (F.col("sum_a") - F.col("sx")) * F.col("gap_b")
+             + (F.col("sum_b") - F.col("sy")) * F.col("gap_a")
+             + (F.lit(n) - F.col("present_a") - F.col("present_b") + F.col("n")) * F.col("gap_a") * F.col("gap_b"))
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), total / F.lit(n)))
+    return j.select("a", "b", F.when(F.col("std_a").isNotNull() & F.col("std_b").isNotNull(), r).alias("r"))
 
 
 def corr_graph(corr: DataFrame, threshold: float) -> DataFrame:
@@ -134,10 +160,12 @@ def lagged_corr_edges(df: DataFrame, id_col: str, ts: str, value: str, step_seco
     1..lag_max; keep the best lag (highest r, smallest lag on ties) when
     r >= threshold.  Edge (caller -> callee, r, lag)."""
     x = with_step_index(cut_lineage(df.select(id_col, ts, value)), ts, step_seconds)
-    m = comoments(x, id_col, "step", value, range(1, lag_max + 1))
-    r = (m.filter(F.col("a") != F.col("b"))
-         .select(F.col("a").alias("caller"), F.col("b").alias("callee"), "lag",
-                 pearson_from_sums("n", "sx", "sy", "sxx", "syy", "sxy").alias("r"))
+    # a series without variance has no correlation with anything
+    st = standardised(x, id_col, value).filter(F.col("std").isNotNull())
+    z = cut_lineage(x.join(st, id_col).select(id_col, "step", ((F.col(value) - F.col("mean")) / F.col("std")).alias("z")))
+    m = comoments(z, id_col, "step", "z", range(1, lag_max + 1))
+    r = (m.select(F.col("a").alias("caller"), F.col("b").alias("callee"), "lag",
+                  pearson_from_sums("n", "sx", "sy", "sxx", "syy", "sxy").alias("r"))
          .filter(F.col("r").isNotNull() & (F.col("r") > -1)))
     w = Window.partitionBy("caller", "callee").orderBy(F.col("r").desc(), F.col("lag"))
     best = r.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
@@ -165,10 +193,14 @@ def edge_pair_corr(series: DataFrame, value: str, pairs: DataFrame | None = None
     ``pairs`` (e1_src, e1_dst, e2_src, e2_dst) restricts the work to the
     pairs that matter (the root-cause search passes only anomalous edges of
     one kind); otherwise every consecutive pair of observed edges is used.
+    Series with different numbers of points are not comparable: r = 0.
     """
-    s = series.select("ts", "src", "dst", F.col(value).alias("v"))
-    e1 = s.select("ts", F.col("src").alias("e1_src"), F.col("dst").alias("mid"), F.col("v").alias("x"))
-    e2 = s.select("ts", F.col("src").alias("mid"), F.col("dst").alias("e2_dst"), F.col("v").alias("y"))
+    n = Window.partitionBy("src", "dst")
+    s = series.select("ts", "src", "dst", F.col(value).alias("v"), F.count(F.lit(1)).over(n).alias("len"))
+    e1 = s.select("ts", F.col("src").alias("e1_src"), F.col("dst").alias("mid"), F.col("v").alias("x"),
+                  F.col("len").alias("len_x"))
+    e2 = s.select("ts", F.col("src").alias("mid"), F.col("dst").alias("e2_dst"), F.col("v").alias("y"),
+                  F.col("len").alias("len_y"))
     if pairs is not None:
         # prune both sides to the wanted edges before the (ts, node) join
         e1 = e1.join(pairs.select("e1_src", F.col("e1_dst").alias("mid")).distinct(), ["e1_src", "mid"], "left_semi")
@@ -179,5 +211,6 @@ def edge_pair_corr(series: DataFrame, value: str, pairs: DataFrame | None = None
                    on=["e1_src", "mid", "e2_dst"], how="left_semi")
     return (j.groupBy("e1_src", "mid", "e2_dst")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"))
+                 F.when(F.first("len_x") != F.first("len_y"), F.lit(0.0)).otherwise(
+                     F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))).alias("r"))
             .select(F.col("e1_src").alias("a"), F.col("mid").alias("b"), F.col("e2_dst").alias("c"), "n", "r"))

@@ -114,6 +114,13 @@ def add_features(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], ts:
     return z.select(*ordered)
 
 
+def rolling(df: DataFrame, keys: Sequence[str], metric: str, ts: str = "ts", window: int = LONG_WINDOW) -> DataFrame:
+    """WIN4: trailing max and mean over ``window`` rows, NULL until full."""
+    wk = Window.partitionBy(*keys).orderBy(ts).rowsBetween(-(window - 1), 0)
+    return df.select(*keys, ts, _guarded(F.max, metric, wk, window).alias("rolling_max"),
+                     _guarded(F.avg, metric, wk, window).alias("rolling_mean"))
+
+
 def sequences(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], ts: str = "ts",
               length: int = LONG_WINDOW) -> DataFrame:
     """WIN11: overlapping windows of ``length`` rows, stride 1; the final

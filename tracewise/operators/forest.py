@@ -1,11 +1,13 @@
 """Isolation forest: distributed fit and Arrow-batched scoring (DET6, DET7).
 
 Fit
-  1. A hash of each row's key decides, independent of partitioning, whether
-     the row enters the sample pool (about ``pool_rows`` rows; one count).
-  2. The pool is fanned out to the tree ids; per tree the ``max_samples``
-     rows with the smallest ``xxhash64(key, tree, seed)`` are that tree's
-     sample (a uniform random subset, reproducible).
+  1. Every row is a candidate for every tree: ``xxhash64(key, tree, seed)``
+     orders the whole table once per tree.  A row is emitted for a tree only
+     if that hash lies under a bound chosen so that several times
+     ``max_samples`` rows per tree are expected (one count); if some tree got
+     too few, the bound is widened and the step repeated.
+  2. Per tree the ``max_samples`` rows with the smallest hash are its sample:
+     exactly the smallest of all rows, whatever the bound or partitioning.
   3. ``groupBy(tree).applyInPandas`` grows each tree (random feature,
      uniform split between the node's min and max, depth limit
      ``ceil(log2(max_samples))``) and emits its nodes.
@@ -28,6 +30,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewise.operators.ranks import exact_quantile
+from tracewise.session import cut_lineage
+
 EULER = 0.5772156649
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
                "size int, depth int")
@@ -72,22 +77,39 @@ def _grow(features: list[str], max_depth: int, seed: int):
     return fn
 
 
+def tree_samples(df: DataFrame, key_cols: Sequence[str], features: Sequence[str], n_trees: int, max_samples: int,
+                 seed: int, n: int, oversample: int = 8) -> DataFrame:
+    """(tree, features): for each tree the ``max_samples`` rows of all of
+    ``df`` whose hash is smallest.  Every row could be in every sample; only
+    about ``oversample * max_samples`` rows per tree are moved."""
+    key = F.xxhash64(*[F.col(k).cast("string") for k in key_cols], F.lit(seed))
+    rows = df.select(key.alias("_k"), *[F.col(f).cast("double").alias(f) for f in features])
+    share = oversample * max_samples / max(n, 1)
+    while True:
+        bound = F.lit(min(-(1 << 63) + int(share * (1 << 64)), (1 << 63) - 1) if share < 1 else (1 << 63) - 1)
+        trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                         lambda t: F.xxhash64(F.col("_k"), t, F.lit(seed)) <= bound)
+        found = cut_lineage(rows.select(F.explode(trees).alias("tree"), "_k", *features))
+        if share >= 1:
+            break
+        got = found.groupBy("tree").count().agg(F.min("count"), F.count(F.lit(1))).first()
+        if got[1] == n_trees and got[0] >= min(max_samples, n):
+            break
+        share *= 8
+    w = Window.partitionBy("tree").orderBy(F.xxhash64(F.col("_k"), F.col("tree"), F.lit(seed)), F.col("_k"))
+    return found.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_samples) \
+        .select("tree", *features)
+
+
 def fit(df: DataFrame, key_cols: Sequence[str], features: Sequence[str], n_trees: int = 100,
-        max_samples: int = 256, seed: int = 42, pool_rows: int = 30000) -> DataFrame:
+        max_samples: int = 256, seed: int = 42) -> DataFrame:
     """DET6: fit an isolation forest; returns the ``forest_nodes`` table."""
     features = list(features)
-    key = F.xxhash64(*[F.col(k).cast("string") for k in key_cols], F.lit(seed))
     n = df.count()
-    frac = min(1.0, pool_rows / max(n, 1))
-    u = (F.abs(key) % F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
-    pool = df.select(key.alias("_k"), *[F.col(f).cast("double").alias(f) for f in features]).filter(u < frac)
-    trees = pool.select(F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"), "_k", *features)
-    order = F.xxhash64(F.col("_k"), F.col("tree"), F.lit(seed))
-    w = Window.partitionBy("tree").orderBy(order, F.col("_k"))
-    sample = trees.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_samples)
+    sample = tree_samples(df, key_cols, features, n_trees, max_samples, seed, n)
     m = min(max_samples, n)
     depth = int(math.ceil(math.log2(max(m, 2))))
-    nodes = sample.select("tree", *features).groupBy("tree").applyInPandas(
+    nodes = sample.groupBy("tree").applyInPandas(
         _grow(features, depth, seed), NODE_SCHEMA)
     return nodes.withColumn("n_samples", F.lit(m))
 
@@ -156,10 +178,10 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], out: str = "
 
 def offset(train_scores: DataFrame, contamination, col: str = "anomaly_score"):
     """Threshold q on the score scale: the (1 - contamination) quantile of
-    the training scores (exact), or 0.5 for ``"auto"``.  A one-row scalar."""
+    the training scores (exact), or 0.5 for ``"auto"``."""
     if contamination == "auto":
         return F.lit(0.5)
-    return train_scores.select(F.percentile(col, 1.0 - float(contamination))).scalar()
+    return F.lit(exact_quantile(train_scores, col, 1.0 - float(contamination)))
 
 
 def label(scored: DataFrame, q, col: str = "anomaly_score", threshold: float = 0.7) -> DataFrame:

@@ -190,14 +190,15 @@ def chain_steps(anomalies: DataFrame, w: DataFrame, p: EdgeRcaParams = P) -> Dat
 
 
 def root_cause_chains(anomalies: DataFrame, w: DataFrame, entry: DataFrame,
-                      p: EdgeRcaParams = P, max_rounds: int = 1000) -> DataFrame:
+                      p: EdgeRcaParams = P) -> DataFrame:
     """RCA5 + RCA6: typed chains from the entry and their candidates
     ``(root, type, chain, length)``, longest first.
 
     First hop: every anomalous edge of the kind at the entry (callees for
     performance/reliability, callers for traffic).  Then each chain takes the
     qualified extension with the highest correlation (ties by name) whose
-    node is not yet on the path, until none is left.
+    node is not yet on the path, until none is left.  Paths are simple, so
+    the loop ends by itself.
     """
     e = entry.select(F.col("entry"))
     down = anomalies.filter(F.col("kind").isin("performance", "reliability"))
@@ -206,10 +207,7 @@ def root_cause_chains(anomalies: DataFrame, w: DataFrame, entry: DataFrame,
              .unionByName(up.join(e, up.dst == e.entry).select("kind", F.array("dst", "src").alias("path"))))
     chains = cut_lineage(first.withColumn("active", F.lit(True)))
     steps = cut_lineage(chain_steps(anomalies, w, p))
-    for _ in range(max_rounds):
-        act = chains.filter("active")
-        if act.isEmpty():
-            break
+    while not (act := chains.filter("active")).isEmpty():
         ext = (act.select("kind", "path", F.element_at("path", -2).alias("prev"), F.element_at("path", -1).alias("end"))
                .join(steps, on=["kind", "prev", "end"], how="inner")
                .filter(~F.array_contains("path", F.col("cand"))))
@@ -220,7 +218,8 @@ def root_cause_chains(anomalies: DataFrame, w: DataFrame, entry: DataFrame,
                  .withColumn("active", F.lit(False)))
         chains = cut_lineage(chains.filter(~F.col("active")).unionByName(stuck).unionByName(moved))
     return (chains.select(F.element_at("path", -1).alias("root"), F.col("kind").alias("type"),
-                          F.array_join("path", " -> ").alias("chain"), F.size("path").alias("length")))
+                          F.array_join("path", " -> ").alias("chain"), F.size("path").alias("length"))
+            .orderBy(F.col("length").desc(), "type", "chain"))
 
 
 def edge_rca(hourly: DataFrame, p: EdgeRcaParams = P, entry: str | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ def neighbours(edges: DataFrame, node: str, direction: str = "out") -> DataFrame
 
 def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: float = 1e-6) -> DataFrame:
     """GRA2: PageRank, unweighted, dangling mass spread evenly, stop when
-    the L1 change is below ``N * tol``."""
+    the L1 change is below ``N * tol``; raises if that is not reached."""
     e = edges.select("src", "dst").distinct()
     deg = degrees(e).select("id", "out_degree")
     n = deg.count()
@@ -66,6 +66,8 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, max_iter: int = 100, tol: fl
         dangling = stats["dangling"]
         if stats["err"] < n * tol:
             break
+    else:
+        raise ArithmeticError(f"PageRank did not converge in {max_iter} rounds")
     return ranks.select("id", F.col("pr").alias("pagerank"))
 
 

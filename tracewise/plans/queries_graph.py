@@ -96,10 +96,12 @@ def win14_best_lag(spark, sf_dir):
                                        lag_max=5, threshold=-1.0)
 
 
-@register("cor6_edge_pair_corr", sql=f"""WITH {RPS}
+@register("cor6_edge_pair_corr", sql=f"""WITH {RPS},
+el AS (SELECT *, count(*) OVER (PARTITION BY src, dst) AS len FROM rps)
 SELECT e1.src AS a, e1.dst AS b, e2.dst AS c, count(*) AS n,
-       covar_pop(e1.rps, e2.rps) / nullif(stddev_pop(e1.rps) * stddev_pop(e2.rps), 0) AS r
-FROM rps e1 JOIN rps e2 ON e1.ts = e2.ts AND e1.dst = e2.src AND e1.src <> e2.dst
+       CASE WHEN any_value(e1.len) <> any_value(e2.len) THEN 0.0
+            ELSE covar_pop(e1.rps, e2.rps) / nullif(stddev_pop(e1.rps) * stddev_pop(e2.rps), 0) END AS r
+FROM el e1 JOIN el e2 ON e1.ts = e2.ts AND e1.dst = e2.src AND e1.src <> e2.dst
 GROUP BY 1, 2, 3""")
 def cor6_edge_pair_corr(spark, sf_dir):
     """COR6: qps correlation of consecutive call edges a->b, b->c."""

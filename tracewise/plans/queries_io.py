@@ -36,11 +36,17 @@ def _path(spark, name):
 
 # ---------------------------------------------------------------- streaming
 
+def _events(spark, sf_dir):
+    """The events as a stream of four micro-batches in time order."""
+    folder, width = jobs.stage_events(spark, sf_dir)
+    return jobs.read_events(spark, folder, watermark=f"{width + 86400} seconds", max_files=jobs.STAGE_FILES)
+
+
 @register("str1_stream_bucket_mean", sql=f"""WITH {METRICS_CTE}
 SELECT ip_port, server_name, ts, connection_count, response_time, eps FROM metrics""")
 def str1_stream_bucket_mean(spark, sf_dir):
     """STR1 (+STR5): streaming bucket aggregate; equals the batch AGG1."""
-    ev = jobs.read_events(spark, sf_dir)
+    ev = _events(spark, sf_dir)
     out = jobs.run_upsert_log(jobs.bucket_means(ev), ["ip_port", "server_name", "w"], "str1")
     return out.select("ip_port", "server_name", to_naive("w.start").alias("ts"),
                       "connection_count", "response_time", "eps")
@@ -56,8 +62,8 @@ def str2_stream_scoring(spark, sf_dir):
     """STR2 + STR6 + SNK2: micro-batch 3-sigma scoring against static stats."""
     base, _ = metric_phases(spark, sf_dir)
     stats = normalize.baseline_stats(base, KEYS, ["connection_count"])
-    ev = jobs.read_events(spark, sf_dir)
-    return jobs.score_stream(ev, stats, "str2").drop("batch")
+    ev = _events(spark, sf_dir)
+    return jobs.score_stream(ev, stats, "str2")
 
 
 @register("str3_stateful_features", sql="""WITH p AS (
@@ -71,7 +77,7 @@ SELECT ip_port, server_name, ts, response_time,
 FROM p""")
 def str3_stateful_features(spark, sf_dir):
     """STR3: rolling mean and diff per service carried across micro-batches."""
-    ev = jobs.read_events(spark, sf_dir)
+    ev = _events(spark, sf_dir)
     pts = ev.select(F.concat(F.lit("10.0.0."), (F.col("user_id") % 2).cast("string"), F.lit(":8080")).alias("ip_port"),
                     F.concat(F.lit("svc_"), (F.col("user_id") % 5).cast("string")).alias("server_name"),
                     "ts", F.col("value").alias("response_time"))
@@ -85,7 +91,7 @@ SELECT time_bucket(INTERVAL '3 hours', ts) + to_hours(CAST(3 * (k + 1) AS BIGINT
 FROM events, range(0, 2) AS r(k) GROUP BY 1, 2""")
 def str4_sliding_windows(spark, sf_dir):
     """STR4: 6 h windows sliding by 3 h over the event stream."""
-    ev = jobs.read_events(spark, sf_dir)
+    ev = _events(spark, sf_dir)
     out = jobs.run_upsert_log(jobs.sliding_counts(ev), ["w", "event_type"], "str4")
     return out.select(to_naive("w.end").alias("ts"), "event_type", "n")
 

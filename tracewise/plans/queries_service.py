@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewise.functions.columns import MIN_STD
 from tracewise.operators import detect, features, normalize
+from tracewise.operators.ranks import exact_quantile
 from tracewise.plans import service
 from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE, features_sql
 from tracewise.registry import register
@@ -189,7 +190,6 @@ for _name, _cols in {
     "win1_rolling_mean": ["rolling_mean"],
     "win2_diff": ["diff"],
     "win3_rate_change": ["rate_change"],
-    "win4_rolling_max_mean": ["over_max_count", "over_avg_count"],
     "win5_over_max_count": ["over_max_count"],
     "win6_over_avg_count": ["over_avg_count"],
     "win7_delta_max": ["delta_max"],
@@ -202,6 +202,25 @@ for _name, _cols in {
     register(_name, sql=_feat_sql(_cols))(_feat_query(_cols))
 
 
+@register("win4_rolling_max_mean", sql=f"""WITH {METRICS_CTE}
+SELECT {K}, ts, CASE WHEN count(connection_count) OVER w = 10 THEN max(connection_count) OVER w END AS rolling_max,
+       CASE WHEN count(connection_count) OVER w = 10 THEN avg(connection_count) OVER w END AS rolling_mean
+FROM metrics WINDOW w AS (PARTITION BY {K} ORDER BY ts ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""")
+def win4_rolling_max_mean(spark, sf_dir):
+    """WIN4: trailing max and mean over 10 buckets per service."""
+    return features.rolling(metric_points(spark, sf_dir), KEYS, "connection_count")
+
+
+@register("det1_zscore_train", sql=f"""WITH {PHASES_CTE},
+st AS (SELECT {K}, avg(response_time) AS m, greatest(stddev_samp(response_time), 1e-6) AS s FROM base GROUP BY {K})
+SELECT {K}, ts, coalesce((response_time - m) / s, 0) AS z_response_time FROM base JOIN st USING ({K})""")
+def det1_zscore_train(spark, sf_dir):
+    """DET1, train mode: the baseline scored with its own statistics."""
+    base, _ = metric_phases(spark, sf_dir)
+    z, _ = normalize.fit_zscore(base, KEYS, ["response_time"])
+    return z.select(*KEYS, "ts", "z_response_time")
+
+
 @register("win10_row_ordinal", sql=f"""
 WITH {METRICS_CTE}
 SELECT {K}, ts, CAST(row_number() OVER (PARTITION BY {K} ORDER BY ts) - 1 AS INTEGER) AS ordinal FROM metrics""")
@@ -325,14 +344,14 @@ def fn4_median_impute(spark, sf_dir):
     """FN4: densify each service onto the regular bucket grid between the
     first and last bucket, and fill missing counts with the exact median.
     The grid is generated per service with ``sequence`` (no cross join); the
-    bounds and the median are one-row scalar subqueries."""
+    bounds are one-row scalar subqueries, the median a distributed rank."""
     pts = metric_points(spark, sf_dir)
     lo = pts.select(F.min("ts")).scalar()
     hi = pts.select(F.max("ts")).scalar()
     grid = (pts.select(*KEYS).distinct()
             .select(*KEYS, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 6 HOURS"))).alias("ts")))
     dense = grid.join(pts.select(*KEYS, "ts", "connection_count"), on=[*KEYS, "ts"], how="left")
-    med = pts.select(F.percentile("connection_count", 0.5)).scalar()
+    med = F.lit(exact_quantile(pts, "connection_count", 0.5))
     return dense.select(*KEYS, "ts", F.coalesce("connection_count", med).alias("connection_count"))
 
 

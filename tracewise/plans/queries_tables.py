@@ -9,7 +9,7 @@ from tracewise.operators import correlate, features, normalize
 from tracewise.plans import edge_rca, mesh
 from tracewise.plans.queries_graph import _LONG_SQL, _corr_sql, corr_normal, iqr_table, _series, STEP
 from tracewise.plans.queries_mesh import MEAN_LAT, REQ_RATES, _quantile_cte
-from tracewise.plans.sqlbits import DAG_CTE, PHASES_CTE, SERVERS_CTE
+from tracewise.plans.sqlbits import DAG_CTE, PHASES_CTE, SERVERS_CTE, features_sql
 from tracewise.registry import register
 from tracewise.sources.bindings import (KEYS, N_IP_PORTS, N_SERVER_NAMES, metric_phases, server_points, with_service_id)
 
@@ -61,16 +61,25 @@ def win12_fraction_split(spark, sf_dir):
     return features.split_by_fraction(server_points(spark, sf_dir), ["server_id"]).select("server_id", "ts", "phase")
 
 
+_SERVER_METRICS = ["cpu_us", "cpu_sy", "mem_free", "io_bi"]
+
+
 @register("win11_sequences", sql=f"""WITH {SERVERS_CTE},
-q AS (SELECT server_id, ts,
-        list(cpu_us) OVER (PARTITION BY server_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS seq,
+q AS (SELECT server_id, ts, {", ".join(
+        f"list({m}) OVER w AS {m}" for m in _SERVER_METRICS)},
         lead(ts, 10) OVER (PARTITION BY server_id ORDER BY ts) AS nxt
-      FROM servers)
-SELECT server_id, ts, seq FROM q WHERE nxt IS NOT NULL""")
+      FROM servers WINDOW w AS (PARTITION BY server_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING))
+SELECT server_id, ts, {", ".join(_SERVER_METRICS)} FROM q WHERE nxt IS NOT NULL""")
 def win11_sequences(spark, sf_dir):
-    """WIN11: overlapping 10-step windows per server, stride 1 (last dropped)."""
-    s = features.sequences(server_points(spark, sf_dir), ["server_id"], ["cpu_us"])
-    return s.select("server_id", "ts", F.transform("seq", lambda a: a[0]).alias("seq"))
+    """WIN11: overlapping 10-step windows per server over all metrics, stride
+    1 (last dropped); one list per metric."""
+    s = features.sequences(server_points(spark, sf_dir), ["server_id"], _SERVER_METRICS)
+    return s.select("server_id", "ts", *[F.transform("seq", _item(k)).alias(m)
+                                         for k, m in enumerate(_SERVER_METRICS)])
+
+
+def _item(k):
+    return lambda step: step[k]
 
 
 def _pivot_values(pts):
@@ -148,35 +157,40 @@ def viz2_bar_table(spark, sf_dir):
 
 @register("job1_train")
 def job1_train(spark, sf_dir):
-    """JOB1: train on the baseline (features, stats, forest, correlation
-    graph) and persist every state table under the checkpoint folder; the
-    result lists each table with its row count as read back."""
-    import os
-    import uuid
-    from tracewise.operators import forest
-    from tracewise.plans import service
-    from tracewise.plans.queries_models import Z_FEATS, _key
-    from tracewise.session import ensure_checkpoint_dir
-    root = os.path.join(ensure_checkpoint_dir(spark), f"train-{uuid.uuid4().hex[:8]}")
-    pts = metric_phases(spark, sf_dir)
-    base, _ = pts
-    zb, _, feats = service.scored_features(pts)
-    tables = {
-        "baseline_stats": normalize.baseline_stats(base, KEYS, ["connection_count"]),
-        "feature_stats": normalize.baseline_stats(zb.select(*KEYS, *[f"z_{f}" for f in feats]), KEYS,
-                                                  [f"z_{f}" for f in feats]),
-        "forest_nodes": forest.fit(_key(zb), ["_key"], Z_FEATS, seed=42),
-        "corr": corr_normal(spark, sf_dir),
-    }
+    """JOB1: train on the baseline and persist every state table under the
+    checkpoint folder; the result lists each table with its row count as read
+    back."""
+    from tracewise.plans import train
+    root = train.train(spark, sf_dir)
     out = None
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        back = spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("table"),
-                                                           F.count(F.lit(1)).alias("rows"))
+    for name in train.TABLES:
+        back = train.load(spark, root, name).select(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"))
         out = back if out is None else out.unionByName(back)
     return out
 
 
+_FEAT_STATS = ["connection_count", "rolling_mean", "diff", "rate_change", "over_max_count", "over_avg_count",
+               "delta_max", "delta_avg", "ratio_avg", "conn_log"]
+
+
+@register("job1_feature_stats", sql=f"""WITH {PHASES_CTE}, {features_sql('base', 'connection_count')}
+SELECT ip_port, server_name, {", ".join(
+    f"avg({c}) AS {c}_mean, CASE WHEN stddev_samp({c}) IS NOT NULL THEN greatest(stddev_samp({c}), 1e-6) END AS {c}_std"
+    for c in _FEAT_STATS)} FROM feat_base GROUP BY ip_port, server_name""")
+def job1_feature_stats(spark, sf_dir):
+    """JOB1 (SNK5, SRC8): statistics of the raw features, as stored and loaded."""
+    from tracewise.plans import train
+    return train.load(spark, train.train(spark, sf_dir, ["feature_stats"]), "feature_stats")
+
+
+@register("job2_predict")
+def job2_predict(spark, sf_dir):
+    """JOB2 (SRC8): the problem window scored with nothing but stored state;
+    the same rows as ``det7_forest_score``."""
+    from tracewise.plans import train
+    return train.predict(spark, sf_dir, train.train(spark, sf_dir, ["feature_stats", "forest_nodes", "offset"]))
+
+
 # ------------------------------------------------------- explicit small ops
 
 @register("flt1_flag_filter", sql=f"""WITH {PHASES_CTE},
@@ -194,16 +208,12 @@ def flt1_flag_filter(spark, sf_dir):
 
 @register("flt6_min_rows_guard", sql=f"""WITH {PHASES_CTE}
 SELECT ip_port, server_name, ts, connection_count FROM prob
-WHERE (ip_port, server_name) IN (SELECT ip_port, server_name FROM prob WHERE connection_count >= 10
-                                 GROUP BY 1, 2 HAVING count(*) >= 5)
-  AND connection_count >= 10""")
+WHERE (ip_port, server_name) IN (SELECT ip_port, server_name FROM prob GROUP BY 1, 2 HAVING count(*) >= 5)""")
 def flt6_min_rows_guard(spark, sf_dir):
-    """FLT6: busy buckets (>= 10 connections) of the problem window, kept
-    only for services that have at least 5 of them."""
+    """FLT6: the problem window of the services with at least 5 buckets in it."""
     from tracewise.operators.detect import min_rows
     _, prob = metric_phases(spark, sf_dir)
-    busy = prob.filter(F.col("connection_count") >= 10).select(*KEYS, "ts", "connection_count")
-    return min_rows(busy, KEYS, 5)
+    return min_rows(prob.select(*KEYS, "ts", "connection_count"), KEYS, 5)
 
 
 @register("set4_distinct_services", sql=f"""WITH {PHASES_CTE}

@@ -46,21 +46,25 @@ def worst_services_by_sigma(points: DataFrame, k: int = 5) -> DataFrame:
     return top_k(rates, "sigma_rate", k, "service_id")
 
 
+FEATURES = ["connection_count", "rolling_mean", "diff", "rate_change", "over_max_count", "over_avg_count",
+            "delta_max", "delta_avg", "ratio_avg", "conn_log"]
+
+
+def raw_features(points: DataFrame, metric: str = "connection_count") -> DataFrame:
+    """Features of the single-metric flow, before any normalisation."""
+    return add_features(points, KEYS, [metric], naming="plain", log1p=True)
+
+
 def scored_features(points: DataFrame, metric: str = "connection_count"):
     """Feature + z pipeline of the single-metric flow for both phases.
 
     Returns (baseline rows, problem rows) with raw features, ``conn_zscore``,
     ``conn_log`` and ``z_<feature>`` columns, all from baseline statistics.
     """
-    feats = ["connection_count", "rolling_mean", "diff", "rate_change", "over_max_count",
-             "over_avg_count", "delta_max", "delta_avg", "ratio_avg", "conn_log"]
     base, prob = as_phases(points)
-    fb = add_features(base, KEYS, [metric], naming="plain", log1p=True)
-    fp = add_features(prob, KEYS, [metric], naming="plain", log1p=True)
-    stats = baseline_stats(fb, KEYS, feats)
-    zb = zscore(fb, stats, KEYS, feats)
-    zp = zscore(fp, stats, KEYS, feats)
-    return zb, zp, feats
+    fb, fp = raw_features(base, metric), raw_features(prob, metric)
+    stats = baseline_stats(fb, KEYS, FEATURES)
+    return zscore(fb, stats, KEYS, FEATURES), zscore(fp, stats, KEYS, FEATURES), FEATURES
 
 
 def densify(series: DataFrame, id_col: str, step: str, value: str) -> DataFrame:
@@ -74,13 +78,14 @@ def densify(series: DataFrame, id_col: str, step: str, value: str) -> DataFrame:
             .fillna(0.0, subset=[value]))
 
 
-def causal_chains(rates: DataFrame, causal: DataFrame, k: int = 5, max_rounds: int = 10000) -> DataFrame:
+def causal_chains(rates: DataFrame, causal: DataFrame, k: int = 5) -> DataFrame:
     """RCA1: from the k services with the highest anomaly rate, repeatedly step
     to the causal neighbour with the highest rate (ties by name); stop at a
     dead end or at the first revisit (the repeated node is kept).
 
     ``rates(service_id, anomaly_rate)``, ``causal(a, b)``: b causes a.
     The next hop is a function of the node, so each round is one small join.
+    Chains never repeat a node before they stop, so the loop ends by itself.
     """
     from tracewise.operators.detect import top_k
     from tracewise.session import cut_lineage
@@ -92,10 +97,7 @@ def causal_chains(rates: DataFrame, causal: DataFrame, k: int = 5, max_rounds: i
     starts = top_k(rates, "anomaly_rate", k, "service_id")
     state = cut_lineage(starts.select(F.col("service_id").alias("start"), F.array("service_id").alias("chain"),
                                       F.col("service_id").alias("cur"), F.lit(True).alias("active")))
-    for _ in range(max_rounds):
-        act = state.filter("active")
-        if act.isEmpty():
-            break
+    while not (act := state.filter("active")).isEmpty():
         j = act.join(nh, "cur", "left")
         step_ = j.select("start",
                          F.when(F.col("next").isNull(), F.col("chain"))

@@ -8,8 +8,10 @@ tests and the local bench behave like a small cluster.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants; applied only where the launcher left them unset.
@@ -26,14 +28,21 @@ _DEFAULTS = {
 def get_session(master: str | None = None, app: str = "tracewise",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
+    """A prepared session.  What the caller names here is set; the defaults
+    only fill in what neither the launcher nor a running session has set."""
+    named = dict(extra or {})
+    if shuffle_partitions:
+        named["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    running = SparkSession.getActiveSession()
+    if running is None:
+        launch = SparkConf(loadDefaults=False).setAll(list(named.items()))
+        SparkContext._ensure_initialized(conf=launch)  # starts the JVM, which knows the launcher's settings
+        known = dict(SparkConf().getAll())
+        named = {k: v for k, v in _DEFAULTS.items() if k not in known} | named
+    for k, v in named.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -74,21 +83,33 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder: the one the launcher gave the context,
+    else the one named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to shared storage and we only read it.
-    Only when it is unset (tests, local bench) do we create a scratch folder.
+    Only in local mode, where one machine sees everything, is a scratch folder
+    made if neither is set (tests, local bench); on a cluster that raises.
     """
+    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
+    given = sc.getCheckpointDir()
+    if given is not None:
+        # Spark puts a folder of its own below the one it was given
+        return path if path and _inside(given, path) else given
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to storage that all executors share")
         path = tempfile.mkdtemp(prefix="tracewise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
+def _inside(given: str, path: str) -> bool:
+    def bare(p):
+        return re.sub(r"^file:/*", "/", p).rstrip("/")
+    return bare(given).startswith(bare(path))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -2,7 +2,7 @@
 
 * STR1: tumbling bucket mean per service with a watermark.
 * STR2 + STR6: per micro-batch scoring (``foreachBatch``) against static
-  baseline statistics, appended to a Parquet sink.
+  baseline statistics, one idempotent Parquet folder per batch.
 * STR3: stateful trailing features per service with
   ``applyInPandasWithState`` (the last points are kept in state, so the
   first point of a new batch still sees its predecessors).
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tracewise.functions.columns import SIGMA_K, as_utc_instant, to_naive
+from tracewise.functions.columns import SIGMA_K, as_utc_instant, epoch_seconds, to_naive
 from tracewise.session import ensure_checkpoint_dir
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -36,7 +36,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}-{uuid.uuid4().hex[:8]}")
 
 
-def read_events(spark: SparkSession, source_dir: str, pattern: str = "events*.parquet",
+def read_events(spark: SparkSession, source_dir: str, pattern: str = "*.parquet",
                 watermark: str = "1 day", max_files: int | None = None) -> DataFrame:
     """File stream of events from a folder; ``ts`` cast to ``timestamp``
     (watermarks need it) and duplicates within the watermark dropped (STR5)."""
@@ -60,45 +60,69 @@ def bucket_means(events: DataFrame, bucket: str = "6 hours") -> DataFrame:
              F.count_if(F.col("event_type") == "error").cast("double").alias("eps")))
 
 
-def run_upsert_log(agg: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Run an aggregation stream in update mode, appending every micro-batch
-    (tagged with its id) to a Parquet log, and return the latest version of
-    each key - equal to the batch aggregate once the input is consumed."""
-    spark = agg.sparkSession
+def _run_versions(stream: DataFrame, name: str, prepare=lambda batch: batch) -> DataFrame:
+    """Run an update-mode stream; every micro-batch is written to its own
+    ``batch=<id>`` folder by overwriting, so a replayed batch replaces its
+    first try.  Returns all versions, with the batch that wrote them."""
+    spark = stream.sparkSession
     out, ckpt = _scratch(spark, name), _scratch(spark, name + "-ckpt")
 
     def write(batch: DataFrame, batch_id: int):
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+        prepare(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(write)
+    q = (stream.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    log = spark.read.parquet(out)
-    value_cols = [c for c in log.columns if c not in keys and c != "_batch"]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), F.col("_batch")).alias("_v"))
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+    return spark.read.parquet(out)
+
+
+def newest_versions(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The last written version of each key."""
+    values = [c for c in log.columns if c not in (*keys, "batch")]
+    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch")).alias("_v"))
+    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+
+def run_upsert_log(agg: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Run an aggregation stream in update mode and return the latest version
+    of each key - equal to the batch aggregate once the input is consumed."""
+    return newest_versions(_run_versions(agg, name), keys)
 
 
 def score_stream(events: DataFrame, stats: DataFrame, name: str, bucket: str = "6 hours") -> DataFrame:
     """STR2 + STR6 + SNK2: every micro-batch's bucket aggregates are joined
-    with the static baseline stats and 3-sigma flagged; rows are appended to
-    a Parquet table, which is returned."""
-    spark = events.sparkSession
-    out, ckpt = _scratch(spark, name), _scratch(spark, name + "-ckpt")
-    agg = bucket_means(events, bucket)
-
-    def write(batch: DataFrame, batch_id: int):
+    with the static baseline stats and 3-sigma flagged.  A bucket that gets
+    more events later is scored again; the newest version of each counts."""
+    def scored(batch: DataFrame) -> DataFrame:
         j = batch.join(stats, ["ip_port", "server_name"], "left")
         flag = (F.abs(F.col("connection_count") - F.col("connection_count_mean"))
                 > F.lit(SIGMA_K) * F.col("connection_count_std"))
-        (j.select("ip_port", "server_name", to_naive("w.start").alias("ts"), "connection_count",
-                  F.coalesce(flag, F.lit(False)).alias("is_anomaly"), F.lit(batch_id).alias("batch"))
-         .write.mode("append").parquet(out))
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+        return j.select("ip_port", "server_name", to_naive("w.start").alias("ts"), "connection_count",
+                        F.coalesce(flag, F.lit(False)).alias("is_anomaly"))
+
+    return newest_versions(_run_versions(bucket_means(events, bucket), name, scored), ["ip_port", "server_name", "ts"])
+
+
+STAGE_FILES = 8
+
+
+def stage_events(spark: SparkSession, sf_dir: str, parts: int = 4) -> tuple[str, int]:
+    """The events as ``parts`` consecutive time ranges of up to
+    ``STAGE_FILES`` files, written one range after the other, and the length
+    of a range in seconds.  A file stream that takes ``STAGE_FILES`` files per
+    trigger sees the ranges in order, and no event later than a range."""
+    events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    out = _scratch(spark, "events")
+    b = events.select(F.min(epoch_seconds("ts")), F.max(epoch_seconds("ts"))).first()
+    if b[0] is None:
+        events.write.parquet(out)
+        return out, 1
+    width = (b[1] - b[0]) // parts + 1
+    part = F.floor((epoch_seconds("ts") - F.lit(b[0])) / F.lit(width))
+    for k in range(parts):
+        events.filter(part == k).select("event_id", "ts", "user_id", "event_type", "value", "props") \
+            .repartition(STAGE_FILES).write.mode("append").parquet(out)
+    return out, width
 
 
 def sliding_counts(events: DataFrame, length: str = "6 hours", slide: str = "3 hours") -> DataFrame:
