@@ -1,9 +1,10 @@
 """Distributed connected components (used by operators 7 and 8).
 
 Alternating large-star / small-star rounds over an edge table.  A round is two
-equi-joins against per-vertex minima, which combine on the map side, so a hub
-vertex is never gathered in one group.  Each round is materialised in the
-shared folder; the driver sees two numbers a round."""
+equi-joins against per-vertex minima, which combine on the map side.  Minima
+and rounds are materialised in the shared folder, so that a join reads both
+sides from shuffles of its own and a hub vertex is split by the skew join.
+The driver sees two numbers a round."""
 
 from __future__ import annotations
 
@@ -15,7 +16,7 @@ from tracewise.llm.common import materialise
 
 def _minima(adjacent: DataFrame) -> DataFrame:
     """u -> smallest vertex among u and its neighbours."""
-    return adjacent.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return materialise(adjacent.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -7,10 +7,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewise.llm import oracles
 from tracewise.llm.common import table
 
 QUERIES = {}
-ORACLES = {}
+ORACLES = {"op4_chat_format": oracles.CHAT, "op6_sentence_dedup": oracles.SENTENCES, "op7_near_dedup": oracles.NEAR,
+           "op8_url_filter": oracles.URLS}
 
 
 def query(fn):
