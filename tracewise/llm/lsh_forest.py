@@ -3,8 +3,9 @@
 1. One pass over the texts gives each document its shingle-set size, a 128-bit
    set digest and a MinHash signature of TREES * DEPTH values.  Documents with
    equal sets are one class from here on, so copies are never compared.
-2. Every tree orders the classes by its own DEPTH signature values.  The rows
-   of all trees are sorted globally (range partitions, so a dense region is
+2. Every tree orders the classes by KEY_DEPTH signature values, starting at
+   its own DEPTH values and going on with the next tree's, so that dense
+   regions are told apart more deeply.  The rows of all trees are sorted globally (range partitions, so a dense region is
    spread over tasks), and each row is compared with the rows that follow it:
    in a sorted order these share the longest common prefixes.  The depth
    adapts to the region: where many classes share a prefix, the neighbours are
@@ -42,7 +43,8 @@ from tracewise.llm.wordhash import joined, mix, run_hashes, word_hashes, word_sp
 TREES = 20
 DEPTH = 8
 MIN_DEPTH = 3
-NEIGHBOURS = 4
+NEIGHBOURS = 8
+KEY_DEPTH = 16
 
 
 def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
@@ -120,9 +122,10 @@ def candidates(classes: DataFrame, trees: int, depth: int, min_depth: int, neigh
                parts: int) -> DataFrame:
     """(a, b, weight) with a < b: neighbours in at least one tree's sorted
     order; ``weight`` sums the common prefix lengths over the trees."""
-    width = 4 * depth
+    width = 4 * min(KEY_DEPTH, trees * depth)
     entries = classes.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig") \
-        .select("doc_id", "tree", F.substring("sig", F.col("tree") * width + 1, F.lit(width)).alias("key"))
+        .select("doc_id", "tree", F.substring(F.concat("sig", "sig"), F.col("tree") * (4 * depth) + 1,
+                                              F.lit(width)).alias("key"))
     ordered = entries.repartitionByRange(parts, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
 
     def run(batches):
@@ -146,7 +149,7 @@ def candidates(classes: DataFrame, trees: int, depth: int, min_depth: int, neigh
                 continue
             tree = batch.column("tree").to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(-1, depth)
+            keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(-1, width // 4)
             if head < neighbours:
                 take = min(neighbours - head, len(ids))
                 yield borders(1, border, tree[:take], keys[:take], ids[:take])
@@ -169,7 +172,7 @@ def candidates(classes: DataFrame, trees: int, depth: int, min_depth: int, neigh
         """Last rows of one partition against the first rows of the next."""
         rows = rows.sort_by([("kind", "descending"), ("tree", "ascending"), ("key", "ascending"), ("a", "ascending")])
         ids = rows.column("a").to_numpy()
-        keys = np.frombuffer(b"".join(rows.column("key").to_pylist()), ">u4").reshape(-1, depth)
+        keys = np.frombuffer(b"".join(rows.column("key").to_pylist()), ">u4").reshape(-1, width // 4)
         pairs = _neighbour_pairs(rows.column("tree").to_numpy(), keys, ids, min_depth, 2 * neighbours)
         none = np.empty(0, np.int64)
         a, b, lcp = (np.concatenate([none, *x]) for x in (zip(*pairs, strict=True) if pairs else ((), (), ())))
