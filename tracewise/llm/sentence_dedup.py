@@ -11,9 +11,10 @@ occurrence (smallest doc_id, then position) stays; the sentences that any
 other occurrence covers are removed.
 
 The global step moves some 36 bytes a run, never text: a map-side combined
-minimum per hash, and a join back to the hashes found twice or more, which are
-materialised first, so that a hash of a third of all runs is split by the skew
-join.  Neither collects a group.
+minimum per hash gives first occurrences, which are materialised.  Frequent
+hashes (at most MAX_FREQUENT: those with at least that fraction of all
+repeated runs) are looked up where the runs are made, so a passage in a third
+of all documents never becomes a hot join key; the others are joined back.
 
 Defined results: a null text is empty, texts without a whole run are
 untouched, of equal texts the smallest id's stays whole and the others lose
@@ -34,6 +35,7 @@ from tracewise.llm.wordhash import joined, span_hashes, word_hashes, word_spans
 MIN_SENTENCES = 2
 MIN_WORDS = 25
 LONG_SENTENCE = 40
+MAX_FREQUENT = 50_000
 
 _END = np.zeros(256, bool)
 _END[[ord("."), ord("!"), ord("?")]] = True
@@ -65,8 +67,43 @@ def sentence_runs(cuts: np.ndarray, min_sentences: int, min_words: int,
     return np.concatenate([i[whole], long, tail]), np.concatenate([j[whole], long + 1, tail * 0 + m])
 
 
-def runs(rows: DataFrame, min_sentences: int, min_words: int, long_sentence: int) -> DataFrame:
-    """(doc_id, digest, i, j, ha, hb) of every sentence run of (doc_id, text)."""
+class Frequent:
+    """The most frequent run hashes and the first occurrence of each, sorted
+    by hash: at most MAX_FREQUENT entries, so they can be sent everywhere."""
+
+    def __init__(self, rows: list):
+        rows = sorted(rows, key=lambda r: (r["ha"], r["hb"]))
+        self.ha, self.hb, self.doc, self.digest, self.i = (
+            np.array([r[c] for r in rows], np.int64) for c in ("ha", "hb", "fd", "fg", "fi"))
+
+    def split(self, doc, digest, i, j, ha, hb):
+        """Which runs are in the list, and the merged sentence ranges that
+        those of them cover that are no first occurrence."""
+        at = np.minimum(np.searchsorted(self.ha, ha), max(len(self.ha) - 1, 0))
+        listed = np.zeros(len(ha), bool)
+        if len(self.ha):
+            # equal upper halves are next to each other; they differ in hb only by chance
+            for step in range(2):
+                k = np.minimum(at + step, len(self.ha) - 1)
+                hit = (self.ha[k] == ha) & (self.hb[k] == hb) & ~listed
+                listed |= hit
+                at = np.where(hit, k, at)
+        again = listed & ~((self.doc[at] == doc) & (self.digest[at] == digest) & (self.i[at] == i)) \
+            if len(self.ha) else listed
+        a, b = i[again], j[again]
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], np.maximum.accumulate(b[order]) if len(order) else b
+        new = np.ones(len(a), bool)
+        new[1:] = a[1:] > b[:-1]
+        return listed, a[new], b[np.append(np.flatnonzero(new)[1:] - 1, len(b) - 1)] if len(b) else b
+
+
+def runs(rows: DataFrame, min_sentences: int, min_words: int, long_sentence: int,
+         frequent: Frequent | None = None) -> DataFrame:
+    """(doc_id, digest, i, j, ha, hb) of every sentence run of (doc_id, text).
+    With ``frequent`` the runs listed there give only the merged ranges they
+    cover, with null hashes."""
+    shared = rows.sparkSession.sparkContext.broadcast(frequent) if frequent is not None else None
 
     def run(batches):
         for batch in batches:
@@ -87,14 +124,24 @@ def runs(rows: DataFrame, min_sentences: int, min_words: int, long_sentence: int
                         continue
                     w = words[a:b]
                     whole = span_hashes(w, np.zeros(1, np.int64), np.full(1, b - a), 5)
-                    out.append((np.full(len(i), ids[x + k]), np.repeat(whole, len(i)).view(np.int64), i, j,
-                                span_hashes(w, cuts[i], cuts[j], 1).view(np.int64),
-                                span_hashes(w, cuts[i], cuts[j], 2).view(np.int64)))
+                    doc, digest = ids[x + k], whole.view(np.int64)[0]
+                    ha = span_hashes(w, cuts[i], cuts[j], 1).view(np.int64)
+                    hb = span_hashes(w, cuts[i], cuts[j], 2).view(np.int64)
+                    covered = np.zeros(len(i), bool)
+                    if shared is not None:
+                        listed, a0, b0 = shared.value.split(doc, digest, i, j, ha, hb)
+                        i, j = np.concatenate([i[~listed], a0]), np.concatenate([j[~listed], b0])
+                        gap = np.zeros(len(a0), np.int64)
+                        ha, hb = np.concatenate([ha[~listed], gap]), np.concatenate([hb[~listed], gap])
+                        covered = np.arange(len(i)) >= len(i) - len(a0)
+                    out.append((np.full(len(i), doc), np.full(len(i), digest), i, j, ha, hb, covered))
                 if out:
-                    cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+                    *cols, covered = (np.concatenate(c) for c in zip(*out, strict=True))
                     types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                                                     names=["doc_id", "digest", "i", "j", "ha", "hb"])
+                    masks = [None, None, None, None, covered, covered]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t, mask=m) for c, t, m in zip(cols, types, masks, strict=True)],
+                        names=["doc_id", "digest", "i", "j", "ha", "hb"])
 
     return rows.where("doc_id IS NOT NULL").mapInArrow(
         run, "doc_id long, digest long, i int, j int, ha long, hb long")
@@ -104,13 +151,18 @@ def repeated_runs(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words
                   long_sentence: int = LONG_SENTENCE, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """(doc_id, digest, i, j): the runs that are not the first of their kind."""
-    found = runs(text_rows(docs, id_col, text_col), min_sentences, min_words, long_sentence)
-    first = found.groupBy("ha", "hb").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("d0"),
-        F.min(F.struct("doc_id", "digest", "i")).alias("f")).where("n > 1") \
-        .select("ha", "hb", F.col("f.doc_id").alias("fd"), F.col("f.digest").alias("fg"), F.col("f.i").alias("fi"))
-    return found.join(materialise(first), ["ha", "hb"]).where("NOT (doc_id = fd AND digest = fg AND i = fi)") \
-        .select("doc_id", "digest", "i", "j")
+    rows = text_rows(docs, id_col, text_col)
+    first = runs(rows, min_sentences, min_words, long_sentence).groupBy("ha", "hb").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "digest", "i")).alias("f")).where("n > 1") \
+        .select("ha", "hb", "n", F.col("f.doc_id").alias("fd"), F.col("f.digest").alias("fg"), F.col("f.i").alias("fi"))
+    first = materialise(first)
+    total = first.agg(F.sum("n")).first()[0] or 0
+    often = max(3, -(-total // MAX_FREQUENT))  # so many occurrences can only MAX_FREQUENT hashes have
+    listed = Frequent(first.where(F.col("n") >= often).collect())
+    found = runs(rows, min_sentences, min_words, long_sentence, listed)
+    rare = found.where("ha IS NOT NULL").join(first.where(F.col("n") < often).drop("n"), ["ha", "hb"]) \
+        .where("NOT (doc_id = fd AND digest = fg AND i = fi)").select("doc_id", "digest", "i", "j")
+    return rare.unionByName(found.where("ha IS NULL").select("doc_id", "digest", "i", "j"))
 
 
 def _cut(text: str, covered: list[tuple[int, int]]) -> tuple[str, int]:
