@@ -19,6 +19,10 @@
 
 Two sets of similarity s share MIN_DEPTH values in at least one of the trees
 with probability 1 - (1 - s**MIN_DEPTH)**TREES: more than 0.999998 at 0.8.
+In a dense region a row is compared with its NEIGHBOURS nearest rows of each
+order, so a component can only be torn where a single pair of texts holds two
+dense groups together and no order puts that pair close (see the README for
+the comparison with an exact join).
 
 Defined results: null or empty texts, or texts without words, have an empty
 set and stand alone.  Rows with a null id are never linked and have a null
@@ -43,7 +47,7 @@ from tracewise.llm.wordhash import joined, mix, run_hashes, word_hashes, word_sp
 TREES = 20
 DEPTH = 8
 MIN_DEPTH = 3
-NEIGHBOURS = 8
+NEIGHBOURS = 16
 KEY_DEPTH = 16
 
 
