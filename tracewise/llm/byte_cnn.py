@@ -206,8 +206,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> ByteCnn:
-    rows = labelled_sample(docs, labels, max_rows, max_bytes).collect()
-    rows = sorted({(r["doc_id"], r["text"], r["quality"]) for r in rows},
+    rows = sorted({tuple(r) for r in labelled_sample(docs, labels, max_rows, max_bytes).collect()},
                   key=lambda r: (zlib.crc32(b"%d" % r[0]), r))[:max_rows]
     return ByteCnn().fit([r[1] for r in rows], [r[2] for r in rows])
 

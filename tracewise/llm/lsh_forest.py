@@ -242,7 +242,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
         .join(la, "a", "left").join(lb, "b", "left") \
         .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
     second = confirmed(rest, texts, words, percent)
-    links = links.unionByName(second.select(F.col("a").alias("src"), F.col("b").alias("dst"))).unionByName(same)
+    # the components so far stand for their links
+    links = label.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(
+        second.select(F.col("a").alias("src"), F.col("b").alias("dst"))).unionByName(same)
     label = connected_components(links)
     out = sketch.select("doc_id", "n_shingles").join(
         label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
