@@ -128,3 +128,26 @@ def test_session_keeps_what_is_set(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_one_class_does_not_depend_on_partitioning(spark):
+    from tracewise.operators import oneclass
+    x = np.random.default_rng(0).normal(size=(1500, 4))
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abcd")))
+    flags = []
+    for parts in (1, 8, 64):
+        m = oneclass.fit(df.repartition(parts), list("abcd"), nu=0.05, rounds=6)
+        flags.append(m.decision(x) < -1e-9)
+    assert (flags[0] == flags[1]).all() and (flags[0] == flags[2]).all()
+    assert 0.03 < flags[0].mean() < 0.07
+
+
+def test_linked_series_give_edges_and_directions(spark):
+    from tracewise.plans.queries_graph import cor2_linked_graph, cor3_linked_directions, cor5_linked_edges
+    sf = "/root/testdata/sf0.01"
+    edges = {(r["caller"], r["callee"]): r["lag"] for r in cor5_linked_edges(spark, sf).collect()}
+    assert all(edges[f"link_{k}", f"link_{j}"] == k - j for k in range(5) for j in range(k))
+    assert not any("constant" in e for pair in edges for e in [pair[0], pair[1]])
+    assert {("link_0", "shifted"), ("shifted", "link_0")} <= {(r["a"], r["b"]) for r in cor2_linked_graph(spark, sf).collect()}
+    causes = {(r["a"], r["b"]): r["causes"] for r in cor3_linked_directions(spark, sf).collect()}
+    assert any(causes.values())

@@ -7,10 +7,11 @@ approximates the RBF kernel ``exp(-gamma |x - y|^2)``.  The nu-objective
 
     1/2 |w|^2 - rho + 1/(nu n) * sum_i max(0, rho - w . phi(x_i))
 
-is minimised by iterative parameter mixing: each round broadcasts (w, rho),
-every partition runs one local epoch of mini-batch sub-gradient steps on its
-rows, and the next (w, rho) is the row-weighted average of the partition
-results (one aggregation per round; only D + 1 numbers reach the driver).
+is minimised by full-batch sub-gradient steps: each round sums phi over all
+rows that violate the margin (per dimension, combined on the map side), so the
+result does not depend on how the rows are partitioned; D numbers a round
+reach the driver.  rho is set each round to its optimum for that w, the exact
+nu-quantile of the training scores, found by distributed ranks.
 Decision value ``w . phi(x) - rho``; negative = outlier.
 """
 
@@ -24,6 +25,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewise.operators.ranks import exact_quantile
+from tracewise.session import cut_lineage
+
 
 @dataclass
 class OneClassModel:
@@ -40,63 +44,41 @@ class OneClassModel:
         return self.phi(X) @ self.w - self.rho
 
 
-def _epoch(features, nu, batch, state, t0):
+def _violator_sums(features, state):
     def fn(batches):
         W, b, w, rho = state.value
-        w = w.copy()
         D = W.shape[1]
-        n_seen = 0
-        t = t0
         for pdf in batches:
-            X = pdf[features].to_numpy(dtype=float)
-            P = np.sqrt(2.0 / D) * np.cos(X @ W + b)
-            for s in range(0, len(P), batch):
-                Pb = P[s:s + batch]
-                viol = (Pb @ w) < rho
-                g = w - (Pb[viol].sum(axis=0) / (nu * len(Pb)) if viol.any() else 0.0)
-                w = w - g / t          # strongly convex in w: step 1/t
-                t += 1
-            n_seen += len(P)
-        if n_seen:
-            yield pd.DataFrame({"w": [w.tolist()], "n": [n_seen], "steps": [t - t0]})
+            P = np.sqrt(2.0 / D) * np.cos(pdf[features].to_numpy(dtype=float) @ W + b)
+            yield pd.DataFrame({"dim": np.arange(D), "s": P[P @ w < rho].sum(axis=0)})
     return fn
 
 
 def fit(df: DataFrame, features: Sequence[str], nu: float = 0.01, D: int = 256, gamma=None,
-        rounds: int = 10, batch: int = 64, seed: int = 42) -> OneClassModel:
-    """DET8 fit; ``gamma`` None means 1 / n_features (the reference's 'auto').
-
-    Each round: (1) every partition runs mini-batch sub-gradient steps on w
-    with rho fixed, the partition results are averaged by row count; (2) rho
-    is reset to its optimum for that w, the nu-quantile of w . phi(x) over the
-    training rows (one distributed percentile)."""
+        rounds: int = 12, seed: int = 42) -> OneClassModel:
+    """DET8 fit; ``gamma`` None means 1 / n_features (the reference's 'auto')."""
     features = list(features)
     d = len(features)
     g = (1.0 / d) if gamma is None else float(gamma)
     rng = np.random.default_rng(seed)
     W = rng.normal(0.0, np.sqrt(2.0 * g), size=(d, D))
     b = rng.uniform(0.0, 2.0 * np.pi, size=D)
-    data = df.select(*[F.col(f).cast("double").alias(f) for f in features])
+    data = cut_lineage(df.select(*[F.col(f).cast("double").alias(f) for f in features]))
     sc = df.sparkSession.sparkContext
-    # start with every row violating (w = 0 < rho = 1): the first steps pull
-    # w towards the data's mean feature map
-    w = np.zeros(D)
-    rho = 1.0
-    t = 1
-    for _ in range(rounds):
+    n = data.count()
+    # start with every row violating (w = 0 < rho = 1): the first step goes to
+    # the data's mean feature map
+    w, rho = np.zeros(D), 1.0
+    for t in range(1, rounds + 1 if n else 1):
         state = sc.broadcast((W, b, w, rho))
-        parts = data.mapInPandas(_epoch(features, nu, batch, state, t), "w array<double>, n long, steps long")
-        agg = parts.select(
-            F.aggregate(F.collect_list(F.struct("w", "n")), F.array_repeat(F.lit(0.0), D),
-                        lambda acc, x: F.zip_with(acc, x["w"], lambda a, v: a + v * x["n"])).alias("sw"),
-            F.sum("n").alias("n"), F.max("steps").alias("steps")).first()
+        sums = (data.mapInPandas(_violator_sums(features, state), "dim int, s double")
+                .groupBy("dim").agg(F.sum("s").alias("s")).collect())
         state.unpersist()
-        if not agg["n"]:
-            break
-        w = np.array(agg["sw"]) / agg["n"]
-        t += int(agg["steps"])
-        model = OneClassModel(W, b, w, 0.0)
-        rho = float(score(data, model, features, out="_s").select(F.percentile("_s", nu)).first()[0])
+        total = np.zeros(D)
+        for r in sums:
+            total[r["dim"]] = r["s"]
+        w = w - (w - total / (nu * n)) / t     # strongly convex in w: step 1/t
+        rho = exact_quantile(score(data, OneClassModel(W, b, w, 0.0), features, out="_s"), "_s", nu)
     return OneClassModel(W, b, w, rho)
 
 

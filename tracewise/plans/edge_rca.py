@@ -48,7 +48,7 @@ def edge_series(hourly: DataFrame) -> DataFrame:
     req = mesh.request_summary(hourly)
     return (req.join(rt, on=["ts", *EDGE], how="inner")
             .select("ts", *EDGE, "rt", F.coalesce("error_rate", F.lit(0.0)).alias("error"),
-                    F.col("rps").alias("qps")))
+                    F.col("rps").alias("qps"), F.col("error_rate").isNotNull().alias("has_error")))
 
 
 def prepared_windows(hourly: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
@@ -95,13 +95,14 @@ def _outlier_delta_mean(w: DataFrame, flag: str, out: str) -> DataFrame:
 
 def reliability_features(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
     """DET12: baseline and current outlier-delta means, rt over threshold,
-    max error, corr(error, rt) in the current window."""
+    max error, corr(error, rt) in the current window.  An edge without any
+    5xx point there has no error series and is skipped."""
     cur = (w.filter("in_cur").groupBy(*EDGE)
            .agg((F.avg("rt") > F.lit(p.rt_threshold_ms)).cast("double").alias("rt_over_thresh"),
                 F.max("error").alias("max_error"),
-                F.count(F.lit(1)).alias("_n"),
+                F.count(F.lit(1)).alias("_n"), F.bool_or("has_error").alias("_has"),
                 pearson("error", "rt").alias("_r")))
-    cur = cur.select(*EDGE, "rt_over_thresh", "max_error",
+    cur = cur.filter("_has").select(*EDGE, "rt_over_thresh", "max_error",
                      F.when(F.col("_n") > 1, F.coalesce("_r", F.lit(0.0))).otherwise(F.lit(0.0)).alias("corr_rt_error"))
     has_base = w.filter("in_base").select(*EDGE).distinct()
     bo = _outlier_delta_mean(w, "in_base", "baseline_outlier")

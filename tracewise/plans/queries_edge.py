@@ -10,7 +10,8 @@ E = "src, dst"
 
 SERIES = f"""{ERR}, {_quantile_cte(0.9, 'rt')},
 rps AS (SELECT ts, {E}, sum(rate) AS rps FROM req_rate GROUP BY ts, {E}),
-ser AS (SELECT r.ts, r.src, r.dst, l.rt, coalesce(e.error_rate, 0) AS error, r.rps AS qps
+ser AS (SELECT r.ts, r.src, r.dst, l.rt, coalesce(e.error_rate, 0) AS error, r.rps AS qps,
+               e.error_rate IS NOT NULL AS has_error
         FROM rps r JOIN lat_rt l USING (ts, {E}) LEFT JOIN err e USING (ts, {E})),
 w AS (SELECT *, ts > (SELECT max(ts) FROM ser) - INTERVAL '8 days' AS in_base,
                 ts > (SELECT max(ts) FROM ser) - INTERVAL '2 days' AS in_cur FROM ser)"""
@@ -43,7 +44,7 @@ anoms AS (SELECT {E}, 'performance' AS kind FROM perf
 
 REL = SERIES + f""",
 rc AS (SELECT {E}, CAST(avg(rt) > 50 AS DOUBLE) AS rt_over_thresh, max(error) AS max_error, count(*) AS n,
-         covar_pop(error, rt) / nullif(stddev_pop(error) * stddev_pop(rt), 0) AS r FROM w WHERE in_cur GROUP BY {E}),
+         covar_pop(error, rt) / nullif(stddev_pop(error) * stddev_pop(rt), 0) AS r FROM w WHERE in_cur GROUP BY {E} HAVING bool_or(has_error)),
 d_baseline_outlier AS (SELECT {E}, error - lag(error) OVER (PARTITION BY src, dst ORDER BY ts) AS d FROM w WHERE in_base),
 s_baseline_outlier AS (SELECT {E}, avg(d) AS m, stddev_pop(d) AS s FROM d_baseline_outlier WHERE d IS NOT NULL GROUP BY {E}),
 o_baseline_outlier AS (SELECT x.src, x.dst, avg(x.d) AS baseline_outlier FROM d_baseline_outlier x JOIN s_baseline_outlier USING ({E})

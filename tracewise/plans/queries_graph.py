@@ -10,7 +10,8 @@ from tracewise.plans import graph, mesh
 from tracewise.plans.queries_mesh import RPS
 from tracewise.plans.sqlbits import DAG_CTE, EDGES_CTE, METRICS_CTE, PHASES_CTE
 from tracewise.registry import register
-from tracewise.sources.bindings import (dag_edges, edge_points, metric_phases, metric_points, with_service_id)
+from tracewise.sources.bindings import (SERVICE_IDS, dag_edges, edge_points, linked_points, metric_phases,
+                                        metric_points, with_service_id)
 
 STEP = 6 * 3600
 V5_THRESHOLD = 0.5          # threshold the lagged-correlation inference is called with
@@ -108,6 +109,60 @@ def cor6_edge_pair_corr(spark, sf_dir):
     return correlate.edge_pair_corr(mesh.rps(mesh.counters_for(spark, sf_dir)), "rps")
 
 
+# ------------------------------------------------- series linked by a known lag
+
+_LINKED = f"""lk AS (SELECT user_id % 5 AS k, time_bucket(INTERVAL '6 hours', ts) AS ts, CAST(count(*) AS DOUBLE) AS x
+       FROM events GROUP BY 1, 2),
+linked AS (SELECT 'link_' || CAST(a.k AS VARCHAR) AS id, a.ts, z.x + 0.1 * a.x AS x FROM lk a
+             JOIN lk z ON z.k = 0 AND z.ts = a.ts - to_hours(CAST(6 * a.k AS BIGINT))
+           UNION ALL SELECT 'shifted', ts, 1e9 + x FROM lk WHERE k = 0
+           UNION ALL SELECT 'constant', ts, 0.7 FROM lk WHERE k = 0)"""
+
+_LINKED_LAGS = f"""{_LINKED},
+ls AS (SELECT id, CAST((epoch(ts) - epoch((SELECT min(ts) FROM linked))) / 21600 AS BIGINT) AS step, x FROM linked),
+lz AS (SELECT id, step, CASE WHEN id = 'shifted' THEN x - 1e9 ELSE x END AS x FROM ls WHERE id <> 'constant'),
+lr AS (SELECT a.id AS caller, b.id AS callee, l.lag, covar_pop(a.x, b.x) / nullif(stddev_pop(a.x) * stddev_pop(b.x), 0) AS r
+       FROM lz a JOIN range(1, 6) AS l(lag) ON true JOIN lz b ON b.step = a.step - l.lag AND a.id <> b.id GROUP BY 1, 2, 3),
+lb AS (SELECT * FROM lr WHERE r IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY caller, callee ORDER BY round(r, 9) DESC, lag) = 1),
+ledge AS (SELECT caller, callee, r, CAST(lag AS INTEGER) AS lag FROM lb WHERE r >= 0.6)"""
+
+
+def _linked_edges(spark, sf_dir):
+    return correlate.lagged_corr_edges(linked_points(spark, sf_dir), "id", "ts", "x", STEP, lag_max=5, threshold=0.6)
+
+
+@register("cor5_linked_edges", sql=f"WITH {_LINKED_LAGS} SELECT * FROM ledge")
+def cor5_linked_edges(spark, sf_dir):
+    """COR5 on series with known lags: ``link_k`` follows ``link_j`` by k - j."""
+    return _linked_edges(spark, sf_dir)
+
+
+@register("cor2_linked_graph", sql=f"""WITH {_LINKED},
+g AS (SELECT DISTINCT ts FROM linked), ids AS (SELECT DISTINCT id FROM linked),
+z AS (SELECT ids.id, g.ts, coalesce(l.x, 0) AS x FROM ids CROSS JOIN g LEFT JOIN linked l USING (id, ts)),
+c AS (SELECT a.id AS a, b.id AS b, covar_pop(a.x, b.x) / nullif(stddev_pop(a.x) * stddev_pop(b.x), 0) AS r
+      FROM z a JOIN z b ON a.ts = b.ts AND a.id < b.id WHERE a.id <> 'constant' GROUP BY 1, 2)
+SELECT a, b, r FROM c WHERE abs(r) > {CORR_THRESHOLD}
+UNION ALL SELECT b, a, r FROM c WHERE abs(r) > {CORR_THRESHOLD}""")
+def cor2_linked_graph(spark, sf_dir):
+    """COR2 on the linked series: a constant has no edges, an offset of 1e9
+    does not hide one."""
+    x = linked_points(spark, sf_dir)
+    return correlate.corr_graph(correlate.corr_matrix(x, "id", "ts", "x", STEP), CORR_THRESHOLD)
+
+
+@register("cor3_linked_directions")
+def cor3_linked_directions(spark, sf_dir):
+    """COR3 on the linked series: which neighbour causes which."""
+    from tracewise.operators import granger
+    from tracewise.plans import service
+    x = correlate.with_step_index(linked_points(spark, sf_dir).filter("id LIKE 'link%'"), "ts", STEP)
+    pairs = _linked_edges(spark, sf_dir).filter("caller LIKE 'link%' AND callee LIKE 'link%'") \
+        .select(F.col("caller").alias("a"), F.col("callee").alias("b"))
+    return granger.granger(service.densify(x, "id", "step", "x"), pairs, maxlag=5)
+
+
 @register("agg7_corr_with_total", sql=f"""WITH {PHASES_CTE},
 s AS (SELECT server_name || '_' || ip_port AS id, ts, connection_count AS x FROM prob),
 tot AS (SELECT ts, sum(x) AS t FROM s GROUP BY ts)
@@ -163,15 +218,14 @@ def det5_iqr_anomalies(spark, sf_dir):
 def src9_wide_to_long(spark, sf_dir):
     """SRC9: the wide ``<svc>_<metric>`` table unpivoted to long rows.
 
-    The wide table is built with ``pivot`` over the (small, explicit) set of
-    service columns, then ``unpivot`` and a regex on the column name give
-    back (service, metric)."""
+    The wide table is built with ``pivot`` over the caller's list of service
+    columns; ``unpivot`` takes its columns from the wide table's schema, and a
+    regex on the column name gives back (service, metric)."""
     lm = long_metrics(spark, sf_dir)
-    services = [r[0] for r in lm.select("service").distinct().orderBy("service").collect()]
-    cols = [f"{s}|{m}" for s in services for m in V5_METRICS]
+    cols = [f"{s}|{m}" for s in SERVICE_IDS for m in V5_METRICS]
     wide = (lm.select("ts", F.concat_ws("|", "service", "metric").alias("col"), "value")
             .groupBy("ts").pivot("col", cols).agg(F.first("value")))
-    long = wide.unpivot("ts", [F.col(f"`{c}`") for c in cols], "col", "value")
+    long = wide.unpivot("ts", [F.col(f"`{c}`") for c in wide.columns if c != "ts"], "col", "value")
     return long.select(F.regexp_extract("col", r"^(.*)\|([^|]*)$", 1).alias("service"), "ts",
                        F.regexp_extract("col", r"^(.*)\|([^|]*)$", 2).alias("metric"), "value").filter(
         F.col("value").isNotNull())

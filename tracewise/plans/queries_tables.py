@@ -11,7 +11,7 @@ from tracewise.plans.queries_graph import _LONG_SQL, _corr_sql, corr_normal, iqr
 from tracewise.plans.queries_mesh import MEAN_LAT, REQ_RATES, _quantile_cte
 from tracewise.plans.sqlbits import DAG_CTE, PHASES_CTE, SERVERS_CTE, features_sql
 from tracewise.registry import register
-from tracewise.sources.bindings import (KEYS, N_IP_PORTS, N_SERVER_NAMES, metric_phases, server_points, with_service_id)
+from tracewise.sources.bindings import (KEYS, SERVICE_IDS, metric_phases, server_points, with_service_id)
 
 SRV_METRICS = ["cpu_us", "cpu_sy", "mem_free", "io_bi"]
 
@@ -82,11 +82,7 @@ def _item(k):
     return lambda step: step[k]
 
 
-def _pivot_values(pts):
-    return [r[0] for r in with_service_id(pts).select("service_id").distinct().orderBy("service_id").collect()]
-
-
-_SERVICES = ", ".join(f"'svc_{i}_10.0.0.{j}:8080'" for i in range(N_SERVER_NAMES) for j in range(N_IP_PORTS))
+_SERVICES = ", ".join(f"'{s}'" for s in SERVICE_IDS)
 
 
 @register("agg15_pivot_zero_fill", sql=f"""WITH {PHASES_CTE},
@@ -95,12 +91,11 @@ p AS (PIVOT (SELECT ts, server_name || '_' || ip_port AS service_id, connection_
 SELECT ts, COALESCE(COLUMNS(* EXCLUDE (ts)), 0) FROM p""")
 def agg15_pivot_zero_fill(spark, sf_dir):
     """AGG15: time x service pivot of the baseline with 0 for missing cells.
-    The pivot column list is the (small) set of services; the pivot-free
-    correlation path (COR1) does not need it."""
+    The caller names the columns (a wide table is for a known, small set of
+    services); nothing is collected to find them."""
     base, _ = metric_phases(spark, sf_dir)
     b = with_service_id(base)
-    vals = _pivot_values(base)
-    return b.groupBy("ts").pivot("service_id", vals).agg(F.first("connection_count")).fillna(0.0)
+    return b.groupBy("ts").pivot("service_id", SERVICE_IDS).agg(F.first("connection_count")).fillna(0.0)
 
 
 @register("set3_window_union", sql=f"""WITH {MEAN_LAT},
@@ -130,22 +125,26 @@ def viz3_corr_heatmap(spark, sf_dir):
 
 @register("viz1_scatter_points")
 def viz1_scatter_points(spark, sf_dir):
-    """VIZ1: scatter points (service, ts, value, is_anomaly) of the scored window."""
+    """VIZ1: scatter points of the scored window with both flags: over the
+    fixed score threshold (is_anomaly) and over the contamination offset
+    (is_outlier)."""
     from tracewise.plans.queries_models import scored_services
     s = with_service_id(scored_services(spark, sf_dir))
-    return s.select("service_id", "ts", F.col("connection_count").alias("value"), "is_anomaly")
+    return s.select("service_id", "ts", F.col("connection_count").alias("value"), "is_anomaly", "is_outlier")
 
 
 @register("agg13_service_summary")
 def agg13_service_summary(spark, sf_dir):
     """AGG13: per-service result summary: mean count, mean hour, mean score,
-    anomaly flag (any scored row anomalous)."""
+    and whether any scored row is over the threshold (is_anomaly) or the
+    contamination offset (is_outlier)."""
     from tracewise.plans.queries_models import scored_services
     s = with_service_id(scored_services(spark, sf_dir))
     return s.groupBy("service_id").agg(F.avg("connection_count").alias("connection_count_mean"),
                                        F.avg("hour").alias("hour_mean"),
                                        F.avg("anomaly_score").alias("anomaly_score"),
-                                       F.max(F.col("is_outlier").cast("int")).cast("boolean").alias("is_anomaly"))
+                                       F.bool_or("is_anomaly").alias("is_anomaly"),
+                                       F.bool_or("is_outlier").alias("is_outlier"))
 
 
 @register("viz2_bar_table")

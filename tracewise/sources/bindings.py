@@ -29,6 +29,11 @@ LE_BOUNDS = [10.0, 25.0, 50.0, 100.0, 250.0, float("inf")]  # latency buckets
 SCRAPE_STEP = "1 hour"               # counter sample grid
 ORDER_SPLIT = "hour"                 # per-user ordering runs per (user, hour)
 
+# the services of the binding, for callers that want a wide table
+SERVICE_IDS = [f"svc_{i}_10.0.0.{j}:8080" for i in range(N_SERVER_NAMES) for j in range(N_IP_PORTS)]
+LINK_NAMES = 5                       # linked series: user_id % 5
+LINK_SHARE = 0.1                     # own share of a linked series
+
 KEYS = ["ip_port", "server_name"]
 METRICS = ["response_time", "qps", "eps"]
 
@@ -129,6 +134,22 @@ def server_points(spark: SparkSession, sf_dir: str, bucket: str = METRIC_BUCKET)
             .withColumn("type", F.element_at(types, (F.col("server_id") % len(SERVER_TYPES)) + 1)))
 
 
+def linked_points(spark: SparkSession, sf_dir: str, bucket: str = METRIC_BUCKET) -> DataFrame:
+    """Series that depend on each other by a known lag.  ``link_k`` at t is
+    the load of user group 0 at ``t - k`` buckets plus a tenth of its own
+    group's; ``shifted`` is group 0 plus 1e9, ``constant`` never changes."""
+    load = (table(spark, sf_dir, "events").select("ts", "user_id")
+            .groupBy((F.col("user_id") % LINK_NAMES).cast("int").alias("k"), F.window("ts", bucket).start.alias("ts"))
+            .agg(F.count(F.lit(1)).cast("double").alias("x")))
+    lead = load.filter("k = 0").select(F.col("ts").alias("t0"), F.col("x").alias("x0"))
+    links = (load.withColumn("t0", F.col("ts") - F.make_dt_interval(hours=6 * F.col("k"))).join(lead, "t0")
+             .select(F.concat(F.lit("link_"), F.col("k").cast("string")).alias("id"), "ts",
+                     (F.col("x0") + LINK_SHARE * F.col("x")).alias("x")))
+    return (links.unionByName(lead.select(F.lit("shifted").alias("id"), F.col("t0").alias("ts"),
+                                          (F.col("x0") + 1e9).alias("x")))
+            .unionByName(lead.select(F.lit("constant").alias("id"), F.col("t0").alias("ts"), F.lit(0.7).alias("x"))))
+
+
 def dag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acyclic graph region -> nation -> supplier (node names prefixed)."""
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
