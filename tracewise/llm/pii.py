@@ -261,8 +261,9 @@ def _labelled(i: int, kind: str):
                               _overlaps(c, f"__tw_base_{kind}").cast("int").alias("y"))
 
 
-def with_spans(docs: DataFrame, selector: Selector, text_col: str = "text") -> DataFrame:
-    """Append ``base_spans`` and ``spans`` (array<struct<start, kind, end>>,
+def with_spans(docs: DataFrame, selector: Selector, text_col: str = "text", base_col: str = "base_spans",
+               spans_col: str = "spans") -> DataFrame:
+    """Append ``base_col`` and ``spans_col`` (array<struct<start, kind, end>>,
     kind as its index in KINDS, sorted): the base spans, and those plus the
     accepted candidates that overlap no base span of their kind."""
     text = "__tw_text"
@@ -272,8 +273,8 @@ def with_spans(docs: DataFrame, selector: Selector, text_col: str = "text") -> D
     for i, kind in enumerate(KINDS):
         base.append(F.transform(f"__tw_base_{kind}", _span(i)))
         added.append(F.transform(F.filter(f"__tw_cand_{kind}", _accepted(selector, kind)), _span(i)))
-    rows = rows.withColumn("base_spans", F.array_sort(F.concat(*base)))
-    rows = rows.withColumn("spans", F.array_sort(F.array_distinct(F.concat("base_spans", *added))))
+    rows = rows.withColumn(base_col, F.array_sort(F.concat(*base)))
+    rows = rows.withColumn(spans_col, F.array_sort(F.array_distinct(F.concat(base_col, *added))))
     return rows.drop(text, *(f"__tw_{x}_{k}" for x in ("base", "cand") for k in KINDS))
 
 
@@ -295,7 +296,7 @@ def span_text(spans: str) -> Column:
 def redact(docs: DataFrame, selector: Selector, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets, such as
     ``[EMAIL]``; overlapping spans become one, named after the first."""
-    rows = with_spans(docs, selector, text_col)
+    rows = with_spans(docs, selector, text_col, "__tw_base", "__tw_spans")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.col(text_col)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -308,6 +309,7 @@ def redact(docs: DataFrame, selector: Selector, text_col: str = "text") -> DataF
                 acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
                 F.get(names, s["kind"]))).alias("out"))
 
-    made = F.aggregate("spans", start, step, lambda acc: F.concat(
+    made = F.aggregate("__tw_spans", start, step, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    return rows.withColumn(text_col, F.when(F.size("spans") > 0, made).otherwise(text)).drop("base_spans", "spans")
+    return rows.withColumn(text_col, F.when(F.size("__tw_spans") > 0, made).otherwise(text)) \
+        .drop("__tw_base", "__tw_spans")
