@@ -144,7 +144,7 @@ def brute_sentences(t):
     return [(s, WORD.findall(s.translate(FOLD))) for s in out if s]
 
 
-def brute_dedup(rows, m=2, w=25, long=40):
+def brute_dedup(rows, m=2, w=25, long=25):
     spans = defaultdict(list)
     split = {}
     for i, t in rows:

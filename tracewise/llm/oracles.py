@@ -35,7 +35,7 @@ c AS (SELECT *, CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY s) AS BIGINT) AS
 forward AS (SELECT a.doc_id, a.s AS i, min(b.s) AS j FROM c a JOIN c b
             ON a.doc_id = b.doc_id AND b.s >= a.s + 1 AND b.upto - a.before >= 25 GROUP BY 1, 2),
 tail AS (SELECT doc_id, max(s) AS i, max(last_s) AS j FROM c WHERE s <= last_s - 1 AND total - before >= 25 GROUP BY 1),
-span AS (SELECT * FROM forward UNION SELECT doc_id, s, s FROM c WHERE n >= 40 UNION SELECT * FROM tail),
+span AS (SELECT * FROM forward UNION SELECT doc_id, s, s FROM c WHERE n >= 25 UNION SELECT * FROM tail),
 body AS (SELECT span.doc_id, i, j, string_agg(c.words, ' ' ORDER BY c.s) AS run FROM span JOIN c
          ON c.doc_id = span.doc_id AND c.s BETWEEN i AND j GROUP BY 1, 2, 3),
 again AS (SELECT doc_id, i, j FROM body QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1),

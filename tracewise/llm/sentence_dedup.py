@@ -34,7 +34,7 @@ from tracewise.llm.wordhash import joined, span_hashes, word_hashes, word_spans
 
 MIN_SENTENCES = 2
 MIN_WORDS = 25
-LONG_SENTENCE = 40
+LONG_SENTENCE = 25
 MAX_FREQUENT = 50_000
 
 _END = np.zeros(256, bool)
