@@ -33,6 +33,9 @@ HEADLINE = [
     "det13_traffic_features",
     "det7_forest_score",
     "rca6_edge_candidates",
+    "rca3_worst_services",      # a whole train-and-score cycle
+    "det8_oneclass_boundary",
+    "det10_group_summary",
 ]
 
 
