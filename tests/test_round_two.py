@@ -151,3 +151,17 @@ def test_linked_series_give_edges_and_directions(spark):
     assert {("link_0", "shifted"), ("shifted", "link_0")} <= {(r["a"], r["b"]) for r in cor2_linked_graph(spark, sf).collect()}
     causes = {(r["a"], r["b"]): r["causes"] for r in cor3_linked_directions(spark, sf).collect()}
     assert any(causes.values())
+
+
+def test_extrapolated_rate(spark):
+    from tracewise.operators.promql import increase_and_rate
+    at = [40, 100, 160, 220, 280]  # seconds; the counter restarts at 220
+    v = [30.0, 60.0, 90.0, 5.0, 35.0]
+    rows = [("s", T0 + timedelta(seconds=t), x) for t, x in zip(at, v, strict=True)]
+    df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, value double")
+    got = {r["ts"]: r for r in increase_and_rate(df, ["s"], "300 seconds", "300 seconds", extrapolate=True).collect()}
+    r = got[T0 + timedelta(seconds=300)]
+    # increase 30 + 30 + 5 + 30 = 95 over 240 s; 40 s to the start and 20 s to the end are both within 66 s
+    assert r["increase"] == pytest.approx(95 * 300 / 240) and r["rate"] == pytest.approx(95 / 240)
+    plain = increase_and_rate(df, ["s"], "300 seconds", "300 seconds").filter(F.col("ts") == T0 + timedelta(seconds=300)).first()
+    assert plain["increase"] == 95 and plain["rate"] == pytest.approx(95 / 240)

@@ -32,23 +32,30 @@ def counter_deltas(counter: DataFrame, series: Sequence[str], ts: str = "ts",
     drop means the counter restarted from 0, so the increase is the new value."""
     w = Window.partitionBy(*series).orderBy(ts)
     prev = F.lag(value).over(w)
-    return (counter.select(*series, ts, F.lag(ts).over(w).alias("prev_ts"),
+    return (counter.select(*series, ts, F.lag(ts).over(w).alias("prev_ts"), prev.alias("prev_value"),
                            F.when(F.col(value) < prev, F.col(value))
                            .otherwise(F.col(value) - prev).alias("d"))
             .filter(F.col("prev_ts").isNotNull()))
 
 
 def increase_and_rate(counter: DataFrame, series: Sequence[str], range_: str, step: str,
-                      ts: str = "ts", value: str = "value") -> DataFrame:
+                      ts: str = "ts", value: str = "value", extrapolate: bool = False) -> DataFrame:
     """PQL1: ``increase(v[range])`` and ``rate(v[range])`` at every step.
 
     Output: series labels, ``ts`` (evaluation time), ``increase``, ``rate``
     (per second).  Needs two samples inside the range, as PromQL does.
+
+    ``extrapolate`` stretches the increase to the range's borders as PromQL
+    does: to a border that is nearer than 1.1 mean sample distances, else by
+    half a distance, and at the start never below a counter of zero; the rate
+    is then the stretched increase over the whole range.
     """
     d = counter_deltas(counter, series, ts, value)
     win = F.window(_shifted(ts), range_, step)
-    x = (d.select(*series, ts, "prev_ts", "d", win.alias("w"))
+    x = (d.select(*series, ts, "prev_ts", "prev_value", "d", win.alias("w"))
          .filter(F.col("prev_ts") > F.col("w.start")))
+    if extrapolate:
+        return _extrapolated(x, series, ts)
     return (x.groupBy(*series, F.col("w.end").alias("eval_ts"))
             .agg(F.sum("d").alias("increase"),
                  F.max(ts).alias("_last"), F.min("prev_ts").alias("_first"))
@@ -56,6 +63,22 @@ def increase_and_rate(counter: DataFrame, series: Sequence[str], range_: str, st
                     safe_div(F.col("increase"), seconds_between("_last", "_first")).alias("rate")))
 
 
+def _extrapolated(x: DataFrame, series: Sequence[str], ts: str) -> DataFrame:
+    g = (x.groupBy(*series, F.col("w.start").alias("_start"), F.col("w.end").alias("eval_ts"))
+         .agg(F.sum("d").alias("_inc"), F.count(F.lit(1)).alias("_gaps"), F.max(ts).alias("_last"),
+              F.min(F.struct("prev_ts", "prev_value")).alias("_f")))
+    span = seconds_between("_last", "_f.prev_ts")
+    gap = span / F.col("_gaps")
+    to_start, to_end = seconds_between("_f.prev_ts", "_start"), seconds_between("eval_ts", "_last")
+    start = F.when(to_start < 1.1 * gap, to_start).otherwise(gap / 2)
+    to_zero = F.when((F.col("_inc") > 0) & (F.col("_f.prev_value") >= 0), span * F.col("_f.prev_value") / F.col("_inc"))
+    start = F.least(start, to_zero)     # NULLs are skipped
+    end = F.when(to_end < 1.1 * gap, to_end).otherwise(gap / 2)
+    stretched = F.col("_inc") * safe_div(span + start + end, span)
+    return g.select(*series, F.col("eval_ts").alias("ts"), stretched.alias("increase"),
+                    safe_div(stretched, seconds_between("eval_ts", "_start")).alias("rate"))
+
+
 def sum_by(df: DataFrame, by: Sequence[str], value: str = "rate", out: str | None = None) -> DataFrame:
     """PQL2: ``sum(v) by (labels)`` at each evaluation time."""
     return df.groupBy("ts", *by).agg(F.sum(value).alias(out or value))

@@ -108,6 +108,16 @@ def snk1_csv_roundtrip(spark, sf_dir):
     return spark.read.schema(t.schema).option("header", True).csv(path)
 
 
+@register("snk1_worst_services_csv")
+def snk1_worst_services_csv(spark, sf_dir):
+    """SNK1: the ranked worst-services table with its chains, to CSV and back."""
+    from tracewise.plans.queries_models import rca3_worst_services
+    path = _path(spark, "worst-csv")
+    t = rca3_worst_services(spark, sf_dir)
+    t.write.mode("overwrite").option("header", True).csv(path)
+    return spark.read.schema(t.schema).option("header", True).csv(path)
+
+
 @register("snk4_stats_json", sql=f"""WITH {PHASES_CTE}
 SELECT ip_port, server_name, {", ".join(
     f"avg({c}) AS {c}_mean, CASE WHEN stddev_samp({c}) IS NOT NULL THEN greatest(stddev_samp({c}), {MIN_STD}) END AS {c}_std"
