@@ -10,7 +10,9 @@
    in a sorted order these share the longest common prefixes.  The depth
    adapts to the region: where many classes share a prefix, the neighbours are
    those that agree to the deepest level, elsewhere MIN_DEPTH is enough.
-   Rows next to a partition border are matched in a second small step.
+   Rows next to a partition border are matched in a second small step.  A
+   neighbour is a candidate if the whole signatures agree at least as often
+   as four standard deviations below the wanted similarity.
 3. Candidates are confirmed on the full shingle sets: first each class's best
    candidate, then, after a round of components, every other candidate whose
    ends are still apart.  Links inside a component change nothing, so leaving
@@ -85,51 +87,64 @@ def signature(values: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarra
 
 
 def sketches(rows: DataFrame, words: int, trees: int, depth: int, seed: int = 7) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, sig) of every (doc_id, text) row."""
+    """(doc_id, n_shingles, set_a, set_b, sig, small) of every (doc_id, text)
+    row; ``small`` is one byte of each signature value."""
     mul, add = _coefficients(trees * depth, seed)
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                n, a, b, sig = [], [], [], []
+                n, a, b, sig, small = [], [], [], [], []
                 for s in shingle_sets(part.column("text").to_pylist(), words):
                     n.append(len(s))
                     a.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                     b.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
-                    sig.append(signature(s, mul, add).tobytes() if len(s) else None)
+                    low = signature(s, mul, add) if len(s) else None
+                    sig.append(None if low is None else low.tobytes())
+                    small.append(None if low is None else low.astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
-                     pa.array(b, pa.int64()), pa.array(sig, pa.binary())],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "sig"])
+                     pa.array(b, pa.int64()), pa.array(sig, pa.binary()), pa.array(small, pa.binary())],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "sig", "small"])
 
     return rows.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary")
+        run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary, small binary")
 
 
-def _neighbour_pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, min_depth: int,
-                     neighbours: int, seen: int = 0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(id, id, common prefix) of rows at most ``neighbours`` apart; pairs
-    among the first ``seen`` rows were given before."""
+def _neighbour_pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small: np.ndarray, min_depth: int,
+                     neighbours: int, least: float, seen: int = 0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(id, id, common prefix) of rows at most ``neighbours`` apart whose
+    signatures agree in a share of ``least``; pairs among the first ``seen``
+    rows were given before."""
     out = []
     for k in range(1, min(neighbours, len(ids) - 1) + 1):
         same = np.logical_and.accumulate(keys[:-k] == keys[k:], axis=1)
         lcp = np.where(tree[:-k] == tree[k:], same.sum(axis=1), 0)
         hit = (lcp >= min_depth) & (ids[:-k] != ids[k:])
         hit[:max(0, seen - k)] = False
-        if hit.any():
-            out.append((ids[:-k][hit], ids[k:][hit], lcp[hit]))
+        at = np.flatnonzero(hit)
+        at = at[(small[at] == small[at + k]).mean(axis=1) >= least] if len(at) else at
+        if len(at):
+            out.append((ids[at], ids[at + k], lcp[at]))
     return out
 
 
 def candidates(classes: DataFrame, trees: int, depth: int, min_depth: int, neighbours: int,
-               parts: int) -> DataFrame:
+               parts: int, least: float) -> DataFrame:
     """(a, b, weight) with a < b: neighbours in at least one tree's sorted
     order; ``weight`` sums the common prefix lengths over the trees."""
     width = 4 * min(KEY_DEPTH, trees * depth)
-    entries = classes.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig") \
-        .select("doc_id", "tree", F.substring(F.concat("sig", "sig"), F.col("tree") * (4 * depth) + 1,
-                                              F.lit(width)).alias("key"))
+    own = 4 * depth
+    # most rows share their shortest prefix with no other: only the rest is sorted
+    heads = classes.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig") \
+        .select("doc_id", "tree", F.xxhash64("tree", F.substring("sig", F.col("tree") * own + 1, F.lit(4 * min_depth)))
+                .alias("head"))
+    shared = heads.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head")
+    places = heads.join(shared, "head").groupBy("doc_id").agg(F.collect_set("tree").alias("trees"))
+    entries = classes.join(places, "doc_id").select("doc_id", F.explode("trees").alias("tree"), "sig", "small") \
+        .select("doc_id", "tree", F.substring(F.concat("sig", "sig"), F.col("tree") * own + 1, F.lit(width))
+                .alias("key"), "small")
     ordered = entries.repartitionByRange(parts, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
 
     def run(batches):
@@ -138,15 +153,16 @@ def candidates(classes: DataFrame, trees: int, depth: int, min_depth: int, neigh
         held = None  # the last rows of the batches before
         head = 0
 
-        def frame(kind, border_at, tree, key, a, b, lcp):
+        def frame(kind, border_at, tree, key, small, a, b, lcp):
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(a), kind, np.int32)), pa.array(np.full(len(a), border_at, np.int64)),
-                 pa.array(tree, pa.int32()), pa.array(key, pa.binary()), pa.array(a, pa.int64()),
-                 pa.array(b, pa.int64()), pa.array(lcp, pa.int32())],
-                names=["kind", "border", "tree", "key", "a", "b", "lcp"])
+                 pa.array(tree, pa.int32()), pa.array(key, pa.binary()), pa.array(small, pa.binary()),
+                 pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(lcp, pa.int32())],
+                names=["kind", "border", "tree", "key", "small", "a", "b", "lcp"])
 
-        def borders(kind, at, tree, keys, ids):
-            return frame(kind, at, tree, [k.tobytes() for k in keys], ids, ids, np.zeros(len(ids), np.int32))
+        def borders(kind, at, tree, keys, ids, small):
+            return frame(kind, at, tree, [k.tobytes() for k in keys], [x.tobytes() for x in small], ids, ids,
+                         np.zeros(len(ids), np.int32))
 
         for batch in batches:
             if not batch.num_rows:
@@ -154,30 +170,34 @@ def candidates(classes: DataFrame, trees: int, depth: int, min_depth: int, neigh
             tree = batch.column("tree").to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(-1, width // 4)
+            small = np.frombuffer(b"".join(batch.column("small").to_pylist()), np.uint8).reshape(len(ids), -1)
             if head < neighbours:
                 take = min(neighbours - head, len(ids))
-                yield borders(1, border, tree[:take], keys[:take], ids[:take])
+                yield borders(1, border, tree[:take], keys[:take], ids[:take], small[:take])
                 head += take
             seen = 0
             if held is not None:
                 seen = len(held[2])
-                tree, keys, ids = (np.concatenate([x, y]) for x, y in zip(held, (tree, keys, ids), strict=True))
-            for a, b, lcp in _neighbour_pairs(tree, keys, ids, min_depth, neighbours, seen):
-                yield frame(0, 0, np.zeros(len(a), np.int32), [None] * len(a), np.minimum(a, b),
+                tree, keys, ids, small = (np.concatenate([x, y])
+                                          for x, y in zip(held, (tree, keys, ids, small), strict=True))
+            for a, b, lcp in _neighbour_pairs(tree, keys, ids, small, min_depth, neighbours, least, seen):
+                none = [None] * len(a)
+                yield frame(0, 0, np.zeros(len(a), np.int32), none, none, np.minimum(a, b),
                             np.maximum(a, b), lcp.astype(np.int32))
-            held = (tree[-neighbours:], keys[-neighbours:], ids[-neighbours:])
+            held = tuple(x[-neighbours:] for x in (tree, keys, ids, small))
         if held is not None:
             yield borders(2, border + 1, *held)
 
     found = materialise(ordered.mapInArrow(
-        run, "kind int, border long, tree int, key binary, a long, b long, lcp int"))
+        run, "kind int, border long, tree int, key binary, small binary, a long, b long, lcp int"))
 
     def across(_, rows):
         """Last rows of one partition against the first rows of the next."""
         rows = rows.sort_by([("kind", "descending"), ("tree", "ascending"), ("key", "ascending"), ("a", "ascending")])
         ids = rows.column("a").to_numpy()
         keys = np.frombuffer(b"".join(rows.column("key").to_pylist()), ">u4").reshape(-1, width // 4)
-        pairs = _neighbour_pairs(rows.column("tree").to_numpy(), keys, ids, min_depth, 2 * neighbours)
+        small = np.frombuffer(b"".join(rows.column("small").to_pylist()), np.uint8).reshape(len(ids), -1)
+        pairs = _neighbour_pairs(rows.column("tree").to_numpy(), keys, ids, small, min_depth, 2 * neighbours, least)
         none = np.empty(0, np.int64)
         a, b, lcp = (np.concatenate([none, *x]) for x in (zip(*pairs, strict=True) if pairs else ((), (), ())))
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()),
@@ -220,10 +240,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     sketch = materialise(sketches(rows, words, trees, depth))
     whole = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = whole.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
+        F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("small").alias("small"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(parts, whole.count() * trees // 2000))
-    found = materialise(candidates(classes, trees, depth, min_depth, neighbours, parts))
+    # four standard deviations below the wanted similarity
+    share = percent / 100
+    least = share - 4 * (share * (1 - share) / (trees * depth)) ** 0.5
+    found = materialise(candidates(classes, trees, depth, min_depth, neighbours, parts, least))
     ids = found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = materialise(rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi")
                         .groupBy("doc_id").agg(F.min("text").alias("text")))
