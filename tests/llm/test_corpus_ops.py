@@ -124,6 +124,41 @@ def test_near_duplicates_any_partitioning(spark, make_docs):
     assert results[0] == results[1]
 
 
+def test_near_duplicates_inside_a_family_of_near_misses(make_docs):
+    base = prose(800, 4242).split()
+    rng = np.random.default_rng(5)
+    rows = []
+
+    def variant(i, at):
+        v = list(base)
+        for k in at:
+            v[5 * k] = f"v{i}q{k}"
+        rows.append((i, " ".join(v)))
+
+    for i in range(360):  # one template, pairwise at about 0.76
+        variant(i, rng.choice(160, 11, replace=False))
+    for i in range(20):  # isolated pairs at about 0.81: six changes at the same places, in different words
+        at = rng.choice(160, 16, replace=False)
+        variant(1000 + 2 * i, at[:11])
+        variant(1001 + 2 * i, at[5:])
+    want = brute_near(rows, 5, 80)
+    assert all(want[1000 + 2 * i] == want[1001 + 2 * i] for i in range(20))
+    assert len(set(want.values())) >= 20 and len(rows) - len(want) >= 100
+    # few neighbours, so that a small family crowds the windows as a large one does at 16
+    got = {r["doc_id"]: r["component_id"] for r in lsh_forest.near_duplicates(make_docs(rows), neighbours=2).collect()}
+    assert got == {i: want.get(i, i) for i, _ in rows}
+
+
+def test_blocks_split_a_hot_shingle(spark):
+    sets = [(i, i, 100, [*range(90), *range(1000 * i + 1000, 1000 * i + 1010)]) for i in range(1200)]
+    sets += [(5000 + i, 5000 + i, 100, [*range(90), *range(9_000_000, 9_000_006), *range(10 * i - 100, 10 * i - 96)])
+             for i in range(2)]
+    df = spark.createDataFrame(sets, "doc_id long, component long, n long, shingles array<long>") \
+        .withColumn("small", F.lit(bytes(160)))
+    got = [tuple(r) for r in lsh_forest.crowded_links(df, 90, 0.7).collect()]
+    assert got == [(5000, 5001)]
+
+
 def test_signatures_estimate_likeness():
     mul, add = lsh_forest._coefficients(160, 7)
     a, b = (next(lsh_forest.shingle_sets([" ".join(w)], 4)) for w in (words(400, 1, 9000), words(360, 1, 9000)))

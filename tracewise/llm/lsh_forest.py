@@ -17,14 +17,22 @@
    candidate, then, after a round of components, every other candidate whose
    ends are still apart.  Links inside a component change nothing, so leaving
    them out loses none.
-4. Components over the confirmed links, plus the copies of each class.
+4. Where more classes share MIN_DEPTH values than a row has neighbours, the
+   window may end before a row's partner is met.  All classes of such crowded
+   groups are joined once more, exactly: two sets that reach the similarity
+   share one of the rarest shingles of both (prefix filter), so the classes
+   that hold a rare shingle are compared in blocks of BLOCK rows: on their
+   signatures, and those with a possible partner on their whole sets.  Only pairs of different components are wanted: shingles held by
+   one component alone are left out, and a block gives at most one link for two
+   components.
+5. Components over the confirmed links, plus the copies of each class.
 
 Two sets of similarity s share MIN_DEPTH values in at least one of the trees
 with probability 1 - (1 - s**MIN_DEPTH)**TREES: more than 0.999998 at 0.8.
 In a dense region a row is compared with its NEIGHBOURS nearest rows of each
-order, so a component can only be torn where a single pair of texts holds two
-dense groups together and no order puts that pair close (see the README for
-the comparison with an exact join).
+order, and near misses (one template, a hot source) may fill those places;
+step 4 finds the pairs this leaves out.  The signature filter of steps 2 and 4
+misses a pair at exactly 0.8 with a probability of about 3 in 100,000.
 
 Defined results: null or empty texts, or texts without words, have an empty
 set and stand alone.  Rows with a null id are never linked and have a null
@@ -51,6 +59,7 @@ DEPTH = 8
 MIN_DEPTH = 3
 NEIGHBOURS = 16
 KEY_DEPTH = 16
+BLOCK = 512
 
 
 def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
@@ -130,19 +139,26 @@ def _neighbour_pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small:
     return out
 
 
-def candidates(classes: DataFrame, trees: int, depth: int, min_depth: int, neighbours: int,
+def shared_heads(classes: DataFrame, trees: int, depth: int, min_depth: int) -> DataFrame:
+    """(doc_id, trees, crowd): the trees in which a class shares its shortest
+    prefix with others, and the size of the largest such group."""
+    own = 4 * depth
+    heads = classes.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig") \
+        .select("doc_id", "tree", F.xxhash64("tree", F.substring("sig", F.col("tree") * own + 1, F.lit(4 * min_depth)))
+                .alias("head"))
+    shared = heads.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return heads.join(shared, "head").groupBy("doc_id").agg(
+        F.collect_set("tree").alias("trees"), F.max("n").alias("crowd"))
+
+
+def candidates(classes: DataFrame, places: DataFrame, trees: int, depth: int, min_depth: int, neighbours: int,
                parts: int, least: float) -> DataFrame:
     """(a, b, weight) with a < b: neighbours in at least one tree's sorted
     order; ``weight`` sums the common prefix lengths over the trees."""
     width = 4 * min(KEY_DEPTH, trees * depth)
     own = 4 * depth
     # most rows share their shortest prefix with no other: only the rest is sorted
-    heads = classes.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig") \
-        .select("doc_id", "tree", F.xxhash64("tree", F.substring("sig", F.col("tree") * own + 1, F.lit(4 * min_depth)))
-                .alias("head"))
-    shared = heads.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head")
-    places = heads.join(shared, "head").groupBy("doc_id").agg(F.collect_set("tree").alias("trees"))
-    entries = classes.join(places, "doc_id").select("doc_id", F.explode("trees").alias("tree"), "sig", "small") \
+    entries = classes.join(places.select("doc_id", "trees"), "doc_id").select("doc_id", F.explode("trees").alias("tree"), "sig", "small") \
         .select("doc_id", "tree", F.substring(F.concat("sig", "sig"), F.col("tree") * own + 1, F.lit(width))
                 .alias("key"), "small")
     ordered = entries.repartitionByRange(parts, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
@@ -232,6 +248,124 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common shingles of each left and each right set."""
+    none = np.empty(0, np.int64)
+    both = np.intersect1d(np.concatenate([none, *left]), np.concatenate([none, *right]))
+    out = np.zeros((len(left), len(right)), np.float32)
+
+    def places(sets):
+        flat = np.concatenate([none, *sets])
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.searchsorted(both, flat)
+        hit = both[np.minimum(at, len(both) - 1)] == flat
+        order = np.argsort(at[hit], kind="stable")
+        return row[hit][order], at[hit][order]
+
+    if len(both):
+        (lr, la), (rr, ra) = places(left), places(right)
+        for i in range(0, len(both), 2048):
+            wide = min(2048, len(both) - i)
+            x, y = (np.zeros((len(sets), wide), np.float32) for sets in (left, right))
+            for m, row, at in ((x, lr, la), (y, rr, ra)):
+                a, b = np.searchsorted(at, [i, i + wide])
+                m[row[a:b], at[a:b] - i] = 1
+            out += x @ y.T
+    return out.astype(np.int64)
+
+
+def _in_blocks(index: DataFrame, sets: DataFrame):
+    """``sets`` grouped by shingle and pair of blocks, for the (token, doc_id,
+    component) rows of shingles that are held by more than one component."""
+    # shingles with the same holders (those of one passage) need one comparison
+    groups = index.groupBy("token").agg(
+        F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("y")) \
+        .where("low <> high").groupBy("m", "low", "high", "x", "y").agg(F.min("token").alias("token")) \
+        .select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    dealt = index.join(groups, "token").select(
+        "token", "doc_id", "component", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")) \
+        .join(sets, "doc_id").groupBy("token", "lo", "hi")
+
+
+def crowded_links(sets: DataFrame, percent: int, least: float) -> DataFrame:
+    """(a, b) pairs that reach the similarity and join what ``sets`` (doc_id,
+    component, n, shingles, small) has in different components: all such
+    components are joined, by one pair or by a chain of them.  Pairs whose
+    signatures agree in a smaller share than ``least`` are not looked at."""
+    def alike(_, rows):
+        """The holders of one pair of blocks that have a possible partner in another component."""
+        ids, comp, n, own, lo, hi = (rows.column(x).to_numpy() for x in ("doc_id", "component", "n", "own", "lo", "hi"))
+        i, j = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        small = np.frombuffer(b"".join(rows.column("small").to_pylist()), np.uint8).reshape(len(ids), -1)
+        keep = np.zeros(len(ids), bool)
+        for k in i.tolist():
+            fits = (comp[j] != comp[k]) & (100 * np.minimum(n[j], n[k]) >= percent * np.maximum(n[j], n[k]))
+            at = j[fits]
+            at = at[(small[at] == small[k]).mean(axis=1) >= least]
+            keep[at] = True
+            keep[k] |= len(at) > 0
+        return rows.select(["token", "doc_id", "component"]).filter(pa.array(keep))
+
+    def compare(_, rows):
+        """The links of one pair of blocks, one for two components."""
+        ids, comp, n, own, lo, hi = (rows.column(x).to_numpy() for x in ("doc_id", "component", "n", "own", "lo", "hi"))
+        i, j = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        none = np.empty(0, np.int64)
+        a, b = none, none
+        if len(i) and len(j) and (comp[i].min() != comp[j].max() or comp[i].max() != comp[j].min()):
+            column = rows.column("shingles").combine_chunks()
+            at, flat = column.offsets.to_numpy(), column.values.to_numpy()
+            held = [flat[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            common = _common([held[k] for k in i.tolist()], [held[k] for k in j.tolist()])
+            hit = (100 * common >= percent * (n[i][:, None] + n[j][None, :] - common)) \
+                & (comp[i][:, None] != comp[j][None, :])
+            x, y = np.nonzero(hit)
+            a, b = i[x], j[y]
+            ends = np.stack([np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])], axis=1)
+            _, first = np.unique(ends, axis=0, return_index=True)
+            a, b = ids[a[first]], ids[b[first]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    tokens = sets.select("doc_id", F.explode("shingles").alias("token"))
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # shingles without a second holder come first in the order of rarity, but need no place in the index
+    single = F.col("n") - F.size("ranked")
+    prefix = F.col("n") - F.ceil((F.col("n") * percent) / 100).cast("long") + 1
+    rare = tokens.join(often, "token").groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked")) \
+        .join(sets.select("doc_id", "component", "n"), "doc_id").select(
+        "doc_id", "component", F.explode(F.slice("ranked", F.lit(1), F.greatest(
+            F.lit(0), prefix - single).cast("int"))).alias("x")).select("doc_id", "component", "x.token")
+    rare = materialise(rare)
+    # whole sets go only to the holders with a partner that their signatures do not rule out
+    near = materialise(_in_blocks(rare, sets.select("doc_id", "n", "small")).applyInArrow(
+        alike, "token long, doc_id long, component long").distinct())
+    return _in_blocks(near, sets.select("doc_id", "n", "shingles")).applyInArrow(
+        compare, "a long, b long").distinct()
+
+
+def whole_sets(texts: DataFrame, words: int, trees: int, depth: int, seed: int = 7) -> DataFrame:
+    """(doc_id, component, n, shingles, small) of (doc_id, component, text) rows."""
+    mul, add = _coefficients(trees * depth, seed)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                held = list(shingle_sets(part.column("text").to_pylist(), words))
+                small = [signature(s, mul, add).astype(np.uint8).tobytes() for s in held]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("component"), pa.array([len(s) for s in held], pa.int64()),
+                     pa.array([s.view(np.int64) for s in held], pa.list_(pa.int64())), pa.array(small, pa.binary())],
+                    names=["doc_id", "component", "n", "shingles", "small"])
+
+    return texts.select("doc_id", "component", "text").mapInArrow(
+        run, "doc_id long, component long, n long, shingles array<long>, small binary")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = TREES, depth: int = DEPTH,
                     min_depth: int = MIN_DEPTH, neighbours: int = NEIGHBOURS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
@@ -246,8 +380,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     # four standard deviations below the wanted similarity
     share = percent / 100
     least = share - 4 * (share * (1 - share) / (trees * depth)) ** 0.5
-    found = materialise(candidates(classes, trees, depth, min_depth, neighbours, parts, least))
-    ids = found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    places = materialise(shared_heads(classes, trees, depth, min_depth))
+    found = materialise(candidates(classes, places, trees, depth, min_depth, neighbours, parts, least))
+    # in a larger group a window may end before the partner
+    crowded = places.where(F.col("crowd") > neighbours + 1).select("doc_id")
+    ids = found.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(crowded).distinct()
     texts = materialise(rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi")
                         .groupBy("doc_id").agg(F.min("text").alias("text")))
     # copies and repeated ids
@@ -267,8 +404,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     second = confirmed(rest, texts, words, percent)
     # the components so far stand for their links
     links = label.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(
-        second.select(F.col("a").alias("src"), F.col("b").alias("dst"))).unionByName(same)
-    label = connected_components(links)
+        second.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    if not crowded.isEmpty():
+        label = materialise(connected_components(links))
+        sets = materialise(whole_sets(
+            texts.join(crowded, "doc_id").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+            .withColumn("component", F.coalesce("component", "doc_id")), words, trees, depth))
+        third = materialise(crowded_links(sets, percent, least))
+        links = label.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(
+            third.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    label = connected_components(links.unionByName(same))
     out = sketch.select("doc_id", "n_shingles").join(
         label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
