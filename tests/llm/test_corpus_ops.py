@@ -400,6 +400,19 @@ def test_boosted_candidates_add_lookalikes(make_docs):
     assert "[PHONE]" in clean[1000] and "555" not in clean[1000] and clean[1003] == "nothing here"
 
 
+def test_rare_kinds_are_learnt_from_all_documents(spark, make_docs):
+    order = [r["id"] for r in spark.range(3400).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, "no candidate here") for i in order[:3000]]
+    for at, i in enumerate(order[3000:]):  # the last in hash order alone hold candidates
+        n = f"{200 + at % 700} {100 + at * 7 % 900}-{1000 + at * 13 % 9000}"
+        body = f"please call +1 {n} soon" if at % 2 else f"meet at place {at} in room {1000 + at * 37} of {10000 + at * 91}"
+        rows.append((i, f"some words before {body} and words after"))
+    selector = pii.fit_selector(make_docs(rows))
+    assert "phone" in selector.models
+    got = pii.redact(make_docs([(1, "please call 212 555-1234 soon")]), selector).first()["text"]
+    assert got == "please call [PHONE] soon"
+
+
 def test_trees_as_sql_equal_numpy(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(400, len(pii.FEATURES)))

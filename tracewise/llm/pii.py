@@ -7,12 +7,13 @@ Each candidate is described by format and context features of its normalised
 form; boosted trees score it, and a calibrated threshold per kind selects the
 ones that are added to the base spans.
 
-The trees learn from weak labels: in a bounded, documented sample of documents
-(``max_docs``, in hash order) a candidate is positive if a base span of its
-kind overlaps it.  Whatever defines the base pattern alone (the ``+``, the
+The trees learn from weak labels: a candidate is positive if a base span of its
+kind overlaps it.  They see at most ``max_candidates`` of each kind and label,
+the first in hash order among the candidates of all documents.  Whatever defines the base pattern alone (the ``+``, the
 ``@`` itself) is no feature, so look-alikes score as high.  The threshold of a
-kind is the lowest that keeps the held-out part of the sample at PRECISION; a
-kind without positives or negatives there adds nothing.  Fitting sees numbers
+kind is the lowest (in steps of 1/STEPS) that keeps all held-out candidates, a
+quarter of all, at PRECISION; a kind without positives or negatives in either
+part adds nothing.  Fitting sees numbers
 only, on the driver; the trees then become one SQL expression, so every
 document is scored by DataFrame functions, without a shuffle.
 
@@ -32,12 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewise.llm.boosting import Boosted
+from tracewise.llm.common import materialise
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_DOCS = 3000
 MAX_CANDIDATES = 20_000
 PRECISION = 0.95
 TREES = 20
+STEPS = 1000
 
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -225,6 +227,10 @@ class Selector:
         """SQL expression: does the trees' margin reach the threshold?"""
         if kind not in self.models:
             return F.lit(False)
+        return self.margin(kind, x) >= F.lit(self.thresholds[kind] - 1e-9)
+
+    def margin(self, kind: str, x: Column) -> Column:
+        """SQL expression: the trees' margin."""
         model = self.models[kind]
 
         def node(at: int) -> Column:
@@ -233,27 +239,46 @@ class Selector:
             return F.when(F.get(x, F.lit(int(model.feature[at]))) <= F.lit(float(model.threshold[at])),
                           node(model.left[at])).otherwise(node(model.right[at]))
 
-        total = reduce(lambda a, b: a + b, [node(int(r)) for r in model.roots], F.lit(float(model.base)))
-        return total >= F.lit(self.thresholds[kind] - 1e-9)
+        return reduce(lambda a, b: a + b, [node(int(r)) for r in model.roots], F.lit(float(model.base)))
 
 
-def fit_selector(docs: DataFrame, max_docs: int = MAX_DOCS, max_candidates: int = MAX_CANDIDATES) -> Selector:
-    """Fit on the candidates of at most ``max_docs`` documents (hash order),
-    at most ``max_candidates`` of each kind; a quarter of them is held out."""
-    ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__tw_id")).distinct() \
-        .orderBy(F.xxhash64("__tw_id"), "__tw_id").limit(max_docs)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
-        .join(F.broadcast(ids), F.col("doc_id") == F.col("__tw_id")).drop("__tw_id")
+def fit_selector(docs: DataFrame, max_candidates: int = MAX_CANDIDATES) -> Selector:
+    """Fit on the candidates of all documents: at most ``max_candidates`` of
+    each kind and label (hash order) come to the driver; thresholds come from
+    counts over all of the held-out quarter."""
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = with_candidates(with_base(rows, "text"), "text")
     labelled = [F.transform(f"__tw_cand_{k}", _labelled(i, k)) for i, k in enumerate(KINDS)]
     flat = rows.select("doc_id", F.explode(F.concat(*labelled)).alias("c")).select("doc_id", "c.*")
-    order = F.xxhash64("doc_id", "start", "kind")
-    per_kind = {k: [] for k in KINDS}
+    flat = materialise(flat.withColumn("h", F.xxhash64("doc_id", "start", "kind"))
+                       .withColumn("held", F.pmod("h", F.lit(4)) == 0))
+    counts = {(r["kind"], r["y"], r["held"]): r["n"] for r in
+              flat.groupBy("kind", "y", "held").agg(F.count(F.lit(1)).alias("n")).collect()}
+    selector = Selector()
     for i, kind in enumerate(KINDS):
-        part = flat.where(F.col("kind") == i).withColumn("h", order).orderBy("h", "doc_id", "start") \
-            .limit(max_candidates).collect()
-        per_kind[kind] = [(r["x"], r["y"], r["h"] % 4 == 0) for r in part]
-    return Selector().fit(per_kind)
+        if any((i, y, held) not in counts for y in (0, 1) for held in (False, True)):
+            continue
+        found = []
+        for y in (0, 1):
+            # only about as many rows as wanted are sorted
+            share = min(1.0, 1.2 * max_candidates / counts[i, y, False])
+            bound = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+            found += flat.where((F.col("kind") == i) & (F.col("y") == y) & ~F.col("held") & (F.col("h") <= bound)) \
+                .orderBy("h", "doc_id", "start").limit(max_candidates).select("x", "y").collect()
+        if len({r["y"] for r in found}) < 2:
+            continue
+        selector.models[kind] = Boosted(len(FEATURES), trees=TREES, depth=3).fit(
+            np.array([r["x"] for r in found]), np.array([r["y"] for r in found], float))
+        steps = flat.where((F.col("kind") == i) & F.col("held")) \
+            .groupBy(F.floor(selector.margin(kind, F.col("x")) * STEPS).alias("step")) \
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("good")).orderBy(F.desc("step")).collect()
+        good = np.cumsum([r["good"] for r in steps]) / np.cumsum([r["n"] for r in steps])
+        fine = np.flatnonzero(good >= PRECISION)
+        if len(fine):
+            selector.thresholds[kind] = steps[fine[-1]]["step"] / STEPS
+        else:
+            del selector.models[kind]
+    return selector
 
 
 def _labelled(i: int, kind: str):
