@@ -89,3 +89,62 @@ SELECT page_id, coalesce(r.host, '') AS host, coalesce(r.path, '') AS path, r.ru
   coalesce(r.verdict, CASE WHEN c.n > 0 AND NOT c.allowed THEN 'block' ELSE 'allow' END) AS verdict
 FROM pages LEFT JOIN ruled r ON pages.url = r.url
 LEFT JOIN class c ON contains(pages.url, '://') AND c.node = r.host || r.rest"""
+
+#: crc32 of a list of bytes, bit by bit
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform({0}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+#: rebuilt conversations, their prefixes, then sums over each prefix's extensions
+TRIE = rf"""
+WITH t0 AS (SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+     FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(t ORDER BY k) AS ts FROM t0 GROUP BY 1),
+h AS (SELECT conv_id, ts, {_CRC.format("list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))")} % 6 AS h FROM own),
+built AS (SELECT a.conv_id, list_concat(coalesce(b.ts[1:a.h], []), a.ts[a.h + 1:]) AS ts
+          FROM h a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+p AS (SELECT conv_id, len(ts) AS last, unnest(range(0, len(ts) + 1)) AS depth, ts FROM built),
+q AS (SELECT conv_id, last, depth, ts[1:depth] AS pre, CASE WHEN depth > 0 THEN ts[1:depth - 1] END AS up,
+             CASE WHEN depth > 0 THEN length(ts[depth].text) ELSE 0 END AS len FROM p),
+node AS (SELECT pre, any_value(up) AS up, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           any_value(len) AS len, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+             FILTER (WHERE last = depth), '')) AS ends_sha256 FROM q GROUP BY pre),
+kids AS (SELECT up AS pre, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY 1),
+flat AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids USING (pre)),
+below AS (SELECT pre[1:k] AS pre, CAST(sum((n_convs - 1) * len) AS BIGINT) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+          FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM flat) GROUP BY 1)
+SELECT a.conv_id, a.depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, s.leaves AS n_leaves,
+  s.saved AS saved_tokens, a.ends_sha256
+FROM flat a LEFT JOIN flat b ON a.up = b.pre JOIN below s ON s.pre = a.pre"""
+
+#: damaged words; neighbours by the word without one character
+SPELLING = rf"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))")} AS w FROM documents),
+per_doc AS (SELECT doc_id, w, count(*) AS n FROM run GROUP BY 1, 2),
+bytes AS (SELECT w, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM per_doc),
+h AS (SELECT w, n, {_CRC.format("list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))")} AS h FROM bytes),
+word AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2)
+           ELSE w END AS w, n FROM h),
+words AS (SELECT w, CAST(sum(n) AS BIGINT) AS n FROM word WHERE length(w) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+cut AS (SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS c
+        FROM (SELECT w, n, CAST(unnest(range(1, length(w) + 1)) AS INTEGER) AS i FROM words)),
+pair AS (SELECT a.w, b.w AS v, b.n AS vn FROM cut a JOIN cut b ON a.i = b.i AND a.c = b.c AND a.w <> b.w
+         UNION SELECT a.w, b.w, b.n FROM cut a JOIN words b ON a.c = b.w
+         UNION SELECT b.w, a.w, a.n FROM cut a JOIN words b ON a.c = b.w),
+best AS (SELECT w, count(*) AS n_near, min({{'m': -vn, 'v': v}}) AS b FROM pair GROUP BY 1),
+f AS (SELECT words.w, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 2 * words.n THEN b.v END AS form,
+        CASE WHEN -b.m >= 2 * words.n THEN -b.m END AS form_n FROM words LEFT JOIN best USING (w)),
+walk(w, here) AS (SELECT w, w FROM f UNION ALL SELECT walk.w, f.form FROM walk JOIN f ON f.w = walk.here WHERE f.form IS NOT NULL),
+root AS (SELECT walk.w, walk.here FROM walk JOIN f ON f.w = walk.here WHERE f.form IS NULL)
+SELECT f.w AS word, form, root.here AS root, n, n_near, form_n FROM f JOIN root ON root.w = f.w"""
+
+#: lines by their stripped, lower-cased keys
+LINES = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+k AS (SELECT *, {_LOWER.format(r"regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")} AS key FROM l),
+often AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT k.doc_id, count(*) AS n_lines, count(often.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE often.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN often USING (key) GROUP BY k.doc_id"""

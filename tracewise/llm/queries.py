@@ -12,7 +12,8 @@ from tracewise.llm.common import table
 
 QUERIES = {}
 ORACLES = {"op4_chat_format": oracles.CHAT, "op6_sentence_dedup": oracles.SENTENCES, "op7_near_dedup": oracles.NEAR,
-           "op8_url_filter": oracles.URLS}
+           "op8_url_filter": oracles.URLS, "op11_prefix_trie": oracles.TRIE, "op12_spelling_variants": oracles.SPELLING,
+           "op13_line_dedup": oracles.LINES}
 
 
 def query(fn):
@@ -133,3 +134,31 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.with_score(docs, model).select(
         "doc_id", byte_cnn.held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, each rebuilt with the
+    start of the first one of its hundred."""
+    from tracewise.llm import prefix_trie as trie
+    keyed = trie.conversation_keys(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    rebuilt = trie.with_shared_starts(keyed, 5, 100, lambda c: F.crc32(c.cast("string").cast("binary")) % 6)
+    return trie.prefix_trie(rebuilt)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart, and the frequent form each leads to; one word in
+    97 is damaged on purpose."""
+    from tracewise.llm import spelling
+    return spelling.spelling_variants(spelling.word_counts(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), one_in=97))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the lines that ten or more documents hold."""
+    from tracewise.llm import line_dedup
+    rows = line_dedup.drop_frequent_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
