@@ -25,8 +25,8 @@ def test_query_equals_sql(spark, name):
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(cols, rel.fetchall())
 
 
-def test_ten_queries_and_the_pipeline():
+def test_thirteen_queries_and_the_pipeline():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLES) <= set(entry.oracle_sql())

@@ -206,6 +206,10 @@ def _frame(rows: list[dict]) -> pa.RecordBatch:
                                       names=_NAMES)
 
 
+def _frames(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    return (_frame(rows[i:i + 4096]) for i in range(0, len(rows), 4096))
+
+
 def ids_sha(ids: list[int]) -> str:
     return hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest()
 
@@ -228,50 +232,53 @@ def _chain(key: bytes, lens: list[int], sums: list[dict]) -> Chain:
                              for s in sums})
 
 
-def _partition_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _partition_forest(block_turns: int, fan_in: int):
     """Sorted conversations -> complete nodes, id pieces, and the partition's
     first and last chain."""
-    part = TaskContext.get().partitionId()
-    held, turns, block, chains = [], 0, 0, []
-
-    def close():
-        nonlocal held, turns, block, chains
-        rows, left, far = contract(held, final=False, again=False)
-        scope = (part << 24) + block
-        out = list(_node_rows(rows, scope))
-        out += [{"kind": PIECE, "node": node, "conv_id": min(ids), "piece": ",".join(map(str, sorted(ids))).encode()}
-                for node, ids in far]
-        chains += left
-        held, turns, block = [], 0, block + 1
-        return out
-
-    def slices(rows):
-        return (_frame(rows[i:i + 4096]) for i in range(0, len(rows), 4096))
 
-    for batch in batches:
-        for key, conv, lens in zip(*(batch.column(c).to_pylist() for c in ("key", "conv_id", "lens")), strict=True):
-            held.append(Chain(key, lens, {len(lens): Sums(conv, 1, ends=(conv,))}))
-            turns += len(lens) + 1
-            if turns >= BLOCK_TURNS:
-                yield from slices(close())
-                if len(chains) >= 2 * FAN_IN:  # the partition's blocks so far become one
-                    rows, chains, _ = contract(chains, final=False)
-                    yield from slices(list(_node_rows(rows, (part << 24) + block)))
-                    block += 1
-    if held:
-        yield from slices(close())
-    if chains:
-        rows, left, _ = contract(chains, final=False)
-        scope = (part << 24) + block
-        yield from slices([*_node_rows(rows, scope), *(_chain_row(c, part) for c in left)])
-
-
-def _merge_forests(final: bool, level: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        held, turns, block, chains = [], 0, 0, []
+
+        def close():
+            nonlocal held, turns, block, chains
+            rows, left, far = contract(held, final=False, again=False)
+            out = list(_node_rows(rows, (part << 24) + block))
+            out += [{"kind": PIECE, "node": node, "conv_id": min(ids), "piece": ",".join(map(str, sorted(ids))).encode()}
+                    for node, ids in far]
+            chains += left
+            held, turns, block = [], 0, block + 1
+            return out
+
+        def shrink():
+            """The partition's blocks so far become one."""
+            nonlocal block, chains
+            rows, chains, _ = contract(chains, final=False)
+            block += 1
+            return list(_node_rows(rows, (part << 24) + block - 1))
+
+        for batch in batches:
+            for key, conv, lens in zip(*(batch.column(c).to_pylist() for c in ("key", "conv_id", "lens")), strict=True):
+                held.append(Chain(key, lens, {len(lens): Sums(conv, 1, ends=(conv,))}))
+                turns += len(lens) + 1
+                if turns >= block_turns:
+                    yield from _frames(close())
+                    if len(chains) >= 2 * fan_in:
+                        yield from _frames(shrink())
+        if held:
+            yield from _frames(close())
+        if chains:
+            yield from _frames([*shrink(), *(_chain_row(c, part) for c in chains)])
+
+    return run
+
+
+def _merge_forests(final: bool, level: int, fan_in: int):
     def run(rows: pa.Table) -> pa.Table:
         # a first chain comes before the last one of the same place; equal keys keep their sums apart
         cols = [rows.column(c).to_pylist() for c in ("place", "key", "lens", "sums")]
         got = sorted(zip(*cols, strict=True), key=lambda r: (r[0], r[1]))
-        group = got[0][0] // FAN_IN
+        group = got[0][0] // fan_in
         made, left, _ = contract([_chain(*r[1:]) for r in got], final)
         out = [*_node_rows(made, -((level << 40) + group) - 1), *(_chain_row(c, group) for c in left)]
         return pa.Table.from_batches([_frame(out)])
@@ -290,7 +297,7 @@ def conversation_keys(rows: DataFrame, id_col: str = "conv_id") -> DataFrame:
                 .alias("turns"))
 
 
-def prefix_trie(keyed: DataFrame) -> DataFrame:
+def prefix_trie(keyed: DataFrame, block_turns: int = BLOCK_TURNS, fan_in: int = FAN_IN) -> DataFrame:
     """The nodes of the trie over (conv_id, turns array<struct<token hex
     string, len long>>): conv_id (smallest member), depth, parent_conv_id,
     n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
@@ -299,16 +306,16 @@ def prefix_trie(keyed: DataFrame) -> DataFrame:
         "conv_id", F.unhex(F.array_join(F.transform("turns", lambda t: t["token"]), "")).alias("key"),
         F.transform("turns", lambda t: t["len"]).alias("lens"))
     ordered = rows.repartitionByRange(parts, "key", "conv_id").sortWithinPartitions("key", "conv_id")
-    found = materialise(ordered.mapInArrow(_partition_forest, _SCHEMA))
+    found = materialise(ordered.mapInArrow(_partition_forest(block_turns, fan_in), _SCHEMA))
     nodes, chains = found.where(F.col("kind") == NODE), found.where(F.col("kind") == CHAIN)
     top, level = chains.agg(F.max("place")).first()[0], 0
     while top is not None:
-        level, final = level + 1, top < FAN_IN
-        merged = materialise(chains.groupBy(F.floor(F.col("place") / FAN_IN).alias("g")).applyInArrow(
-            _merge_forests(final, level), _SCHEMA))
+        level, final = level + 1, top < fan_in
+        merged = materialise(chains.groupBy(F.floor(F.col("place") / fan_in).alias("g")).applyInArrow(
+            _merge_forests(final, level, fan_in), _SCHEMA))
         nodes = nodes.unionByName(merged.where(F.col("kind") == NODE))
         chains = merged.where(F.col("kind") == CHAIN)
-        top = None if final else top // FAN_IN
+        top = None if final else top // fan_in
     return _joined(nodes, found.where(F.col("kind") == PIECE))
 
 
