@@ -13,19 +13,27 @@
    Rows next to a partition border are matched in a second small step.  A
    neighbour is a candidate if the whole signatures agree at least as often
    as four standard deviations below the wanted similarity.
-3. Candidates are confirmed on the full shingle sets: first each class's best
-   candidate, then, after a round of components, every other candidate whose
-   ends are still apart.  Links inside a component change nothing, so leaving
-   them out loses none.
+3. Candidates are confirmed on the full shingle sets in rounds: every
+   component offers its best untried candidate to another component, what is
+   confirmed is merged, and candidates whose ends have met are dropped.  A group
+   of true copies shrinks by half or more a round, so it costs a few
+   comparisons a class, however many candidates it has.  When a linear number is
+   left, or a round refutes nearly all it tries (near misses), the rounds end.
+   The candidates left over are confirmed at once, but for those inside crowded
+   groups, which step 4 joins anyway.
 4. Where more classes share MIN_DEPTH values than a row has neighbours, the
    window may end before a row's partner is met.  All classes of such crowded
    groups are joined once more, exactly: two sets that reach the similarity
    share one of the rarest shingles of both (prefix filter), so the classes
    that hold a rare shingle are compared in blocks of BLOCK rows: on their
-   signatures, and those with a possible partner on their whole sets.  Only pairs of different components are wanted: shingles held by
-   one component alone are left out, and a block gives at most one link for two
-   components.
-5. Components over the confirmed links, plus the copies of each class.
+   signatures, and those with a possible partner on their whole sets.  A pair is
+   looked at only under the first rare shingle that it shares (as far as the
+   first LISTED shingles of both tell), not under each.  Only pairs of different
+   components are wanted: shingles held by one component alone are left out,
+   and a block gives at most one link for two components.
+5. Components over the confirmed links.  Vertices are classes; every document
+   then looks up its class.  The classes with the most copies (MAX_LISTED at
+   most) are broadcast, all others joined, so no join key is hot.
 
 Two sets of similarity s share MIN_DEPTH values in at least one of the trees
 with probability 1 - (1 - s**MIN_DEPTH)**TREES: more than 0.999998 at 0.8.
@@ -60,6 +68,9 @@ MIN_DEPTH = 3
 NEIGHBOURS = 16
 KEY_DEPTH = 16
 BLOCK = 512
+LISTED = 32
+MAX_LISTED = 10_000
+MAX_ROUNDS = 12
 
 
 def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
@@ -274,35 +285,54 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _in_blocks(index: DataFrame, sets: DataFrame):
-    """``sets`` grouped by shingle and pair of blocks, for the (token, doc_id,
-    component) rows of shingles that are held by more than one component."""
+def _shared_tokens(index: DataFrame) -> DataFrame:
+    """(token, m): the shingles of (token, doc_id, component) rows that are
+    held by more than one component, and by how many rows."""
     # shingles with the same holders (those of one passage) need one comparison
-    groups = index.groupBy("token").agg(
+    return index.groupBy("token").agg(
         F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"),
         F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("y")) \
         .where("low <> high").groupBy("m", "low", "high", "x", "y").agg(F.min("token").alias("token")) \
-        .select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    dealt = index.join(groups, "token").select(
-        "token", "doc_id", "component", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("own"),
+        .select("token", "m")
+
+
+def _in_blocks(index: DataFrame, sets: DataFrame):
+    """``index`` (token, m, doc_id, component) with the columns of ``sets``,
+    grouped by shingle and pair of blocks."""
+    dealt = index.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).select(
+        "token", "m", "doc_id", "component", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("own"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     return dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")) \
         .join(sets, "doc_id").groupBy("token", "lo", "hi")
 
 
+def _first_shared(lists: list[list[int]], token: int) -> np.ndarray:
+    """Which pairs of rows share no listed shingle before ``token``."""
+    before = []
+    for one in lists:
+        before.append(one[:one.index(token)] if token in one else one)
+    codes = {t: k for k, t in enumerate(dict.fromkeys(t for one in before for t in one))}
+    held = np.zeros((len(lists), max(1, len(codes))), np.float32)
+    for row, one in enumerate(before):
+        held[row, [codes[t] for t in one]] = 1
+    return held @ held.T == 0
+
+
 def crowded_links(sets: DataFrame, percent: int, least: float) -> DataFrame:
     """(a, b) pairs that reach the similarity and join what ``sets`` (doc_id,
     component, n, shingles, small) has in different components: all such
     components are joined, by one pair or by a chain of them.  Pairs whose
     signatures agree in a smaller share than ``least`` are not looked at."""
-    def alike(_, rows):
+    def alike(key, rows):
         """The holders of one pair of blocks that have a possible partner in another component."""
         ids, comp, n, own, lo, hi = (rows.column(x).to_numpy() for x in ("doc_id", "component", "n", "own", "lo", "hi"))
+        first = _first_shared(rows.column("listed").to_pylist(), key[0].as_py())
         i, j = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
         small = np.frombuffer(b"".join(rows.column("small").to_pylist()), np.uint8).reshape(len(ids), -1)
         keep = np.zeros(len(ids), bool)
         for k in i.tolist():
-            fits = (comp[j] != comp[k]) & (100 * np.minimum(n[j], n[k]) >= percent * np.maximum(n[j], n[k]))
+            fits = first[k, j] & (comp[j] != comp[k]) \
+                & (100 * np.minimum(n[j], n[k]) >= percent * np.maximum(n[j], n[k]))
             at = j[fits]
             at = at[(small[at] == small[k]).mean(axis=1) >= least]
             keep[at] = True
@@ -340,10 +370,16 @@ def crowded_links(sets: DataFrame, percent: int, least: float) -> DataFrame:
         "doc_id", "component", F.explode(F.slice("ranked", F.lit(1), F.greatest(
             F.lit(0), prefix - single).cast("int"))).alias("x")).select("doc_id", "component", "x.token")
     rare = materialise(rare)
+    index = materialise(rare.join(_shared_tokens(rare), "token").select("token", "m", "doc_id", "component"))
+    # every pair has one first shared shingle in this order, and is looked at under it at least
+    listed = index.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("m", "token"))), 1, LISTED)
+                                         .alias("x")).select("doc_id", F.col("x.token").alias("listed"))
+    small = sets.select("doc_id", "n", "small").join(listed, "doc_id")
     # whole sets go only to the holders with a partner that their signatures do not rule out
-    near = materialise(_in_blocks(rare, sets.select("doc_id", "n", "small")).applyInArrow(
+    near = materialise(_in_blocks(index, small).applyInArrow(
         alike, "token long, doc_id long, component long").distinct())
-    return _in_blocks(near, sets.select("doc_id", "n", "shingles")).applyInArrow(
+    again = near.join(_shared_tokens(near), "token")
+    return _in_blocks(again, sets.select("doc_id", "n", "shingles")).applyInArrow(
         compare, "a long, b long").distinct()
 
 
@@ -366,6 +402,48 @@ def whole_sets(texts: DataFrame, words: int, trees: int, depth: int, seed: int =
         run, "doc_id long, component long, n long, shingles array<long>, small binary")
 
 
+def _labelled(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
+    """(a, b) pairs, with further columns, whose ends lie in different
+    components (ca, cb)."""
+    if label is None:
+        return pairs.withColumn("ca", F.col("a")).withColumn("cb", F.col("b"))
+    la = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    lb = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    return pairs.join(la, "a", "left").join(lb, "b", "left").withColumn("ca", F.coalesce("ca", "a")) \
+        .withColumn("cb", F.coalesce("cb", "b")).where("ca <> cb")
+
+
+def _merged(label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after more (a, b) links; the old ones stand for their links."""
+    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    if label is not None:
+        edges = edges.unionByName(label.select(F.col("node").alias("src"), F.col("component").alias("dst")))
+    return materialise(connected_components(edges))
+
+
+def confirmed_components(found: DataFrame, texts: DataFrame, crowded: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) over the candidates that reach the similarity, but
+    for those with both ends in ``crowded`` that were not reached in rounds."""
+    label, rest = None, materialise(_labelled(found.select("a", "b", "weight"), None))
+    few = 2 * texts.count()
+    for _ in range(MAX_ROUNDS):
+        if rest.count() <= few:
+            break
+        best = rest.select("a", "b", "weight", F.explode(F.array("ca", "cb")).alias("c")) \
+            .groupBy("c").agg(F.max(F.struct("weight", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+        best = materialise(best)
+        links = materialise(confirmed(best, texts, words, percent))
+        label = _merged(label, links)
+        rest = materialise(_labelled(rest.select("a", "b", "weight").join(best, ["a", "b"], "left_anti"), label))
+        if links.count() * 8 < best.count():  # near misses: the rest takes the other ways
+            break
+    inside = crowded.select(F.col("doc_id").alias("a"), F.lit(True).alias("in_a"))
+    other = crowded.select(F.col("doc_id").alias("b"), F.lit(True).alias("in_b"))
+    rest = rest.select("a", "b").join(inside, "a", "left").join(other, "b", "left") \
+        .where("in_a IS NULL OR in_b IS NULL").select("a", "b")
+    return _merged(label, confirmed(rest, texts, words, percent))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = TREES, depth: int = DEPTH,
                     min_depth: int = MIN_DEPTH, neighbours: int = NEIGHBOURS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
@@ -373,10 +451,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     rows = text_rows(docs, id_col, text_col)
     sketch = materialise(sketches(rows, words, trees, depth))
     whole = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = whole.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("small").alias("small"))
+    key = ["set_a", "set_b", "n_shingles"]
+    classes = materialise(whole.groupBy(*key).agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"),
+        F.first("small").alias("small")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(parts, whole.count() * trees // 2000))
+    parts = max(1, min(parts, classes.count() * trees // 2000))
     # four standard deviations below the wanted similarity
     share = percent / 100
     least = share - 4 * (share * (1 - share) / (trees * depth)) ** 0.5
@@ -387,45 +467,51 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     ids = found.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(crowded).distinct()
     texts = materialise(rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi")
                         .groupBy("doc_id").agg(F.min("text").alias("text")))
-    # copies and repeated ids
-    same = whole.join(whole.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")),
-                      ["set_a", "set_b", "n_shingles"]).where("doc_id <> rep").select(
-        F.col("doc_id").alias("src"), F.col("rep").alias("dst")).distinct()
-    best = found.select("a", "b", "weight", F.explode(F.array("a", "b")).alias("id")) \
-        .groupBy("id").agg(F.max(F.struct("weight", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
-    first = materialise(confirmed(best, texts, words, percent))
-    links = first.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    label = materialise(connected_components(links))
-    la = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    lb = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    rest = found.select("a", "b").join(best, ["a", "b"], "left_anti") \
-        .join(la, "a", "left").join(lb, "b", "left") \
-        .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-    second = confirmed(rest, texts, words, percent)
-    # the components so far stand for their links
-    links = label.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(
-        second.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    label = confirmed_components(found, texts, crowded, words, percent)
     if not crowded.isEmpty():
-        label = materialise(connected_components(links))
         sets = materialise(whole_sets(
             texts.join(crowded, "doc_id").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .withColumn("component", F.coalesce("component", "doc_id")), words, trees, depth))
-        third = materialise(crowded_links(sets, percent, least))
-        links = label.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(
-            third.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    label = connected_components(links.unionByName(same))
-    out = sketch.select("doc_id", "n_shingles").join(
-        label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    component = F.coalesce("component", "doc_id")
+        label = _merged(label, crowded_links(sets, percent, least))
+    # an id with several texts joins their classes
+    several = sketch.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high")).where("low <> high").select("doc_id")
+    several = materialise(several)
+    if not several.isEmpty():
+        own = whole.join(several, "doc_id", "left_semi").select("doc_id", *key).distinct()
+        label = _merged(label, own.join(classes.select(F.col("doc_id").alias("rep"), *key), key)
+                        .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    # what the classes tell their documents
+    told = materialise(classes.select(F.col("doc_id").alias("node"), "copies", *key).join(label, "node", "left")
+                       .where("copies > 1 OR component IS NOT NULL")
+                       .select(*key, "copies", F.coalesce("component", "node").alias("component")))
+    total = told.agg(F.sum("copies")).first()[0] or 0
+    often = max(2, -(-total // MAX_LISTED))  # so many copies can only MAX_LISTED classes have
+    hot = told.where(F.col("copies") >= often).select(*key, F.col("component").alias("__hot"))
+    out = sketch.select("doc_id", *key).join(F.broadcast(hot), key, "left") \
+        .join(told.where(F.col("copies") < often).select(*key, "component"), key, "left") \
+        .withColumn("component", F.coalesce("__hot", "component"))
+    shared = label.join(several, F.col("node") == F.col("doc_id"), "left_semi") \
+        .select(F.col("node").alias("doc_id"), F.col("component").alias("__own"))
+    out = out.join(shared, "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("__own", "component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       (F.col("doc_id") == component).alias("kept"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without near-duplicates: of each component the row with the
-    smallest id (one row if that id repeats).  Rows with a null id stay."""
-    verdict = near_duplicates(docs, id_col=id_col, **options)
+    smallest id.  Where that id repeats, rows with equal texts become one (the
+    first in the order of all their columns) and rows whose texts differ stay.
+    Rows with a null id stay."""
+    verdict = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     gone = verdict.where("NOT kept").select(F.col("doc_id").alias("__tw_id")).distinct()
     left = docs.join(gone, F.col(id_col).cast("long") == F.col("__tw_id"), "left_anti")
-    known = left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return known.unionByName(left.where(F.col(id_col).isNull()))
+    known = left.where(F.col(id_col).isNotNull())
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+    content = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # maps have no order
+    first = F.min_by(content, F.to_json(content)) if "map<" in docs.schema.simpleString() else F.min(content)
+    one = known.groupBy(F.col(id_col).cast("long").alias("__tw_id"), digest.alias("__tw_text")).agg(
+        first.alias("__tw_row")).select("__tw_row.*")
+    return one.unionByName(left.where(F.col(id_col).isNull()))
