@@ -31,6 +31,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def few_parts(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """``df``, of about ``rows`` small rows, in no more partitions than these
+    need: iterations over small tables then write few files."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
 def text_chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Index ranges [i, j) of consecutive texts of about ``limit`` characters
     (a longer text stands alone), so that working arrays stay bounded."""

@@ -12,7 +12,10 @@
    those that agree to the deepest level, elsewhere MIN_DEPTH is enough.
    Rows next to a partition border are matched in a second small step.  A
    neighbour is a candidate if the whole signatures agree at least as often
-   as four standard deviations below the wanted similarity.
+   as four standard deviations below the wanted similarity.  This is done
+   twice: first with the next row of each order alone, which after step 3 joins
+   most groups of copies; then with NEIGHBOURS rows, for the classes that share
+   a prefix with another component, passing over rows of the same component.
 3. Candidates are confirmed on the full shingle sets in rounds: every
    component offers its best untried candidate to another component, what is
    confirmed is merged, and candidates whose ends have met are dropped.  A group
@@ -55,10 +58,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewise.llm.common import materialise, text_chunks, text_rows
+from tracewise.llm.common import few_parts, materialise, text_chunks, text_rows
 from tracewise.llm.components import connected_components
 from tracewise.llm.wordhash import joined, mix, run_hashes, word_hashes, word_spans
 
@@ -107,41 +110,44 @@ def signature(values: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarra
 
 
 def sketches(rows: DataFrame, words: int, trees: int, depth: int, seed: int = 7) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, sig, small) of every (doc_id, text)
-    row; ``small`` is one byte of each signature value."""
+    """(doc_id, n_shingles, set_a, set_b, sig) of every (doc_id, text) row."""
     mul, add = _coefficients(trees * depth, seed)
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                n, a, b, sig, small = [], [], [], [], []
+                n, a, b, sig = [], [], [], []
                 for s in shingle_sets(part.column("text").to_pylist(), words):
                     n.append(len(s))
                     a.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                     b.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
-                    low = signature(s, mul, add) if len(s) else None
-                    sig.append(None if low is None else low.tobytes())
-                    small.append(None if low is None else low.astype(np.uint8).tobytes())
+                    sig.append(signature(s, mul, add).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
-                     pa.array(b, pa.int64()), pa.array(sig, pa.binary()), pa.array(small, pa.binary())],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "sig", "small"])
+                     pa.array(b, pa.int64()), pa.array(sig, pa.binary())],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "sig"])
 
     return rows.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary, small binary")
+        run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary")
 
 
-def _neighbour_pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small: np.ndarray, min_depth: int,
-                     neighbours: int, least: float, seen: int = 0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(id, id, common prefix) of rows at most ``neighbours`` apart whose
-    signatures agree in a share of ``least``; pairs among the first ``seen``
-    rows were given before."""
+def small_of(sig: str) -> Column:
+    """The last byte of each signature value."""
+    return F.unhex(F.regexp_replace(F.hex(sig), ".{6}(..)", "$1"))
+
+
+def _neighbour_pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, comp: np.ndarray, small: np.ndarray,
+                     min_depth: int, neighbours: int, least: float,
+                     seen: int = 0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(id, id, common prefix) of rows of different components at most
+    ``neighbours`` apart whose signatures agree in a share of ``least``; pairs
+    among the first ``seen`` rows were given before."""
     out = []
     for k in range(1, min(neighbours, len(ids) - 1) + 1):
         same = np.logical_and.accumulate(keys[:-k] == keys[k:], axis=1)
         lcp = np.where(tree[:-k] == tree[k:], same.sum(axis=1), 0)
-        hit = (lcp >= min_depth) & (ids[:-k] != ids[k:])
+        hit = (lcp >= min_depth) & (comp[:-k] != comp[k:])
         hit[:max(0, seen - k)] = False
         at = np.flatnonzero(hit)
         at = at[(small[at] == small[at + k]).mean(axis=1) >= least] if len(at) else at
@@ -150,15 +156,28 @@ def _neighbour_pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, small:
     return out
 
 
-def shared_heads(classes: DataFrame, trees: int, depth: int, min_depth: int) -> DataFrame:
-    """(doc_id, trees, crowd): the trees in which a class shares its shortest
-    prefix with others, and the size of the largest such group."""
+def head_groups(classes: DataFrame, trees: int, depth: int, min_depth: int) -> DataFrame:
+    """(doc_id, tree, head) of the classes that share a tree's shortest prefix
+    with another class."""
     own = 4 * depth
     heads = classes.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig") \
         .select("doc_id", "tree", F.xxhash64("tree", F.substring("sig", F.col("tree") * own + 1, F.lit(4 * min_depth)))
                 .alias("head"))
-    shared = heads.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return heads.join(shared, "head").groupBy("doc_id").agg(
+    return heads.join(heads.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head"), "head") \
+        .select("doc_id", "tree", "head")
+
+
+def shared_heads(heads: DataFrame, label: DataFrame | None) -> DataFrame:
+    """(doc_id, component, trees, crowd): the trees in which a class shares its
+    prefix with another component, and the size of the largest such group."""
+    if label is None:
+        named = heads.withColumn("component", F.col("doc_id"))
+    else:
+        named = heads.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
+            .withColumn("component", F.coalesce("component", "doc_id"))
+    shared = named.groupBy("head").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
+                                       F.max("component").alias("high")).where("low <> high").select("head", "n")
+    return named.join(shared, "head").groupBy("doc_id", "component").agg(
         F.collect_set("tree").alias("trees"), F.max("n").alias("crowd"))
 
 
@@ -169,8 +188,10 @@ def candidates(classes: DataFrame, places: DataFrame, trees: int, depth: int, mi
     width = 4 * min(KEY_DEPTH, trees * depth)
     own = 4 * depth
     # most rows share their shortest prefix with no other: only the rest is sorted
-    entries = classes.join(places.select("doc_id", "trees"), "doc_id").select("doc_id", F.explode("trees").alias("tree"), "sig", "small") \
-        .select("doc_id", "tree", F.substring(F.concat("sig", "sig"), F.col("tree") * own + 1, F.lit(width))
+    entries = classes.select("doc_id", "sig").join(places.select("doc_id", "component", "trees"), "doc_id") \
+        .withColumn("small", small_of("sig")) \
+        .select("doc_id", "component", F.explode("trees").alias("tree"), "sig", "small") \
+        .select("doc_id", "component", "tree", F.substring(F.concat("sig", "sig"), F.col("tree") * own + 1, F.lit(width))
                 .alias("key"), "small")
     ordered = entries.repartitionByRange(parts, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
 
@@ -180,43 +201,42 @@ def candidates(classes: DataFrame, places: DataFrame, trees: int, depth: int, mi
         held = None  # the last rows of the batches before
         head = 0
 
-        def frame(kind, border_at, tree, key, small, a, b, lcp):
+        def frame(kind, border_at, tree, key, small, comp, a, b, lcp):
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(a), kind, np.int32)), pa.array(np.full(len(a), border_at, np.int64)),
                  pa.array(tree, pa.int32()), pa.array(key, pa.binary()), pa.array(small, pa.binary()),
-                 pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(lcp, pa.int32())],
-                names=["kind", "border", "tree", "key", "small", "a", "b", "lcp"])
+                 pa.array(comp, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(lcp, pa.int32())],
+                names=["kind", "border", "tree", "key", "small", "component", "a", "b", "lcp"])
 
-        def borders(kind, at, tree, keys, ids, small):
-            return frame(kind, at, tree, [k.tobytes() for k in keys], [x.tobytes() for x in small], ids, ids,
+        def borders(kind, at, tree, keys, ids, comp, small):
+            return frame(kind, at, tree, [k.tobytes() for k in keys], [x.tobytes() for x in small], comp, ids, ids,
                          np.zeros(len(ids), np.int32))
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree = batch.column("tree").to_numpy(zero_copy_only=False)
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            tree, ids, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "doc_id", "component"))
             keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(-1, width // 4)
             small = np.frombuffer(b"".join(batch.column("small").to_pylist()), np.uint8).reshape(len(ids), -1)
             if head < neighbours:
                 take = min(neighbours - head, len(ids))
-                yield borders(1, border, tree[:take], keys[:take], ids[:take], small[:take])
+                yield borders(1, border, tree[:take], keys[:take], ids[:take], comp[:take], small[:take])
                 head += take
             seen = 0
             if held is not None:
                 seen = len(held[2])
-                tree, keys, ids, small = (np.concatenate([x, y])
-                                          for x, y in zip(held, (tree, keys, ids, small), strict=True))
-            for a, b, lcp in _neighbour_pairs(tree, keys, ids, small, min_depth, neighbours, least, seen):
+                tree, keys, ids, comp, small = (np.concatenate([x, y])
+                                                for x, y in zip(held, (tree, keys, ids, comp, small), strict=True))
+            for a, b, lcp in _neighbour_pairs(tree, keys, ids, comp, small, min_depth, neighbours, least, seen):
                 none = [None] * len(a)
-                yield frame(0, 0, np.zeros(len(a), np.int32), none, none, np.minimum(a, b),
+                yield frame(0, 0, np.zeros(len(a), np.int32), none, none, np.zeros(len(a), np.int64), np.minimum(a, b),
                             np.maximum(a, b), lcp.astype(np.int32))
-            held = tuple(x[-neighbours:] for x in (tree, keys, ids, small))
+            held = tuple(x[-neighbours:] for x in (tree, keys, ids, comp, small))
         if held is not None:
             yield borders(2, border + 1, *held)
 
     found = materialise(ordered.mapInArrow(
-        run, "kind int, border long, tree int, key binary, small binary, a long, b long, lcp int"))
+        run, "kind int, border long, tree int, key binary, small binary, component long, a long, b long, lcp int"))
 
     def across(_, rows):
         """Last rows of one partition against the first rows of the next."""
@@ -224,7 +244,8 @@ def candidates(classes: DataFrame, places: DataFrame, trees: int, depth: int, mi
         ids = rows.column("a").to_numpy()
         keys = np.frombuffer(b"".join(rows.column("key").to_pylist()), ">u4").reshape(-1, width // 4)
         small = np.frombuffer(b"".join(rows.column("small").to_pylist()), np.uint8).reshape(len(ids), -1)
-        pairs = _neighbour_pairs(rows.column("tree").to_numpy(), keys, ids, small, min_depth, 2 * neighbours, least)
+        comp = rows.column("component").to_numpy()
+        pairs = _neighbour_pairs(rows.column("tree").to_numpy(), keys, ids, comp, small, min_depth, 2 * neighbours, least)
         none = np.empty(0, np.int64)
         a, b, lcp = (np.concatenate([none, *x]) for x in (zip(*pairs, strict=True) if pairs else ((), (), ())))
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()),
@@ -421,27 +442,33 @@ def _merged(label: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialise(connected_components(edges))
 
 
-def confirmed_components(found: DataFrame, texts: DataFrame, crowded: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, component) over the candidates that reach the similarity, but
-    for those with both ends in ``crowded`` that were not reached in rounds."""
-    label, rest = None, materialise(_labelled(found.select("a", "b", "weight"), None))
-    few = 2 * texts.count()
+def confirmed_components(found: DataFrame, texts: DataFrame, label: DataFrame | None, crowded: DataFrame | None,
+                         words: int, percent: int) -> DataFrame:
+    """(node, component) after the candidates ``found`` (a, b, weight) that
+    reach the similarity, but for those with both ends in ``crowded`` that were
+    not reached in rounds."""
+    n = found.count()
+    rest = materialise(few_parts(_labelled(found.select("a", "b", "weight"), label), n))
+    few = 2 * found.select(F.explode(F.array("a", "b")).alias("id")).distinct().count()
     for _ in range(MAX_ROUNDS):
-        if rest.count() <= few:
+        if n <= few:
             break
         best = rest.select("a", "b", "weight", F.explode(F.array("ca", "cb")).alias("c")) \
             .groupBy("c").agg(F.max(F.struct("weight", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
-        best = materialise(best)
+        best = materialise(few_parts(best, n))
         links = materialise(confirmed(best, texts, words, percent))
         label = _merged(label, links)
-        rest = materialise(_labelled(rest.select("a", "b", "weight").join(best, ["a", "b"], "left_anti"), label))
+        left = rest.select("a", "b", "weight").join(best, ["a", "b"], "left_anti")
+        rest = materialise(few_parts(_labelled(left, label), n))
+        n = rest.count()
         if links.count() * 8 < best.count():  # near misses: the rest takes the other ways
             break
-    inside = crowded.select(F.col("doc_id").alias("a"), F.lit(True).alias("in_a"))
-    other = crowded.select(F.col("doc_id").alias("b"), F.lit(True).alias("in_b"))
-    rest = rest.select("a", "b").join(inside, "a", "left").join(other, "b", "left") \
-        .where("in_a IS NULL OR in_b IS NULL").select("a", "b")
-    return _merged(label, confirmed(rest, texts, words, percent))
+    rest = rest.select("a", "b")
+    if crowded is not None:
+        inside = crowded.select(F.col("doc_id").alias("a"), F.lit(True).alias("in_a"))
+        other = crowded.select(F.col("doc_id").alias("b"), F.lit(True).alias("in_b"))
+        rest = rest.join(inside, "a", "left").join(other, "b", "left").where("in_a IS NULL OR in_b IS NULL")
+    return _merged(label, confirmed(rest.select("a", "b"), texts, words, percent))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = TREES, depth: int = DEPTH,
@@ -452,22 +479,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     sketch = materialise(sketches(rows, words, trees, depth))
     whole = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     key = ["set_a", "set_b", "n_shingles"]
+    # dealt by id once: the joins below find them in place
     classes = materialise(whole.groupBy(*key).agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"),
-        F.first("small").alias("small")))
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"))
+        .repartition("doc_id"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(parts, classes.count() * trees // 2000))
     # four standard deviations below the wanted similarity
     share = percent / 100
     least = share - 4 * (share * (1 - share) / (trees * depth)) ** 0.5
-    places = materialise(shared_heads(classes, trees, depth, min_depth))
+    # 1: the next row of each order
+    heads = materialise(head_groups(classes, trees, depth, min_depth))
+    places = materialise(shared_heads(heads, None))
+    found = materialise(candidates(classes, places, trees, depth, min_depth, 1, parts, least))
+    texts = materialise(rows.where("doc_id IS NOT NULL").join(places.select("doc_id"), "doc_id", "left_semi")
+                        .groupBy("doc_id").agg(F.min("text").alias("text")))
+    label = confirmed_components(found, texts, None, None, words, percent)
+    # 2: more neighbours, in other components
+    places = materialise(shared_heads(heads, label))
     found = materialise(candidates(classes, places, trees, depth, min_depth, neighbours, parts, least))
     # in a larger group a window may end before the partner
-    crowded = places.where(F.col("crowd") > neighbours + 1).select("doc_id")
-    ids = found.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(crowded).distinct()
-    texts = materialise(rows.where("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi")
-                        .groupBy("doc_id").agg(F.min("text").alias("text")))
-    label = confirmed_components(found, texts, crowded, words, percent)
+    crowded = materialise(places.where(F.col("crowd") > neighbours + 1).select("doc_id"))
+    label = confirmed_components(found, texts, label, crowded, words, percent)
     if not crowded.isEmpty():
         sets = materialise(whole_sets(
             texts.join(crowded, "doc_id").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
