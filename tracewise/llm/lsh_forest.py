@@ -13,9 +13,10 @@
    Rows next to a partition border are matched in a second small step.  A
    neighbour is a candidate if the whole signatures agree at least as often
    as four standard deviations below the wanted similarity.  This is done
-   twice: first with the next row of each order alone, which after step 3 joins
-   most groups of copies; then with NEIGHBOURS rows, for the classes that share
-   a prefix with another component, passing over rows of the same component.
+   twice: first with the next row in the FIRST_TREES first orders alone, two pairs a
+   class, which after step 3 joins most groups of copies; then with NEIGHBOURS
+   rows in all orders, for the classes that share a prefix with another
+   component, passing over rows of the same component.
 3. Candidates are confirmed on the full shingle sets in rounds: every
    component offers its best untried candidate to another component, what is
    confirmed is merged, and candidates whose ends have met are dropped.  A group
@@ -70,6 +71,7 @@ DEPTH = 8
 MIN_DEPTH = 3
 NEIGHBOURS = 16
 KEY_DEPTH = 16
+FIRST_TREES = 2
 BLOCK = 512
 LISTED = 32
 MAX_LISTED = 10_000
@@ -488,10 +490,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     # four standard deviations below the wanted similarity
     share = percent / 100
     least = share - 4 * (share * (1 - share) / (trees * depth)) ** 0.5
-    # 1: the next row of each order
+    # 1: the next row in a few orders; whatever this leaves apart comes again in 2
     heads = materialise(head_groups(classes, trees, depth, min_depth))
     places = materialise(shared_heads(heads, None))
-    found = materialise(candidates(classes, places, trees, depth, min_depth, 1, parts, least))
+    few = places.withColumn("trees", F.slice(F.array_sort("trees"), 1, FIRST_TREES))
+    found = materialise(candidates(classes, few, trees, depth, min_depth, 1, parts, least))
     texts = materialise(rows.where("doc_id IS NOT NULL").join(places.select("doc_id"), "doc_id", "left_semi")
                         .groupBy("doc_id").agg(F.min("text").alias("text")))
     label = confirmed_components(found, texts, None, None, words, percent)
