@@ -16,7 +16,9 @@
    twice: first with the next row in the FIRST_TREES first orders alone, two pairs a
    class, which after step 3 joins most groups of copies; then with NEIGHBOURS
    rows in all orders, for the classes that share a prefix with another
-   component, passing over rows of the same component.
+   component, passing over rows of the same component.  Where a group is wider
+   than the window, a row gives only its best neighbour in that order: all pairs
+   of such groups are met again in step 4.
 3. Candidates are confirmed on the full shingle sets in rounds: every
    component offers its best untried candidate to another component, what is
    confirmed is merged, and candidates whose ends have met are dropped.  A group
@@ -139,22 +141,35 @@ def small_of(sig: str) -> Column:
     return F.unhex(F.regexp_replace(F.hex(sig), ".{6}(..)", "$1"))
 
 
-def _neighbour_pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, comp: np.ndarray, small: np.ndarray,
-                     min_depth: int, neighbours: int, least: float,
+def _neighbour_pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, comp: np.ndarray, wide: np.ndarray,
+                     small: np.ndarray, min_depth: int, neighbours: int, least: float,
                      seen: int = 0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(id, id, common prefix) of rows of different components at most
-    ``neighbours`` apart whose signatures agree in a share of ``least``; pairs
-    among the first ``seen`` rows were given before."""
+    ``neighbours`` apart whose signatures agree in a share of ``least``; of a
+    ``wide`` row only the pair that agrees best.  Pairs among the first
+    ``seen`` rows were given before."""
     out = []
+    best = np.zeros(len(ids))
+    partner, shared = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
     for k in range(1, min(neighbours, len(ids) - 1) + 1):
         same = np.logical_and.accumulate(keys[:-k] == keys[k:], axis=1)
         lcp = np.where(tree[:-k] == tree[k:], same.sum(axis=1), 0)
         hit = (lcp >= min_depth) & (comp[:-k] != comp[k:])
         hit[:max(0, seen - k)] = False
         at = np.flatnonzero(hit)
-        at = at[(small[at] == small[at + k]).mean(axis=1) >= least] if len(at) else at
+        if not len(at):
+            continue
+        agree = (small[at] == small[at + k]).mean(axis=1)
+        at, agree = at[agree >= least], agree[agree >= least]
+        better = wide[at] & (agree > best[at])
+        i = at[better]
+        best[i], partner[i], shared[i] = agree[better], i + k, lcp[i]
+        at = at[~wide[at]]
         if len(at):
             out.append((ids[at], ids[at + k], lcp[at]))
+    i = np.flatnonzero(best)
+    if len(i):
+        out.append((ids[i], ids[partner[i]], shared[i]))
     return out
 
 
@@ -169,9 +184,10 @@ def head_groups(classes: DataFrame, trees: int, depth: int, min_depth: int) -> D
         .select("doc_id", "tree", "head")
 
 
-def shared_heads(heads: DataFrame, label: DataFrame | None) -> DataFrame:
+def shared_heads(heads: DataFrame, label: DataFrame | None, neighbours: int) -> DataFrame:
     """(doc_id, component, trees, crowd): the trees in which a class shares its
-    prefix with another component, and the size of the largest such group."""
+    prefix with another component (each with whether that group is wider than
+    the window), and the size of the largest such group."""
     if label is None:
         named = heads.withColumn("component", F.col("doc_id"))
     else:
@@ -180,7 +196,7 @@ def shared_heads(heads: DataFrame, label: DataFrame | None) -> DataFrame:
     shared = named.groupBy("head").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
                                        F.max("component").alias("high")).where("low <> high").select("head", "n")
     return named.join(shared, "head").groupBy("doc_id", "component").agg(
-        F.collect_set("tree").alias("trees"), F.max("n").alias("crowd"))
+        F.collect_set(F.struct("tree", (F.col("n") > neighbours + 1).alias("wide"))).alias("trees"), F.max("n").alias("crowd"))
 
 
 def candidates(classes: DataFrame, places: DataFrame, trees: int, depth: int, min_depth: int, neighbours: int,
@@ -192,8 +208,9 @@ def candidates(classes: DataFrame, places: DataFrame, trees: int, depth: int, mi
     # most rows share their shortest prefix with no other: only the rest is sorted
     entries = classes.select("doc_id", "sig").join(places.select("doc_id", "component", "trees"), "doc_id") \
         .withColumn("small", small_of("sig")) \
-        .select("doc_id", "component", F.explode("trees").alias("tree"), "sig", "small") \
-        .select("doc_id", "component", "tree", F.substring(F.concat("sig", "sig"), F.col("tree") * own + 1, F.lit(width))
+        .select("doc_id", "component", F.explode("trees").alias("t"), "sig", "small") \
+        .select("doc_id", "component", "t.tree", "t.wide", "sig", "small") \
+        .select("doc_id", "component", "tree", "wide", F.substring(F.concat("sig", "sig"), F.col("tree") * own + 1, F.lit(width))
                 .alias("key"), "small")
     ordered = entries.repartitionByRange(parts, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
 
@@ -203,42 +220,44 @@ def candidates(classes: DataFrame, places: DataFrame, trees: int, depth: int, mi
         held = None  # the last rows of the batches before
         head = 0
 
-        def frame(kind, border_at, tree, key, small, comp, a, b, lcp):
+        def frame(kind, border_at, tree, key, small, comp, wide, a, b, lcp):
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(a), kind, np.int32)), pa.array(np.full(len(a), border_at, np.int64)),
                  pa.array(tree, pa.int32()), pa.array(key, pa.binary()), pa.array(small, pa.binary()),
-                 pa.array(comp, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(lcp, pa.int32())],
-                names=["kind", "border", "tree", "key", "small", "component", "a", "b", "lcp"])
+                 pa.array(comp, pa.int64()), pa.array(wide, pa.bool_()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                 pa.array(lcp, pa.int32())],
+                names=["kind", "border", "tree", "key", "small", "component", "wide", "a", "b", "lcp"])
 
-        def borders(kind, at, tree, keys, ids, comp, small):
-            return frame(kind, at, tree, [k.tobytes() for k in keys], [x.tobytes() for x in small], comp, ids, ids,
+        def borders(kind, at, tree, keys, ids, comp, wide, small):
+            return frame(kind, at, tree, [k.tobytes() for k in keys], [x.tobytes() for x in small], comp, wide, ids, ids,
                          np.zeros(len(ids), np.int32))
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree, ids, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "doc_id", "component"))
+            tree, ids, comp, wide = (batch.column(c).to_numpy(zero_copy_only=False)
+                                     for c in ("tree", "doc_id", "component", "wide"))
             keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(-1, width // 4)
             small = np.frombuffer(b"".join(batch.column("small").to_pylist()), np.uint8).reshape(len(ids), -1)
             if head < neighbours:
                 take = min(neighbours - head, len(ids))
-                yield borders(1, border, tree[:take], keys[:take], ids[:take], comp[:take], small[:take])
+                yield borders(1, border, tree[:take], keys[:take], ids[:take], comp[:take], wide[:take], small[:take])
                 head += take
             seen = 0
             if held is not None:
                 seen = len(held[2])
-                tree, keys, ids, comp, small = (np.concatenate([x, y])
-                                                for x, y in zip(held, (tree, keys, ids, comp, small), strict=True))
-            for a, b, lcp in _neighbour_pairs(tree, keys, ids, comp, small, min_depth, neighbours, least, seen):
+                tree, keys, ids, comp, wide, small = (
+                    np.concatenate([x, y]) for x, y in zip(held, (tree, keys, ids, comp, wide, small), strict=True))
+            for a, b, lcp in _neighbour_pairs(tree, keys, ids, comp, wide, small, min_depth, neighbours, least, seen):
                 none = [None] * len(a)
-                yield frame(0, 0, np.zeros(len(a), np.int32), none, none, np.zeros(len(a), np.int64), np.minimum(a, b),
-                            np.maximum(a, b), lcp.astype(np.int32))
-            held = tuple(x[-neighbours:] for x in (tree, keys, ids, comp, small))
+                yield frame(0, 0, np.zeros(len(a), np.int32), none, none, np.zeros(len(a), np.int64), np.zeros(len(a), bool),
+                            np.minimum(a, b), np.maximum(a, b), lcp.astype(np.int32))
+            held = tuple(x[-neighbours:] for x in (tree, keys, ids, comp, wide, small))
         if held is not None:
             yield borders(2, border + 1, *held)
 
     found = materialise(ordered.mapInArrow(
-        run, "kind int, border long, tree int, key binary, small binary, component long, a long, b long, lcp int"))
+        run, "kind int, border long, tree int, key binary, small binary, component long, wide boolean, a long, b long, lcp int"))
 
     def across(_, rows):
         """Last rows of one partition against the first rows of the next."""
@@ -246,8 +265,8 @@ def candidates(classes: DataFrame, places: DataFrame, trees: int, depth: int, mi
         ids = rows.column("a").to_numpy()
         keys = np.frombuffer(b"".join(rows.column("key").to_pylist()), ">u4").reshape(-1, width // 4)
         small = np.frombuffer(b"".join(rows.column("small").to_pylist()), np.uint8).reshape(len(ids), -1)
-        comp = rows.column("component").to_numpy()
-        pairs = _neighbour_pairs(rows.column("tree").to_numpy(), keys, ids, comp, small, min_depth, 2 * neighbours, least)
+        comp, wide = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("component", "wide"))
+        pairs = _neighbour_pairs(rows.column("tree").to_numpy(), keys, ids, comp, wide, small, min_depth, 2 * neighbours, least)
         none = np.empty(0, np.int64)
         a, b, lcp = (np.concatenate([none, *x]) for x in (zip(*pairs, strict=True) if pairs else ((), (), ())))
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()),
@@ -481,10 +500,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     sketch = materialise(sketches(rows, words, trees, depth))
     whole = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     key = ["set_a", "set_b", "n_shingles"]
-    # dealt by id once: the joins below find them in place
     classes = materialise(whole.groupBy(*key).agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"))
-        .repartition("doc_id"))
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(parts, classes.count() * trees // 2000))
     # four standard deviations below the wanted similarity
@@ -492,14 +509,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     least = share - 4 * (share * (1 - share) / (trees * depth)) ** 0.5
     # 1: the next row in a few orders; whatever this leaves apart comes again in 2
     heads = materialise(head_groups(classes, trees, depth, min_depth))
-    places = materialise(shared_heads(heads, None))
+    places = materialise(shared_heads(heads, None, neighbours))
     few = places.withColumn("trees", F.slice(F.array_sort("trees"), 1, FIRST_TREES))
     found = materialise(candidates(classes, few, trees, depth, min_depth, 1, parts, least))
     texts = materialise(rows.where("doc_id IS NOT NULL").join(places.select("doc_id"), "doc_id", "left_semi")
                         .groupBy("doc_id").agg(F.min("text").alias("text")))
     label = confirmed_components(found, texts, None, None, words, percent)
     # 2: more neighbours, in other components
-    places = materialise(shared_heads(heads, label))
+    places = materialise(shared_heads(heads, label, neighbours))
     found = materialise(candidates(classes, places, trees, depth, min_depth, neighbours, parts, least))
     # in a larger group a window may end before the partner
     crowded = materialise(places.where(F.col("crowd") > neighbours + 1).select("doc_id"))
