@@ -70,28 +70,6 @@ def test_result_independent_of_shuffle_partitions(spark):
     assert one == eight
 
 
-def test_stateful_features_across_batches(spark, tmp_path):
-    # several files, one per micro-batch: state must carry the trailing points
-    from tracewise.streaming import jobs
-    t0 = dt.datetime(2024, 1, 1)
-    vals = [float(v) for v in range(1, 21)]
-    for part in range(4):
-        pdf = pd.DataFrame({"event_id": range(part * 5, part * 5 + 5),
-                            "ts": [t0 + dt.timedelta(minutes=i) for i in range(part * 5, part * 5 + 5)],
-                            "user_id": [0] * 5, "event_type": ["view"] * 5,
-                            "value": vals[part * 5: part * 5 + 5], "props": ['{"k": 1}'] * 5})
-        pdf["ts"] = pdf["ts"].astype("datetime64[us]")
-        spark.createDataFrame(pdf, jobs.EVENTS_SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"events{part}.parquet"))
-    ev = spark.readStream.schema(jobs.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1) \
-        .parquet(str(tmp_path) + "/events*.parquet/*.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    pts = ev.select(F.lit("a").alias("k"), "ts", F.col("value").alias("x"))
-    out = jobs.trailing_features(pts, ["k"], "x", "t").orderBy("ts").collect()
-    assert len(out) == 20
-    # value i has rolling mean of the last 5 = i - 2 from the 5th point on, diff 1 from the 2nd
-    assert all(abs(r["rolling_mean"] - (r["x"] - 2)) < 1e-9 for r in out[4:])
-    assert all(abs(r["diff"] - 1.0) < 1e-9 for r in out[1:])
-
-
 def test_results_do_not_depend_on_session_time_zone(spark):
     q = entry.queries()
     names = ["str1_stream_bucket_mean", "pql5_avg_over_time", "src3_instant_vector_flatten"]

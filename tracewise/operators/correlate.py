@@ -18,11 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewise.functions.columns import epoch_seconds, pearson_from_sums
+from tracewise.functions.columns import CORR_THRESHOLD, epoch_seconds, pearson_from_sums
 from tracewise.session import cut_lineage
 
 BLOCK = 512
 CHUNK = 1024
+BAND = 0.125    # width of a bucket on the log scale of disjoint_pairs
 # relative size below which a spread is rounding, not variance
 MIN_SPREAD = 1e-12
 
@@ -64,11 +65,12 @@ def _block_moments(g: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def comoments(df: DataFrame, id_col: str, step_col: str, value: str, lags: Sequence[int]) -> DataFrame:
+def comoments(df: DataFrame, id_col: str, step_col: str, value: str, lags: Sequence[int],
+              wanted: DataFrame | None = None) -> DataFrame:
     """Co-moments of ``x_a(t)`` with ``x_b(t - L)`` for pairs of different
     ids, summed over the steps where both values exist.  For lag 0 only the
     pairs a < b, for other lags (in units of ``step_col``, an integer time
-    index) every ordered pair."""
+    index) every ordered pair.  ``wanted`` (a, b) leaves only those pairs."""
     blocks = max(1, -(-df.select(id_col).distinct().count() // BLOCK))
     per_step = (df.groupBy(step_col, F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("block"))
                 .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(value).cast("double").alias("x")))
@@ -83,6 +85,8 @@ def comoments(df: DataFrame, id_col: str, step_col: str, value: str, lags: Seque
     frames = (cur.join(prev, on="_t", how="inner").filter((F.col("lag") != 0) | (F.col("ba") <= F.col("bb")))
               .withColumn("chunk", F.floor(F.col("_t") / CHUNK)))
     parts = frames.groupBy("ba", "bb", "lag", "chunk").applyInPandas(_block_moments, _SCHEMA)
+    if wanted is not None:
+        parts = parts.join(wanted, ["a", "b"], "left_semi")
     return parts.groupBy("a", "b", "lag").agg(*[F.sum(c).alias(c) for c in _MOMENTS])
 
 
@@ -109,11 +113,14 @@ def with_step_index(df: DataFrame, ts: str, step_seconds: int, out: str = "step"
     return df.withColumn(out, ((epoch_seconds(ts) - epoch_seconds(t0)) / F.lit(step_seconds)).cast("long"))
 
 
-def corr_matrix(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: int) -> DataFrame:
-    """COR1: Pearson r of every pair of series on the zero-filled
-    time x series grid (the pivot + ``fillna(0)`` + ``corr`` of the
-    reference), one row per unordered pair ``a < b`` that shares at least one
-    timestamp; NULL for a constant series.
+def corr_state(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: int,
+               threshold: float = CORR_THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """COR1: (pairs, series).  ``pairs`` (a, b, r) with ``a < b``: Pearson r on
+    the zero-filled time x series grid (the pivot + ``fillna(0)`` + ``corr`` of
+    the reference) of every pair that shares a timestamp, and of every other
+    pair with ``|r| > threshold``; NULL for a constant series.  ``series``
+    (id, gap, steps): ``gap`` is a series' value at an absent step (NULL without
+    variance), from which r of any pair without a common timestamp follows.
 
     Present cells are standardised by the zero-filled mean and std; an absent
     cell is then the constant ``-mean / std`` of its series, so the cells
@@ -126,8 +133,8 @@ def corr_matrix(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: i
     z = x.join(st, id_col).select(id_col, "step", F.coalesce(
         (F.col(value) - F.col("mean")) / F.col("std"), F.lit(0.0)).alias("z"))
     m = comoments(z, id_col, "step", "z", [0])
-    per = (z.groupBy(id_col).agg(F.sum("z").alias("sum")).join(st, id_col)
-           .select(id_col, "sum", "present", (-F.col("mean") / F.col("std")).alias("gap"), "std"))
+    per = cut_lineage(z.groupBy(id_col).agg(F.sum("z").alias("sum")).join(st, id_col)
+                      .select(id_col, "sum", "present", (-F.col("mean") / F.col("std")).alias("gap"), "std"))
     ja = per.select(F.col(id_col).alias("a"), *[F.col(c).alias(f"{c}_a") for c in per.columns[1:]])
     jb = per.select(F.col(id_col).alias("b"), *[F.col(c).alias(f"{c}_b") for c in per.columns[1:]])
     j = m.join(ja, "a").join(jb, "b")
@@ -135,7 +142,47 @@ def corr_matrix(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: i
              + (F.col("sum_b") - F.col("sy")) * F.col("gap_a")
              + (F.lit(n) - F.col("present_a") - F.col("present_b") + F.col("n")) * F.col("gap_a") * F.col("gap_b"))
     r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), total / F.lit(n)))
-    return j.select("a", "b", F.when(F.col("std_a").isNotNull() & F.col("std_b").isNotNull(), r).alias("r"))
+    met = cut_lineage(j.select("a", "b", F.when(F.col("std_a").isNotNull() & F.col("std_b").isNotNull(), r).alias("r")))
+    apart = disjoint_pairs(per, id_col, n, met, threshold)
+    return met.unionByName(apart), per.select(F.col(id_col).alias("id"), "gap", F.lit(n).alias("steps"))
+
+
+def corr_matrix(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: int,
+                threshold: float = CORR_THRESHOLD) -> DataFrame:
+    """COR1: the pairs of :func:`corr_state`."""
+    return corr_state(df, id_col, ts, value, step_seconds, threshold)[0]
+
+
+def _gap_corr(gap_a, gap_b):
+    """r of two series without a common step.  Each is the constant ``gap``
+    wherever the other is present, and a standardised series sums to zero, so
+    the cross sum is ``-n * gap_a * gap_b``."""
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -gap_a * gap_b))
+
+
+def disjoint_pairs(per: DataFrame, id_col: str, n: float, met: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, r) of the pairs that never share a step and have
+    ``|r| > threshold``, for the series ``per`` (id, present, gap) on ``n`` steps;
+    ``met`` holds the pairs that do.
+
+    As ``|r| = |gap_a| * |gap_b|`` lies between the threshold and 1, a partner's
+    gap lies in a narrow band on the log scale: series are sorted into buckets of
+    that scale and meet only the few buckets of their band, dealt to blocks."""
+    s = per.where("gap IS NOT NULL AND gap <> 0").select(
+        F.col(id_col).alias("id"), "present", "gap", F.ln(F.abs("gap")).alias("l"))
+    blocks = max(1, -(-s.count() // BLOCK))
+    low = (F.lit(float(np.log(threshold))) - F.col("l")) / BAND
+    left = s.select(F.col("id").alias("a"), F.col("present").alias("present_a"), F.col("gap").alias("gap_a"),
+                    F.explode(F.sequence(F.floor(low), F.floor((1e-9 - F.col("l")) / BAND))).alias("bucket"))
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    right = s.select(F.col("id").alias("b"), F.col("present").alias("present_b"), F.col("gap").alias("gap_b"),
+                     F.floor(F.col("l") / BAND).alias("bucket"),
+                     F.pmod(F.xxhash64("id"), F.lit(blocks).cast("long")).alias("block"))
+    pairs = left.join(right, ["bucket", "block"]).where(
+        (F.col("a") < F.col("b")) & (F.col("present_a") + F.col("present_b") <= n)
+        & (F.abs(F.col("gap_a") * F.col("gap_b")) > threshold))
+    return pairs.join(met.select("a", "b"), ["a", "b"], "left_anti") \
+        .select("a", "b", _gap_corr(F.col("gap_a"), F.col("gap_b")).alias("r"))
 
 
 def corr_graph(corr: DataFrame, threshold: float) -> DataFrame:
@@ -145,13 +192,21 @@ def corr_graph(corr: DataFrame, threshold: float) -> DataFrame:
     return kept.select("a", "b", "r").unionByName(kept.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
 
 
-def corr_diff(problem: DataFrame, normal: DataFrame) -> DataFrame:
+def corr_diff(problem: DataFrame, normal: DataFrame, problem_series: DataFrame | None = None,
+              normal_series: DataFrame | None = None) -> DataFrame:
     """COR4: problem - normal correlation per pair, aligned by labels (full
-    outer join; a pair missing on one side gives NULL)."""
-    p = problem.select("a", "b", F.col("r").alias("r_problem"))
-    n = normal.select("a", "b", F.col("r").alias("r_normal"))
-    return (p.join(n, on=["a", "b"], how="full")
-            .select("a", "b", "r_problem", "r_normal", (F.col("r_problem") - F.col("r_normal")).alias("diff")))
+    outer join).  A pair that one side does not list has no common step there:
+    with that side's series (as of :func:`corr_state`) its r follows from the
+    gaps; it is NULL if a series is absent there or no series are given."""
+    j = problem.select("a", "b", F.col("r").alias("r_problem"), F.lit(True).alias("_p")).join(
+        normal.select("a", "b", F.col("r").alias("r_normal"), F.lit(True).alias("_n")), on=["a", "b"], how="full")
+    for listed, r, series in (("_p", "r_problem", problem_series), ("_n", "r_normal", normal_series)):
+        if series is not None:
+            j = j.join(series.select(F.col("id").alias("a"), F.col("gap").alias("_ga")), "a", "left") \
+                .join(series.select(F.col("id").alias("b"), F.col("gap").alias("_gb")), "b", "left") \
+                .withColumn(r, F.when(F.col(listed), F.col(r)).otherwise(_gap_corr(F.col("_ga"), F.col("_gb")))) \
+                .drop("_ga", "_gb")
+    return j.select("a", "b", "r_problem", "r_normal", (F.col("r_problem") - F.col("r_normal")).alias("diff"))
 
 
 def lagged_corr_edges(df: DataFrame, id_col: str, ts: str, value: str, step_seconds: int,

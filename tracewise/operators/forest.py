@@ -190,3 +190,69 @@ def label(scored: DataFrame, q, col: str = "anomaly_score", threshold: float = 0
     return (scored.withColumn("decision", q - F.col(col))
             .withColumn("is_outlier", F.col("decision") < 0)
             .withColumn("is_anomaly", F.col(col) > F.lit(threshold)))
+
+
+# ------------------------------------------------------------ many forests
+
+def _grow_array(max_depth: int, seed: int):
+    grow = _grow
+
+    def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        X = np.vstack(pdf["x"].to_numpy()).astype(float)
+        names = [f"f{i}" for i in range(X.shape[1])]
+        wide = pd.DataFrame(X, columns=names).assign(tree=int(key[1]))
+        return grow(names, max_depth, seed)(wide).assign(grp=key[0])
+    return fn
+
+
+def fit_groups(df: DataFrame, group: str, key_cols: Sequence[str], features: str, n_trees: int = 100,
+               max_samples: int = 256, seed: int = 42) -> DataFrame:
+    """DET6 for many models in one distributed fit: a forest for every value
+    of ``group`` (a small, known set such as anomaly kinds) on the array column
+    ``features``.  Samples are drawn as in :func:`tree_samples`; every (group,
+    tree) grows in its own task.  Returns the node table with the group."""
+    key = F.xxhash64(*[F.col(k).cast("string") for k in key_cols], F.lit(seed))
+    rows = cut_lineage(df.select(F.col(group).cast("string").alias("grp"), key.alias("_k"), F.col(features).alias("x")))
+    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
+    # about 8 times the wanted sample is moved; a small group moves whole
+    share = F.least(F.lit(1.0), F.lit(8.0 * max_samples) / F.col("_n"))
+    bound = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise(
+        (F.lit(float(-(1 << 63))) + share * F.lit(float(1 << 64))).cast("long"))
+    sized = rows.join(sizes.select("grp", "_n", bound.alias("_bound")), "grp")
+    h = F.xxhash64("_k", "tree", F.lit(seed))
+    dealt = sized.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))) \
+        .withColumn("_h", h).where(F.col("_h") <= F.col("_bound"))
+    w = Window.partitionBy("grp", "tree").orderBy("_h", "_k")
+    sample = dealt.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_samples).select("grp", "tree", "x")
+    depth = int(math.ceil(math.log2(max_samples)))
+    nodes = sample.groupBy("grp", "tree").applyInPandas(_grow_array(depth, seed), NODE_SCHEMA + ", grp string")
+    return nodes.join(sizes.select("grp", F.least(F.col("_n"), F.lit(max_samples)).cast("int").alias("n_samples")), "grp")
+
+
+def score_groups(df: DataFrame, group: str, nodes: DataFrame, features: str, out: str = "anomaly_score") -> DataFrame:
+    """DET7 with the forest of each row's group; NULL for a group without a
+    forest.  The node table is bounded by groups x trees x (2 * max_samples - 1)."""
+    pdf = nodes.toPandas()
+    models = {g: _arrays(part) for g, part in pdf.groupby("grp")}
+    bc = df.sparkSession.sparkContext.broadcast(models)
+
+    @F.pandas_udf("double")
+    def iso_score(grp: pd.Series, x: pd.Series) -> pd.Series:
+        res = np.full(len(grp), np.nan)
+        names = grp.to_numpy()
+        for g, arrays in bc.value.items():
+            at = np.flatnonzero(names == g)
+            if len(at):
+                X = np.vstack(x.to_numpy()[at]).astype(float)
+                res[at] = np.power(2.0, -path_lengths(X, arrays) / c_factor(np.array([arrays[6]]))[0])
+        return pd.Series(res)
+
+    s = iso_score(F.col(group).cast("string"), F.col(features))
+    return df.withColumn(out, F.when(~F.isnan(s), s))
+
+
+def group_offsets(train_scores: DataFrame, group: str, contamination: float,
+                  col: str = "anomaly_score") -> dict[str, float]:
+    """The (1 - contamination) quantile of each group's scores."""
+    groups = [r[0] for r in train_scores.select(group).distinct().collect()]
+    return {g: exact_quantile(train_scores.where(F.col(group) == g), col, 1.0 - contamination) for g in groups}

@@ -79,6 +79,26 @@ def _extrapolated(x: DataFrame, series: Sequence[str], ts: str) -> DataFrame:
                     safe_div(stretched, seconds_between("eval_ts", "_start")).alias("rate"))
 
 
+def increase_and_rate_columns(counters: DataFrame, series: Sequence[str], values: Sequence[str], range_: str,
+                              step: str, ts: str = "ts") -> DataFrame:
+    """PQL1 for several counters that are sampled together (the buckets and
+    the sum of a histogram): one row per series and step with ``<v>_rate`` for
+    every value, from one window and one aggregation."""
+    w = Window.partitionBy(*series).orderBy(ts)
+
+    def delta(v):
+        prev = F.lag(v).over(w)
+        return F.when(F.col(v) < prev, F.col(v)).otherwise(F.col(v) - prev)
+
+    d = counters.select(*series, ts, F.lag(ts).over(w).alias("prev_ts"), *[delta(v).alias(v) for v in values]) \
+        .filter(F.col("prev_ts").isNotNull())
+    x = d.select("*", F.window(_shifted(ts), range_, step).alias("w")).filter(F.col("prev_ts") > F.col("w.start"))
+    g = x.groupBy(*series, F.col("w.end").alias("eval_ts")).agg(
+        *[F.sum(v).alias(v) for v in values], F.max(ts).alias("_last"), F.min("prev_ts").alias("_first"))
+    span = seconds_between("_last", "_first")
+    return g.select(*series, F.col("eval_ts").alias("ts"), *[safe_div(F.col(v), span).alias(f"{v}_rate") for v in values])
+
+
 def sum_by(df: DataFrame, by: Sequence[str], value: str = "rate", out: str | None = None) -> DataFrame:
     """PQL2: ``sum(v) by (labels)`` at each evaluation time."""
     return df.groupBy("ts", *by).agg(F.sum(value).alias(out or value))
@@ -96,6 +116,19 @@ def histogram_quantile(bucket_rates: DataFrame, q: float, by: Sequence[str],
     g = (bucket_rates.groupBy("ts", *by)
          .agg(F.array_sort(F.collect_list(F.struct(F.col(le).alias("le"),
                                                    F.col(value).alias("c")))).alias("bk")))
+    return _quantile_of_buckets(g, q, by, out)
+
+
+def histogram_quantile_columns(rates: DataFrame, q: float, by: Sequence[str], buckets: dict[str, float],
+                               out: str = "quantile") -> DataFrame:
+    """PQL3 where the buckets are columns: ``buckets`` maps a cumulative rate's
+    column to its upper bound."""
+    listed = [F.struct(F.lit(le).alias("le"), F.col(c).alias("c")) for c, le in sorted(buckets.items(), key=lambda x: x[1])]
+    return _quantile_of_buckets(rates.select("ts", *by, F.array(*listed).alias("bk")), q, by, out)
+
+
+def _quantile_of_buckets(g: DataFrame, q: float, by: Sequence[str], out: str) -> DataFrame:
+    """The quantile of (ts, labels, bk) rows; ``bk`` holds the sorted buckets."""
     total = F.element_at("bk", -1)["c"]
     rank = F.lit(q) * total
     below = F.size(F.filter("bk", lambda b: b["c"] < rank))

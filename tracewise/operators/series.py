@@ -1,11 +1,12 @@
-"""Ordered-series helpers that stay correct and parallel on skewed keys.
+"""Lag over ordered series that stays parallel on skewed keys.
 
 A window ``partitionBy(key).orderBy(ts)`` puts every row of one key into one
-task.  When a single key can hold a large share of all rows (one user, one
-service), that task becomes the whole job.  The helpers here split each key
-into time buckets, do the ordered work inside ``(key, bucket)`` partitions and
-repair the bucket boundaries from a small per-bucket table, so the answer is
-identical to the single-partition window while the work stays spread out.
+task.  Keys that hold more than a small share of all rows (there can only be few)
+take another way: their rows are range-partitioned by key and order, the lag
+runs inside each range, and the first row of a key in a range takes the last
+one of the range before from a small table (one row per key and range).  So a
+key with all rows, even at one instant, is spread over all tasks, and the answer is
+that of the plain window.
 """
 
 from __future__ import annotations
@@ -15,55 +16,54 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewise.session import cut_lineage
 
-def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 bucket: Column, cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+
+HEAVY_SHARE = 2.0 ** -14    # so at most 16,384 keys are heavy
+
+
+def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
+                 prefix: str = "prev_", bucket: Column | None = None,
+                 heavy_share: float = HEAVY_SHARE) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
 
-    Equivalent to ``lag(c).over(partitionBy(keys).orderBy(order))`` but the
-    heavy window runs per ``(keys, bucket)``; the first row of each bucket
-    takes the last row of the nearest earlier non-empty bucket, found with a
-    window over the per-bucket table (one row per key and bucket).
-    ``order`` must be a total order within a key.
+    Equivalent to ``lag(c).over(partitionBy(keys).orderBy(order))``; ``order``
+    must be a total order within a key.  ``bucket`` (a column that does not
+    fall along the order) names the ranges; else the rows of keys with more than
+    ``heavy_share`` of all rows are dealt to ranges by key and order.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    b = "_bucket"
-    data = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(*order)
-    inner = data.select(
-        "*",
-        *[F.lag(c).over(w).alias(prefix + c) for c in cols],
-        (F.row_number().over(w) == 1).alias("_first"),
-    )
-    # one row per (key, bucket), aggregated map-side before its (small)
-    # shuffle; the extra cost over a plain lag is a column-pruned scan
-    last = (data.groupBy(*keys, b)
-            .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last")))
-    carry = last.select(
-        *keys, b,
-        F.lag("_last").over(Window.partitionBy(*keys).orderBy(b)).alias("_carry"))
-    joined = inner.join(carry, on=[*keys, b], how="left")
-    out = joined.select(
-        *[F.col(c) for c in data.columns if c != b],
-        *[F.when(F.col("_first"), F.col(f"_carry.{c}")).otherwise(F.col(prefix + c)).alias(prefix + c)
-          for c in cols],
-    )
-    return out
+    if bucket is not None:
+        return _lag_in_ranges(df.withColumn("_range", bucket), keys, order, cols, prefix)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") > F.lit(heavy_share * df.count())).select(*keys)
+    # bounded by 1 / heavy_share rows, so it may be broadcast
+    heavy = F.broadcast(cut_lineage(heavy))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}"))
+    light = df.alias("d").join(heavy.alias("h"), same, "left_anti")
+    w = Window.partitionBy(*keys).orderBy(*order)
+    light = light.select(*df.columns, *[F.lag(c).over(w).alias(prefix + c) for c in cols])
+    hot = df.alias("d").join(heavy.alias("h"), same, "left_semi")
+    hot = hot.repartitionByRange(parts, *keys, *order).withColumn("_range", F.spark_partition_id())
+    return light.unionByName(_lag_in_ranges(cut_lineage(hot), keys, order, cols, prefix))
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: str, bucket: Column,
-                value: str, out: str) -> DataFrame:
-    """Cumulative ``sum(value)`` per key ordered by ``order`` (ties kept apart
-    by the order column being unique within a key), split by ``bucket``: the
-    in-bucket running sum plus the total of all earlier buckets."""
-    keys = list(keys)
-    b = "_bucket"
-    data = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    inner = data.withColumn("_in", F.sum(value).over(w))
-    totals = data.groupBy(*keys, b).agg(F.sum(value).alias("_t"))
-    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, b, F.coalesce(F.sum("_t").over(wb), F.lit(0)).alias("_off"))
-    return (inner.join(offsets, on=[*keys, b], how="left")
-            .withColumn(out, F.col("_in") + F.col("_off"))
-            .drop("_in", "_off", b))
+def _lag_in_ranges(data: DataFrame, keys: list[str], order: list[str], cols: list[str], prefix: str) -> DataFrame:
+    """The lag for rows dealt to consecutive ranges ``_range`` of each key."""
+    w = Window.partitionBy(*keys, "_range").orderBy(*order)
+    inner = data.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols],
+                        (F.row_number().over(w) == 1).alias("_first"))
+    # one row per (key, range), aggregated map-side before its (small) shuffle
+    last = data.groupBy(*keys, "_range").agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
+    carry = last.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_range").alias("_at"),
+                        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_range")).alias("_carry"))
+    same = F.col("_range") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    joined = inner.join(carry.where("_carry IS NOT NULL"), same, "left")
+    return joined.select(
+        *[F.col(c) for c in data.columns if c != "_range"],
+        *[F.when(F.col("_first"), F.col(f"_carry.{c}")).otherwise(F.col(prefix + c)).alias(prefix + c) for c in cols])

@@ -17,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewise.functions.columns import SIGMA_K, pearson, safe_div
+from tracewise.functions.columns import SIGMA_K, epoch_seconds, pearson, safe_div
+from tracewise.operators import forest
 from tracewise.operators.correlate import edge_pair_corr
 from tracewise.plans import mesh
 from tracewise.session import cut_lineage
@@ -36,6 +37,7 @@ class EdgeRcaParams:
     corr_cluster_min: float = 0.9
     strict_sigma: float = 4.0
     chain_corr_min: float = 0.7
+    contamination: float = 0.01     # share of normal sub-windows over the forest's offset
 
 
 P = EdgeRcaParams()
@@ -81,38 +83,84 @@ def performance_features(w: DataFrame) -> DataFrame:
                  F.coalesce(safe_div(F.avg("rt"), F.first("b_mean")), F.lit(0.0)).alias("avg_ratio")))
 
 
-def _outlier_delta_mean(w: DataFrame, flag: str, out: str) -> DataFrame:
+def _outlier_delta_mean(x: DataFrame, by: list[str], out: str) -> DataFrame:
     """Mean of the first differences lying beyond 3 population std of all
     differences (0 when none)."""
-    x = w.filter(flag)
-    wk = Window.partitionBy(*EDGE).orderBy("ts")
-    d = x.select(*EDGE, (F.col("error") - F.lag("error").over(wk)).alias("d")).filter(F.col("d").isNotNull())
-    st = d.groupBy(*EDGE).agg(F.avg("d").alias("m"), F.stddev_pop("d").alias("s"))
-    o = (d.join(st, on=EDGE).filter(F.abs(F.col("d") - F.col("m")) > F.lit(SIGMA_K) * F.col("s"))
-         .groupBy(*EDGE).agg(F.avg("d").alias(out)))
-    return o
+    wk = Window.partitionBy(*by).orderBy("ts")
+    d = x.select(*by, (F.col("error") - F.lag("error").over(wk)).alias("d")).filter(F.col("d").isNotNull())
+    st = d.groupBy(*by).agg(F.avg("d").alias("m"), F.stddev_pop("d").alias("s"))
+    return (d.join(st, on=by).filter(F.abs(F.col("d") - F.col("m")) > F.lit(SIGMA_K) * F.col("s"))
+            .groupBy(*by).agg(F.avg("d").alias(out)))
+
+
+def _window_features(x: DataFrame, by: list[str], p: EdgeRcaParams) -> DataFrame:
+    """The features of DET12 that depend on the scored window alone."""
+    g = x.groupBy(*by).agg(
+        (F.avg("rt") > F.lit(p.rt_threshold_ms)).cast("double").alias("rt_over_thresh"),
+        F.max("error").alias("max_error"), F.count(F.lit(1)).alias("_n"), F.count_if("has_error").alias("_errors"),
+        pearson("error", "rt").alias("_r"))
+    whole = (F.col("_n") > 1) & (F.col("_errors") == F.col("_n"))
+    g = g.filter("_errors > 0").select(*by, "rt_over_thresh", "max_error", F.when(
+        whole, F.coalesce("_r", F.lit(0.0))).otherwise(F.lit(0.0)).alias("corr_rt_error"))
+    return g.join(_outlier_delta_mean(x, by, "current_outlier"), on=by, how="left") \
+        .fillna(0.0, subset=["current_outlier"])
 
 
 def reliability_features(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
     """DET12: baseline and current outlier-delta means, rt over threshold,
     max error, corr(error, rt) in the current window.  An edge without any
-    5xx point there has no error series and is skipped."""
-    cur = (w.filter("in_cur").groupBy(*EDGE)
-           .agg((F.avg("rt") > F.lit(p.rt_threshold_ms)).cast("double").alias("rt_over_thresh"),
-                F.max("error").alias("max_error"),
-                F.count(F.lit(1)).alias("_n"), F.bool_or("has_error").alias("_has"),
-                pearson("error", "rt").alias("_r")))
-    cur = cur.filter("_has").select(*EDGE, "rt_over_thresh", "max_error",
-                     F.when(F.col("_n") > 1, F.coalesce("_r", F.lit(0.0))).otherwise(F.lit(0.0)).alias("corr_rt_error"))
+    5xx point there has no error series and is skipped; where the error series
+    has fewer points than the latency series, the correlation is 0."""
+    cur = _window_features(w.filter("in_cur"), EDGE, p)
     has_base = w.filter("in_base").select(*EDGE).distinct()
-    bo = _outlier_delta_mean(w, "in_base", "baseline_outlier")
-    co = _outlier_delta_mean(w, "in_cur", "current_outlier")
-    return (cur.join(has_base, on=EDGE, how="left_semi")
-            .join(bo, on=EDGE, how="left").join(co, on=EDGE, how="left")
-            .fillna(0.0, subset=["baseline_outlier", "current_outlier"])
+    bo = _outlier_delta_mean(w.filter("in_base"), EDGE, "baseline_outlier")
+    return (cur.join(has_base, on=EDGE, how="left_semi").join(bo, on=EDGE, how="left")
+            .fillna(0.0, subset=["baseline_outlier"])
             .select(*EDGE, "baseline_outlier", "current_outlier", "rt_over_thresh", "max_error", "corr_rt_error"))
 
 
+RELIABILITY = ["current_outlier", "rt_over_thresh", "max_error", "corr_rt_error"]
+
+
+def reliability_windows(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
+    """DET12's features of every edge in the current window (``part`` 0) and in
+    the windows of equal length before it inside the baseline (1, 2, ...)."""
+    end = w.select(F.max("ts")).scalar()
+    age = F.floor((epoch_seconds(end) - epoch_seconds("ts")) / F.lit(p.current_days * 86400))
+    return _window_features(w.filter("in_base OR in_cur").withColumn("part", age.cast("int")), [*EDGE, "part"], p)
+
+
+def reliability_scores(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
+    """DET15 / D7: (src, dst, anomaly_score, offset, is_anomaly) of the current
+    window.  The reference fits a forest on one placeholder row per edge, which
+    can never flag.  Here one forest per kind learns the windows of all edges
+    together, the judged ones included (a forest cannot tell a point beyond the
+    range it has seen from the end of that range); a current window is anomalous
+    when its score is over the offset that ``contamination`` of the baseline
+    windows exceed."""
+    x = cut_lineage(reliability_windows(w, p).select(
+        *EDGE, "part", F.lit("reliability").alias("kind"), F.array(*RELIABILITY).alias("x")))
+    nodes = cut_lineage(forest.fit_groups(x, "kind", [*EDGE, "part"], "x"))
+    scored = cut_lineage(forest.score_groups(x.filter("part > 0"), "kind", nodes, "x"))
+    cur = x.filter("part = 0")
+    limit = F.lit(forest.group_offsets(scored, "kind", p.contamination).get("reliability")).cast("double")
+    return forest.score_groups(cur, "kind", nodes, "x").select(
+        *EDGE, "anomaly_score", limit.alias("offset"),
+        F.coalesce(F.col("anomaly_score") > limit, F.lit(False)).alias("is_anomaly"))
+
+
+def reliability_rule(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
+    """DET15 with a rule in place of the forest: (src, dst, is_anomaly); the
+    current window's max error or its outlier delta lies more than 3 population
+    std above the mean of the baseline windows of all edges."""
+    x = cut_lineage(reliability_windows(w, p))
+    names = ["max_error", "current_outlier"]
+    st = x.filter("part > 0").select(*[f(c) for c in names for f in (F.avg, F.stddev_pop)]).first()
+    limits = {c: None if st[2 * k] is None else st[2 * k] + SIGMA_K * st[2 * k + 1] for k, c in enumerate(names)}
+    over = [F.coalesce(F.col(c) > F.lit(limits[c]).cast("double"), F.lit(False)) for c in names]
+    return x.filter("part = 0").select(*EDGE, (over[0] | over[1]).alias("is_anomaly"))
+
+
 def traffic_features(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
     """DET13 + DET14: mean/std deltas, 3-sigma outliers against the baseline,
     correlation with the cluster rate, and the traffic anomaly rule."""
@@ -137,22 +185,24 @@ def traffic_features(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
                     rule.alias("is_anomaly"))
 
 
-def edge_anomalies(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
+def edge_anomalies(w: DataFrame, p: EdgeRcaParams = P, reliability: str = "rule") -> DataFrame:
     """DET15: long (src, dst, kind) anomalies.
 
     performance: the reference fits an RBF one-class model on the single
     neutral row (0, 0, 0, 1); such a model accepts only that exact point, so
     an edge is anomalous exactly when its current features differ from it.
-    reliability: the reference fits an isolation forest on a single row,
-    which cannot split and never flags; kept as "never" here.
+    reliability: by ``"rule"`` (:func:`reliability_rule`) or ``"forest"``
+    (:func:`reliability_scores`).
     traffic: DET14 rule.
     """
     perf = performance_features(w)
     neutral = ((F.col("over_max_count") == 0) & (F.col("max_delta") == 0)
                & (F.col("over_avg_count") == 0) & (F.col("avg_ratio") == 1.0))
     pa = perf.filter(~neutral).select(*EDGE, F.lit("performance").alias("kind"))
+    judge = {"rule": reliability_rule, "forest": reliability_scores}[reliability]
+    ra = judge(w, p).filter("is_anomaly").select(*EDGE, F.lit("reliability").alias("kind"))
     ta = traffic_features(w, p).filter("is_anomaly").select(*EDGE, F.lit("traffic").alias("kind"))
-    return pa.unionByName(ta)
+    return pa.unionByName(ra).unionByName(ta)
 
 
 def select_entry(anomalies: DataFrame, w: DataFrame) -> DataFrame:
@@ -223,10 +273,11 @@ def root_cause_chains(anomalies: DataFrame, w: DataFrame, entry: DataFrame,
             .orderBy(F.col("length").desc(), "type", "chain"))
 
 
-def edge_rca(hourly: DataFrame, p: EdgeRcaParams = P, entry: str | None = None) -> DataFrame:
+def edge_rca(hourly: DataFrame, p: EdgeRcaParams = P, entry: str | None = None,
+             reliability: str = "forest") -> DataFrame:
     """JOB4: whole edge RCA; ``entry`` optional (auto-selected when None)."""
     w = prepared_windows(hourly, p)
-    anomalies = cut_lineage(edge_anomalies(w, p))
+    anomalies = cut_lineage(edge_anomalies(w, p, reliability))
     ent = (select_entry(anomalies, w) if entry is None
            else w.sparkSession.createDataFrame([(entry,)], "entry string"))
     return root_cause_chains(anomalies, w, ent, p)

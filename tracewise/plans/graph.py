@@ -104,6 +104,84 @@ def is_acyclic(edges: DataFrame) -> bool:
     return rest.isEmpty()
 
 
+def _trim(v: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Peel vertices without incoming or without outgoing edges until every
+    vertex has both; the peeled ones are components of their own."""
+    alone = []
+    while True:
+        out = v.join(e.select(F.col("src").alias("id")).distinct(), "id", "left_anti")
+        into = v.join(e.select(F.col("dst").alias("id")).distinct(), "id", "left_anti")
+        gone = cut_lineage(out.union(into).distinct())
+        if gone.isEmpty():
+            return v, e, alone
+        alone.append(gone)
+        v = cut_lineage(v.join(gone, "id", "left_anti"))
+        e = cut_lineage(e.join(gone.select(F.col("id").alias("src")), "src", "left_anti")
+                        .join(gone.select(F.col("id").alias("dst")), "dst", "left_anti"))
+
+
+def _colours(v: DataFrame, e: DataFrame) -> DataFrame:
+    """(id, colour): the largest vertex from which a vertex can be reached."""
+    now = cut_lineage(v.select("id", F.col("id").alias("colour")))
+    while True:
+        sent = e.join(now.select(F.col("id").alias("src"), "colour"), "src") \
+            .groupBy(F.col("dst").alias("id")).agg(F.max("colour").alias("got"))
+        new = cut_lineage(now.join(sent, "id", "left").select(
+            "id", F.greatest("colour", "got").alias("colour"), F.coalesce(F.col("got") > F.col("colour"), F.lit(False))
+            .alias("moved")))
+        now = new.select("id", "colour")
+        if new.filter("moved").isEmpty():
+            return now
+
+
+def strong_components(edges: DataFrame) -> DataFrame:
+    """GRA3/GRA4: (id, component, size) of every vertex; the component is its
+    smallest member.  Vertices on no cycle are trimmed first.  Then, round by
+    round, the largest ancestor colours every vertex; of each colour, the vertices
+    that reach the vertex the colour is named after form a component with it
+    and leave.  Self-loops do not count."""
+    e = cut_lineage(edges.select("src", "dst").where("src <> dst").distinct())
+    v = cut_lineage(vertices(edges))
+    found = []
+    while not v.isEmpty():
+        v, e, alone = _trim(v, e)
+        found += [x.select("id", F.col("id").alias("name")) for x in alone]
+        if v.isEmpty():
+            break
+        colour = _colours(v, e)
+        # edges inside a colour, backwards
+        back = cut_lineage(e.join(colour.select(F.col("id").alias("src"), F.col("colour").alias("cs")), "src")
+                           .join(colour.select(F.col("id").alias("dst"), F.col("colour").alias("cd")), "dst")
+                           .where("cs = cd").select("src", "dst"))
+        front = cut_lineage(colour.where("id = colour"))
+        reached = front
+        while not front.isEmpty():
+            nxt = back.join(front.select(F.col("id").alias("dst"), "colour"), "dst") \
+                .select(F.col("src").alias("id"), "colour").distinct()
+            front = cut_lineage(nxt.join(reached.select("id"), "id", "left_anti"))
+            reached = cut_lineage(reached.union(front))
+        found.append(reached.select("id", F.col("colour").alias("name")))
+        gone = reached.select("id")
+        v = cut_lineage(v.join(gone, "id", "left_anti"))
+        e = cut_lineage(e.join(gone.select(F.col("id").alias("src")), "src", "left_anti")
+                        .join(gone.select(F.col("id").alias("dst")), "dst", "left_anti"))
+    if not found:
+        return v.select("id", F.col("id").alias("component"), F.lit(1).cast("long").alias("size"))
+    named = found[0]
+    for x in found[1:]:
+        named = named.union(x)
+    named = cut_lineage(named)
+    sizes = named.groupBy("name").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("size"))
+    return named.join(sizes, "name").select("id", "component", "size")
+
+
+def cycle_members(edges: DataFrame) -> DataFrame:
+    """GRA4's cycle report: (component, id) of the vertices that lie on cycles,
+    by strongly connected component; empty for a DAG.  A self-loop is a cycle."""
+    loops = edges.where("src = dst").select(F.col("src").alias("id")).distinct().withColumn("_loop", F.lit(True))
+    return strong_components(edges).join(loops, "id", "left").where("size > 1 OR _loop").select("component", "id")
+
+
 def longest_path(edges: DataFrame) -> DataFrame:
     """GRA4: one longest path of a DAG (unit edge length) as rows
     (pos, id); empty when the graph has a cycle.
@@ -165,3 +243,10 @@ def graph_labels(anomalous: DataFrame, edges: DataFrame, root: DataFrame) -> Dat
     return (v.join(a, "id", "left").join(r, "id", "left")
             .select("id", F.when(F.col("_r"), "root").when(F.col("_a"), "symptom")
                     .otherwise("normal").alias("status")))
+
+
+def graph_edge_widths(edges: DataFrame, weight: str = "r") -> DataFrame:
+    """VIZ4: (src, dst, label, width): ``Corr=0.85`` and five times the weight."""
+    w = F.round(F.round(weight, 8), 2)
+    return edges.select("src", "dst", F.concat(F.lit("Corr="), F.format_string("%.2f", w)).alias("label"),
+                        (F.col(weight) * 5).alias("width"))

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from tracewise.operators import promql
 from tracewise.session import cut_lineage
-from tracewise.sources.bindings import (duration_bucket, duration_sum, hourly_edge_stats,
-                                        requests_total)
+from tracewise.sources.bindings import BUCKETS, DURATION_SUM, duration_counters, hourly_edge_stats, requests_total
 
 EDGE = ["src", "dst"]
 
@@ -72,20 +71,27 @@ def error_rate(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
                                F.col("response_code").rlike("^5..$"), "rate", "error_rate")
 
 
+def duration_rates(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
+    """Rates of all latency buckets and of the latency sum, one row per edge
+    and step."""
+    return promql.increase_and_rate_columns(duration_counters(hourly), EDGE, [*BUCKETS, DURATION_SUM], p.range_, p.step)
+
+
+def _quantile(rates: DataFrame, q: float, out: str) -> DataFrame:
+    return promql.histogram_quantile_columns(rates, q, EDGE, {f"{c}_rate": le for c, le in BUCKETS.items()}, out)
+
+
 def latency_quantile(hourly: DataFrame, p: MeshParams = P, q: float | None = None,
                      out: str = "latency_ms") -> DataFrame:
     """``histogram_quantile(q, sum(rate(bucket[R])) by (le, src, dst))``."""
-    br = promql.increase_and_rate(duration_bucket(hourly), [*EDGE, "le"], p.range_, p.step)
-    br = promql.sum_by(br, [*EDGE, "le"], "rate")
-    return promql.histogram_quantile(br, q if q is not None else p.quantile, EDGE, out=out)
+    return _quantile(duration_rates(hourly, p), q if q is not None else p.quantile, out)
 
 
-def mean_latency(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
+def mean_latency(hourly: DataFrame, p: MeshParams = P, rates: DataFrame | None = None) -> DataFrame:
     """``sum(rate(duration_sum[R])) / sum(rate(requests_total[R]))`` by edge."""
-    s = promql.sum_by(promql.increase_and_rate(duration_sum(hourly), EDGE, p.range_, p.step),
-                      EDGE, "rate", "sum_rate")
+    s = duration_rates(hourly, p) if rates is None else rates
     c = rps(hourly, p)
-    return (s.join(c, on=["ts", *EDGE], how="inner")
+    return (s.select("ts", *EDGE, F.col(f"{DURATION_SUM}_rate").alias("sum_rate")).join(c, on=["ts", *EDGE], how="inner")
             .select("ts", *EDGE, F.try_divide("sum_rate", "rps").alias("mean_latency"))
             .filter(F.col("mean_latency").isNotNull()))
 
@@ -101,8 +107,9 @@ def service_health(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
 
 def latency_report(hourly: DataFrame, p: MeshParams = P) -> DataFrame:
     """RCA9: P95 now against the 1-day mean of the mean latency; 2x flag."""
-    now = latency_quantile(hourly, p, out="latency_now")
-    base = promql.avg_over_time(mean_latency(hourly, p), EDGE, "mean_latency",
+    rates = cut_lineage(duration_rates(hourly, p))   # edges x steps, read twice
+    now = _quantile(rates, p.quantile, "latency_now")
+    base = promql.avg_over_time(mean_latency(hourly, p, rates), EDGE, "mean_latency",
                                 p.baseline_seconds, p.step_seconds, out="latency_avg")
     j = now.join(base, on=["ts", *EDGE], how="inner")
     return j.withColumn("is_anomaly", F.col("latency_now") > F.lit(p.ratio_factor) * F.col("latency_avg"))

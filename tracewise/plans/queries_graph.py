@@ -11,7 +11,7 @@ from tracewise.plans.queries_mesh import RPS
 from tracewise.plans.sqlbits import DAG_CTE, EDGES_CTE, METRICS_CTE, PHASES_CTE
 from tracewise.registry import register
 from tracewise.sources.bindings import (SERVICE_IDS, dag_edges, edge_points, linked_points, metric_phases,
-                                        metric_points, with_service_id)
+                                        metric_points, standby_points, trade_edges, TRADE_SIGMA, with_service_id)
 
 STEP = 6 * 3600
 V5_THRESHOLD = 0.5          # threshold the lagged-correlation inference is called with
@@ -22,16 +22,26 @@ def _series(df, value):
     return with_service_id(df).select(F.col("service_id").alias("id"), "ts", F.col(value).alias("x"))
 
 
-def _corr_sql(src):
-    return f"""s_{src} AS (SELECT server_name || '_' || ip_port AS id, ts, connection_count AS x FROM {src}),
+def _corr_sql(src, series="SELECT server_name || '_' || ip_port AS id, ts, connection_count AS x FROM {src}"):
+    """cor_<src>: pairs with a common timestamp, and others over the threshold;
+    all_<src>: every pair."""
+    return f"""s_{src} AS ({series.format(src=src)}),
 nn_{src} AS (SELECT CAST(count(DISTINCT ts) AS DOUBLE) AS n FROM s_{src}),
 one_{src} AS (SELECT id, sum(x) AS sx, sum(x * x) AS sxx FROM s_{src} GROUP BY id),
 pr_{src} AS (SELECT a.id AS a, b.id AS b, sum(a.x * b.x) AS sxy FROM s_{src} a JOIN s_{src} b
              ON a.ts = b.ts AND a.id < b.id GROUP BY 1, 2),
-cor_{src} AS (SELECT pr.a, pr.b,
+all_{src} AS (SELECT oa.id AS a, ob.id AS b, pr.a IS NOT NULL AS met,
     CASE WHEN n * oa.sxx - oa.sx * oa.sx > 0 AND n * ob.sxx - ob.sx * ob.sx > 0
-         THEN (n * pr.sxy - oa.sx * ob.sx) / sqrt((n * oa.sxx - oa.sx * oa.sx) * (n * ob.sxx - ob.sx * ob.sx)) END AS r
-  FROM pr_{src} pr JOIN one_{src} oa ON oa.id = pr.a JOIN one_{src} ob ON ob.id = pr.b, nn_{src})"""
+         THEN (n * coalesce(pr.sxy, 0) - oa.sx * ob.sx)
+              / sqrt((n * oa.sxx - oa.sx * oa.sx) * (n * ob.sxx - ob.sx * ob.sx)) END AS r
+  FROM one_{src} oa JOIN one_{src} ob ON oa.id < ob.id LEFT JOIN pr_{src} pr ON pr.a = oa.id AND pr.b = ob.id, nn_{src}),
+cor_{src} AS (SELECT a, b, r FROM all_{src} WHERE met OR abs(r) > {CORR_THRESHOLD})"""
+
+
+def _diff_sql(normal, problem):
+    return f"""df AS (SELECT a, b, p.r AS r_problem, n.r AS r_normal, p.r - n.r AS diff
+  FROM (SELECT a, b FROM cor_{problem} UNION SELECT a, b FROM cor_{normal})
+  LEFT JOIN all_{problem} p USING (a, b) LEFT JOIN all_{normal} n USING (a, b))"""
 
 
 def corr_normal(spark, sf_dir):
@@ -39,6 +49,13 @@ def corr_normal(spark, sf_dir):
     return correlate.corr_matrix(_series(base, "connection_count"), "id", "ts", "x", STEP)
 
 
+def corr_change(spark, sf_dir):
+    """COR4 of the problem window against the baseline."""
+    (normal, n_series), (problem, p_series) = (
+        correlate.corr_state(_series(x, "connection_count"), "id", "ts", "x", STEP) for x in metric_phases(spark, sf_dir))
+    return correlate.corr_diff(problem, normal, p_series, n_series)
+
+
 @register("cor1_corr_matrix", sql=f"WITH {PHASES_CTE}, {_corr_sql('base')} SELECT * FROM cor_base")
 def cor1_corr_matrix(spark, sf_dir):
     """COR1: zero-filled Pearson matrix of the baseline series (pairs a < b)."""
@@ -53,14 +70,27 @@ def cor2_corr_graph(spark, sf_dir):
     return correlate.corr_graph(corr_normal(spark, sf_dir), CORR_THRESHOLD)
 
 
-@register("cor4_corr_diff", sql=f"""WITH {PHASES_CTE}, {_corr_sql('base')}, {_corr_sql('prob')}
-SELECT coalesce(p.a, n.a) AS a, coalesce(p.b, n.b) AS b, p.r AS r_problem, n.r AS r_normal, p.r - n.r AS diff
-FROM cor_prob p FULL OUTER JOIN cor_base n ON p.a = n.a AND p.b = n.b""")
+@register("cor4_corr_diff", sql=f"""WITH {PHASES_CTE}, {_corr_sql('base')}, {_corr_sql('prob')}, {_diff_sql('base', 'prob')}
+SELECT * FROM df""")
 def cor4_corr_diff(spark, sf_dir):
     """COR4 (+JN6, VIZ3): correlation change between problem and normal."""
-    _, prob = metric_phases(spark, sf_dir)
-    cp = correlate.corr_matrix(_series(prob, "connection_count"), "id", "ts", "x", STEP)
-    return correlate.corr_diff(cp, corr_normal(spark, sf_dir))
+    return corr_change(spark, sf_dir)
+
+
+_STANDBY = """duty AS (SELECT DISTINCT time_bucket(INTERVAL '6 hours', ts) AS ts FROM events),
+turns AS (SELECT CASE WHEN floor(epoch(ts) / 21600) % 2 = 0 THEN 'active' ELSE 'standby' END AS id, ts, 5.0::DOUBLE AS x FROM duty
+           UNION ALL SELECT 'odd', ts, CASE WHEN floor(epoch(ts) / 21600) % 2 = 1 THEN 2.0::DOUBLE ELSE 1.0 END FROM duty
+           UNION ALL SELECT 'rare', ts, 1.0::DOUBLE FROM duty WHERE floor(epoch(ts) / 21600) % 8 = 3)"""
+
+
+@register("cor2_standby_graph", sql=f"""WITH {_STANDBY},
+{_corr_sql('turns', 'SELECT * FROM turns')}
+SELECT a, b, r FROM cor_turns WHERE abs(r) > {CORR_THRESHOLD}
+UNION ALL SELECT b, a, r FROM cor_turns WHERE abs(r) > {CORR_THRESHOLD}""")
+def cor2_standby_graph(spark, sf_dir):
+    """COR2 on services that never report at the same time: an active and a
+    standby series take turns (r = -1)."""
+    return correlate.corr_graph(correlate.corr_matrix(standby_points(spark, sf_dir), "id", "ts", "x", STEP), CORR_THRESHOLD)
 
 
 _STEPS_SQL = """s AS (SELECT server_name || '_' || ip_port AS id,
@@ -152,15 +182,37 @@ def cor2_linked_graph(spark, sf_dir):
     return correlate.corr_graph(correlate.corr_matrix(x, "id", "ts", "x", STEP), CORR_THRESHOLD)
 
 
-@register("cor3_linked_directions")
-def cor3_linked_directions(spark, sf_dir):
-    """COR3 on the linked series: which neighbour causes which."""
-    from tracewise.operators import granger
+def _linked_tests(spark, sf_dir):
+    """Dense linked series and the ordered pairs among them."""
     from tracewise.plans import service
     x = correlate.with_step_index(linked_points(spark, sf_dir).filter("id LIKE 'link%'"), "ts", STEP)
     pairs = _linked_edges(spark, sf_dir).filter("caller LIKE 'link%' AND callee LIKE 'link%'") \
         .select(F.col("caller").alias("a"), F.col("callee").alias("b"))
-    return granger.granger(service.densify(x, "id", "step", "x"), pairs, maxlag=5)
+    return service.densify(x, "id", "step", "x"), pairs
+
+
+@register("cor3_linked_directions")
+def cor3_linked_directions(spark, sf_dir):
+    """COR3 on the linked series: which neighbour causes which."""
+    from tracewise.operators import granger
+    return granger.granger(*_linked_tests(spark, sf_dir), maxlag=5)
+
+
+@register("cor3_linked_lag1_f", sql=f"""WITH {_LINKED_LAGS},
+gl AS (SELECT id, step, x FROM ls WHERE id LIKE 'link%'),
+hull AS (SELECT min(step) AS lo, max(step) AS hi FROM gl),
+dense AS (SELECT i.id, g.step, coalesce(gl.x, 0) AS x FROM (SELECT DISTINCT id FROM gl) i
+          CROSS JOIN (SELECT unnest(range(lo, hi + 1)) AS step FROM hull) g LEFT JOIN gl ON gl.id = i.id AND gl.step = g.step),
+tr AS (SELECT e.caller AS a, e.callee AS b, y.x AS y, p.x AS p, q.x AS q FROM ledge e
+       JOIN dense y ON y.id = e.caller JOIN dense p ON p.id = e.caller AND p.step = y.step - 1
+       JOIN dense q ON q.id = e.callee AND q.step = y.step - 1),
+c AS (SELECT a, b, count(*) AS n, var_pop(y) * count(*) AS syy, corr(y, p) AS yp, corr(y, q) AS yq, corr(p, q) AS pq FROM tr GROUP BY a, b),
+ssr AS (SELECT *, syy * (1 - yp * yp) AS part, syy * (1 - (yp * yp + yq * yq - 2 * yp * yq * pq) / (1 - pq * pq)) AS whole FROM c)
+SELECT a, b, (part - whole) / (whole / (n - 3)) AS f FROM ssr""")
+def cor3_linked_lag1_f(spark, sf_dir):
+    """COR3: the F of lag 1 from lagged Gram products, in closed form."""
+    from tracewise.operators import granger
+    return granger.granger_tests(*_linked_tests(spark, sf_dir), maxlag=1).select("a", "b", "f")
 
 
 @register("agg7_corr_with_total", sql=f"""WITH {PHASES_CTE},
@@ -326,19 +378,49 @@ def gra2_pagerank(spark, sf_dir):
     return graph.pagerank(dag_edges(spark, sf_dir))
 
 
-@register("gra3_acyclic", sql=f"""WITH {DAG_CTE} SELECT true AS is_acyclic""")
+def _closure(edges):
+    """Which vertex reaches which along the (src, dst) rows of ``edges``."""
+    return f"reach(a, b) AS (SELECT src, dst FROM {edges} UNION SELECT reach.a, e.dst FROM reach JOIN {edges} e ON e.src = reach.b)"
+
+
+@register("gra3_acyclic", sql=f"""WITH RECURSIVE {DAG_CTE}, {_closure('dag')}
+SELECT NOT EXISTS (SELECT 1 FROM reach WHERE a = b) AS is_acyclic""")
 def gra3_acyclic(spark, sf_dir):
     """GRA3: acyclicity of the DAG binding (layer peeling)."""
     return spark.range(1).select(F.lit(graph.is_acyclic(dag_edges(spark, sf_dir))).alias("is_acyclic"))
 
 
-@register("gra3_cycle_detected", sql="SELECT false AS is_acyclic")
+@register("gra3_cycle_detected", sql=f"""WITH RECURSIVE {EDGES_CTE}, calls AS (SELECT DISTINCT src, dst FROM edges), {_closure('calls')}
+SELECT NOT EXISTS (SELECT 1 FROM reach WHERE a = b) AS is_acyclic""")
 def gra3_cycle_detected(spark, sf_dir):
     """GRA3 on the (dense, cyclic) call graph: reports the cycle."""
     e = edge_points(spark, sf_dir).select("src", "dst").distinct()
     return spark.range(1).select(F.lit(graph.is_acyclic(e)).alias("is_acyclic"))
 
 
+_TRADE = f"""lines AS (SELECT s.n_name AS src, c.n_name AS dst, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    JOIN supplier ON l_suppkey = s_suppkey JOIN nation s ON s.n_nationkey = s_nationkey
+    JOIN customer ON o_custkey = c_custkey JOIN nation c ON c.n_nationkey = c_nationkey GROUP BY 1, 2),
+trade AS (SELECT src, dst FROM lines WHERE n > (SELECT avg(n) + {TRADE_SIGMA} * stddev_pop(n) FROM lines) AND src <> dst),
+tv AS (SELECT src AS id FROM trade UNION SELECT dst FROM trade),
+{_closure('trade')},
+comp AS (SELECT tv.id, least(tv.id, coalesce(min(f.b), tv.id)) AS component FROM tv
+         LEFT JOIN (reach f JOIN reach g ON f.a = g.b AND f.b = g.a) ON f.a = tv.id GROUP BY tv.id),
+sized AS (SELECT id, component, count(*) OVER (PARTITION BY component) AS size FROM comp)"""
+
+
+@register("gra3_strong_components", sql=f"WITH RECURSIVE {_TRADE} SELECT id, component, size FROM sized")
+def gra3_strong_components(spark, sf_dir):
+    """GRA3: strongly connected component of every nation in the trade graph."""
+    return graph.strong_components(trade_edges(spark, sf_dir))
+
+
+@register("gra4_cycle_members", sql=f"WITH RECURSIVE {_TRADE} SELECT component, id FROM sized WHERE size > 1")
+def gra4_cycle_members(spark, sf_dir):
+    """GRA4 on a graph with cycles: the members of each cycle's component."""
+    return graph.cycle_members(trade_edges(spark, sf_dir))
+
+
 @register("gra4_longest_path", sql=f"""WITH RECURSIVE {DAG_CTE},
 v AS (SELECT src AS id FROM dag UNION SELECT dst FROM dag),
 srcs AS (SELECT id FROM v WHERE id NOT IN (SELECT dst FROM dag)),

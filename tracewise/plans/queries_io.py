@@ -16,10 +16,11 @@ from tracewise.operators import normalize
 from tracewise.plans import mesh
 from tracewise.registry import register
 from tracewise.session import ensure_checkpoint_dir
-from tracewise.sources.bindings import KEYS, metric_phases, with_service_id
-from tracewise.streaming import jobs
-from tracewise.functions.columns import MIN_STD, to_naive
-from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE
+from tracewise.sources.bindings import KEYS, event_counters, metric_phases, with_service_id
+from tracewise.streaming import jobs, stateful
+from tracewise.functions.columns import MIN_STD, as_utc_instant, to_naive, weekday_mon0
+from tracewise.plans.queries_mesh import _rate_cte
+from tracewise.plans.sqlbits import METRICS_CTE, PHASES_CTE, features_sql
 
 
 def _iqr_sql():
@@ -66,23 +67,22 @@ def str2_stream_scoring(spark, sf_dir):
     return jobs.score_stream(ev, stats, "str2")
 
 
-@register("str3_stateful_features", sql="""WITH p AS (
-  SELECT '10.0.0.' || CAST(user_id % 2 AS VARCHAR) || ':8080' AS ip_port,
-         'svc_' || CAST(user_id % 5 AS VARCHAR) AS server_name, ts, value AS response_time FROM events)
-SELECT ip_port, server_name, ts, response_time,
-  CASE WHEN count(*) OVER (PARTITION BY ip_port, server_name ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) = 5
-       THEN avg(response_time) OVER (PARTITION BY ip_port, server_name ORDER BY ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) END
-    AS rolling_mean,
-  response_time - lag(response_time) OVER (PARTITION BY ip_port, server_name ORDER BY ts) AS diff
-FROM p""")
+@register("str3_stateful_features", sql=f"WITH {METRICS_CTE}, {features_sql('metrics', 'connection_count')} "
+                                        "SELECT * FROM feat_metrics")
 def str3_stateful_features(spark, sf_dir):
-    """STR3: rolling mean and diff per service carried across micro-batches."""
-    ev = _events(spark, sf_dir)
-    pts = ev.select(F.concat(F.lit("10.0.0."), (F.col("user_id") % 2).cast("string"), F.lit(":8080")).alias("ip_port"),
-                    F.concat(F.lit("svc_"), (F.col("user_id") % 5).cast("string")).alias("server_name"),
-                    "ts", F.col("value").alias("response_time"))
-    out = jobs.trailing_features(pts, KEYS, "response_time", "str3")
-    return out.withColumn("ts", to_naive("ts"))
+    """STR3: the eight trailing features of the bucket points, from keyed
+    state across five micro-batches with late and repeated events; equals the
+    batch DET2 over the whole table."""
+    folder, width = jobs.stage_events(spark, sf_dir, parts=4, late=True)
+    delay, idle = width + 86400, 10 * 6 * 3600
+    jobs.close_stage(folder, spark.read.parquet(folder), delay + 2 * idle)
+    ev = jobs.read_events(spark, folder, watermark=f"{delay} seconds", max_files=jobs.STAGE_FILES)
+    out = jobs.run_appended(stateful.trailing_features(
+        jobs.service_points(ev), KEYS, "connection_count", f"{idle} seconds"), "str3")
+    # a point carries the last microsecond of its bucket
+    start = F.col("ts") + F.expr("INTERVAL 1 MICROSECOND") - F.expr("INTERVAL 6 HOURS")
+    return out.withColumn("ts", to_naive(start)).withColumn("hour", F.hour("ts")) \
+        .withColumn("day_of_week", weekday_mon0("ts"))
 
 
 @register("str4_sliding_windows", sql="""
@@ -96,6 +96,27 @@ def str4_sliding_windows(spark, sf_dir):
     return out.select(to_naive("w.end").alias("ts"), "event_type", "n")
 
 
+@register("str4_sliding_rates", sql="""WITH counts AS (
+  SELECT event_type, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS ts, count(*) AS n FROM events GROUP BY 1, 2),
+counter AS (
+  SELECT event_type, ts, sum(n) OVER (PARTITION BY event_type, floor(epoch(ts) / 345600) ORDER BY ts
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM counts),
+""" + _rate_cte("r", "counter", "event_type") + """
+SELECT event_type, ts, CAST(increase AS DOUBLE) AS increase, rate FROM r""")
+def str4_sliding_rates(spark, sf_dir):
+    """STR4 (+PQL1 on a stream): rate of the request counters (which restart
+    every four days) over 6 h every 3 h, from samples that come in five
+    micro-batches, late and repeated; equals the batch rate."""
+    samples = event_counters(spark, sf_dir).withColumn("at", F.unix_micros(as_utc_instant("ts")))
+    folder, width = jobs.stage_rows(samples, "samples", 4, late_by="at")
+    delay = width + 86400
+    staged = spark.read.parquet(folder)
+    jobs.close_stage(folder, staged, delay + 86400)
+    s = jobs.read_samples(spark, folder, "event_type string, ts timestamp_ntz, value double, at bigint", ["event_type"], f"{delay} seconds")
+    out = jobs.run_appended(stateful.sliding_rates(s, ["event_type"], "6 hours", "3 hours"), "str4-rates")
+    return out.withColumn("ts", to_naive("ts"))
+
+
 # ---------------------------------------------------------------- sinks
 
 @register("snk1_csv_roundtrip", sql=_IQR_SQL)

@@ -71,6 +71,27 @@ def pql1_rate(spark, sf_dir):
     return mesh.request_rates(mesh.counters_for(spark, sf_dir))
 
 
+@register("pql1_extrapolated_rate", sql=f"""WITH {COUNTERS_CTE},
+d AS (SELECT {E}, response_code, ts, lag(ts) OVER w AS prev_ts, lag(value) OVER w AS prev_value,
+        CASE WHEN value < lag(value) OVER w THEN value ELSE value - lag(value) OVER w END AS d
+      FROM requests_total WINDOW w AS (PARTITION BY src, dst, response_code ORDER BY ts)),
+x AS (SELECT *, time_bucket(INTERVAL '3 hours', ts - INTERVAL '1 microsecond') + INTERVAL '3 hours'
+        + to_hours(CAST(3 * k AS BIGINT)) AS t FROM d, range(0, 2) AS r(k) WHERE prev_ts IS NOT NULL),
+g AS (SELECT {E}, response_code, t, sum(d) AS inc, count(*) AS gaps, epoch(max(ts)) AS hi, epoch(min(prev_ts)) AS lo,
+        arg_min(prev_value, prev_ts) AS v0 FROM x WHERE prev_ts > t - INTERVAL '6 hours' GROUP BY ALL),
+h AS (SELECT *, hi - lo AS span, (hi - lo) / gaps AS gap, lo - epoch(t) + 21600 AS head, epoch(t) - hi AS tail FROM g),
+e AS (SELECT *, least(CASE WHEN head < 1.1 * gap THEN head ELSE gap / 2 END,
+                 CASE WHEN inc > 0 AND v0 >= 0 THEN span * v0 / inc ELSE 1e300 END) AS a,
+        CASE WHEN tail < 1.1 * gap THEN tail ELSE gap / 2 END AS b FROM h)
+SELECT {E}, response_code, t AS ts, inc * (span + a + b) / span AS increase, inc * (span + a + b) / span / 21600 AS rate FROM e""")
+def pql1_extrapolated_rate(spark, sf_dir):
+    """PQL1 as the metric store evaluates it: the increase stretched to the
+    borders of the range."""
+    from tracewise.operators import promql
+    c = requests_total(mesh.counters_for(spark, sf_dir))
+    return promql.increase_and_rate(c, [*mesh.EDGE, "response_code"], mesh.P.range_, mesh.P.step, extrapolate=True)
+
+
 @register("pql2_sum_by", sql=f"WITH {RPS} SELECT * FROM rps")
 def pql2_sum_by(spark, sf_dir):
     """PQL2: ``sum(rate(...)) by (src, dst)``."""

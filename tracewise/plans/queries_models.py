@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tracewise.operators import forest
 from tracewise.plans import mesh, service
 from tracewise.registry import register
+from tracewise.session import cut_lineage
 from tracewise.sources.bindings import KEYS, metric_phases, with_service_id
 
 Z_FEATS = [f"z_{f}" for f in ["connection_count", "rolling_mean", "diff", "rate_change", "over_max_count",
@@ -20,16 +21,16 @@ def _key(df):
     return df.withColumn("_key", F.concat_ws("|", *KEYS, F.col("ts").cast("string")))
 
 
-def scored_services(spark, sf_dir, contamination=0.01):
+def scored_services(spark, sf_dir, contamination=0.01, points=None):
     """Single-metric flow: features -> z -> forest fit on baseline -> score
-    the problem window (s, decision, is_outlier, is_anomaly)."""
-    from tracewise.session import cut_lineage
-    zb, zp, _ = service.scored_features(metric_phases(spark, sf_dir))
+    the problem window (s, decision, is_outlier, is_anomaly).  ``points``:
+    the two phases, where the caller has them."""
+    zb, zp, _ = service.scored_features(metric_phases(spark, sf_dir) if points is None else points)
     # fit, offset and scoring all read these: materialise once (small: one row
     # per service and bucket)
     zb, zp = cut_lineage(_key(zb)), cut_lineage(_key(zp))
     nodes = cut_lineage(forest.fit(zb, ["_key"], Z_FEATS, seed=42))
-    train = forest.score(zb, nodes, Z_FEATS)
+    train = cut_lineage(forest.score(zb, nodes, Z_FEATS))
     q = forest.offset(train, contamination)
     return forest.label(forest.score(zp, nodes, Z_FEATS), q)
 
@@ -60,12 +61,20 @@ def agg5_anomaly_rates(spark, sf_dir):
 
 
 def _health_frame(spark, sf_dir):
-    """(ts, src, dst, latency_ms, error_rate) with errors left-joined (JN3)."""
+    """(ts, src, dst, latency_ms, error_rate) with errors left-joined (JN3);
+    materialised: fits and scores read it several times."""
     e = mesh.counters_for(spark, sf_dir)
     lat = mesh.latency_quantile(e)
     err = mesh.error_rate(e)
-    return (lat.join(err, on=["ts", "src", "dst"], how="left").fillna(0.0, subset=["error_rate"])
-            .withColumn("_key", F.concat_ws("|", "src", "dst", F.col("ts").cast("string"))))
+    return cut_lineage(lat.join(err, on=["ts", "src", "dst"], how="left").fillna(0.0, subset=["error_rate"])
+                       .withColumn("_key", F.concat_ws("|", "src", "dst", F.col("ts").cast("string"))))
+
+
+def _labelled(frame, feats, contamination):
+    """Forest fitted on a frame and its own rows scored, each once."""
+    nodes = cut_lineage(forest.fit(frame, ["_key"], feats, seed=42))
+    s = cut_lineage(forest.score(frame, nodes, feats))
+    return forest.label(s, forest.offset(s, contamination))
 
 
 @register("rca8_anomalous_minutes")
@@ -73,10 +82,7 @@ def rca8_anomalous_minutes(spark, sf_dir):
     """RCA8 (+JN3, AGG8, TOP4): per edge, how many evaluation steps the
     forest (contamination 0.05) labels anomalous, most first."""
     h = _health_frame(spark, sf_dir)
-    feats = ["latency_ms", "error_rate"]
-    nodes = forest.fit(h, ["_key"], feats, seed=42)
-    s = forest.score(h, nodes, feats)
-    lab = forest.label(s, forest.offset(s, 0.05))
+    lab = _labelled(h, ["latency_ms", "error_rate"], 0.05)
     return (lab.filter(F.col("is_outlier")).groupBy("src", "dst")
             .agg(F.count(F.lit(1)).alias("anomalous_minutes_count"))
             .orderBy(F.col("anomalous_minutes_count").desc(), "src", "dst"))
@@ -92,31 +98,28 @@ def det16_guarded_outliers(spark, sf_dir):
     n = now.count()
     if n < 5:
         return now.select("src", "dst", "latency_ms", "error_rate").limit(0)
-    feats = ["latency_ms", "error_rate"]
-    nodes = forest.fit(now, ["_key"], feats, seed=42)
-    s = forest.score(now, nodes, feats)
-    lab = forest.label(s, forest.offset(s, 0.1))
+    lab = _labelled(now, ["latency_ms", "error_rate"], 0.1)
     return (lab.filter(F.col("is_outlier")).select("src", "dst", "latency_ms", "error_rate")
             .orderBy(F.col("latency_ms").desc(), "src", "dst"))
 
 
 # ---------------------------------------------------------------- causality
 
-def _baseline_series(spark, sf_dir):
-    from tracewise.operators.correlate import with_step_index
-    from tracewise.sources.bindings import phases
-    base, _ = metric_phases(spark, sf_dir)
+def directions_of(base, corr):
+    """COR3 of baseline points for the pairs over the threshold in ``corr``."""
+    from tracewise.operators import granger
+    from tracewise.operators.correlate import corr_graph, with_step_index
+    from tracewise.functions.columns import CORR_THRESHOLD
     s = with_service_id(base).select(F.col("service_id").alias("id"), "ts", F.col("connection_count").alias("x"))
-    return service.densify(with_step_index(s, "ts", 6 * 3600), "id", "step", "x")
+    series = service.densify(with_step_index(s, "ts", 6 * 3600), "id", "step", "x")
+    return granger.granger(series, corr_graph(corr, CORR_THRESHOLD), maxlag=5)
 
 
-def directions(spark, sf_dir):
-    from tracewise.operators import granger
-    from tracewise.plans.queries_graph import corr_normal
-    from tracewise.operators.correlate import corr_graph
-    from tracewise.functions.columns import CORR_THRESHOLD
-    pairs = corr_graph(corr_normal(spark, sf_dir), CORR_THRESHOLD)
-    return granger.granger(_baseline_series(spark, sf_dir), pairs, maxlag=5)
+def directions(spark, sf_dir, base=None):
+    from tracewise.operators.correlate import corr_matrix
+    base = cut_lineage(metric_phases(spark, sf_dir)[0]) if base is None else base
+    s = with_service_id(base).select(F.col("service_id").alias("id"), "ts", F.col("connection_count").alias("x"))
+    return directions_of(base, corr_matrix(s, "id", "ts", "x", 6 * 3600))
 
 
 @register("cor3_granger_directions")
@@ -125,10 +128,11 @@ def cor3_granger_directions(spark, sf_dir):
     return directions(spark, sf_dir)
 
 
-def _chains(spark, sf_dir):
-    rates = (with_service_id(scored_services(spark, sf_dir)).groupBy("service_id")
-             .agg(F.avg(F.col("is_outlier").cast("double")).alias("anomaly_rate")))
-    causal = directions(spark, sf_dir).filter("causes")
+def _chains(spark, sf_dir, points=None):
+    points = tuple(cut_lineage(p) for p in metric_phases(spark, sf_dir)) if points is None else points
+    rates = cut_lineage(with_service_id(scored_services(spark, sf_dir, points=points)).groupBy("service_id")
+                        .agg(F.avg(F.col("is_outlier").cast("double")).alias("anomaly_rate")))
+    causal = directions(spark, sf_dir, points[0]).filter("causes")
     return rates, service.causal_chains(rates, causal)
 
 
@@ -143,10 +147,11 @@ def rca1_propagation_chains(spark, sf_dir):
 def rca3_worst_services(spark, sf_dir):
     """RCA2 + RCA3 (JOB2, VIZ2, JN4, TOP3): rates, rank score and chain."""
     from tracewise.operators.correlate import series_vs_total
-    from tracewise.sources.bindings import phases
-    rates, chains = _chains(spark, sf_dir)
-    _, prob = metric_phases(spark, sf_dir)
-    sig = with_service_id(service.sigma_flags_single(metric_phases(spark, sf_dir)))
+    # both phases once: features, flags, correlations and totals all read them
+    points = tuple(cut_lineage(p) for p in metric_phases(spark, sf_dir))
+    rates, chains = _chains(spark, sf_dir, points)
+    prob = points[1]
+    sig = with_service_id(service.sigma_flags_single(points))
     srates = sig.groupBy("service_id").agg(F.avg(F.col("sigma3").cast("double")).alias("sigma_rate"))
     s = with_service_id(prob).select(F.col("service_id").alias("id"), "ts", F.col("connection_count").alias("x"))
     ct = series_vs_total(s, "id", "ts", "x")
@@ -178,9 +183,8 @@ def det10_group_summary(spark, sf_dir):
 
 # ---------------------------------------------------------- multi-metric flow
 
-def _multi(spark, sf_dir):
-    from tracewise.session import cut_lineage
-    zb, zp, zf = service.multi_metric_features(metric_phases(spark, sf_dir))
+def _multi(spark, sf_dir, points=None):
+    zb, zp, zf = service.multi_metric_features(metric_phases(spark, sf_dir) if points is None else points)
     return cut_lineage(_key(zb)), cut_lineage(_key(zp)), zf
 
 
@@ -202,14 +206,13 @@ def rca3_worst_services_multi(spark, sf_dir):
     from tracewise.operators import granger
     from tracewise.operators.correlate import corr_graph, corr_matrix, series_vs_total, with_step_index
     from tracewise.functions.columns import CORR_THRESHOLD
-    from tracewise.sources.bindings import phases
-    zb, zp, zf = _multi(spark, sf_dir)
-    nodes = forest.fit(zb, ["_key"], zf, seed=42)
-    train = forest.score(zb, nodes, zf)
+    pts = tuple(cut_lineage(p) for p in metric_phases(spark, sf_dir))
+    zb, zp, zf = _multi(spark, sf_dir, pts)
+    nodes = cut_lineage(forest.fit(zb, ["_key"], zf, seed=42))
+    train = cut_lineage(forest.score(zb, nodes, zf))
     lab = forest.label(forest.score(zp, nodes, zf), forest.offset(train, 0.01))
     rates = (with_service_id(lab).groupBy("service_id")
              .agg(F.avg(F.col("is_outlier").cast("double")).alias("anomaly_rate")))
-    pts = metric_phases(spark, sf_dir)
     sig = with_service_id(service.sigma_flags_multi(pts))
     srates = sig.groupBy("service_id").agg(F.avg(F.col("sigma3").cast("double")).alias("sigma_rate"))
     base, prob = pts

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewise.operators import correlate, features, normalize
+from tracewise.operators import features, normalize
 from tracewise.plans import edge_rca, mesh
-from tracewise.plans.queries_graph import _LONG_SQL, _corr_sql, corr_normal, iqr_table, _series, STEP
+from tracewise.plans.queries_graph import _LONG_SQL, _corr_sql, _diff_sql, corr_change, iqr_table
 from tracewise.plans.queries_mesh import MEAN_LAT, REQ_RATES, _quantile_cte
 from tracewise.plans.sqlbits import DAG_CTE, PHASES_CTE, SERVERS_CTE, features_sql
 from tracewise.registry import register
@@ -113,14 +113,11 @@ def set3_window_union(spark, sf_dir):
                       F.greatest("t", "t").alias("union_end"))
 
 
-@register("viz3_corr_heatmap", sql=f"""WITH {PHASES_CTE}, {_corr_sql('base')}, {_corr_sql('prob')}
-SELECT coalesce(p.a, n.a) AS a, coalesce(p.b, n.b) AS b, p.r - n.r AS diff
-FROM cor_prob p FULL OUTER JOIN cor_base n ON p.a = n.a AND p.b = n.b""")
+@register("viz3_corr_heatmap", sql=f"""WITH {PHASES_CTE}, {_corr_sql('base')}, {_corr_sql('prob')}, {_diff_sql('base', 'prob')}
+SELECT a, b, diff FROM df""")
 def viz3_corr_heatmap(spark, sf_dir):
     """VIZ3: long-form heat map of the correlation change."""
-    _, prob = metric_phases(spark, sf_dir)
-    cp = correlate.corr_matrix(_series(prob, "connection_count"), "id", "ts", "x", STEP)
-    return correlate.corr_diff(cp, corr_normal(spark, sf_dir)).select("a", "b", "diff")
+    return corr_change(spark, sf_dir).select("a", "b", "diff")
 
 
 @register("viz1_scatter_points")
@@ -187,7 +184,55 @@ def job2_predict(spark, sf_dir):
     """JOB2 (SRC8): the problem window scored with nothing but stored state;
     the same rows as ``det7_forest_score``."""
     from tracewise.plans import train
-    return train.predict(spark, sf_dir, train.train(spark, sf_dir, ["feature_stats", "forest_nodes", "offset"]))
+    return train.predict(spark, sf_dir, train.train(spark, sf_dir, ["feature_stats", "forest_nodes", "offset"])) \
+        .drop("connection_count", "hour")
+
+
+@register("job2_worst_services")
+def job2_worst_services(spark, sf_dir):
+    """JOB2: the ranked services of a whole cycle from one stored generation;
+    the same rows as ``rca3_worst_services``."""
+    from tracewise.plans import train
+    return train.cycle(spark, sf_dir, train.train(spark, sf_dir))["worst"]
+
+
+@register("job2_corr_change", sql=f"""WITH {PHASES_CTE}, {_corr_sql('base')}, {_corr_sql('prob')}, {_diff_sql('base', 'prob')}
+SELECT * FROM df""")
+def job2_corr_change(spark, sf_dir):
+    """JOB2 (+COR4): the correlation change of a cycle, with the baseline's
+    correlations as stored."""
+    from tracewise.operators import correlate
+    from tracewise.plans import train
+    root = train.train(spark, sf_dir, ["corr", "corr_series"])
+    at = train.newest(spark, root)
+    now, series = train._corr(metric_phases(spark, sf_dir)[1])
+    return correlate.corr_diff(now, train.load(spark, root, "corr", at), series, train.load(spark, root, "corr_series", at))
+
+
+_FOLD = ["connection_count", "response_time", "qps", "eps"]
+
+
+@register("job1_baseline_folded", sql=f"""WITH {PHASES_CTE},
+l AS (SELECT ip_port, server_name, m.metric, m.v FROM base, (SELECT unnest([{", ".join(
+    f"{{'metric': '{c}', 'v': {c}}}" for c in _FOLD)}]) AS m)),
+s AS (SELECT ip_port, server_name, metric, count(v) AS n, avg(v) AS mean, stddev_samp(v) AS sd, var_pop(v) AS vp,
+        kurtosis_pop(v) AS k, min(v) AS lo, max(v) AS hi FROM l WHERE v IS NOT NULL GROUP BY 1, 2, 3),
+c AS (SELECT ip_port, server_name, metric, avg((v - mean) ** 3) AS m3 FROM l JOIN s USING (ip_port, server_name, metric) GROUP BY 1, 2, 3)
+SELECT ip_port, server_name, metric, n, mean, greatest(sd, {1e-6}) AS std,
+       CASE WHEN lo < hi THEN m3 / vp ** 1.5 END AS skew, CASE WHEN lo < hi THEN k END AS kurt
+FROM s JOIN c USING (ip_port, server_name, metric)""")
+def job1_baseline_folded(spark, sf_dir):
+    """JOB1 (+AGG2-4): the baseline folded in over three spans, one of them
+    twice; equals the statistics of all its points at once."""
+    from tracewise.operators import baseline
+    from tracewise.plans import train
+    from tracewise.sources.bindings import PHASE_SPLIT
+    root = train.new_root(spark)
+    cuts = [None, "2024-01-08", "2024-01-15", PHASE_SPLIT]
+    for a, b in [*zip(cuts, cuts[1:]), (cuts[1], cuts[2])]:
+        train.fold(spark, sf_dir, root, a, b)
+    state = baseline.merged(train.folded(spark, root), KEYS)
+    return baseline.statistics(state, KEYS)
 
 
 # ------------------------------------------------------- explicit small ops

@@ -27,7 +27,7 @@ def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # importing the modules fills QUERIES
     from tracewise.plans import queries_service  # noqa: F401
     for mod in ("queries_mesh", "queries_graph", "queries_edge", "queries_models", "queries_io",
-                "queries_tables"):
+                "queries_tables", "queries_planted"):
         try:
             __import__(f"tracewise.plans.{mod}")
         except ModuleNotFoundError as e:

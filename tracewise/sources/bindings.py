@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracewise.functions.columns import epoch_seconds
 from tracewise.operators.series import previous_row
 
 # Fixed values of the bindings.
@@ -25,9 +26,13 @@ PHASE_SPLIT = "2024-01-22 00:00:00"  # baseline before, problem from here on
 N_SERVERS = 20                       # server_id = user_id % 20
 SERVER_TYPES = ["DB", "Web", "App"]  # type = SERVER_TYPES[server_id % 3]
 ERROR_K = 90                         # props.k >= 90 marks a 5xx call
+PLANTED = [("view", "click"), ("click", "purchase")]   # edges of the planted fault
+FAULT_STEPS = 20                     # scored steps of the planted service fault
+TRADE_SIGMA = 1.0                    # how far above the average pair a trade edge lies
+PLANT_HOURS = 30                     # its length, up to the newest event
+PLANT_K = 98                         # failing calls beside it
 LE_BOUNDS = [10.0, 25.0, 50.0, 100.0, 250.0, float("inf")]  # latency buckets
 SCRAPE_STEP = "1 hour"               # counter sample grid
-ORDER_SPLIT = "hour"                 # per-user ordering runs per (user, hour)
 
 # the services of the binding, for callers that want a wide table
 SERVICE_IDS = [f"svc_{i}_10.0.0.{j}:8080" for i in range(N_SERVER_NAMES) for j in range(N_IP_PORTS)]
@@ -98,16 +103,13 @@ def edge_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Call edges.  Per user ordered by (ts, event_id) the previous event
     type calls the current one; self-transitions are not calls.
 
-    The per-user ordering is split by hour (``ORDER_SPLIT``) so that a user
-    holding a large share of all events is spread over many tasks; the
-    first call of each hour takes its caller from the user's previous
-    non-empty hour (see ``operators.series.previous_row``).
+    The events of a user with a large share of all events are spread over
+    many tasks (see ``operators.series.previous_row``).
     """
     ev = (table(spark, sf_dir, "events")
           .select("event_id", "ts", "user_id", "event_type", "value",
                   F.get_json_object("props", "$.k").cast("int").alias("k")))
-    with_prev = previous_row(ev, keys=["user_id"], order=["ts", "event_id"],
-                             bucket=F.date_trunc(ORDER_SPLIT, "ts"), cols=["event_type"])
+    with_prev = previous_row(ev, keys=["user_id"], order=["ts", "event_id"], cols=["event_type"])
     return (with_prev
             .filter(F.col("prev_event_type").isNotNull()
                     & (F.col("prev_event_type") != F.col("event_type")))
@@ -119,6 +121,28 @@ def edge_points(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "k"))
 
 
+def planted_edge_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call edges with a planted fault.  A call fails with ``k >= 98``; in
+    the last PLANT_HOURS hours of the events every call on the PLANTED edges fails."""
+    end = table(spark, sf_dir, "events").select(F.max("ts")).scalar()
+    on_path = F.lit(False)
+    for src, dst in PLANTED:
+        on_path = on_path | ((F.col("src") == src) & (F.col("dst") == dst))
+    burst = on_path & (F.col("ts") > end - F.expr(f"INTERVAL {PLANT_HOURS} HOURS"))
+    return edge_points(spark, sf_dir).withColumn("error", ((F.col("k") >= PLANT_K) | burst).cast("double"))
+
+
+def event_counters(spark: SparkSession, sf_dir: str, restart_days: int = 4) -> DataFrame:
+    """Request counter per event type (event_type, ts, value), sampled
+    hourly; the counter starts again from zero every ``restart_days`` days."""
+    hourly = (table(spark, sf_dir, "events").select("ts", "event_type")
+              .groupBy("event_type", F.window("ts", SCRAPE_STEP).end.alias("ts"))
+              .agg(F.count(F.lit(1)).cast("double").alias("n")))
+    run = F.floor(epoch_seconds("ts") / F.lit(restart_days * 86400))
+    w = Window.partitionBy("event_type", run).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    return hourly.select("event_type", "ts", F.sum("n").over(w).alias("value"))
+
+
 def server_points(spark: SparkSession, sf_dir: str, bucket: str = METRIC_BUCKET) -> DataFrame:
     """Vmstat-like rows per server and bucket."""
     ev = (table(spark, sf_dir, "events")
@@ -150,6 +174,56 @@ def linked_points(spark: SparkSession, sf_dir: str, bucket: str = METRIC_BUCKET)
             .unionByName(lead.select(F.lit("constant").alias("id"), F.col("t0").alias("ts"), F.lit(0.7).alias("x"))))
 
 
+def planted_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linked and the constant series (id, ts, x, age) up to link_0's
+    newest point, with a fault in the last steps (``age`` counts steps back from
+    there): link_2 to link_4 rise by 1000 in their last 5 * k steps, link_1
+    falls by 1000 in its last 5.  ``late`` is link_0 from the last FAULT_STEPS
+    steps on, a series without history."""
+    x = linked_points(spark, sf_dir)
+    end = x.where("id = 'link_0'").select(F.max("ts")).scalar()
+    age = F.floor((epoch_seconds(end) - epoch_seconds("ts")) / F.lit(6 * 3600))
+    x = x.where((F.startswith("id", F.lit("link")) | (F.col("id") == "constant")) & (F.col("ts") <= end)) \
+        .select("id", "ts", "x", age.alias("age"))
+    k = F.when(F.startswith("id", F.lit("link")), F.substring("id", -1, 1).cast("int")).otherwise(0)
+    shift = F.when(F.col("age") < 5 * k, F.when(k == 1, -1000.0).otherwise(1000.0)).otherwise(0.0)
+    late = x.where((F.col("id") == "link_0") & (F.col("age") < FAULT_STEPS)).withColumn("id", F.lit("late"))
+    return x.withColumn("x", F.col("x") + shift).unionByName(late)
+
+
+def standby_points(spark: SparkSession, sf_dir: str, bucket: str = METRIC_BUCKET) -> DataFrame:
+    """Services that take turns.  Over the buckets that have events,
+    ``active`` reports in the even ones and ``standby`` in the odd ones,
+    ``odd`` always (2 in odd buckets, else 1) and ``rare`` in every eighth."""
+    ts = table(spark, sf_dir, "events").select(F.window("ts", bucket).start.alias("ts")).distinct()
+    turn = F.floor(epoch_seconds("ts") / F.lit(6 * 3600))
+    odd = turn % 2 == 1
+    point = F.array(F.struct(F.when(odd, "standby").otherwise("active").alias("id"), F.lit(5.0).alias("x")),
+                    F.struct(F.lit("odd").alias("id"), F.when(odd, 2.0).otherwise(1.0).alias("x")),
+                    F.struct(F.when(turn % 8 == 3, "rare").alias("id"), F.lit(1.0).alias("x")))
+    return ts.select("ts", F.explode(point).alias("p")).select("p.id", "ts", "p.x").where("id IS NOT NULL")
+
+
+def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directed trade graph of nations: src sells to dst if its suppliers
+    deliver more lines to dst's customers than an average pair's, by over
+    TRADE_SIGMA population std."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    seller = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")) \
+        .select("s_suppkey", F.col("n_name").alias("src"))
+    buyer = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
+        .select("c_custkey", F.col("n_name").alias("dst"))
+    pairs = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+             .join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+             .join(seller, F.col("l_suppkey") == F.col("s_suppkey")).join(buyer, F.col("o_custkey") == F.col("c_custkey"))
+             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
+    st = pairs.agg(F.avg("n").alias("m"), F.stddev_pop("n").alias("s")).first()
+    if st["m"] is None:
+        return pairs.select("src", "dst")
+    return pairs.where((F.col("n") > F.lit(st["m"] + TRADE_SIGMA * st["s"])) & (F.col("src") != F.col("dst"))) \
+        .select("src", "dst")
+
+
 def dag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acyclic graph region -> nation -> supplier (node names prefixed)."""
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -201,17 +275,14 @@ def requests_total(hourly: DataFrame) -> DataFrame:
     return _cumulative(stacked, ["src", "dst", "response_code"], "n")
 
 
-def duration_bucket(hourly: DataFrame) -> DataFrame:
-    """Cumulative histogram counter ``duration_bucket{src,dst,le}`` sampled
-    hourly; every bucket is present at every sample of an edge."""
-    stacked = hourly.select(
-        "src", "dst", "ts",
-        F.explode(F.array(*[F.struct(F.lit(le).alias("le"), F.col(f"c{i}").alias("n"))
-                            for i, le in enumerate(LE_BOUNDS)])).alias("b"))
-    stacked = stacked.select("src", "dst", "ts", "b.le", "b.n")
-    return _cumulative(stacked, ["src", "dst", "le"], "n")
+#: columns of duration_counters: the cumulative buckets and their bounds, the sum
+BUCKETS = {f"c{i}": le for i, le in enumerate(LE_BOUNDS)}
+DURATION_SUM = "rt_sum"
 
 
-def duration_sum(hourly: DataFrame) -> DataFrame:
-    """Counter ``duration_sum{src,dst}`` (total latency) sampled hourly."""
-    return _cumulative(hourly.select("src", "dst", "ts", F.col("rt_sum").alias("n")), ["src", "dst"], "n")
+def duration_counters(hourly: DataFrame) -> DataFrame:
+    """The counters of the latency histogram as columns of one row per edge
+    and sample: running totals of every bucket and of the sum.  They are
+    sampled together, so one window serves all."""
+    w = Window.partitionBy("src", "dst").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    return hourly.select("src", "dst", "ts", *[F.sum(c).over(w).alias(c) for c in (*BUCKETS, DURATION_SUM)])

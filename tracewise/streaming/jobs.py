@@ -3,10 +3,8 @@
 * STR1: tumbling bucket mean per service with a watermark.
 * STR2 + STR6: per micro-batch scoring (``foreachBatch``) against static
   baseline statistics, one idempotent Parquet folder per batch.
-* STR3: stateful trailing features per service with
-  ``applyInPandasWithState`` (the last points are kept in state, so the
-  first point of a new batch still sees its predecessors).
-* STR4: sliding windows.
+* STR3: all trailing features of the bucket points per service, and
+* STR4: counter rates over sliding windows; see ``streaming.stateful``.
 * STR5: duplicates dropped within the watermark.
 
 Production runs use ``trigger(processingTime="30 seconds")``; tests and the
@@ -20,13 +18,12 @@ from __future__ import annotations
 import os
 import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tracewise.functions.columns import SIGMA_K, as_utc_instant, epoch_seconds, to_naive
 from tracewise.session import ensure_checkpoint_dir
+from tracewise.streaming import stateful
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
@@ -106,65 +103,83 @@ def score_stream(events: DataFrame, stats: DataFrame, name: str, bucket: str = "
 STAGE_FILES = 8
 
 
-def stage_events(spark: SparkSession, sf_dir: str, parts: int = 4) -> tuple[str, int]:
-    """The events as ``parts`` consecutive time ranges of up to
+def stage_rows(rows: DataFrame, name: str, parts: int = 4, late_by: str | None = None) -> tuple[str, int]:
+    """``rows`` (with a ``ts``) as ``parts`` consecutive time ranges of up to
     ``STAGE_FILES`` files, written one range after the other, and the length
     of a range in seconds.  A file stream that takes ``STAGE_FILES`` files per
-    trigger sees the ranges in order, and no event later than a range."""
-    events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
-    out = _scratch(spark, "events")
-    b = events.select(F.min(epoch_seconds("ts")), F.max(epoch_seconds("ts"))).first()
+    trigger sees the ranges in order.
+
+    With ``late_by``, a column that identifies a row, a tenth of the rows (by
+    hash) comes one range late and another tenth comes a second time one range
+    later; else no row is later than a range."""
+    out = _scratch(rows.sparkSession, name)
+    b = rows.select(F.min("ts"), F.max("ts"), F.min(epoch_seconds("ts")), F.max(epoch_seconds("ts"))).first()
     if b[0] is None:
-        events.write.parquet(out)
+        rows.write.parquet(out)
         return out, 1
-    width = (b[1] - b[0]) // parts + 1
-    part = F.floor((epoch_seconds("ts") - F.lit(b[0])) / F.lit(width))
+    width = (b[3] - b[2]) // parts + 1
+
+    def border(k):
+        return F.lit(b[0]).cast("timestamp_ntz") + F.expr(f"INTERVAL {k * width} SECONDS")
+
+    # the bounds are plain comparisons with ts, so that each range reads only its own part of the table
     for k in range(parts):
-        events.filter(part == k).select("event_id", "ts", "user_id", "event_type", "value", "props") \
-            .repartition(STAGE_FILES).write.mode("append").parquet(out)
+        part = rows.filter(F.col("ts") < border(k + 1)) if k < parts - 1 else rows
+        if late_by is None:
+            part = part.filter(F.col("ts") >= border(k)) if k else part
+        else:
+            part = part.filter(F.col("ts") >= border(k - 1)) if k > 1 else part
+            late = F.pmod(F.xxhash64(late_by), F.lit(10))
+            own, before = F.col("ts") >= border(k), F.col("ts") < border(k)
+            last = k == parts - 1
+            part = part.filter((own & (F.lit(last) | (late != 3))) | (before & late.isin(3, 7)))
+        part.repartition(STAGE_FILES).write.mode("append").parquet(out)
     return out, width
 
 
-def sliding_counts(events: DataFrame, length: str = "6 hours", slide: str = "3 hours") -> DataFrame:
-    """STR4: sliding-window request counts per event type."""
-    return events.groupBy(F.window("ts", length, slide).alias("w"), "event_type").agg(
-        F.count(F.lit(1)).alias("n"))
-
+def stage_events(spark: SparkSession, sf_dir: str, parts: int = 4, late: bool = False) -> tuple[str, int]:
+    """The events table as a source of a stream, see :func:`stage_rows`."""
+    events = spark.read.parquet(os.path.join(sf_dir, "events.parquet")) \
+        .select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return stage_rows(events, "events", parts, "event_id" if late else None)
 
-TRAIL = 5   # points kept in state: enough for rolling_mean(5) and diff
 
+def close_stage(folder: str, like: DataFrame, after_seconds: int) -> None:
+    """End a staged stream: one row with the last ``ts`` plus ``after_seconds``
+    and nulls otherwise moves the watermark past all others.  Its own group
+    is never complete, so it shows up nowhere."""
+    end = like.select((F.max("ts") + F.expr(f"INTERVAL {after_seconds} SECONDS")).alias("ts"))
+    cols = [F.col("ts") if c == "ts" else F.lit(None).cast(like.schema[c].dataType).alias(c) for c in like.columns]
+    end.where("ts IS NOT NULL").select(*cols).coalesce(1).write.mode("append").parquet(folder)
 
-def trailing_features(points: DataFrame, keys: list[str], metric: str, name: str) -> DataFrame:
-    """STR3: rolling_mean(5) and diff per key across micro-batches with
-    ``applyInPandasWithState``; state keeps the last ``TRAIL`` points."""
-    spark = points.sparkSession
-    out_schema = f"{', '.join(k + ' string' for k in keys)}, ts timestamp, {metric} double, " \
-                 f"rolling_mean double, diff double"
-    state_schema = "ts array<timestamp>, v array<double>"
 
-    def fn(key, pdfs, state):
-        if state.exists:
-            old_ts, old_v = state.get
-            hist = pd.DataFrame({"ts": list(old_ts), metric: list(old_v), "_old": True})
-        else:
-            hist = pd.DataFrame({"ts": pd.Series([], dtype="datetime64[us]"), metric: [], "_old": []})
-        new = pd.concat(list(pdfs), ignore_index=True)
-        new["_old"] = False
-        allp = pd.concat([hist, new[["ts", metric, "_old"]]], ignore_index=True).sort_values("ts")
-        allp["rolling_mean"] = allp[metric].rolling(TRAIL).mean()
-        allp["diff"] = allp[metric].diff()
-        res = allp[~allp["_old"].astype(bool)].copy()
-        tail = allp.tail(TRAIL)
-        state.update((list(tail["ts"]), [float(x) for x in tail[metric]]))
-        if len(res):
-            for i, k in enumerate(keys):
-                res[k] = key[i]
-            yield res[[*keys, "ts", metric, "rolling_mean", "diff"]]
-
-    feats = points.groupBy(*keys).applyInPandasWithState(
-        fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+def run_appended(stream: DataFrame, name: str) -> DataFrame:
+    """Run an append-mode stream into Parquet files until its input is
+    consumed, and read them."""
+    spark = stream.sparkSession
     out, ckpt = _scratch(spark, name), _scratch(spark, name + "-ckpt")
-    q = (feats.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q = stateful.with_rocksdb(spark, lambda: stream.writeStream.outputMode("append").format("parquet").option("path", out)
+                              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def service_points(events: DataFrame, bucket: str = "6 hours") -> DataFrame:
+    """Bucket points (keys, ts, connection_count) of an event stream as an
+    append-mode aggregate emits them; ``ts`` is the end of the bucket, minus
+    a microsecond, and keeps the watermark."""
+    return bucket_means(events, bucket).select("ip_port", "server_name", F.window_time("w").alias("ts"), "connection_count")
+
+
+def read_samples(spark: SparkSession, folder: str, schema: str, keys: list[str], watermark: str) -> DataFrame:
+    """File stream of counter samples (keys, ts, value); samples that come
+    again within the watermark are dropped (STR5)."""
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", STAGE_FILES).parquet(folder)
+    return s.withColumn("ts", as_utc_instant("ts")).withWatermark("ts", watermark) \
+        .dropDuplicatesWithinWatermark([*keys, "at"])
+
+
+def sliding_counts(events: DataFrame, length: str = "6 hours", slide: str = "3 hours") -> DataFrame:
+    """STR4: sliding-window request counts per event type."""
+    return events.groupBy(F.window("ts", length, slide).alias("w"), "event_type").agg(
+        F.count(F.lit(1)).alias("n"))
