@@ -14,9 +14,9 @@ each span.  Marks are atomic, hence token borders fall on span borders and the
 mask is exact: it covers the texts of assistant turns and nothing else.
 
 Defined results: null roles and texts are empty, null turns sort first, equal
-turn numbers by role and text; repeated rows are repeated turns; rows with a
-null conv_id form one conversation with a null id; an empty table gives an
-empty table.  A conversation is one training example, so its turns meet in one
+turn numbers by role and text; repeated rows are repeated turns; a row with a
+null conv_id belongs to no other and is a conversation of one turn with a null
+id; an empty table gives an empty table.  A conversation is one training example, so its turns meet in one
 row by design."""
 
 from __future__ import annotations
@@ -92,9 +92,10 @@ def format_conversations(rows: DataFrame, vocabulary_path: str, loss_role: str =
     their end offsets in bytes (packed little-endian unsigned 32-bit), and one
     mask byte per token."""
     shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path, MARKS))
-    talks = rows.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(F.struct(
-        "turn", F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text")))).alias("turns"))
+    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t"))
+    talks = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    talks = talks.unionByName(rows.where("conv_id IS NULL").select("conv_id", F.array("t").alias("turns")))
 
     def run(batches):
         vocab = shared.value

@@ -10,7 +10,10 @@ allow takes precedence.  Urls that differ only in scheme, fragment or the case
 of the host are one node.
 
 Rules are a configuration list (at most MAX_RULES); pages, links, nodes and
-components stay distributed.  Tags of more than 2,000 characters are no tags.
+components stay distributed.  Tags may be of any length; a link is canonical if
+``canonical`` is one of the words of its ``rel``.  Targets are resolved against
+the page's first ``<base href>``, else its url; ``./`` and ``../`` are taken out of
+their paths.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule and has no aliases (allow).  Null html has no links.
@@ -71,36 +74,64 @@ def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    quoted = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*[\"']([^\"']*)", 1)
-    return F.when(quoted != "", quoted).otherwise(F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*([^\"'\s>]+)", 1))
+    quoted = F.regexp_extract(tag, rf"(?is)[\s\"'/]{name}\s*=\s*(?:\"([^\"]*)|'([^']*))", 0)
+    bare = F.regexp_extract(tag, rf"(?is)[\s\"'/]{name}\s*=\s*([^\"'\s>]+)", 1)
+    return F.when(quoted != "", F.regexp_replace(quoted, rf"(?is)^.{name}\s*=\s*[\"']", "")).otherwise(bare)
+
+
+def _tidy(url: Column) -> Column:
+    """``url`` without ``.`` and ``..`` in its path (``..`` takes the segment
+    before it away, at the root nothing)."""
+    site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*[^?#]*(.*)$", 1)
+    parts = F.split(path, "/")
+    # the last segment of a path that ends in a dot segment is a folder
+    closed = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"),
+                       lambda acc, p: F.when(p == ".", acc).when(
+                           p == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(
+                           F.concat(acc, F.array(p))))
+    tidy = F.concat(site, F.lit("/"), F.array_join(F.concat(kept, closed), "/"), rest)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), tidy).otherwise(url)
 
 
 def _absolute(href: Column, url: Column) -> Column:
-    """The link target, resolved against the page's url."""
+    """The link target, resolved against ``url``; null if it is no web address."""
     href = F.trim(F.regexp_replace(href, "&amp;", "&"))
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*((?:/[^?#]*)?/)", 1)
-    return F.when(href == "", F.lit(None)).when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href) \
+    full = F.when(href == "", F.lit(None)).when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href) \
         .when(F.startswith(href, F.lit("//")), F.concat(scheme, F.lit(":"), href)) \
         .when(F.startswith(href, F.lit("/")), F.concat(site, href)) \
         .when(href.rlike(r"^[#?]|^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None)) \
         .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), href))
+    return _tidy(full)
+
+
+_LINK = r"(?is)<link\b[^>]*+>"
+_META = r"(?is)<meta\b[^>]*+>"
+_BASE = r"(?is)<base\b[^>]*+>"
 
 
 def links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(url, target) of canonical links and redirects in the pages."""
     rows = pages.where(F.col(url_col).contains("://") & F.col(html_col).rlike("(?i)canonical|http-equiv"))
-    canonical = r"(?is)<link\b[^>]{0,2000}\brel\s*=\s*[\"']?canonical\b[^>]{0,2000}>"
-    refresh = r"(?is)<meta\b[^>]{0,2000}\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]{0,2000}>"
+
+    def tags(pattern, name, value):
+        found = F.regexp_extract_all(html_col, F.lit(pattern), F.lit(0))
+        return F.filter(found, lambda t: _attribute(t, name).rlike(value))
+
     rows = rows.select(
-        F.col(url_col).alias("url"),
-        F.transform(F.regexp_extract_all(html_col, F.lit(canonical), F.lit(0)),
-                    lambda t: _attribute(t, "href")).alias("c"),
-        F.transform(F.regexp_extract_all(html_col, F.lit(refresh), F.lit(0)),
-                    lambda t: F.trim(F.regexp_extract(_attribute(t, "content"), r"(?is)\burl\s*=\s*(.*)$", 1))).alias("r"))
-    rows = rows.select("url", F.explode(F.concat("c", "r")).alias("href"))
-    return rows.select("url", _absolute(F.col("href"), F.col("url")).alias("target")) \
+        F.col(url_col).alias("url"), _attribute(F.regexp_extract(html_col, _BASE, 0), "href").alias("base"),
+        F.transform(tags(_LINK, "rel", r"(?i)(?:^|\s)canonical(?:\s|$)"), lambda t: _attribute(t, "href")).alias("c"),
+        F.transform(tags(_META, "http-equiv", r"(?i)^\s*refresh\s*$"),
+                    lambda t: F.regexp_replace(F.regexp_extract(
+                        _attribute(t, "content"), r"(?is)\burl\s*=\s*(.*)$", 1), r"^[\s\"']+|[\s\"']+$", "")).alias("r"))
+    base = F.coalesce(F.when(F.col("base") != "", _absolute(F.col("base"), F.col("url"))), F.col("url"))
+    rows = rows.select("url", base.alias("base"), F.explode(F.concat("c", "r")).alias("href"))
+    return rows.select("url", _absolute(F.col("href"), F.col("base")).alias("target")) \
         .where("target IS NOT NULL").distinct()
 
 

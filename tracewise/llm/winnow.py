@@ -12,7 +12,8 @@ Defined results: a null text is empty; a text without words has an empty
 fingerprint; one with fewer than k words has one gram of all its words, one
 with fewer than w grams has one window.  The likeness of two empty
 fingerprints is 1, of one empty and one other 0.  Equal texts have equal
-fingerprints; repeated rows each get their own row."""
+fingerprints; repeated rows each get their own row.  In the order of documents
+rows without an id come last, by a hash of their text."""
 
 from __future__ import annotations
 
@@ -115,8 +116,10 @@ def with_next_text(rows: DataFrame, buckets: int) -> DataFrame:
 
     Rows are dealt to id ranges; the first row of each range also goes, marked,
     to the range before it, so that ``lead`` inside a range sees its successor.
-    The driver sees only the split points and each range's largest id (as many
-    as there are ranges); null ids sort last and form a range of their own."""
+    The driver sees only the split points and each range's first id (as many
+    as there are ranges).  Rows without an id come last, in the order of a hash
+    of their text (then the text), in ranges of that hash; equal ones travel as
+    one row and a count, so that a text without id may repeat without end."""
     spark = rows.sparkSession
     cuts = sorted(set(rows.select("doc_id").na.drop().approxQuantile(
         "doc_id", [i / buckets for i in range(1, buckets)], 0.1 / buckets)))
@@ -128,23 +131,36 @@ def with_next_text(rows: DataFrame, buckets: int) -> DataFrame:
         bucket = at + F.size(F.filter(F.slice(fine, at + 1, F.lit(step)), lambda x: x <= F.col("__tw_d")))
     else:
         bucket = F.lit(0)
-    rows = rows.withColumn("__tw_d", F.col("doc_id").cast("double")).withColumn(
-        "__tw_b", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(bucket).cast("int"))
-    heads = rows.groupBy("__tw_b").agg(F.max("doc_id").alias("top")).orderBy(F.desc("__tw_b")).collect()
+    known = rows.where("doc_id IS NOT NULL").select(
+        "doc_id", "text", F.lit(1).cast("long").alias("__tw_n"), F.lit(None).cast("long").alias("__tw_h"),
+        F.col("doc_id").cast("double").alias("__tw_d"))
+    known = known.withColumn("__tw_b", bucket.cast("int")).drop("__tw_d")
+    unknown = rows.where("doc_id IS NULL").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("__tw_n")) \
+        .withColumn("__tw_h", F.xxhash64("text"))
+    share = F.col("__tw_h").cast("double") / F.lit(2.0 ** 64) + 0.5
+    unknown = unknown.withColumn("__tw_b", (-1 - F.least(F.lit(buckets - 1), F.floor(share * buckets))).cast("int"))
+    rows = known.unionByName(unknown)
+    heads = rows.groupBy("__tw_b").agg(F.max("doc_id").alias("top"), F.min("__tw_h").alias("low")) \
+        .orderBy(F.desc("__tw_b")).collect()
     if not heads:
         return rows.select("doc_id", "text", F.lit(None).cast("string").alias("next_text"))
     # the range before (in descending order) each range; the first range comes after the last
-    before = [(heads[i - 1]["__tw_b"], h["__tw_b"], h["top"]) for i, h in enumerate(heads)]
-    firsts = spark.createDataFrame(before, "__tw_to int, __tw_b int, __tw_top long")
+    before = [(heads[i - 1]["__tw_b"], h["__tw_b"], h["top"], h["low"]) for i, h in enumerate(heads)]
+    firsts = spark.createDataFrame(before, "__tw_to int, __tw_b int, __tw_top long, __tw_low long")
     carried = (rows.join(F.broadcast(firsts), "__tw_b")
-               .where(F.col("doc_id").eqNullSafe(F.col("__tw_top")))
+               .where(F.col("doc_id").eqNullSafe(F.col("__tw_top")) & F.col("__tw_h").eqNullSafe(F.col("__tw_low")))
                .groupBy(F.col("__tw_to").alias("__tw_b")).agg(F.min("text").alias("text"))
-               .select(F.lit(None).cast("long").alias("doc_id"), "text", "__tw_b", F.lit(1).alias("__tw_c")))
-    own = rows.select("doc_id", "text", "__tw_b", F.lit(0).alias("__tw_c"))
+               .select(F.lit(None).cast("long").alias("doc_id"), "text", "__tw_b", F.lit(1).alias("__tw_c"),
+                       F.lit(1).cast("long").alias("__tw_n"), F.lit(None).cast("long").alias("__tw_h")))
+    own = rows.select("doc_id", "text", "__tw_b", F.lit(0).alias("__tw_c"), "__tw_n", "__tw_h")
     from pyspark.sql import Window
-    order = Window.partitionBy("__tw_b").orderBy("__tw_c", F.desc_nulls_last("doc_id"), "text")
-    return (own.unionByName(carried).withColumn("next_text", F.lead("text").over(order))
-            .where("__tw_c = 0").select("doc_id", "text", "next_text"))
+    order = Window.partitionBy("__tw_b").orderBy("__tw_c", F.desc_nulls_last("doc_id"), "__tw_h", "text")
+    out = own.unionByName(carried).withColumn("next_text", F.lead("text").over(order)).where("__tw_c = 0")
+    # of equal rows without id, all but the last are followed by an equal one
+    out = out.select("doc_id", "text", "next_text", "__tw_n",
+                     F.explode(F.sequence(F.lit(1).cast("long"), F.col("__tw_n"))).alias("__tw_i"))
+    return out.select("doc_id", "text", F.when(F.col("__tw_i") < F.col("__tw_n"), F.col("text"))
+                      .otherwise(F.col("next_text")).alias("next_text"))
 
 
 def edited_fingerprints(docs: DataFrame, k: int = GRAM_WORDS, w: int = WINDOW_GRAMS,
