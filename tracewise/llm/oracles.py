@@ -6,9 +6,10 @@ _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwx
 #: the marks and the escape of tracewise.llm.chat, written out
 CHAT = r"""
 WITH talk AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
-  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', NULL
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', NULL),
 e AS (SELECT *, length(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g')) + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))
                + length('<|turn|><|text|><|end|>') AS n FROM talk)
 SELECT conv_id, count(*) AS n_turns,
@@ -16,19 +17,24 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(n) AS BIGINT) AS formatted_chars
-FROM e GROUP BY conv_id"""
+FROM e GROUP BY conv_id, lone"""
+
+_CLOSE = r"""["'')\]}»’”」』）】]"""
+_PIECE = (rf"[^\x20\x09-\x0D]*?[。！？](?:{_CLOSE}*[。！？])*{_CLOSE}*[\x20\x09-\x0D]*"
+          rf"|{_WORD}[\x20\x09-\x0D]*")
 
 #: runs of sentences by their words; the first occurrence stays
 SENTENCES = rf"""
 WITH pieces AS (
-  SELECT doc_id, text, regexp_extract_all(text, '{_WORD}[\x20\x09-\x0D]*') AS ps FROM documents),
+  SELECT doc_id, text, regexp_extract_all(text, '{_PIECE}') AS ps FROM documents),
 w AS (SELECT doc_id, generate_subscripts(ps, 1) AS k, unnest(ps) AS p FROM pieces),
 w2 AS (SELECT doc_id, k, p, {_LOWER.format(f"regexp_extract(p, '{_WORD}')")} AS word,
-         regexp_matches(p, '[.!?][\x20\x09-\x0D]*$') OR contains(p, chr(10)) AS closed FROM w),
+         greatest(1, length(regexp_replace(regexp_extract(p, '{_WORD}'), '[\x00-\x{{7FF}}]', '', 'g')) // 2) AS units,
+         regexp_matches(p, '[.!?。！？]{_CLOSE}*[\x20\x09-\x0D]*$') OR contains(p, chr(10)) AS closed FROM w),
 w3 AS (SELECT *, coalesce(sum(CAST(closed AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY k
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM w2),
 sent AS (SELECT doc_id, CAST(s AS BIGINT) AS s, string_agg(p, '' ORDER BY k) AS body, string_agg(word, ' ' ORDER BY k) AS words,
-           count(*) AS n FROM w3 GROUP BY doc_id, s),
+           sum(units) AS n FROM w3 GROUP BY doc_id, s),
 c AS (SELECT *, CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY s) AS BIGINT) AS upto,
         CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY s) - n AS BIGINT) AS before,
         max(s) OVER (PARTITION BY doc_id) AS last_s, sum(n) OVER (PARTITION BY doc_id) AS total FROM sent),
@@ -67,10 +73,11 @@ SELECT sh.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(sh.doc_id, coalesc
 URLS = r"""
 WITH RECURSIVE rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
   ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
-link0 AS (SELECT url, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]{0,900}\brel\s*=\s*["'']?canonical\b[^>]{0,900}>'),
-            '(?is)\bhref\s*=\s*["'']([^"'']*)', 1) AS target FROM pages
-          UNION SELECT url, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]{0,900}\bhttp-equiv\s*=\s*["'']?refresh\b[^>]{0,900}>'),
-            '(?is)url\s*=\s*([^"''>]*)', 1) FROM pages),
+tag AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS t FROM pages),
+link0 AS (SELECT url, regexp_extract(t, '(?is)[\s"''/]href\s*=\s*["'']?([^"''>]*)', 1) AS target FROM tag
+          WHERE regexp_matches(regexp_extract(t, '(?is)[\s"''/]rel\s*=\s*(?:"[^"]*|''[^'']*|[^"''\s>]+)'), '(?i)[\s="'']canonical(?:\s|$)')
+          UNION SELECT url, regexp_extract(t, '(?is)url\s*=\s*["'']?([^"''>]*)', 1) FROM tag
+          WHERE regexp_matches(t, '(?is)[\s"''/]http-equiv\s*=\s*["'']?\s*refresh\b')),
 link1 AS (SELECT url, target FROM link0 WHERE contains(url, '://') AND contains(target, '://')),
 urls AS (SELECT url FROM pages UNION SELECT target FROM link1),
 parsed AS (SELECT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -1,6 +1,10 @@
 """Substring deduplication by sliding sentence spans (operator 6).
 
-A sentence ends with a word that ends in a terminator, or at a line break.
+A sentence ends with a word that ends in a terminator (closing quotes and
+brackets may follow), or at a line break.  A full-width terminator ends a sentence
+wherever it stands, so scripts without blanks have sentences, too.  There a
+word is a whole sentence; it counts as one word for every two characters of
+three bytes or more (at least one).
 Every run of consecutive sentences is hashed: the run that begins at a
 sentence takes at least MIN_SENTENCES sentences and goes on until it holds
 MIN_WORDS words; a sentence of LONG_SENTENCE words or more is a run by itself,
@@ -37,8 +41,49 @@ MIN_WORDS = 25
 LONG_SENTENCE = 25
 MAX_FREQUENT = 50_000
 
+# fixed values: terminators and what may close a quotation or bracket after them
+ENDS = ".!?"
+WIDE_ENDS = "。！？"
+CLOSERS = "\"')]}»’”」』）】"
+
 _END = np.zeros(256, bool)
-_END[[ord("."), ord("!"), ord("?")]] = True
+_END[[ord(c) for c in ENDS]] = True
+
+
+def _marks(buf: np.ndarray, chars: str, at: np.ndarray, back: bool) -> np.ndarray:
+    """Length in bytes of the character of ``chars`` that begins at (or, with
+    ``back``, ends before) each offset, else 0."""
+    out = np.zeros(len(at), np.int64)
+    for code in (c.encode() for c in chars):
+        begin = at - len(code) if back else at
+        ok = (begin >= 0) & (begin + len(code) <= len(buf))
+        safe = np.where(ok, begin, 0)
+        for k, byte in enumerate(code):
+            ok &= buf[np.minimum(safe + k, len(buf) - 1)] == byte
+        out[ok] = len(code)
+    return out
+
+
+def text_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets [start, end) of the words, cut after full-width terminators."""
+    starts, ends = word_spans(buf)
+    lead = np.flatnonzero((buf == 0xE3) | (buf == 0xEF))
+    wide = lead[_marks(buf, WIDE_ENDS, lead, False) > 0] if len(lead) else lead
+    if not len(wide):
+        return starts, ends
+    cut = wide + 3
+    while (step := _marks(buf, CLOSERS, cut, False)).any():
+        cut = cut + step
+    cut = np.unique(cut[_marks(buf, WIDE_ENDS, cut, False) == 0])
+    word = np.searchsorted(starts, cut, "right") - 1
+    cut = cut[(word >= 0) & (starts[word] < cut) & (cut < ends[word])]
+    return np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+
+
+def word_units(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Prefix sums of what each word counts."""
+    wide = np.concatenate([[0], np.cumsum(buf >= 0xE0)])
+    return np.concatenate([[0], np.cumsum(np.maximum(1, (wide[ends] - wide[starts]) // 2))])
 
 
 def sentences(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -47,22 +92,31 @@ def sentences(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     n = len(starts)
     if not n:
         return np.zeros(1, np.int64)
-    closed = _END[buf[ends - 1]]
+    last = ends.copy()
+    open_ = np.arange(n)
+    while len(open_):
+        step = _marks(buf, CLOSERS, last[open_], True)
+        step[last[open_] - step < starts[open_]] = 0
+        last[open_] -= step
+        open_ = open_[step > 0]
+    inside = last > starts
+    closed = inside & (_END[buf[np.maximum(last - 1, 0)]] | ((last - starts >= 3) & (_marks(buf, WIDE_ENDS, last, True) > 0)))
     breaks = np.concatenate([[0], np.cumsum(buf[starts[0]:ends[-1]] == 10)])
     closed[:-1] |= breaks[starts[1:] - starts[0]] > breaks[ends[:-1] - starts[0]]
     first = np.flatnonzero(closed[:-1]) + 1
     return np.concatenate([[0], first, [n]])
 
 
-def sentence_runs(cuts: np.ndarray, min_sentences: int, min_words: int,
+def sentence_runs(sizes: np.ndarray, min_sentences: int, min_words: int,
                   long_sentence: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sentence ranges [i, j) of the runs; ``cuts`` as from :func:`sentences`."""
-    m = len(cuts) - 1
+    """Sentence ranges [i, j) of the runs; ``sizes`` are prefix sums of the
+    sentences' words."""
+    m = len(sizes) - 1
     i = np.arange(m)
-    j = np.maximum(i + min_sentences, np.searchsorted(cuts, cuts[:-1] + min_words))
+    j = np.maximum(i + min_sentences, np.searchsorted(sizes, sizes[:-1] + min_words))
     whole = j <= m
-    long = np.flatnonzero(np.diff(cuts) >= long_sentence)
-    tail = min(m - min_sentences, int(np.searchsorted(cuts, cuts[-1] - min_words, "right")) - 1)
+    long = np.flatnonzero(np.diff(sizes) >= long_sentence)
+    tail = min(m - min_sentences, int(np.searchsorted(sizes, sizes[-1] - min_words, "right")) - 1)
     tail = np.full(int(tail >= 0), tail)
     return np.concatenate([i[whole], long, tail]), np.concatenate([j[whole], long + 1, tail * 0 + m])
 
@@ -111,15 +165,16 @@ def runs(rows: DataFrame, min_sentences: int, min_words: int, long_sentence: int
             texts = batch.column("text").to_pylist()
             for x, y in text_chunks(texts):
                 buf, at = joined(texts[x:y])
-                starts, ends = word_spans(buf)
+                starts, ends = text_words(buf)
                 words = word_hashes(buf, starts, ends, fold=True)
+                units = word_units(buf, starts, ends)
                 cut = np.searchsorted(starts, at)
                 out = []
                 for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
-                    if b - a < min(min_words, long_sentence):
+                    if units[b] - units[a] < min(min_words, long_sentence):
                         continue
                     cuts = sentences(buf, starts[a:b], ends[a:b])
-                    i, j = sentence_runs(cuts, min_sentences, min_words, long_sentence)
+                    i, j = sentence_runs(units[a + cuts] - units[a], min_sentences, min_words, long_sentence)
                     if not len(i):
                         continue
                     w = words[a:b]
@@ -168,7 +223,7 @@ def repeated_runs(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words
 def _cut(text: str, covered: list[tuple[int, int]]) -> tuple[str, int]:
     """Text without the covered sentences, and how many these are."""
     buf, at = joined([text])
-    starts, ends = word_spans(buf)
+    starts, ends = text_words(buf)
     cuts = sentences(buf, starts, ends)
     gone = np.zeros(len(cuts), np.int32)
     for i, j in covered:
@@ -186,7 +241,7 @@ def _digests(texts: list[str]) -> list[int]:
     out = []
     for t in texts:
         buf, _ = joined([t])
-        starts, ends = word_spans(buf)
+        starts, ends = text_words(buf)
         words = word_hashes(buf, starts, ends, fold=True)
         out.append(int(span_hashes(words, np.zeros(1, np.int64), np.full(1, len(words)), 5).view(np.int64)[0]))
     return out
