@@ -17,6 +17,7 @@ part adds nothing.  Fitting sees numbers
 only, on the driver; the trees then become one SQL expression, so every
 document is scored by DataFrame functions, without a shuffle.
 
+A candidate reaches the end of its run, however long; the trees see its length.
 Offsets are code points, ends exclusive.  Patterns use possessive quantifiers
 and start at run borders (or where the previous match ended), which gives the
 same matches without quadratic search or deep recursion.
@@ -51,9 +52,9 @@ BASE = {
 _NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 
 GENERATORS = {
-    "address": r"(?:\G|(?<![\p{L}\p{N}._%+-]))[\p{L}\p{N}._%+-]{1,64}+(?:@|\x20?[\[({]at[\])}]\x20?|\x20at\x20)"
-               r"[\p{L}\p{N}-]{1,63}+(?:(?:\.|\x20?[\[({]dot[\])}]\x20?|\x20dot\x20)[\p{L}\p{N}-]{1,63}+){0,5}",
-    "number": r"(?<![\p{L}\p{N}])[+(]{0,2}[0-9][0-9\x20()./-]{3,28}[0-9]",
+    "address": r"(?:\G|(?<![\p{L}\p{N}._%+-]))[\p{L}\p{N}._%+-]++(?:@|\x20?[\[({]at[\])}]\x20?|\x20at\x20)"
+               r"[\p{L}\p{N}-]++(?:(?:\.|\x20?[\[({]dot[\])}]\x20?|\x20dot\x20)[\p{L}\p{N}-]++)*+",
+    "number": r"(?<![\p{L}\p{N}])[+(]{0,2}[0-9][0-9\x20()./-]{3,}[0-9]",
     "hex": r"(?i)(?<![\p{L}\p{N}:.])[0-9a-f]{1,4}(?:[:.][0-9a-f]{0,4}){2,7}(?![\p{L}\p{N}])",
 }
 _GENERATOR_NEEDS = {"address": r"@|[\[({ ]at[\])} ]", "number": r"[0-9][0-9\x20()./-]{3}",
@@ -203,26 +204,6 @@ class Selector:
         self.models: dict[str, Boosted] = {}
         self.thresholds: dict[str, float] = {}
 
-    def fit(self, rows: dict[str, list[tuple[list[float], int, bool]]]) -> Selector:
-        """rows per kind: (features, label, held out)."""
-        for kind, found in rows.items():
-            train = [(x, y) for x, y, held in found if not held]
-            held = [(x, y) for x, y, h in found if h]
-            if len({y for _, y in train}) < 2 or len({y for _, y in held}) < 2:
-                continue
-            model = Boosted(len(FEATURES), trees=TREES, depth=3).fit(
-                np.array([x for x, _ in train]), np.array([y for _, y in train], float))
-            margin = model.margin(np.array([x for x, _ in held]))
-            y = np.array([y for _, y in held])
-            order = np.argsort(-margin, kind="stable")
-            good = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-            border = np.append(np.diff(margin[order]) < 0, True)  # never cut between equal scores
-            fine = np.flatnonzero((good >= PRECISION) & border)
-            if len(fine):
-                self.models[kind] = model
-                self.thresholds[kind] = float(margin[order][fine[-1]])
-        return self
-
     def accepts(self, kind: str, x: Column) -> Column:
         """SQL expression: does the trees' margin reach the threshold?"""
         if kind not in self.models:
