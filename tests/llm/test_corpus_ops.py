@@ -10,6 +10,7 @@ from corpus_samples import DOCS, prose, words
 from pyspark.sql import functions as F
 
 from tracewise.llm import byte_cnn, lsh_forest, packing, pii, sentence_dedup, url_filter
+from tracewise.llm.boosting import Boosted
 from tracewise.llm.components import connected_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -149,6 +150,65 @@ def test_near_duplicates_inside_a_family_of_near_misses(make_docs):
     assert got == {i: want.get(i, i) for i, _ in rows}
 
 
+def family(n, changes, seed, places=80):
+    """n variants of one text of 5 * places words, each with some words changed."""
+    base, rng = prose(5 * places, 4000 + seed).split(), np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        v = list(base)
+        for k in rng.choice(places, changes, replace=False):
+            v[5 * k] = f"v{i}q{k}"
+        rows.append((i, " ".join(v)))
+    return rows
+
+
+@pytest.mark.parametrize("n,changes", [(150, 4), (450, 4), (150, 8)])
+def test_confirmed_pairs_grow_with_the_family(make_docs, monkeypatch, n, changes):
+    tried = []
+    confirmed = lsh_forest.confirmed
+
+    def counting(pairs, *args):
+        tried.append(pairs.count())
+        return confirmed(pairs, *args)
+    monkeypatch.setattr(lsh_forest, "confirmed", counting)
+    rows = family(n, changes, n + changes)
+    got = {r["doc_id"]: r["component_id"] for r in lsh_forest.near_duplicates(make_docs(rows)).collect()}
+    want = brute_near(rows, 5, 80)
+    assert got == {i: want.get(i, i) for i, _ in rows}
+    assert sum(tried) <= 4 * n
+
+
+def test_pairs_are_met_under_their_first_shared_shingle():
+    lists = [[1, 2, 3], [2, 3], [3, 4], [4], [1, 4]]
+    assert lsh_forest._first_shared(lists, 3)[[0, 0, 1]][:, [1, 2]].tolist() == [[False, True], [False, True], [False, True]]
+    first = lsh_forest._first_shared(lists, 4)
+    assert first[2, 3] and not first[0, 4] and first[1, 4] and not first[0, 1]
+
+
+def test_ids_with_several_texts_join_their_classes(make_docs, monkeypatch):
+    a, b, c = prose(80, 1), prose(80, 2), prose(80, 3)
+    rows = [(1, a), (2, a), (2, b), (3, b), (3, b), (4, c), (5, c), (5, ""), (6, "")] + [(100 + i, a) for i in range(40)]
+    got = []
+    for listed in (10_000, 1):  # 1: only the largest class is broadcast
+        monkeypatch.setattr(lsh_forest, "MAX_LISTED", listed)
+        got.append(sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])
+                          for r in lsh_forest.near_duplicates(make_docs(rows)).collect()))
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    comp = {i: c for i, _, c, _ in got[0]}
+    assert all(comp[i] == 1 for i in (1, 2, 3, 100, 139)) and comp[4] == comp[5] == 4 and comp[6] == 6
+
+
+def test_keep_one_keeps_texts_that_share_an_id(make_docs):
+    a, b = prose(80, 1), prose(80, 2)
+    rows = make_docs([(1, a), (1, a), (1, b), (2, a), (3, "x"), (3, "x")]).withColumn("n_chars", F.lit(7).cast("long"))
+    more = rows.union(rows.withColumn("lang", F.lit("aa")))
+    for docs in (more, more.withColumn("m", F.create_map(F.lit("k"), F.col("lang")))):
+        out = lsh_forest.keep_one(docs)
+        assert out.columns == docs.columns
+        assert Counter((r["doc_id"], r["text"], r["lang"]) for r in out.collect()) == Counter(
+            {(1, a, "aa"): 1, (1, b, "aa"): 1, (3, "x", "aa"): 1})
+
+
 def test_blocks_split_a_hot_shingle(spark):
     sets = [(i, i, 100, [*range(90), *range(1000 * i + 1000, 1000 * i + 1010)]) for i in range(1200)]
     sets += [(5000 + i, 5000 + i, 100, [*range(90), *range(9_000_000, 9_000_006), *range(10 * i - 100, 10 * i - 96)])
@@ -167,16 +227,22 @@ def test_signatures_estimate_likeness():
 
 
 # -- sentence dedup ---------------------------------------------------------------
+CLOSE = "[\"')\\]}»’”」』）】]"
+
+
 def brute_sentences(t):
-    """Pieces of the text (with the white space that follows), and their words."""
+    """Pieces of the text (with the white space that follows), their words, and what these count."""
     out, begin = [], 0
-    for m in re.finditer(r"([^\x20\x09-\x0D]+)([\x20\x09-\x0D]*)", t):
-        if m.group(1)[-1] in ".!?" or "\n" in m.group(2):
-            out.append(t[begin:m.end()])
-            begin = m.end()
+    piece = rf"([^\x20\x09-\x0D]*?[。！？](?:{CLOSE}*[。！？])*{CLOSE}*|[^\x20\x09-\x0D]+)([\x20\x09-\x0D]*)"
+    words = []
+    for m in re.finditer(piece, t):
+        words.append(m.group(1).translate(FOLD))
+        if re.search(rf"[.!?。！？]{CLOSE}*$", m.group(1)) or "\n" in m.group(2):
+            out.append((t[begin:m.end()], words))
+            begin, words = m.end(), []
     if begin < len(t):
-        out.append(t[begin:])
-    return [(s, WORD.findall(s.translate(FOLD))) for s in out if s]
+        out.append((t[begin:], words))
+    return [(s, w, sum(max(1, sum(c > "\u07ff" for c in x) // 2) for x in w)) for s, w in out if s]
 
 
 def brute_dedup(rows, m=2, w=25, long=25):
@@ -186,14 +252,14 @@ def brute_dedup(rows, m=2, w=25, long=25):
         s = split[i] = brute_sentences(t or "")
         for a in range(len(s)):
             for b in range(a + 1, len(s) + 1):
-                n = sum(len(x[1]) for x in s[a:b])
+                n = sum(x[2] for x in s[a:b])
                 if b - a >= m and n >= w:
                     spans[tuple(x for y in s[a:b] for x in y[1])].append((i, a, b))
                     break
-            if len(s[a][1]) >= long:
+            if s[a][2] >= long:
                 spans[tuple(s[a][1])].append((i, a, a + 1))
         for a in range(len(s) - m, -1, -1):
-            if sum(len(x[1]) for x in s[a:]) >= w:
+            if sum(x[2] for x in s[a:]) >= w:
                 spans[tuple(x for y in s[a:] for x in y[1])].append((i, a, len(s)))
                 break
     gone = defaultdict(set)
@@ -216,6 +282,19 @@ def test_sentence_dedup_equals_brute_force(make_docs):
     assert got[101] == ("", got[101][1]) and got[105][1] == 0 and got[106][0] == ""
 
 
+def test_sentences_in_scripts_without_blanks_and_before_closers(make_docs):
+    han = "".join(chr(0x4E00 + (i * 37) % 900) for i in range(40))
+    passage = f"{han}。{han[::-1]}！？「{han[5:30]}。」{han[3:]}）x"
+    quoted = '"' + " ".join(words(14, 700)) + '." (' + " ".join(words(14, 701)) + "!) " + " ".join(words(9, 702)) + "?’"
+    rows = [(1, "序" * 20 + "。" + passage), (2, passage + "。" + "跋" * 30), (3, "漢" * 200), (4, "漢" * 200 + "。"),
+            (5, prose(30, 703) + " " + quoted + " " + prose(10, 704)), (6, "Lead. " + quoted), (7, "。。！」」"), (8, ')))"'),
+            (9, "🙂" * 60 + "." + "é" * 60 + "."), (10, "🙂" * 60 + "。" + "é" * 60 + "."), (11, "a。 b！c？d")]
+    want = brute_dedup(rows)
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in sentence_dedup.without_repeats(make_docs(rows)).collect()}
+    assert got == want
+    assert got[2][1] >= 3 and got[4][1] == 1 and got[6][0] == "Lead. "
+
+
 def test_sentence_dedup_edge_cases(spark, make_docs, odd_docs):
     out = sentence_dedup.without_repeats(odd_docs.withColumn("n_removed", F.lit("x")).withColumn("digest", F.lit(1))).collect()
     assert len(out) == odd_docs.count()
@@ -279,6 +358,79 @@ def test_joint_lengths_cost_no_more():
         assert (np.bincount(bins, sizes) <= final).all()
 
 
+def cheapest(sizes, caps, overhead, attention):
+    """Least cost over all ways to deal the pieces to sequences."""
+    best, cost = [float("inf")], [packing.sequence_cost(c, overhead, attention) for c in caps]
+
+    def price(used):
+        return min(c for c, cap in zip(cost, caps, strict=True) if cap >= used)
+
+    def put(k, bins):
+        if sum(price(b) for b in bins) >= best[0]:
+            return
+        if k == len(sizes):
+            best[0] = sum(price(b) for b in bins)
+            return
+        for i in range(len(bins)):
+            if bins[i] + sizes[k] <= caps[-1] and bins[i] not in bins[:i]:
+                put(k + 1, [*bins[:i], bins[i] + sizes[k], *bins[i + 1:]])
+        put(k + 1, [*bins, sizes[k]])
+    put(0, [])
+    return best[0]
+
+
+def test_packing_against_exhaustive_search():
+    rng = np.random.default_rng(8)
+    caps, overhead, attention = (10, 20, 40), 1.0, 0.01
+    ratios = []
+    for _ in range(60):
+        sizes = np.sort(rng.integers(1, rng.choice([8, 21, 41]), 8))[::-1]
+        bins, final = packing.pack_group(sizes, caps, overhead, attention)
+        used = np.bincount(bins, sizes, len(final))
+        assert all(u <= c for u, c in zip(used, final, strict=True))
+        ratios.append(sum(packing.sequence_cost(c, overhead, attention) for c in final)
+                      / cheapest(sizes.tolist(), caps, overhead, attention))
+    assert max(ratios) < 1.2 and np.mean(ratios) < 1.03 and np.mean(np.array(ratios) < 1 + 1e-9) > 0.5
+
+
+def test_lengths_are_weighed_jointly():
+    caps = packing.CAPACITIES
+    rng = np.random.default_rng(4)
+    sizes = np.sort(np.concatenate([rng.integers(9000, 16000, 40), rng.integers(2100, 4000, 300),
+                                    rng.integers(100, 1000, 400)]))[::-1]
+    bins, final = packing.pack_group(sizes, caps)
+    cost = sum(packing.sequence_cost(c, packing.OVERHEAD, packing.ATTENTION) for c in final)
+    assert len(set(final)) >= 3
+    # cheaper than any one length with downsizing, long pieces apart
+    one = [packing.best_fit(sizes, caps, choice=(c,))[2] for c in caps]
+    assert cost < 0.97 * min(one)
+    # one long piece does not decide for the short ones
+    bins, final = packing.pack_group(np.array([16_000] + [1000] * 50), caps)
+    assert final.count(16_384) == 1 and set(final) - {16_384} == {1024}
+
+
+def test_registered_packing_opens_several_lengths(spark):
+    from tracewise.llm.queries import op5_best_fit_packing
+    rows = op5_best_fit_packing(spark, "/root/testdata/sf0.001").select("sequence", "capacity").distinct()
+    n = {r["capacity"]: r["n"] for r in rows.groupBy("capacity").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert len(n) >= 3 and sorted(n.values())[-2] >= 0.1 * sum(n.values())
+
+
+def test_packed_sequences_are_rebuilt_from_their_rows(make_docs, odd_docs):
+    docs = [(i, prose(40 + 13 * i, i)) for i in range(30)] + [(1, "é" * 50), (1, "ab" * 25), (1, "é" * 50), (None, "q" * 50),
+                                                             (None, "r" * 50), (3, None), (4, "")]
+    for rows, caps in ((make_docs(docs), (64, 200)), (odd_docs, packing.CAPACITIES)):
+        placed = packing.pack(rows, caps)
+        out = packing.with_texts(placed, rows, caps[-1]).collect()
+        assert len(out) == placed.count()
+        whole = defaultdict(dict)
+        for r in out:
+            assert len(r["piece_text"]) == r["size"]
+            whole[r["doc_id"], r["length"], r["copy"]][r["start"]] = r["piece_text"]
+        got = Counter((k[0], "".join(t for _, t in sorted(v.items()))) for k, v in whole.items())
+        assert got == Counter((r["doc_id"], r["text"]) for r in rows.collect() if r["text"])
+
+
 # -- URL filter -----------------------------------------------------------------------
 RULES = [url_filter.parse_rule(r) for r in
          ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/")]
@@ -334,11 +486,39 @@ def test_aliases(spark):
     assert [without[k] for k in (2, 3, 5)] == ["block"] * 3
     assert got[4][1] == got[12][1] == got[13][1] == "allow"
     assert got[7][1] == got[8][1] == "block" and got[10][1] == got[11][1] == "block"
+    long = "x" * 5000
+    odd = [(1, "http://x.net/es/a", None), (2, "http://a.org/1", f'<link data-a="{long}" rel="alternate Canonical" title="{long}" '
+                                                                 f'href="http://x.net/es/a">'),
+           (3, "http://a.org/d/e/2", link("../.././1")), (4, "http://b.org/q/", '<base href="http://a.org/d/">' + link("../1")),
+           (5, "http://a.org/5", '<link rel="canonicals" href="http://x.net/es/a"><link data-href="http://x.net/es/a" rel="canonical">'),
+           (6, "http://a.org/6", "<meta content=\"0;url='http://a.org/1'\" http-equiv=refresh>")]
+    odd = spark.createDataFrame(odd, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(odd, RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "block"}
     assert url_filter.judge(rows.limit(0), RULES).count() == 0
     with pytest.raises(ValueError):
         url_filter.judge(rows, RULES * 300)
 
 
+def test_random_aliases_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    hosts = ["a.org", "b.org", "x.net", "c.com", "example.com", "www.example.com"]
+    urls = [f"http://{hosts[rng.integers(len(hosts))]}/{rng.choice(['en', 'es', 'de'])}/{i}" for i in range(300)]
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (260, 2))]
+    html = defaultdict(str)
+    for a, b in edges:
+        html[a] += f'<link rel="canonical" href="{urls[b]}">' if (a + b) % 2 else f'<meta http-equiv="refresh" content="1; url={urls[b]}">'
+    comp = brute_components(edges)
+    classes = defaultdict(set)
+    for i, u in enumerate(urls):
+        if brute_rule(u)[3]:
+            classes[comp.get(i, i)].add(brute_rule(u)[3])
+    rows = spark.createDataFrame([(i, u, html[i] or None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(rows, RULES).collect()}
+    want = {i: brute_rule(u)[3] or ("block" if classes[comp.get(i, i)] == {"block"} else "allow") for i, u in enumerate(urls)}
+    assert got == want and sum(brute_rule(u)[3] is None and want[i] == "block" for i, u in enumerate(urls)) >= 5
+
+
 # -- PII -------------------------------------------------------------------------------
 def luhn(d):
     total = 0
@@ -400,6 +580,16 @@ def test_boosted_candidates_add_lookalikes(make_docs):
     assert "[PHONE]" in clean[1000] and "555" not in clean[1000] and clean[1003] == "nothing here"
 
 
+def test_candidates_reach_the_end_of_their_run(make_docs):
+    texts = ["x" * 90 + " [at] " + "mail dot " * 7 + "org", "1 " * 40 + "2", "a@" + "b." * 5000 + "c", "7" + " " * 5000, "9 " * 5000 + "9",
+             "no", "u at v"]
+    rows = pii.with_candidates(make_docs(enumerate(texts)), "text").orderBy("doc_id").collect()
+    got = [{k: [(c["start"], c["end"]) for c in r[f"__tw_cand_{k}"]] for k in pii.KINDS} for r in rows]
+    assert got[0]["email"] == [(0, len(texts[0]))] and got[2]["email"] == [(0, len(texts[2]))] and got[6]["email"] == [(0, 6)]
+    assert got[1]["phone"] == got[1]["card"] == [(0, 81)] and got[4]["card"] == [(0, 10_001)]
+    assert got[3]["phone"] == [] and not any(got[5].values())
+
+
 def test_rare_kinds_are_learnt_from_all_documents(spark, make_docs):
     order = [r["id"] for r in spark.range(3400).orderBy(F.xxhash64("id"), "id").collect()]
     rows = [(i, "no candidate here") for i in order[:3000]]
@@ -417,7 +607,9 @@ def test_trees_as_sql_equal_numpy(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(400, len(pii.FEATURES)))
     y = (x[:, 0] + x[:, 3] > 0).astype(int)
-    s = pii.Selector().fit({"email": [(x[i].tolist(), int(y[i]), i % 4 == 0) for i in range(400)]})
+    s = pii.Selector()
+    s.models["email"] = Boosted(len(pii.FEATURES), trees=pii.TREES, depth=3).fit(x, y.astype(float))
+    s.thresholds["email"] = float(np.median(s.models["email"].margin(x)))
     df = spark.createDataFrame([(i, x[i].tolist()) for i in range(400)], "i long, x array<double>")
     got = {r["i"]: r["a"] for r in df.select("i", s.accepts("email", F.col("x")).alias("a")).collect()}
     want = s.models["email"].margin(x) >= s.thresholds["email"] - 1e-9

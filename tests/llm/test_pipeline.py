@@ -54,6 +54,7 @@ def test_each_stage_equals_brute_force(spark):
     # 5: every character packed once
     packed = cp.pack_sequences(spark, redacted, SF).collect()
     check_packing(packed, list(after.items()), packing.CAPACITIES)
+    assert all(r["piece_text"] == after[r["doc_id"]][r["start"]:r["start"] + r["size"]] for r in packed)
 
 
 def test_run_equals_its_stages(spark):

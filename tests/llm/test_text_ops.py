@@ -89,6 +89,18 @@ def test_edited_text_and_order(spark, make_docs, odd_docs):
     assert one["edited"] == "abab"
 
 
+def test_rows_without_id_are_spread_over_ranges(spark, make_docs):
+    known = [(i, f"text {i}") for i in range(20)]
+    lost = [f"lost {i % 30}" for i in range(90)] + [""] * 50
+    rows = make_docs(known + [(None, t) for t in lost]).select("doc_id", "text")
+    out = winnow.with_next_text(rows, 9)
+    hashes = {r["text"]: r["h"] for r in spark.createDataFrame([(t,) for t in set(lost)], "text string")
+              .select("text", F.xxhash64("text").alias("h")).collect()}
+    order = [t for _, t in reversed(known)] + sorted(lost, key=lambda t: (hashes[t], t))
+    want = Counter(zip(order, order[1:] + order[:1], strict=True))
+    assert Counter((r["text"], r["next_text"]) for r in out.collect()) == want
+
+
 def test_equal_texts_equal_keys(make_docs):
     docs = make_docs([(1, prose(50, 1)), (2, prose(50, 1)), (3, prose(50, 2)), (4, ""), (5, None)])
     rows = winnow.edited_fingerprints(docs).select("doc_id", winnow.fingerprint_key("own_").alias("k"),
@@ -215,6 +227,11 @@ def test_chat_digests(spark):
         assert got[c]["n_turns"] == len(turns)
         assert got[c]["turns"] == "".join(f"{r}\n{x}\n" for _, r, x in turns)
         assert got[c]["loss_text"] == "".join(x for _, r, x in turns if r == "assistant")
+    lost = df.where("conv_id IS NULL").union(df.where("conv_id IS NULL")).union(df.where("conv_id = 91").selectExpr(
+        "CAST(NULL AS LONG)", "turn", "role", "text"))
+    alone = chat.read_back(chat.format_conversations(lost, tokenizer_path())).collect()
+    # without an id a row belongs to no other
+    assert sorted(r["loss_text"] for r in alone) == ["\\|b", "\\|b", "a<", "x", "x"] and all(r["n_turns"] == 1 for r in alone)
     assert chat.read_back(chat.format_conversations(df.limit(0), tokenizer_path())).count() == 0
 
 
