@@ -50,8 +50,9 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing of all that is left."""
-    return packing.pack(docs)
+    """Best-fit packing of all that is left; each row has its piece's text, so
+    the sequences can be rebuilt from the rows alone."""
+    return packing.with_texts(packing.pack(docs), docs)
 
 
 STAGES = [
