@@ -179,7 +179,7 @@ def head_groups(classes: DataFrame, trees: int, depth: int, min_depth: int) -> D
     own = 4 * depth
     heads = classes.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig") \
         .select("doc_id", "tree", F.xxhash64("tree", F.substring("sig", F.col("tree") * own + 1, F.lit(4 * min_depth)))
-                .alias("head"))
+                .alias("head")).repartition("head")
     return heads.join(heads.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head"), "head") \
         .select("doc_id", "tree", "head")
 
@@ -193,6 +193,7 @@ def shared_heads(heads: DataFrame, label: DataFrame | None, neighbours: int) ->
     else:
         named = heads.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
             .withColumn("component", F.coalesce("component", "doc_id"))
+    named = named.repartition("head")
     shared = named.groupBy("head").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
                                        F.max("component").alias("high")).where("low <> high").select("head", "n")
     return named.join(shared, "head").groupBy("doc_id", "component").agg(
@@ -511,13 +512,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     heads = materialise(head_groups(classes, trees, depth, min_depth))
     places = materialise(shared_heads(heads, None, neighbours))
     few = places.withColumn("trees", F.slice(F.array_sort("trees"), 1, FIRST_TREES))
-    found = materialise(candidates(classes, few, trees, depth, min_depth, 1, parts, least))
+    shared = materialise(classes.select("doc_id", "sig").join(places.select("doc_id"), "doc_id", "left_semi"))
+    found = materialise(candidates(shared, few, trees, depth, min_depth, 1, parts, least))
     texts = materialise(rows.where("doc_id IS NOT NULL").join(places.select("doc_id"), "doc_id", "left_semi")
                         .groupBy("doc_id").agg(F.min("text").alias("text")))
     label = confirmed_components(found, texts, None, None, words, percent)
     # 2: more neighbours, in other components
     places = materialise(shared_heads(heads, label, neighbours))
-    found = materialise(candidates(classes, places, trees, depth, min_depth, neighbours, parts, least))
+    found = materialise(candidates(shared, places, trees, depth, min_depth, neighbours, parts, least))
     # in a larger group a window may end before the partner
     crowded = materialise(places.where(F.col("crowd") > neighbours + 1).select("doc_id"))
     label = confirmed_components(found, texts, label, crowded, words, percent)
