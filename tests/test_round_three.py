@@ -317,13 +317,13 @@ def test_lag_over_a_key_that_holds_everything(spark):
         for r in sorted((r for r in rows if r[1] == u), key=lambda r: (r[2], r[0])):
             want[r[0]], prev = prev, r[3]
     for share in (1.0, 0.01, 2.0 ** -14):
-        out = previous_row(df, ["user_id"], ["ts", "event_id"], ["event_type"], heavy_share=share)
+        out = previous_row(df, ["user_id"], ["ts", "event_id"], cols=["event_type"], heavy_share=share)
         assert {r["event_id"]: r["prev_event_type"] for r in out.collect()} == want
     merge = "spark.sql.adaptive.coalescePartitions.enabled"  # few rows would else be read by one task
     before = spark.conf.get(merge)
     try:
         spark.conf.set(merge, "false")
-        tasks = previous_row(df, ["user_id"], ["ts", "event_id"], ["event_type"], heavy_share=0.5).where("user_id = 7") \
+        tasks = previous_row(df, ["user_id"], ["ts", "event_id"], cols=["event_type"], heavy_share=0.5).where("user_id = 7") \
             .groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set(merge, before)

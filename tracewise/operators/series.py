@@ -22,9 +22,8 @@ from tracewise.session import cut_lineage
 HEAVY_SHARE = 2.0 ** -14    # so at most 16,384 keys are heavy
 
 
-def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                 prefix: str = "prev_", bucket: Column | None = None,
-                 heavy_share: float = HEAVY_SHARE) -> DataFrame:
+def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None = None,
+                 cols: Sequence[str] = (), prefix: str = "prev_", heavy_share: float = HEAVY_SHARE) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
 
     Equivalent to ``lag(c).over(partitionBy(keys).orderBy(order))``; ``order``
