@@ -93,13 +93,16 @@ def _outlier_delta_mean(x: DataFrame, by: list[str], out: str) -> DataFrame:
             .groupBy(*by).agg(F.avg("d").alias(out)))
 
 
-def _window_features(x: DataFrame, by: list[str], p: EdgeRcaParams) -> DataFrame:
-    """The features of DET12 that depend on the scored window alone."""
+def _window_features(x: DataFrame, by: list[str], p: EdgeRcaParams, gapless: bool = False) -> DataFrame:
+    """The features of DET12 that depend on the scored window alone; with
+    ``gapless`` the correlation is 0 where some step has no 5xx point."""
     g = x.groupBy(*by).agg(
         (F.avg("rt") > F.lit(p.rt_threshold_ms)).cast("double").alias("rt_over_thresh"),
         F.max("error").alias("max_error"), F.count(F.lit(1)).alias("_n"), F.count_if("has_error").alias("_errors"),
         pearson("error", "rt").alias("_r"))
-    whole = (F.col("_n") > 1) & (F.col("_errors") == F.col("_n"))
+    whole = F.col("_n") > 1
+    if gapless:
+        whole &= F.col("_errors") == F.col("_n")
     g = g.filter("_errors > 0").select(*by, "rt_over_thresh", "max_error", F.when(
         whole, F.coalesce("_r", F.lit(0.0))).otherwise(F.lit(0.0)).alias("corr_rt_error"))
     return g.join(_outlier_delta_mean(x, by, "current_outlier"), on=by, how="left") \
@@ -109,8 +112,9 @@ def _window_features(x: DataFrame, by: list[str], p: EdgeRcaParams) -> DataFrame
 def reliability_features(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
     """DET12: baseline and current outlier-delta means, rt over threshold,
     max error, corr(error, rt) in the current window.  An edge without any
-    5xx point there has no error series and is skipped; where the error series
-    has fewer points than the latency series, the correlation is 0."""
+    5xx point there has no error series and is skipped.  A step without a 5xx
+    point is an error share of 0 in every feature, the correlation included, so
+    both series have a point at every step."""
     cur = _window_features(w.filter("in_cur"), EDGE, p)
     has_base = w.filter("in_base").select(*EDGE).distinct()
     bo = _outlier_delta_mean(w.filter("in_base"), EDGE, "baseline_outlier")
@@ -124,10 +128,12 @@ RELIABILITY = ["current_outlier", "rt_over_thresh", "max_error", "corr_rt_error"
 
 def reliability_windows(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
     """DET12's features of every edge in the current window (``part`` 0) and in
-    the windows of equal length before it inside the baseline (1, 2, ...)."""
+    the windows of equal length before it inside the baseline (1, 2, ...).  Here
+    the correlation is told only where every step has a 5xx point."""
     end = w.select(F.max("ts")).scalar()
     age = F.floor((epoch_seconds(end) - epoch_seconds("ts")) / F.lit(p.current_days * 86400))
-    return _window_features(w.filter("in_base OR in_cur").withColumn("part", age.cast("int")), [*EDGE, "part"], p)
+    return _window_features(w.filter("in_base OR in_cur").withColumn("part", age.cast("int")), [*EDGE, "part"], p,
+                            gapless=True)
 
 
 def reliability_scores(w: DataFrame, p: EdgeRcaParams = P) -> DataFrame:
