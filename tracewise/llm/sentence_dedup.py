@@ -54,13 +54,19 @@ def _marks(buf: np.ndarray, chars: str, at: np.ndarray, back: bool) -> np.ndarra
     """Length in bytes of the character of ``chars`` that begins at (or, with
     ``back``, ends before) each offset, else 0."""
     out = np.zeros(len(at), np.int64)
-    for code in (c.encode() for c in chars):
-        begin = at - len(code) if back else at
+    codes = [c.encode() for c in chars]
+    near = np.zeros(256, bool)
+    near[[code[-1 if back else 0] for code in codes]] = True
+    # the byte next to the offset rules most of them out
+    some = np.flatnonzero((at >= back) & (at < len(buf) + back))
+    some = some[near[buf[at[some] - back]]]
+    for code in codes:
+        begin = at[some] - len(code) if back else at[some]
         ok = (begin >= 0) & (begin + len(code) <= len(buf))
         safe = np.where(ok, begin, 0)
         for k, byte in enumerate(code):
             ok &= buf[np.minimum(safe + k, len(buf) - 1)] == byte
-        out[ok] = len(code)
+        out[some[ok]] = len(code)
     return out
 
 
@@ -82,13 +88,16 @@ def text_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def word_units(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Prefix sums of what each word counts."""
-    wide = np.concatenate([[0], np.cumsum(buf >= 0xE0)])
+    wide = buf >= 0xE0
+    if not wide.any():
+        return np.arange(len(starts) + 1)
+    wide = np.concatenate([[0], np.cumsum(wide)])
     return np.concatenate([[0], np.cumsum(np.maximum(1, (wide[ends] - wide[starts]) // 2))])
 
 
 def sentences(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Index of each sentence's first word, and the number of words, for the
-    words [starts, ends) of one text."""
+    words [starts, ends) of texts that end in line breaks."""
     n = len(starts)
     if not n:
         return np.zeros(1, np.int64)
@@ -101,24 +110,26 @@ def sentences(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
         open_ = open_[step > 0]
     inside = last > starts
     closed = inside & (_END[buf[np.maximum(last - 1, 0)]] | ((last - starts >= 3) & (_marks(buf, WIDE_ENDS, last, True) > 0)))
-    breaks = np.concatenate([[0], np.cumsum(buf[starts[0]:ends[-1]] == 10)])
-    closed[:-1] |= breaks[starts[1:] - starts[0]] > breaks[ends[:-1] - starts[0]]
+    before = np.searchsorted(starts, np.flatnonzero(buf == 10)) - 1  # the word before each line break
+    closed[before[before >= 0]] = True
     first = np.flatnonzero(closed[:-1]) + 1
     return np.concatenate([[0], first, [n]])
 
 
-def sentence_runs(sizes: np.ndarray, min_sentences: int, min_words: int,
-                  long_sentence: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sentence ranges [i, j) of the runs; ``sizes`` are prefix sums of the
-    sentences' words."""
-    m = len(sizes) - 1
-    i = np.arange(m)
+def sentence_runs(sizes: np.ndarray, bounds: np.ndarray, min_sentences: int, min_words: int,
+                  long_sentence: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, and sentence range [i, j), of each run.  ``sizes`` are prefix sums
+    of the sentences' words; text k has the sentences [bounds[k], bounds[k + 1])."""
+    i = np.arange(len(sizes) - 1)
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     j = np.maximum(i + min_sentences, np.searchsorted(sizes, sizes[:-1] + min_words))
-    whole = j <= m
+    whole = j <= bounds[owner + 1]
     long = np.flatnonzero(np.diff(sizes) >= long_sentence)
-    tail = min(m - min_sentences, int(np.searchsorted(sizes, sizes[-1] - min_words, "right")) - 1)
-    tail = np.full(int(tail >= 0), tail)
-    return np.concatenate([i[whole], long, tail]), np.concatenate([j[whole], long + 1, tail * 0 + m])
+    begin, end = bounds[:-1], bounds[1:]
+    tail = np.minimum(end - min_sentences, np.searchsorted(sizes, sizes[end] - min_words, "right") - 1)
+    ended = np.flatnonzero(tail >= begin)
+    return (np.concatenate([owner[whole], owner[long], ended]), np.concatenate([i[whole], long, tail[ended]]),
+            np.concatenate([j[whole], long + 1, end[ended]]))
 
 
 class Frequent:
@@ -130,33 +141,35 @@ class Frequent:
         self.ha, self.hb, self.doc, self.digest, self.i = (
             np.array([r[c] for r in rows], np.int64) for c in ("ha", "hb", "fd", "fg", "fi"))
 
-    def split(self, doc, digest, i, j, ha, hb):
-        """Which runs are in the list, and the merged sentence ranges that
-        those of them cover that are no first occurrence."""
-        at = np.minimum(np.searchsorted(self.ha, ha), max(len(self.ha) - 1, 0))
+    def find(self, doc, digest, i, ha, hb):
+        """Which runs are in the list, and which of these are no first occurrence."""
         listed = np.zeros(len(ha), bool)
-        if len(self.ha):
-            # equal upper halves are next to each other; they differ in hb only by chance
-            for step in range(2):
-                k = np.minimum(at + step, len(self.ha) - 1)
-                hit = (self.ha[k] == ha) & (self.hb[k] == hb) & ~listed
-                listed |= hit
-                at = np.where(hit, k, at)
-        again = listed & ~((self.doc[at] == doc) & (self.digest[at] == digest) & (self.i[at] == i)) \
-            if len(self.ha) else listed
-        a, b = i[again], j[again]
-        order = np.argsort(a, kind="stable")
-        a, b = a[order], np.maximum.accumulate(b[order]) if len(order) else b
-        new = np.ones(len(a), bool)
-        new[1:] = a[1:] > b[:-1]
-        return listed, a[new], b[np.append(np.flatnonzero(new)[1:] - 1, len(b) - 1)] if len(b) else b
+        if not len(self.ha):
+            return listed, listed
+        at = np.minimum(np.searchsorted(self.ha, ha), len(self.ha) - 1)
+        # equal upper halves are next to each other; they differ in hb only by chance
+        for step in range(2):
+            k = np.minimum(at + step, len(self.ha) - 1)
+            hit = (self.ha[k] == ha) & (self.hb[k] == hb) & ~listed
+            listed |= hit
+            at = np.where(hit, k, at)
+        return listed, listed & ~((self.doc[at] == doc) & (self.digest[at] == digest) & (self.i[at] == i))
+
+
+def merged(text: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sentence ranges [i, j) with those of a text that meet put together."""
+    order = np.argsort(i, kind="stable")
+    text, i, j = text[order], i[order], np.maximum.accumulate(j[order])
+    new = np.ones(len(i), bool)
+    new[1:] = (i[1:] > j[:-1]) | (text[1:] != text[:-1])
+    return text[new], i[new], j[np.append(new[1:], True)] if len(j) else j
 
 
 def runs(rows: DataFrame, min_sentences: int, min_words: int, long_sentence: int,
          frequent: Frequent | None = None) -> DataFrame:
     """(doc_id, digest, i, j, ha, hb) of every sentence run of (doc_id, text).
     With ``frequent`` the runs listed there give only the merged ranges they
-    cover, with null hashes."""
+    cover, with ``hb`` null (and in ``ha`` the id, so that they spread as keys)."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent) if frequent is not None else None
 
     def run(batches):
@@ -169,34 +182,26 @@ def runs(rows: DataFrame, min_sentences: int, min_words: int, long_sentence: int
                 words = word_hashes(buf, starts, ends, fold=True)
                 units = word_units(buf, starts, ends)
                 cut = np.searchsorted(starts, at)
-                out = []
-                for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
-                    if units[b] - units[a] < min(min_words, long_sentence):
-                        continue
-                    cuts = sentences(buf, starts[a:b], ends[a:b])
-                    i, j = sentence_runs(units[a + cuts] - units[a], min_sentences, min_words, long_sentence)
-                    if not len(i):
-                        continue
-                    w = words[a:b]
-                    whole = span_hashes(w, np.zeros(1, np.int64), np.full(1, b - a), 5)
-                    doc, digest = ids[x + k], whole.view(np.int64)[0]
-                    ha = span_hashes(w, cuts[i], cuts[j], 1).view(np.int64)
-                    hb = span_hashes(w, cuts[i], cuts[j], 2).view(np.int64)
-                    covered = np.zeros(len(i), bool)
-                    if shared is not None:
-                        listed, a0, b0 = shared.value.split(doc, digest, i, j, ha, hb)
-                        i, j = np.concatenate([i[~listed], a0]), np.concatenate([j[~listed], b0])
-                        gap = np.zeros(len(a0), np.int64)
-                        ha, hb = np.concatenate([ha[~listed], gap]), np.concatenate([hb[~listed], gap])
-                        covered = np.arange(len(i)) >= len(i) - len(a0)
-                    out.append((np.full(len(i), doc), np.full(len(i), digest), i, j, ha, hb, covered))
-                if out:
-                    *cols, covered = (np.concatenate(c) for c in zip(*out, strict=True))
-                    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-                    masks = [None, None, None, None, covered, covered]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t, mask=m) for c, t, m in zip(cols, types, masks, strict=True)],
-                        names=["doc_id", "digest", "i", "j", "ha", "hb"])
+                cuts = sentences(buf, starts, ends)
+                bounds = np.searchsorted(cuts, cut)
+                text, i, j = sentence_runs(units[cuts], bounds, min_sentences, min_words, long_sentence)
+                if not len(i):
+                    continue
+                own, digests = ids[x:y], span_hashes(words, cut[:-1], cut[1:], 5).view(np.int64)
+                ha = span_hashes(words, cuts[i], cuts[j], 1).view(np.int64)
+                hb = span_hashes(words, cuts[i], cuts[j], 2).view(np.int64)
+                covered = np.zeros(len(i), bool)
+                if shared is not None:
+                    listed, again = shared.value.find(own[text], digests[text], i - bounds[text], ha, hb)
+                    more = merged(text[again], i[again], j[again])
+                    text, i, j = (np.concatenate([c[~listed], m]) for c, m in zip((text, i, j), more, strict=True))
+                    ha, hb = np.concatenate([ha[~listed], own[more[0]]]), np.concatenate([hb[~listed], more[0]])
+                    covered = np.arange(len(i)) >= len(i) - len(more[0])
+                cols = [own[text], digests[text], i - bounds[text], j - bounds[text], ha]
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, t) for c, t in zip(cols, types, strict=True)), pa.array(hb, pa.int64(), mask=covered)],
+                    names=["doc_id", "digest", "i", "j", "ha", "hb"])
 
     return rows.where("doc_id IS NOT NULL").mapInArrow(
         run, "doc_id long, digest long, i int, j int, ha long, hb long")
@@ -215,9 +220,8 @@ def repeated_runs(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words
     often = max(3, -(-total // MAX_FREQUENT))  # so many occurrences can only MAX_FREQUENT hashes have
     listed = Frequent(first.where(F.col("n") >= often).collect())
     found = runs(rows, min_sentences, min_words, long_sentence, listed)
-    rare = found.where("ha IS NOT NULL").join(first.where(F.col("n") < often).drop("n"), ["ha", "hb"]) \
-        .where("NOT (doc_id = fd AND digest = fg AND i = fi)").select("doc_id", "digest", "i", "j")
-    return rare.unionByName(found.where("ha IS NULL").select("doc_id", "digest", "i", "j"))
+    return found.join(first.where(F.col("n") < often).drop("n"), ["ha", "hb"], "left") \
+        .where("hb IS NULL OR NOT (doc_id = fd AND digest = fg AND i = fi)").select("doc_id", "digest", "i", "j")
 
 
 def _cut(text: str, covered: list[tuple[int, int]]) -> tuple[str, int]:
